@@ -1,7 +1,9 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Each reads the driver tables (directly or through the fixtures derived from
-them) over their whole extent.
+Every query reads the driver tables over their whole extent, directly or
+through the fixtures Spark derives from them.  Sinks and streams write under
+the session's shared folder (``spark.checkpoint.dir``) and return what they
+wrote, read back.
 """
 
 from __future__ import annotations
@@ -9,19 +11,525 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cellsmith.functions import columns as C
+from cellsmith.operators import cells as CE
+from cellsmith.operators import keys as K
+from cellsmith.operators import nested as N
 from cellsmith.plans import jobs
+from cellsmith.session import scratch_path
+from cellsmith.sinks import files as S
 from cellsmith.sources import fixtures as fx
+from cellsmith.sources import tables as TB
+from cellsmith.streaming import messages as M
 
 Query = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, Query] = {}
 
+# Fixed parameters of the registered queries.
+STREAM_FILES = 4                  # files per message wave
+STREAM_CUTOFF = "2024-01-16"      # messages before it are the backlog, the rest arrive later
+LISTEN_TOPICS = ("click", "purchase")
+MESSAGE_VALUE_SCHEMA = "user_id bigint, event_type string"
 
-def q_calls_to_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def query(name: str):
+    def deco(fn: Query) -> Query:
+        _REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def queries() -> dict[str, Query]:
+    return dict(_REGISTRY)
+
+
+# ---------------------------------------------------------------------------
+# Shared derivations
+# ---------------------------------------------------------------------------
+
+def _items(spark, sf_dir):
+    items, _ = jobs.call_items(fx.call_docs(spark, sf_dir))
+    return items
+
+
+def _flat(spark, sf_dir):
+    docs = fx.call_docs(spark, sf_dir)
+    parsed = N.parse_calls(docs)
+    return N.flatten_calls(parsed.where("_valid"), "doc", keep=("_id", "mobile"))
+
+
+def _raw_kept(spark, sf_dir):
+    return fx.raw_docs(spark, sf_dir).where(C.min_length(F.col("create_time"), jobs.RAW_MIN_TIME_LENGTH))
+
+
+def _contact_cells(spark, sf_dir):
+    return jobs.contacts_to_cells(fx.contacts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Sources (S1-S5, S11, S12)
+# ---------------------------------------------------------------------------
+
+@query("scan_parquet")
+def q_scan_parquet(spark, sf_dir):
+    return TB.scan_parquet(spark, f"{sf_dir}/orders.parquet",
+                           ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+@query("scan_table")
+def q_scan_table(spark, sf_dir):
+    TB.register_table(fx.read_table(spark, sf_dir, "customer"), "cellsmith_customer")
+    return TB.scan_table(spark, "cellsmith_customer", ["c_custkey", "c_name", "c_mktsegment"])
+
+
+@query("scan_documents")
+def q_scan_documents(spark, sf_dir):
+    path = scratch_path(spark, "documents")
+    fx.call_docs(spark, sf_dir).write.json(path)
+    docs = TB.scan_documents(spark, "_id string, mobile string, moxie_carrier_originalInfo string", path)
+    parsed = N.parse_calls(docs)
+    return parsed.select(
+        "_id", "mobile",
+        F.size("doc.calls").cast("long").alias("n_calls"),
+        F.aggregate("doc.calls", F.lit(0).cast("long"), lambda acc, c: acc + F.size(c["items"])).alias("n_items"))
+
+
+@query("preview_count")
+def q_preview_count(spark, sf_dir):
+    return TB.preview_count(fx.read_table(spark, sf_dir, "orders"))
+
+
+@query("generate_numbers")
+def q_generate_numbers(spark, sf_dir):
+    return TB.generate_numbers(fx.read_table(spark, sf_dir, "orders"), "o_orderkey")
+
+
+@query("generate_text")
+def q_generate_text(spark, sf_dir):
+    return TB.generate_text(fx.read_table(spark, sf_dir, "orders"), "o_orderkey")
+
+
+# ---------------------------------------------------------------------------
+# Filters (F1-F5)
+# ---------------------------------------------------------------------------
+
+@query("filter_not_null")
+def q_filter_not_null(spark, sf_dir):
+    return fx.raw_docs(spark, sf_dir).where(F.col("mobile").isNotNull()).select("_id", "mobile")
+
+
+@query("filter_min_length")
+def q_filter_min_length(spark, sf_dir):
+    return _raw_kept(spark, sf_dir).select("_id", "create_time")
+
+
+@query("filter_numeric")
+def q_filter_numeric(spark, sf_dir):
+    c = fx.contacts(spark, sf_dir)
+    return c.where(C.is_numeric(C.normalize_phone(F.col("tel")))).select("ord", "phoneNo", "tel")
+
+
+@query("cells_drop_named")
+def q_cells_drop_named(spark, sf_dir):
+    rows = jobs.contact_rows(fx.contacts(spark, sf_dir)).withColumn("main", F.col("name"))
+    return CE.to_cells(rows, "rowkey", keep_key=True, drop=[CE.SKIPPED_COLUMN])
+
+
+@query("cells_skip_key")
+def q_cells_skip_key(spark, sf_dir):
+    return CE.to_cells(jobs.raw_rows(fx.raw_docs(spark, sf_dir)), "rowkey")
+
+
+@query("cells_with_key")
+def q_cells_with_key(spark, sf_dir):
+    return CE.to_cells(jobs.raw_rows(fx.raw_docs(spark, sf_dir)), "rowkey", keep_key=True)
+
+
+# ---------------------------------------------------------------------------
+# Projections
+# ---------------------------------------------------------------------------
+
+@query("normalize_phone")
+def q_normalize_phone(spark, sf_dir):
+    return fx.contacts(spark, sf_dir).select("ord", C.normalize_phone(F.col("tel")).alias("tel_norm"))
+
+
+@query("text_or_empty")
+def q_text_or_empty(spark, sf_dir):
+    return fx.raw_docs(spark, sf_dir).select(
+        "_id", C.text_or_empty(F.col("mobile")).alias("mobile_text"),
+        C.text_or_empty(F.col("update_time")).alias("update_text"))
+
+
+@query("default_text")
+def q_default_text(spark, sf_dir):
+    return fx.contacts(spark, sf_dir).select("ord", C.default_text(F.col("tel")).alias("tel_text"))
+
+
+@query("reverse_text")
+def q_reverse_text(spark, sf_dir):
+    return fx.contacts(spark, sf_dir).select("ord", C.reverse_text(F.col("phoneNo")).alias("phone_rev"))
+
+
+@query("contact_key")
+def q_contact_key(spark, sf_dir):
+    return fx.contacts(spark, sf_dir).select("ord", C.contact_key(F.col("phoneNo"), F.col("tel")).alias("rowkey"))
+
+
+@query("product_type")
+def q_product_type(spark, sf_dir):
+    return fx.raw_docs(spark, sf_dir).select("_id", C.product_type(F.col("_id")).alias("product"))
+
+
+@query("epoch_seconds")
+def q_epoch_seconds(spark, sf_dir):
+    return _raw_kept(spark, sf_dir).select("_id", C.epoch_seconds(F.col("create_time")).alias("epoch"))
+
+
+@query("recency_key")
+def q_recency_key(spark, sf_dir):
+    return _raw_kept(spark, sf_dir).select(
+        "_id", C.recency_key(F.col("mobile"), F.col("create_time")).alias("rowkey"))
+
+
+@query("project_fields")
+def q_project_fields(spark, sf_dir):
+    return jobs.raw_rows(fx.raw_docs(spark, sf_dir))
+
+
+@query("compact_datetime")
+def q_compact_datetime(spark, sf_dir):
+    return _flat(spark, sf_dir).select("details_id", C.compact_datetime(F.col("time")).alias("compact"))
+
+
+@query("compact_datetime_short")
+def q_compact_datetime_short(spark, sf_dir):
+    return _flat(spark, sf_dir).select("details_id", C.compact_datetime_short(F.col("time")).alias("compact"))
+
+
+@query("dial_code")
+def q_dial_code(spark, sf_dir):
+    return _flat(spark, sf_dir).select("details_id", C.dial_code(F.col("dial_type")).alias("dial"))
+
+
+@query("peer_tail")
+def q_peer_tail(spark, sf_dir):
+    return _flat(spark, sf_dir).select(
+        "details_id", C.peer_tail(C.normalize_phone(F.col("peer_number"))).alias("tail"))
+
+
+@query("fee_text")
+def q_fee_text(spark, sf_dir):
+    return _flat(spark, sf_dir).select("details_id", C.fee_text(F.col("fee")).alias("fee"))
+
+
+@query("call_key")
+def q_call_key(spark, sf_dir):
+    return _flat(spark, sf_dir).select(
+        "details_id", C.call_key(F.col("mobile"), F.col("time"), F.col("dial_type")).alias("base"))
+
+
+@query("call_key_extended")
+def q_call_key_extended(spark, sf_dir):
+    f = _flat(spark, sf_dir)
+    return f.select("details_id", C.call_key_extended(
+        F.col("mobile"), F.col("time"), F.col("dial_type"), C.normalize_phone(F.col("peer_number")),
+        F.col("details_id"), F.col("_id")).alias("base"))
+
+
+@query("format_message")
+def q_format_message(spark, sf_dir):
+    return M.format_lines(fx.messages(spark, sf_dir))
+
+
+@query("message_key")
+def q_message_key(spark, sf_dir):
+    m = fx.messages(spark, sf_dir)
+    return m.select("offset", C.message_key().alias("key"), C.message_key(F.col("timestamp")).alias("row_key"))
+
+
+# ---------------------------------------------------------------------------
+# JSON (J1-J4)
+# ---------------------------------------------------------------------------
+
+@query("parse_calls")
+def q_parse_calls(spark, sf_dir):
+    parsed = N.parse_calls(fx.call_docs(spark, sf_dir))
+    return parsed.select("_id", "mobile", F.col("_valid").alias("valid"),
+                         F.size("doc.calls").cast("long").alias("n_calls"))
+
+
+@query("flatten_calls")
+def q_flatten_calls(spark, sf_dir):
+    return _flat(spark, sf_dir).select(
+        F.col("_id").alias("id"), "details_id", "call_pos", "item_pos", "dial_type", "duration",
+        "fee", "peer_number", "time")
+
+
+@query("json_encode")
+def q_json_encode(spark, sf_dir):
+    e = fx.read_table(spark, sf_dir, "events")
+    return e.select("event_id", N.json_encode("user_id", "event_type").alias("json"))
+
+
+# ---------------------------------------------------------------------------
+# Keys (G2-G5)
+# ---------------------------------------------------------------------------
+
+@query("dedup_keep_first")
+def q_dedup_keep_first(spark, sf_dir):
+    u = K.dedup_keep_first(_items(spark, sf_dir), ["base", "peer_number", "time"], list(jobs.CALL_ORDER))
+    return u.select("base", "peer_number", "time", "id", "details_id")
+
+
+@query("call_sequence")
+def q_call_sequence(spark, sf_dir):
+    u = K.dedup_keep_first(_items(spark, sf_dir), ["base", "peer_number", "time"], list(jobs.CALL_ORDER))
+    return K.sequence_key(u, "base", list(jobs.CALL_ORDER), "rowkey", "").select("rowkey", "details_id")
+
+
+@query("contact_sequence")
+def q_contact_sequence(spark, sf_dir):
+    c = jobs.contact_base(fx.contacts(spark, sf_dir))
+    return K.sequence_key(c, "_base", ["ord"], "rowkey", "_").select("ord", "rowkey")
+
+
+@query("latest_per_key")
+def q_latest_per_key(spark, sf_dir):
+    return jobs.contacts_latest(fx.contacts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Sort and reshape
+# ---------------------------------------------------------------------------
+
+@query("sort_cells")
+def q_sort_cells(spark, sf_dir):
+    return CE.with_order(_contact_cells(spark, sf_dir))
+
+
+@query("contact_cells_plain")
+def q_contact_cells_plain(spark, sf_dir):
+    rows = jobs.contact_rows(fx.contacts(spark, sf_dir))
+    return CE.to_cells(rows, "rowkey")
+
+
+@query("contact_cells")
+def q_contact_cells(spark, sf_dir):
+    c = jobs.contact_base(fx.contacts(spark, sf_dir))
+    keyed = K.sequence_key(c, "_base", ["ord"], "rowkey", "_")
+    rows = keyed.select("rowkey", "name", "phoneNo",
+                        F.coalesce(C.normalize_phone(F.col("tel")), F.lit(C.NO_TEL)).alias("tel"))
+    return CE.to_cells(rows, "rowkey")
+
+
+@query("contact_wide")
+def q_contact_wide(spark, sf_dir):
+    return jobs.contact_wide(fx.contacts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Sinks (K1-K7)
+# ---------------------------------------------------------------------------
+
+@query("write_sorted_cells")
+def q_write_sorted_cells(spark, sf_dir):
+    staging = S.staging_path(scratch_path(spark, "stage"), "ns:contacts")
+    S.write_sorted_cells(_contact_cells(spark, sf_dir), staging, presorted=True)
+    S.check_staging(spark, staging)
+    return spark.read.parquet(staging)
+
+
+@query("publish_cells")
+def q_publish_cells(spark, sf_dir):
+    base = scratch_path(spark, "publish")
+    staging = S.write_sorted_cells(_contact_cells(spark, sf_dir), S.staging_path(base, "ns:contacts"),
+                                   presorted=True)
+    target = f"{base}/table"
+    S.publish(spark, staging, target)
+    S.publish(spark, staging, target)  # a second publish leaves the same state
+    return S.read_current(spark, target)
+
+
+@query("publish_existing")
+def q_publish_existing(spark, sf_dir):
+    base = scratch_path(spark, "bulkload")
+    staging = S.write_sorted_cells(_contact_cells(spark, sf_dir), S.staging_path(base, "ns:contacts"),
+                                   presorted=True)
+    target = f"{base}/table"
+    S.publish_existing(spark, staging, target)
+    return S.read_current(spark, target)
+
+
+@query("upsert_wide")
+def q_upsert_wide(spark, sf_dir):
+    rows = jobs.raw_rows(fx.raw_docs(spark, sf_dir)).withColumn("task_id", F.col("task_id").cast("long"))
+    target = scratch_path(spark, "upsert")
+    S.upsert(rows, target, "rowkey", "task_id")
+    S.upsert(rows, target, "rowkey", "task_id")
+    return S.read_current(spark, target)
+
+
+# ---------------------------------------------------------------------------
+# Streams (S6-S10, F6, K8-K10, J4, W7, W8)
+# ---------------------------------------------------------------------------
+
+def _write_wave(messages: DataFrame, path: str, files: int = STREAM_FILES) -> None:
+    messages.repartition(files).write.mode("append").parquet(path)
+
+
+def _stream_setup(spark, sf_dir, name):
+    base = scratch_path(spark, name)
+    return base, f"{base}/source", f"{base}/sink", f"{base}/checkpoint"
+
+
+def _backlog(m: DataFrame) -> DataFrame:
+    return m.where(F.col("timestamp") < F.lit(STREAM_CUTOFF).cast("timestamp"))
+
+
+def _later(m: DataFrame) -> DataFrame:
+    return m.where(F.col("timestamp") >= F.lit(STREAM_CUTOFF).cast("timestamp"))
+
+
+def _msg_cols(df: DataFrame) -> DataFrame:
+    return df.select("key", "value", "topic", "offset")
+
+
+@query("stream_read")
+def q_stream_read(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-read")
+    _write_wave(fx.messages(spark, sf_dir), src)
+    M.run_available(_msg_cols(M.read_messages(spark, "parquet", src)), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_read_latest")
+def q_stream_read_latest(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-latest")
+    m = fx.messages(spark, sf_dir)
+    _write_wave(_backlog(m), src)
+    stream = _msg_cols(M.read_messages(spark, "parquet", src))
+    M.prime_latest(stream, sink, ckpt)          # start at "latest": the backlog is skipped
+    _write_wave(_later(m), src)
+    M.run_available(stream, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_paced")
+def q_stream_paced(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-paced")
+    _write_wave(fx.messages(spark, sf_dir), src)
+    M.run_available(_msg_cols(M.read_messages(spark, "parquet", src, per_trigger=1)), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_resume")
+def q_stream_resume(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-resume")
+    m = fx.messages(spark, sf_dir)
+    _write_wave(_backlog(m), src)
+    stream = _msg_cols(M.read_messages(spark, "parquet", src))
+    M.run_available(stream, sink, ckpt)
+    _write_wave(_later(m), src)
+    M.run_available(stream, sink, ckpt)         # restart: continues after the last batch
+    M.run_available(stream, sink, ckpt)         # nothing new: adds nothing
+    return spark.read.parquet(sink)
+
+
+@query("stream_topics")
+def q_stream_topics(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-topics")
+    _write_wave(fx.messages(spark, sf_dir), src)
+    M.run_available(_msg_cols(M.read_messages(spark, "parquet", src, topics=LISTEN_TOPICS)), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_format")
+def q_stream_format(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-format")
+    _write_wave(fx.messages(spark, sf_dir), src)
+    M.run_available(M.format_lines(M.read_messages(spark, "parquet", src)), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_json_decode")
+def q_stream_json_decode(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-decode")
+    _write_wave(fx.messages(spark, sf_dir), src)
+    decoded = M.decode_messages(M.read_messages(spark, "parquet", src), MESSAGE_VALUE_SCHEMA)
+    M.run_available(decoded, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_write")
+def q_stream_write(spark, sf_dir):
+    path = scratch_path(spark, "sink-text")
+    M.write_messages(fx.messages(spark, sf_dir).select("value"), "json", path)
+    return spark.read.schema("value string").json(path)
+
+
+@query("stream_write_json")
+def q_stream_write_json(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-write-json")
+    e = fx.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e.repartition(STREAM_FILES).write.parquet(src)
+    rows = spark.readStream.schema("event_id bigint, user_id bigint, event_type string").parquet(src)
+    M.run_available(M.encode_messages(rows, ["user_id", "event_type"]), sink, ckpt, fmt="json")
+    out = spark.read.schema("key string, value string").json(sink)
+    return out.select("value", F.col("key").rlike(r"^[0-9]{13}$").alias("key_ok"))
+
+
+@query("message_roundtrip")
+def q_message_roundtrip(spark, sf_dir):
+    base = scratch_path(spark, "roundtrip")
+    e = fx.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    sent = M.encode_messages(e, ["user_id", "event_type"], key_col="event_id")
+    M.write_messages(sent, "parquet", f"{base}/topic")
+    received = spark.readStream.schema("key string, value string").parquet(f"{base}/topic")
+    decoded = M.decode_messages(received, MESSAGE_VALUE_SCHEMA)
+    M.run_available(decoded, f"{base}/sink", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/sink")
+
+
+@query("message_listen")
+def q_message_listen(spark, sf_dir):
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "listen")
+    _write_wave(fx.messages(spark, sf_dir), src)
+    stream = M.read_messages(spark, "parquet", src, topics=LISTEN_TOPICS, per_trigger=1)
+    M.run_available(M.format_lines(stream), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------------------
+# Whole jobs
+# ---------------------------------------------------------------------------
+
+@query("calls_to_cells")
+def q_calls_to_cells(spark, sf_dir):
     cells, _ = jobs.calls_to_cells(fx.call_docs(spark, sf_dir))
     return cells
 
 
-def queries() -> dict[str, Query]:
-    return {
-        "calls_to_cells": q_calls_to_cells,
-    }
+@query("raw_docs_to_cells")
+def q_raw_docs_to_cells(spark, sf_dir):
+    return jobs.raw_docs_to_cells(fx.raw_docs(spark, sf_dir))
+
+
+@query("contacts_to_cells")
+def q_contacts_to_cells(spark, sf_dir):
+    return _contact_cells(spark, sf_dir)
+
+
+@query("contacts_to_cells_plain")
+def q_contacts_to_cells_plain(spark, sf_dir):
+    return jobs.contacts_to_cells_plain(fx.contacts(spark, sf_dir))
+
+
+@query("contacts_wide")
+def q_contacts_wide(spark, sf_dir):
+    target = scratch_path(spark, "contacts-wide")
+    S.upsert(jobs.contact_rows(fx.contacts(spark, sf_dir), exclude=()).withColumn("ord", F.col("ord").cast("long")),
+             target, "rowkey", "ord")
+    return S.read_current(spark, target)

@@ -45,7 +45,7 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
     flat = flatten_calls(parsed.where(doc_ok), "doc", keep=("_id", "mobile"))
     keyed = flat.select(
         C.call_key(F.col("mobile"), F.col("time"), F.col("dial_type")).alias("base"),
-        F.col("_id").cast("string").alias("id"), "call_pos", "item_pos",
+        F.col("_id").cast("string").alias("id"), "call_pos", "item_pos", "details_id",
         "dial_type", "duration", C.fee_text(F.col("fee")).alias("fee"), "location", "location_type",
         F.col("mobile").cast("string").alias("mobile"),
         C.normalize_phone(F.col("peer_number")).alias("peer_number"), "time",

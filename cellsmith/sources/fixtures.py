@@ -128,5 +128,5 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
     )
