@@ -111,8 +111,12 @@ def compact_datetime(c) -> Column:
     The leading date-time is taken by pattern (trailing text is ignored, one
     or two digit fields are zero-padded), validated as a calendar time and
     compacted with string functions only, so the session zone never applies.
+    Canonical text (two-digit fields) takes a fast path with one pattern
+    test; only other forms pay for the six-group extraction.
     """
     c = _col(c)
+    head = F.substring(c, 1, 19)
+    fast = F.when(head.try_cast("timestamp_ntz").isNotNull(), F.translate(head, "- :", ""))
     pattern = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})"
     parts = [F.regexp_extract(c, pattern, 1)] + [
         F.lpad(F.regexp_extract(c, pattern, i), 2, "0") for i in range(2, 7)
@@ -121,8 +125,9 @@ def compact_datetime(c) -> Column:
         parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2], F.lit(" "),
         parts[3], F.lit(":"), parts[4], F.lit(":"), parts[5],
     )
-    valid = norm.try_cast("timestamp_ntz").isNotNull() & c.rlike(pattern)
-    return F.when(valid, F.translate(norm, "- :", "")).otherwise(F.lit(None).cast("string"))
+    slow = F.when(norm.try_cast("timestamp_ntz").isNotNull() & c.rlike(pattern), F.translate(norm, "- :", ""))
+    canonical = c.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d")
+    return F.when(canonical, fast).otherwise(slow)
 
 
 def compact_datetime_short(c) -> Column:

@@ -79,19 +79,22 @@ def sort_cells(cells: DataFrame, partitions: int | None = None) -> DataFrame:
 def sorted_cells(
     df: DataFrame, key: str = "rowkey", columns: Sequence[str] | None = None,
     keep_key: bool = False, drop: Iterable[str] = (), family: str = FAMILY,
-    partitions: int | None = None,
+    partitions: int | None = None, keys_unique: bool = False,
 ) -> DataFrame:
     """Cells in total order, sorting the wide rows before the reshape.
 
     Moving k cells per row through the range exchange costs about k times the
     row key; sorting the wide rows first moves each key once.  The final
     sort inside each partition only confirms an order that ``unpivot``
-    already produced, so it is a linear pass over sorted runs.
+    already produced.  With ``keys_unique`` (each row key on one row, as
+    after ``sequence_key``) that order is already total, because ``unpivot``
+    emits each row's cells in qualifier order right after one another, and
+    the final sort is left out.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wide = df.repartitionByRange(n, key).sortWithinPartitions(key)
-    return to_cells(wide, key, columns, keep_key, drop, family).sortWithinPartitions(
-        "rowkey", "family", "qualifier")
+    cells = to_cells(wide, key, columns, keep_key, drop, family)
+    return cells if keys_unique else cells.sortWithinPartitions("rowkey", "family", "qualifier")
 
 
 def with_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:

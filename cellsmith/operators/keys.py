@@ -73,36 +73,26 @@ def _hot_keys(df: DataFrame, base: str, hot_rows: int, max_hot_keys: int) -> lis
     return [r[0] for r in counts.orderBy(F.desc("_n"), F.col(base)).limit(max_hot_keys).select(base).collect()]
 
 
-def sequence_number(
-    df: DataFrame,
-    base: str,
-    order_by: Sequence[str],
-    out: str = "seq",
-    hot_rows: int | None = None,
-    max_hot_keys: int | None = None,
-) -> DataFrame:
-    """Add ``out``: 0-based position of each row within its ``base`` key,
-    ordered by ``order_by`` (which must be unique within a key)."""
-    order_by = list(order_by)
+def _hot_frame(df: DataFrame, base: str, hot: list):
+    spark = df.sparkSession
+    base_type = df.schema[base].dataType
+    return F.broadcast(spark.createDataFrame([(k,) for k in hot], f"{base} {base_type.simpleString()}"))
+
+
+def _limits(df: DataFrame, hot_rows, max_hot_keys):
     hot_rows = hot_rows if hot_rows is not None else _conf_int(df, "cellsmith.hotRows", DEFAULT_HOT_ROWS)
     max_hot_keys = max_hot_keys if max_hot_keys is not None else _conf_int(
         df, "cellsmith.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
-    cols = df.columns
-    hot = _hot_keys(df, base, hot_rows, max_hot_keys)
-    w = Window.partitionBy(base).orderBy(*order_by)
-    if not hot:
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    return hot_rows, max_hot_keys
 
-    spark = df.sparkSession
-    base_type = df.schema[base].dataType
-    hot_df = F.broadcast(spark.createDataFrame([(k,) for k in hot], f"{base} {base_type.simpleString()}"))
-    cold = df.join(hot_df, base, "left_anti").withColumn(out, (F.row_number().over(w) - 1).cast("long"))
 
+def _split_sequence(df: DataFrame, base: str, order_by: list, out: str) -> DataFrame:
+    """Ordinals for rows of hot keys, spread over range partitions."""
+    spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared_dir(spark)  # the checkpoint below goes to the shared folder
     ranged = (
-        df.join(hot_df, base, "left_semi")
-        .repartitionByRange(parts, base, *order_by)
+        df.repartitionByRange(parts, base, *order_by)
         .sortWithinPartitions(base, *order_by)
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
@@ -113,9 +103,66 @@ def sequence_number(
     before = Window.partitionBy(base).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(base, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # At most (hot keys + partitions) rows: a key's partitions are disjoint ranges.
-    hot_out = ranged.join(F.broadcast(stats), [base, "_pid"]).withColumn(
+    numbered = ranged.join(F.broadcast(stats), [base, "_pid"]).withColumn(
         out, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long"))
-    return cold.select(*cols, out).unionByName(hot_out.select(*cols, out))
+    return numbered.select(*df.columns, out)
+
+
+def sequence_number(
+    df: DataFrame,
+    base: str,
+    order_by: Sequence[str],
+    out: str = "seq",
+    hot_rows: int | None = None,
+    max_hot_keys: int | None = None,
+) -> DataFrame:
+    """Add ``out``: 0-based position of each row within its ``base`` key,
+    ordered by ``order_by`` (which must be unique within a key)."""
+    order_by = list(order_by)
+    hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
+    hot = _hot_keys(df, base, hot_rows, max_hot_keys)
+    w = Window.partitionBy(base).orderBy(*order_by)
+    if not hot:
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    hot_df = _hot_frame(df, base, hot)
+    cold = df.join(hot_df, base, "left_anti").withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    split = _split_sequence(df.join(hot_df, base, "left_semi"), base, order_by, out)
+    return cold.select(*df.columns, out).unionByName(split)
+
+
+def unique_sequence_number(
+    df: DataFrame,
+    base: str,
+    dedup_keys: Sequence[str],
+    order_by: Sequence[str],
+    out: str = "seq",
+    hot_rows: int | None = None,
+    max_hot_keys: int | None = None,
+) -> DataFrame:
+    """Keep-first on ``(base, *dedup_keys)`` by ``order_by``, then the
+    ordinal per ``base`` (G2 followed by G3) with one shuffle.
+
+    Normal keys: one hash exchange on ``base`` serves both windows (keep-first
+    and ordinal), whose groups are bounded by ``hot_rows``.  Hot keys
+    (counted before duplicate removal, an upper bound) take the aggregate
+    keep-first, combined map-side, and the range-split ordinal.
+    """
+    dedup_keys, order_by = list(dedup_keys), list(order_by)
+    hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
+    hot = _hot_keys(df, base, hot_rows, max_hot_keys)
+
+    def by_window(x: DataFrame) -> DataFrame:
+        first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
+        seq = Window.partitionBy(base).orderBy(*order_by)
+        kept = x.repartition(base).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
+        return kept.withColumn(out, (F.row_number().over(seq) - 1).cast("long")).select(*df.columns, out)
+
+    if not hot:
+        return by_window(df)
+    hot_df = _hot_frame(df, base, hot)
+    cold = by_window(df.join(hot_df, base, "left_anti"))
+    hot_rows_df = dedup_keep_first(df.join(hot_df, base, "left_semi"), [base, *dedup_keys], order_by)
+    return cold.unionByName(_split_sequence(hot_rows_df, base, order_by, out))
 
 
 def sequence_key(
@@ -133,6 +180,25 @@ def sequence_key(
     ``_2``).  Replaces ``base`` by ``out`` when the names differ.
     """
     numbered = sequence_number(df, base, order_by, "_seq", hot_rows, max_hot_keys)
+    return _with_key(numbered, df.columns, base, out, sep)
+
+
+def unique_sequence_key(
+    df: DataFrame,
+    base: str,
+    dedup_keys: Sequence[str],
+    order_by: Sequence[str],
+    out: str = "rowkey",
+    sep: str = "",
+    hot_rows: int | None = None,
+    max_hot_keys: int | None = None,
+) -> DataFrame:
+    """Keep-first on ``(base, *dedup_keys)``, then ``base + sep + ordinal`` (G2 + G3)."""
+    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", hot_rows, max_hot_keys)
+    return _with_key(numbered, df.columns, base, out, sep)
+
+
+def _with_key(numbered: DataFrame, columns, base: str, out: str, sep: str) -> DataFrame:
     key = F.concat(F.col(base), F.lit(sep), F.col("_seq").cast("string"))
-    cols = [c for c in df.columns if c not in (base, out)]
+    cols = [c for c in columns if c not in (base, out)]
     return numbered.select(key.alias(out), *cols)

@@ -37,16 +37,22 @@ def parse_calls(df: DataFrame, payload: str = "moxie_carrier_originalInfo", out:
     )
 
 
-def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile")) -> DataFrame:
+def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid: str | None = None) -> DataFrame:
     """One row per item of ``doc.calls[].items[]``.
 
     Keeps the columns in ``keep`` and adds ``call_pos`` and ``item_pos`` (the
     positions, used as a deterministic tie-break) and the eight item fields.
-    Empty lists give no rows (inner explode).  Narrow: no shuffle.
+    Empty lists give no rows (inner explode).  Rows where the boolean column
+    ``valid`` is false explode nothing; dropping them this way instead of by
+    a filter keeps the optimizer from copying the JSON parse into a
+    pushed-down predicate.  Narrow: no shuffle.
     """
     keep = list(keep)
-    calls = df.select(*keep, F.posexplode(F.col(f"{doc}.calls")).alias("call_pos", "_call"))
-    items = calls.select(*keep, "call_pos", F.posexplode(F.col("_call.items")).alias("item_pos", "_item"))
+    calls = F.col(f"{doc}.calls")
+    if valid:
+        calls = F.when(F.col(valid), calls)
+    exploded = df.select(*keep, F.posexplode(calls).alias("call_pos", "_call"))
+    items = exploded.select(*keep, "call_pos", F.posexplode(F.col("_call.items")).alias("item_pos", "_item"))
     return items.select(
         *keep,
         F.col("call_pos").cast("long").alias("call_pos"),

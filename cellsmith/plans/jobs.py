@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cellsmith.functions import columns as C
 from cellsmith.operators.cells import as_text, sorted_cells
-from cellsmith.operators.keys import dedup_keep_first, latest_per_key, sequence_key
+from cellsmith.operators.keys import latest_per_key, sequence_key, unique_sequence_key
 from cellsmith.operators.nested import flatten_calls, parse_calls
 
 PAYLOAD = "moxie_carrier_originalInfo"
@@ -42,7 +42,7 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
         F.col("_id").cast("string").alias("id"), F.col("mobile").cast("string").alias("mobile"),
         F.lit(None).cast("long").alias("call_pos"), F.lit(None).cast("long").alias("item_pos"),
         F.when(~parsed["_valid"], "payload").otherwise("id_or_mobile").alias("reason"))
-    flat = flatten_calls(parsed.where(doc_ok), "doc", keep=("_id", "mobile"))
+    flat = flatten_calls(parsed.withColumn("_ok", doc_ok), "doc", keep=("_id", "mobile"), valid="_ok")
     keyed = flat.select(
         C.call_key(F.col("mobile"), F.col("time"), F.col("dial_type")).alias("base"),
         F.col("_id").cast("string").alias("id"), "call_pos", "item_pos", "details_id",
@@ -65,10 +65,9 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, **seq) -> tuple[Data
     total order (O1).
     """
     items, rejects = call_items(docs, payload)
-    unique = dedup_keep_first(items, ["base", "peer_number", "time"], list(CALL_ORDER))
-    keyed = sequence_key(unique, "base", list(CALL_ORDER), out="rowkey", sep="", **seq)
+    keyed = unique_sequence_key(items, "base", ["peer_number", "time"], list(CALL_ORDER), out="rowkey", sep="", **seq)
     wide = as_text(keyed, ["rowkey", *CALL_FIELDS])
-    return sorted_cells(wide, "rowkey", list(CALL_FIELDS)), rejects
+    return sorted_cells(wide, "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
 
 
 def raw_rows(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | None = None) -> DataFrame:
@@ -101,7 +100,7 @@ def contacts_to_cells(
     wide = keyed.select("rowkey", *[
         (F.coalesce(C.normalize_phone(F.col("tel")), F.lit(C.NO_TEL)) if c == "tel"
          else C.text_or_empty(F.col(c), keyed.schema[c].dataType)).alias(c) for c in cols])
-    return sorted_cells(wide, "rowkey", cols)
+    return sorted_cells(wide, "rowkey", cols, keys_unique=True)
 
 
 def contact_rows(df: DataFrame, exclude: Sequence[str] = ("ord",)) -> DataFrame:
