@@ -38,6 +38,8 @@ LONG_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 LONG_TIME_LENGTH = 23
 # Message line layouts.
 MESSAGE_LINE = "offset = %d, key = %s, value = %s"
+# Prefix of the older consumer's message line.
+CONSUMER_LINE_PREFIX = "this is kafka consumer : "
 # Sample messages.
 SAMPLE_NUMBER_PREFIX = "1860123458"
 SAMPLE_TEXT = "hello kafka.javaapi.producer message %d"
@@ -221,7 +223,7 @@ def format_message(offset, key, value) -> Column:
     return F.format_string(MESSAGE_LINE, _col(offset), _col(key), _col(value))
 
 
-def prefixed_message(value, prefix: str) -> Column:
+def prefixed_message(value, prefix: str = CONSUMER_LINE_PREFIX) -> Column:
     """Fixed prefix plus value."""
     return F.concat(F.lit(prefix), _col(value))
 

@@ -241,7 +241,9 @@ def q_call_key_extended(spark, sf_dir):
 
 @query("format_message")
 def q_format_message(spark, sf_dir):
-    return M.format_lines(fx.messages(spark, sf_dir))
+    m = fx.messages(spark, sf_dir)
+    return m.select(C.format_message(F.col("offset"), F.col("key"), F.col("value")).alias("line"),
+                    C.prefixed_message(F.col("value")).alias("prefixed"))
 
 
 @query("message_key")

@@ -57,14 +57,20 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
     return keyed.where(ok), doc_rejects.unionByName(item_rejects)
 
 
-def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, **seq) -> tuple[DataFrame, DataFrame]:
+def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False,
+                   **seq) -> tuple[DataFrame, DataFrame]:
     """Call documents -> unique, sorted cells.
 
     Keep-first on ``(base, peer_number, time)`` (G2), ordinal appended to the
     key without separator (G3), every field but the key as a cell (R1b),
-    total order (O1).
+    total order (O1).  ``strict=True`` fails, like the original job, when any
+    row would be rejected (one bounded probe: ``limit(1)``).
     """
     items, rejects = call_items(docs, payload)
+    if strict:
+        bad = rejects.limit(1).collect()
+        if bad:
+            raise ValueError(f"call documents with rejected rows, first: {bad[0].asDict()}")
     keyed = unique_sequence_key(items, "base", ["peer_number", "time"], list(CALL_ORDER), out="rowkey", sep="", **seq)
     wide = as_text(keyed, ["rowkey", *CALL_FIELDS])
     return sorted_cells(wide, "rowkey", list(CALL_FIELDS), keys_unique=True), rejects

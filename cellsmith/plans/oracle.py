@@ -201,7 +201,8 @@ def oracles() -> dict[str, str]:
            f" || '_' || {product_sql('id')} || '_'")
     q["call_key_extended"] = with_ctes(FLAT, f"SELECT details_id, {ext} AS base FROM call_flat")
     q["format_message"] = with_ctes(
-        msg, "SELECT printf('offset = %d, key = %s, value = %s', \"offset\", key, value) AS line FROM messages")
+        msg, "SELECT printf('offset = %d, key = %s, value = %s', \"offset\", key, value) AS line, "
+        "'this is kafka consumer : ' || value AS prefixed FROM messages")
     # JSON
     q["parse_calls"] = with_ctes(DOCS, "SELECT _id, mobile, true AS valid, n_calls FROM docs")
     q["flatten_calls"] = with_ctes(FLAT, "SELECT id, details_id, call_pos, item_pos, dial_type, duration, fee, "

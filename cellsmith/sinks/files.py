@@ -91,7 +91,7 @@ def check_staging(spark: SparkSession, staging: str) -> None:
               .agg(F.min("rowkey").alias("lo"), F.max("rowkey").alias("hi")).collect())
     spans = sorted((r["lo"].encode("utf-8"), r["hi"].encode("utf-8")) for r in ranges)
     for (_, hi), (lo, _) in zip(spans, spans[1:]):
-        if lo < hi:
+        if lo <= hi:
             raise ValueError(f"staged files in {staging} overlap in row key range")
 
 
@@ -118,9 +118,16 @@ def read_current(spark: SparkSession, target: str, schema: str | None = None) ->
     return reader.parquet(path)
 
 
+def _written_versions(spark: SparkSession, target: str) -> list[int]:
+    names = _list_names(spark, target.rstrip("/"))
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+
 def _commit(spark: SparkSession, target: str, state: DataFrame, compression: str) -> str:
-    versions = committed_versions(spark, target)
-    nxt = (versions[-1] + 1) if versions else 1
+    # Number past every folder, committed or not: a publish that died after
+    # writing data but before its marker leaves an invisible folder behind.
+    versions = committed_versions(spark, target) + _written_versions(spark, target)
+    nxt = max(versions) + 1 if versions else 1
     path = f"{target.rstrip('/')}/v{nxt:08d}"
     state.write.mode("errorifexists").option("compression", compression).parquet(path)
     _create_marker(spark, f"{target.rstrip('/')}/_commits/v{nxt:08d}")

@@ -104,3 +104,18 @@ def test_upsert_keeps_newest(spark):
     S.upsert(spark.createDataFrame([("a", 2, "x2"), ("b", 0, "stale")], schema), target, "k", "r")
     got = sorted(tuple(r) for r in S.read_current(spark, target).collect())
     assert got == [("a", 2, "x2"), ("b", 1, "y")]
+
+
+def test_publish_after_interrupted_version(spark):
+    base = scratch_path(spark, "t-interrupt")
+    schema = "rowkey string, family string, qualifier string, value string"
+    a = spark.createDataFrame([("k1", "cf", "q", "v")], schema)
+    target = f"{base}/table"
+    staging = S.write_sorted_cells(a, f"{base}/a")
+    S.publish(spark, staging, target)
+    # data of version 2 written, marker never created (job lost before commit)
+    a.write.parquet(f"{target}/v00000002")
+    assert S.committed_versions(spark, target) == [1]
+    path = S.publish(spark, staging, target)
+    assert path.endswith("v00000003") and S.committed_versions(spark, target) == [1, 3]
+    assert [tuple(r) for r in S.read_current(spark, target).collect()] == [("k1", "cf", "q", "v")]
