@@ -107,29 +107,26 @@ def peer_tail(c) -> Column:
     ).otherwise(F.rpad(c, PEER_TAIL_WIDTH, PEER_TAIL_PAD))
 
 
+def _time_head(head: Column) -> Column:
+    """Compact ``yyyyMMddHHmmss`` of a 19-character canonical time, else null."""
+    canonical = F.translate(head, "0123456789", "0000000000") == F.lit("0000-00-00 00:00:00")
+    return F.when(canonical & head.try_cast("timestamp_ntz").isNotNull(), F.translate(head, "- :", ""))
+
+
 def compact_datetime(c) -> Column:
     """``yyyy-M-d H:m:s...`` -> ``yyyyMMddHHmmss`` (P5); null when not a valid time.
 
-    The leading date-time is taken by pattern (trailing text is ignored, one
-    or two digit fields are zero-padded), validated as a calendar time and
-    compacted with string functions only, so the session zone never applies.
-    Canonical text (two-digit fields) takes a fast path with one pattern
-    test; only other forms pay for the six-group extraction.
+    The leading date-time is read leniently (one or two digit fields,
+    trailing text ignored) and validated as a calendar time; the compact
+    text is built with string functions only, so the session zone never
+    applies.  Canonical text is checked without any pattern (digits mapped
+    to 0 must give ``0000-00-00 00:00:00``); only other text has its
+    standalone single digits zero-padded by one pattern replace first.
     """
     c = _col(c)
-    head = F.substring(c, 1, 19)
-    fast = F.when(head.try_cast("timestamp_ntz").isNotNull(), F.translate(head, "- :", ""))
-    pattern = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})"
-    parts = [F.regexp_extract(c, pattern, 1)] + [
-        F.lpad(F.regexp_extract(c, pattern, i), 2, "0") for i in range(2, 7)
-    ]
-    norm = F.concat(
-        parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2], F.lit(" "),
-        parts[3], F.lit(":"), parts[4], F.lit(":"), parts[5],
-    )
-    slow = F.when(norm.try_cast("timestamp_ntz").isNotNull() & c.rlike(pattern), F.translate(norm, "- :", ""))
-    canonical = c.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d")
-    return F.when(canonical, fast).otherwise(slow)
+    fast = _time_head(F.substring(c, 1, 19))
+    padded = F.regexp_replace(c, r"(?<![0-9])([0-9])(?![0-9])", "0$1")
+    return F.coalesce(fast, _time_head(F.substring(padded, 1, 19)))
 
 
 def compact_datetime_short(c) -> Column:

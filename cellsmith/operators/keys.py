@@ -73,6 +73,20 @@ def _hot_keys(df: DataFrame, base: str, hot_rows: int, max_hot_keys: int) -> lis
     return [r[0] for r in counts.orderBy(F.desc("_n"), F.col(base)).limit(max_hot_keys).select(base).collect()]
 
 
+def hot_keys(df: DataFrame, base: str, hot_rows: int | None = None, max_hot_keys: int | None = None,
+             fraction: float = 1.0) -> list:
+    """Keys with more than ``hot_rows`` rows (at most ``max_hot_keys``, the hottest).
+
+    ``df`` may be a sample of the data taken with ``fraction`` (for example
+    built from ``docs.sample(fraction, seed)`` before an expensive parse);
+    the threshold is scaled by it, with a factor 2 margin.  The list only
+    decides which path a key takes; results are the same either way.
+    """
+    hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
+    threshold = hot_rows if fraction >= 1.0 else int(hot_rows * fraction / 2)
+    return _hot_keys(df, base, threshold, max_hot_keys)
+
+
 def _hot_frame(df: DataFrame, base: str, hot: list):
     spark = df.sparkSession
     base_type = df.schema[base].dataType
@@ -115,12 +129,15 @@ def sequence_number(
     out: str = "seq",
     hot_rows: int | None = None,
     max_hot_keys: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of each row within its ``base`` key,
-    ordered by ``order_by`` (which must be unique within a key)."""
+    ordered by ``order_by`` (which must be unique within a key).  ``hot``
+    gives the hot keys when known; otherwise they are counted exactly."""
     order_by = list(order_by)
-    hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
-    hot = _hot_keys(df, base, hot_rows, max_hot_keys)
+    if hot is None:
+        hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
+        hot = _hot_keys(df, base, hot_rows, max_hot_keys)
     w = Window.partitionBy(base).orderBy(*order_by)
     if not hot:
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
@@ -138,6 +155,7 @@ def unique_sequence_number(
     out: str = "seq",
     hot_rows: int | None = None,
     max_hot_keys: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Keep-first on ``(base, *dedup_keys)`` by ``order_by``, then the
     ordinal per ``base`` (G2 followed by G3) with one shuffle.
@@ -148,8 +166,9 @@ def unique_sequence_number(
     keep-first, combined map-side, and the range-split ordinal.
     """
     dedup_keys, order_by = list(dedup_keys), list(order_by)
-    hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
-    hot = _hot_keys(df, base, hot_rows, max_hot_keys)
+    if hot is None:
+        hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
+        hot = _hot_keys(df, base, hot_rows, max_hot_keys)
 
     def by_window(x: DataFrame) -> DataFrame:
         first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
@@ -173,13 +192,14 @@ def sequence_key(
     sep: str = "",
     hot_rows: int | None = None,
     max_hot_keys: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Row key = ``base + sep + ordinal`` (G3 with ``sep=""``, G4 with ``"_"``).
 
     The ordinal is unpadded text, as in the reference (``_10`` sorts before
     ``_2``).  Replaces ``base`` by ``out`` when the names differ.
     """
-    numbered = sequence_number(df, base, order_by, "_seq", hot_rows, max_hot_keys)
+    numbered = sequence_number(df, base, order_by, "_seq", hot_rows, max_hot_keys, hot)
     return _with_key(numbered, df.columns, base, out, sep)
 
 
@@ -192,9 +212,10 @@ def unique_sequence_key(
     sep: str = "",
     hot_rows: int | None = None,
     max_hot_keys: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Keep-first on ``(base, *dedup_keys)``, then ``base + sep + ordinal`` (G2 + G3)."""
-    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", hot_rows, max_hot_keys)
+    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", hot_rows, max_hot_keys, hot)
     return _with_key(numbered, df.columns, base, out, sep)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cellsmith.functions import columns as C
 from cellsmith.operators.cells import as_text, sorted_cells
-from cellsmith.operators.keys import latest_per_key, sequence_key, unique_sequence_key
+from cellsmith.operators.keys import hot_keys, latest_per_key, sequence_key, unique_sequence_key
 from cellsmith.operators.nested import flatten_calls, parse_calls
 
 PAYLOAD = "moxie_carrier_originalInfo"
@@ -25,6 +25,9 @@ RAW_FIELDS = ("_id", "create_time", "mobile", PAYLOAD, "successFlag", "task_id",
 # Fixed value: shortest create_time text that is kept.
 RAW_MIN_TIME_LENGTH = 23
 CALL_ORDER = ("id", "call_pos", "item_pos")
+# Share of documents parsed to find hot call keys, and the sample's seed.
+HOT_SAMPLE_FRACTION = 0.01
+HOT_SAMPLE_SEED = 17
 
 
 def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, DataFrame]:
@@ -67,6 +70,12 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
     row would be rejected (one bounded probe: ``limit(1)``).
     """
     items, rejects = call_items(docs, payload)
+    if "hot" not in seq:
+        # Hot keys from a fixed-seed sample of whole documents: only 1% of the
+        # payloads are parsed for it.  It only routes keys; results are equal.
+        sample, _ = call_items(docs.sample(fraction=HOT_SAMPLE_FRACTION, seed=HOT_SAMPLE_SEED), payload)
+        seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"),
+                              fraction=HOT_SAMPLE_FRACTION)
     if strict:
         bad = rejects.limit(1).collect()
         if bad:
