@@ -73,7 +73,7 @@ def rdd_groups_w1(spark, docs_path: str):
 
 
 def main() -> None:
-    spark = local_session(CPUS, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    spark = local_session(CPUS, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", CPUS)))
     store = tempfile.mkdtemp(prefix="cellsmith-bench-")
     paths = {
         "call_docs": f"{store}/call_docs", "raw_docs": f"{store}/raw_docs", "contacts": f"{store}/contacts",
