@@ -532,6 +532,5 @@ def q_contacts_to_cells_plain(spark, sf_dir):
 @query("contacts_wide")
 def q_contacts_wide(spark, sf_dir):
     target = scratch_path(spark, "contacts-wide")
-    S.upsert(jobs.contact_rows(fx.contacts(spark, sf_dir), exclude=()).withColumn("ord", F.col("ord").cast("long")),
-             target, "rowkey", "ord")
+    S.upsert(jobs.contact_rows(fx.contacts(spark, sf_dir), exclude=(), raw=("ord",)), target, "rowkey", "ord")
     return S.read_current(spark, target)

@@ -118,12 +118,20 @@ def contacts_to_cells(
     return sorted_cells(wide, "rowkey", cols, keys_unique=True)
 
 
-def contact_rows(df: DataFrame, exclude: Sequence[str] = ("ord",)) -> DataFrame:
-    """Contacts keyed as they are (no ordinal), tel normalised, null tel -> ``""`` (R2/R4 rows)."""
+def contact_rows(df: DataFrame, exclude: Sequence[str] = ("ord",), raw: Sequence[str] = ()) -> DataFrame:
+    """Contacts keyed as they are (no ordinal), tel normalised with null as
+    ``""``, other columns as text (R2/R4 rows).  Columns in ``raw`` (for
+    example a recency column) pass through with their type."""
+
+    def value(c: str):
+        if c in raw:
+            return F.col(c)
+        if c == "tel":
+            return F.coalesce(C.normalize_phone(F.col("tel")), F.lit(""))
+        return C.text_or_empty(F.col(c), df.schema[c].dataType)
+
     cols = [c for c in df.columns if c not in exclude]
-    return contact_base(df).select(F.col("_base").alias("rowkey"), *[
-        (F.coalesce(C.normalize_phone(F.col("tel")), F.lit("")) if c == "tel"
-         else C.text_or_empty(F.col(c), df.schema[c].dataType)).alias(c) for c in cols])
+    return contact_base(df).select(F.col("_base").alias("rowkey"), *[value(c).alias(c) for c in cols])
 
 
 def contacts_to_cells_plain(df: DataFrame, exclude: Sequence[str] = ("ord",)) -> DataFrame:
@@ -132,13 +140,11 @@ def contacts_to_cells_plain(df: DataFrame, exclude: Sequence[str] = ("ord",)) ->
     return sorted_cells(rows, "rowkey", [c for c in rows.columns if c != "rowkey"])
 
 
-def contact_wide(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def contact_wide(df: DataFrame, exclude: Sequence[str] = ("ord",)) -> DataFrame:
     """One wide keyed row per contact, every column in input order."""
-    exclude = [c for c in ("ord",) if c not in keep]
     return contact_rows(df, exclude)
 
 
 def contacts_latest(df: DataFrame, recency: str = "ord") -> DataFrame:
     """W5 state: the newest row per contact key (the overwrite of repeated keys)."""
-    rows = contact_rows(df, exclude=()).withColumn(recency, F.col(recency).cast("long"))
-    return latest_per_key(rows, "rowkey", recency)
+    return latest_per_key(contact_rows(df, exclude=(), raw=(recency,)), "rowkey", recency)
