@@ -203,6 +203,32 @@ def sequence_key(
     return _with_key(numbered, df.columns, base, out, sep)
 
 
+def unique_sequence_key_ranged(
+    df: DataFrame,
+    base: str,
+    dedup_keys: Sequence[str],
+    order_by: Sequence[str],
+    out: str = "rowkey",
+    sep: str = "",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Single-shuffle form of ``unique_sequence_key`` whose output is also in
+    total row-key order (range partitions, sorted inside).
+
+    One range exchange on ``base`` serves keep-first, the ordinal and the
+    final order.  Valid only when no base key is a prefix of another (then
+    row-key order equals ``(base, ordinal text)`` order) and when no key is
+    hot (a range partitioner cannot split one key); callers check both.
+    """
+    dedup_keys, order_by = list(dedup_keys), list(order_by)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
+    seq = Window.partitionBy(base).orderBy(*order_by)
+    kept = df.repartitionByRange(n, base).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
+    numbered = kept.withColumn("_seq", (F.row_number().over(seq) - 1).cast("long"))
+    return _with_key(numbered, df.columns, base, out, sep).sortWithinPartitions(out)
+
+
 def unique_sequence_key(
     df: DataFrame,
     base: str,

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsmith.functions import columns as C
-from cellsmith.operators.cells import as_text, sorted_cells
-from cellsmith.operators.keys import hot_keys, latest_per_key, sequence_key, unique_sequence_key
+from cellsmith.operators.cells import as_text, sorted_cells, to_cells
+from cellsmith.operators.keys import (
+    hot_keys, latest_per_key, sequence_key, unique_sequence_key, unique_sequence_key_ranged,
+)
 from cellsmith.operators.nested import flatten_calls, parse_calls
 
 PAYLOAD = "moxie_carrier_originalInfo"
@@ -61,13 +63,19 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
 
 
 def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False,
-                   **seq) -> tuple[DataFrame, DataFrame]:
+                   one_shuffle: bool = False, **seq) -> tuple[DataFrame, DataFrame]:
     """Call documents -> unique, sorted cells.
 
     Keep-first on ``(base, peer_number, time)`` (G2), ordinal appended to the
     key without separator (G3), every field but the key as a cell (R1b),
     total order (O1).  ``strict=True`` fails, like the original job, when any
     row would be rejected (one bounded probe: ``limit(1)``).
+
+    Default plan: a hash exchange on the base key for both windows, then a
+    range exchange on the row key.  ``one_shuffle=True`` uses one range
+    exchange on the base key for everything (when keys are prefix-free and
+    none is hot); it saves a shuffle but its range sampling recomputes the
+    parse, so it pays off when shuffles cost more than re-reading the input.
     """
     items, rejects = call_items(docs, payload)
     if "hot" not in seq:
@@ -80,11 +88,27 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
         bad = rejects.limit(1).collect()
         if bad:
             raise ValueError(f"call documents with rejected rows, first: {bad[0].asDict()}")
+    if one_shuffle and not seq["hot"] and prefix_free_calls(docs):
+        # One shuffle: range partitions on the base key serve keep-first, the
+        # ordinal and the final order.
+        keyed = unique_sequence_key_ranged(items, "base", ["peer_number", "time"], list(CALL_ORDER), "rowkey", "")
+        return to_cells(as_text(keyed, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS)), rejects
     keyed = unique_sequence_key(items, "base", ["peer_number", "time"], list(CALL_ORDER), out="rowkey", sep="", **seq)
     wide = as_text(keyed, ["rowkey", *CALL_FIELDS])
     return sorted_cells(wide, "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
 
 
+def prefix_free_calls(docs: DataFrame) -> bool:
+    """True when no call base key can be a prefix of another.
+
+    A base is ``reverse(mobile)_<14 digits>_<digit>_``; if no mobile contains
+    ``_``, the first ``_`` of two bases sits at the mobile length, so one
+    base can only be a prefix of another when both are equal.  Checked on
+    the mobile column alone (a pruned scan, stopped at the first hit).
+    """
+    return docs.where(F.instr(F.col("mobile"), "_") > 0).limit(1).count() == 0
+
+
 def raw_rows(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | None = None) -> DataFrame:
     """W2 before the reshape: length filter (F2), recency key (P8, P12),
     every field as text (P2, P15)."""

@@ -22,6 +22,18 @@ def test_calls_to_cells_same_with_forced_split(spark):
     assert rows(normal) == rows(split)
 
 
+def test_calls_to_cells_one_shuffle_same(spark):
+    docs = fx.call_docs(spark, SF)
+    normal, _ = jobs.calls_to_cells(docs)
+    one, _ = jobs.calls_to_cells(docs, one_shuffle=True)
+    assert rows(normal) == rows(one)
+    # the one-shuffle output is in total order already: partitions hold
+    # increasing, disjoint key ranges and are sorted inside
+    parts = one.rdd.mapPartitions(lambda it: [[(r[0].encode(), r[2].encode()) for r in it]]).collect()
+    flat = [k for p in parts for k in p]
+    assert flat == sorted(flat)
+
+
 def test_contacts_to_cells_same_with_forced_split(spark):
     c = fx.contacts(spark, SF)
     assert rows(jobs.contacts_to_cells(c)) == rows(jobs.contacts_to_cells(c, hot_rows=2))

@@ -21,11 +21,20 @@ def stored_docs(spark):
 
 
 def test_call_job_plan(spark, stored_docs):
-    cells, _ = jobs.calls_to_cells(stored_docs)
+    cells, _ = jobs.calls_to_cells(stored_docs, one_shuffle=True)
     plan = plan_text(cells)
     assert "IsNotNull(moxie_carrier_originalInfo)" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    # one hash exchange on the base key (keep-first and ordinal) + one range exchange
+    # prefix-free keys, no hot key: one range exchange on the base key serves
+    # keep-first, the ordinal and the final order
+    assert plan.count("Exchange hashpartitioning") == 0
+    assert plan.count("Exchange rangepartitioning") == 1
+
+
+def test_call_job_default_plan(spark, stored_docs):
+    cells, _ = jobs.calls_to_cells(stored_docs)
+    plan = plan_text(cells)
+    # hash exchange for the normal keys' windows + range exchange for the final order
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Exchange rangepartitioning") == 1
 
