@@ -84,10 +84,7 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
         sample, _ = call_items(docs.sample(fraction=HOT_SAMPLE_FRACTION, seed=HOT_SAMPLE_SEED), payload)
         seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"),
                               fraction=HOT_SAMPLE_FRACTION)
-    if strict:
-        bad = rejects.limit(1).collect()
-        if bad:
-            raise ValueError(f"call documents with rejected rows, first: {bad[0].asDict()}")
+    _check_strict(rejects, strict)
     if one_shuffle and not seq["hot"] and prefix_free_calls(docs):
         # One shuffle: range partitions on the base key serve keep-first, the
         # ordinal and the final order.
@@ -124,16 +121,34 @@ def raw_docs_to_cells(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | No
 
 
 def contact_base(df: DataFrame, phone: str = "phoneNo", tel: str = "tel") -> DataFrame:
-    return df.withColumn("_base", C.contact_key(F.col(phone), F.col(tel)))
+    """Contacts with their key ``_base``; rows without a phone number (which
+    the original jobs fail on) are left out, see ``contact_rejects``."""
+    return df.where(F.col(phone).isNotNull()).withColumn("_base", C.contact_key(F.col(phone), F.col(tel)))
+
+
+def contact_rejects(df: DataFrame, phone: str = "phoneNo") -> DataFrame:
+    """Contacts that cannot be keyed (null phone number), with a reason."""
+    return df.where(F.col(phone).isNull()).withColumn("reason", F.lit("phone"))
+
+
+def _check_strict(rejects: DataFrame, strict: bool) -> None:
+    if strict:
+        bad = rejects.limit(1).collect()
+        if bad:
+            raise ValueError(f"rows that cannot be keyed, first: {bad[0].asDict()}")
 
 
 def contacts_to_cells(
-    df: DataFrame, order_by: Sequence[str] = ("ord",), exclude: Sequence[str] = ("ord",), **seq
+    df: DataFrame, order_by: Sequence[str] = ("ord",), exclude: Sequence[str] = ("ord",),
+    strict: bool = False, **seq
 ) -> DataFrame:
     """Contacts -> cells with unique keys ``reverse(phone)_tel_n``.
 
-    A null tel is written as ``noTel`` in the cell too.
+    A null tel is written as ``noTel`` in the cell too.  Rows without a
+    phone number are left out (``contact_rejects``); ``strict=True`` fails
+    on them instead, like the original job.
     """
+    _check_strict(contact_rejects(df), strict)
     cols = [c for c in df.columns if c not in exclude]
     keyed = sequence_key(contact_base(df), "_base", list(order_by), out="rowkey", sep="_", **seq)
     wide = keyed.select("rowkey", *[

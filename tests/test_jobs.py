@@ -85,3 +85,14 @@ def test_call_rejects(spark, edge_docs):
 def test_call_strict_mode(spark, edge_docs):
     with pytest.raises(ValueError):
         jobs.calls_to_cells(edge_docs, strict=True)
+
+
+def test_contact_without_phone_is_rejected(spark):
+    c = spark.createDataFrame([(1, "123", None, "a"), (2, None, "+86 9", "b")],
+                              "ord long, phoneNo string, tel string, name string")
+    cells = jobs.contacts_to_cells(c)
+    assert {r["rowkey"] for r in cells.collect()} == {"321_noTel_0"}
+    assert [r["ord"] for r in jobs.contact_rejects(c).collect()] == [2]
+    assert jobs.contact_rows(c).count() == 1
+    with pytest.raises(ValueError):
+        jobs.contacts_to_cells(c, strict=True)
