@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 # Fixed parameters of the registered queries.
-STREAM_FILES = 4                  # files per message wave
+STREAM_BATCHES = 4                # micro-batches the paced queries aim at, at any scale
 STREAM_CUTOFF = "2024-01-16"      # messages before it are the backlog, the rest arrive later
 LISTEN_TOPICS = ("click", "purchase")
 MESSAGE_VALUE_SCHEMA = "user_id bigint, event_type string"
@@ -378,8 +378,15 @@ def q_upsert_wide(spark, sf_dir):
 # Streams (S6-S10, F6, K8-K10, J4, W7, W8)
 # ---------------------------------------------------------------------------
 
-def _write_wave(messages: DataFrame, path: str, files: int = STREAM_FILES) -> None:
-    messages.repartition(files).write.mode("append").parquet(path)
+def _write_wave(messages: DataFrame, path: str) -> None:
+    # The data's own partitioning: the number of files grows with the data.
+    messages.write.mode("append").parquet(path)
+
+
+def _files_per_trigger(spark, path: str) -> int:
+    """Files per micro-batch so that a paced stream takes ``STREAM_BATCHES`` batches."""
+    files = [n for n in S._list_names(spark, path) if n.endswith(".parquet")]
+    return max(1, -(-len(files) // STREAM_BATCHES))
 
 
 def _stream_setup(spark, sf_dir, name):
@@ -423,7 +430,8 @@ def q_stream_read_latest(spark, sf_dir):
 def q_stream_paced(spark, sf_dir):
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-paced")
     _write_wave(fx.messages(spark, sf_dir), src)
-    M.run_available(_msg_cols(M.read_messages(spark, "parquet", src, per_trigger=1)), sink, ckpt)
+    paced = M.read_messages(spark, "parquet", src, per_trigger=_files_per_trigger(spark, src))
+    M.run_available(_msg_cols(paced), sink, ckpt)
     return spark.read.parquet(sink)
 
 
@@ -476,7 +484,7 @@ def q_stream_write(spark, sf_dir):
 def q_stream_write_json(spark, sf_dir):
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-write-json")
     e = fx.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    e.repartition(STREAM_FILES).write.parquet(src)
+    e.write.parquet(src)
     rows = spark.readStream.schema("event_id bigint, user_id bigint, event_type string").parquet(src)
     M.run_available(M.encode_messages(rows, ["user_id", "event_type"]), sink, ckpt, fmt="json")
     out = spark.read.schema("key string, value string").json(sink)
@@ -499,7 +507,8 @@ def q_message_roundtrip(spark, sf_dir):
 def q_message_listen(spark, sf_dir):
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "listen")
     _write_wave(fx.messages(spark, sf_dir), src)
-    stream = M.read_messages(spark, "parquet", src, topics=LISTEN_TOPICS, per_trigger=1)
+    stream = M.read_messages(spark, "parquet", src, topics=LISTEN_TOPICS,
+                             per_trigger=_files_per_trigger(spark, src))
     M.run_available(M.format_lines(stream), sink, ckpt)
     return spark.read.parquet(sink)
 
