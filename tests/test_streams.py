@@ -61,3 +61,26 @@ def test_decode_roundtrip(spark):
     back = M.decode_messages(spark.read.parquet(f"{base}/topic"), "user_id bigint, event_type string")
     assert sorted(tuple(r) for r in back.collect()) == sorted(
         (str(r[0]), r[1], r[2]) for r in e.collect())
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    base, msgs = _src(spark, "t-continuous", 3)
+    stream = M.read_messages(spark, "parquet", f"{base}/src", per_trigger=1).select("key", "offset")
+    q = M.start_stream(stream, f"{base}/sink", f"{base}/ckpt", processing_time="200 milliseconds")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{base}/sink").count() == msgs.count()
+
+
+def test_console_sink(spark):
+    base, _ = _src(spark, "t-console", 1)
+    lines = M.format_lines(M.read_messages(spark, "parquet", f"{base}/src")).limit(3)
+    q = M.start_stream(lines.select("line"), None, f"{base}/ckpt", fmt="console",
+                       options={"truncate": "false", "numRows": "3"}, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
