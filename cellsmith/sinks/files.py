@@ -161,11 +161,22 @@ def publish_existing(spark: SparkSession, staging: str, target: str, validate: b
 def upsert(df: DataFrame, target: str, key: str | list[str], recency: str | list[str],
            compression: str = "snappy") -> str:
     """Keyed write of wide rows (K1): per key the newest row by ``recency``
-    over the current state and ``df`` wins; written as a new version."""
+    over the current state and ``df`` wins; written as a new version.
+
+    Keys absent from ``df`` pass through an anti-join untouched; only keys
+    present in ``df`` are resolved by ``latest_per_key``, so a small batch
+    does not aggregate the whole state.  Spark picks broadcast or sort-merge
+    for the key joins from the sizes it measures.
+    """
     spark = df.sparkSession
-    current = read_current(spark, target)
-    merged = df if current is None else current.unionByName(df)
     keys = [key] if isinstance(key, str) else list(key)
-    state = latest_per_key(merged, keys, recency)
+    current = read_current(spark, target)
+    if current is None:
+        state = latest_per_key(df, keys, recency)
+    else:
+        batch_keys = df.select(*keys).distinct()
+        untouched = current.join(batch_keys, keys, "left_anti")
+        touched = current.join(batch_keys, keys, "left_semi").unionByName(df)
+        state = untouched.unionByName(latest_per_key(touched, keys, recency))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _commit(spark, target, state.repartitionByRange(n, *keys).sortWithinPartitions(*keys), compression)

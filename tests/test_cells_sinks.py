@@ -119,3 +119,12 @@ def test_publish_after_interrupted_version(spark):
     path = S.publish(spark, staging, target)
     assert path.endswith("v00000003") and S.committed_versions(spark, target) == [1, 3]
     assert [tuple(r) for r in S.read_current(spark, target).collect()] == [("k1", "cf", "q", "v")]
+
+
+def test_upsert_partial_batch_keeps_untouched(spark):
+    target = scratch_path(spark, "t-upsert-partial")
+    schema = "k string, r long, v string"
+    S.upsert(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("b", 3, "y3")], schema), target, "k", "r")
+    S.upsert(spark.createDataFrame([("c", 1, "z"), ("a", 0, "stale")], schema), target, "k", "r")
+    got = sorted(tuple(r) for r in S.read_current(spark, target).collect())
+    assert got == [("a", 1, "x"), ("b", 3, "y3"), ("c", 1, "z")]
