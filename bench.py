@@ -15,13 +15,12 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cellsmith.plans import jobs  # noqa: E402
-from cellsmith.session import local_session  # noqa: E402
+from cellsmith.session import local_session, scratch_path  # noqa: E402
 from cellsmith.sources import fixtures as fx  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -74,7 +73,7 @@ def rdd_groups_w1(spark, docs_path: str):
 
 def main() -> None:
     spark = local_session(CPUS, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", CPUS)))
-    store = tempfile.mkdtemp(prefix="cellsmith-bench-")
+    store = scratch_path(spark, "bench")  # the session's shared folder
     paths = {
         "call_docs": f"{store}/call_docs", "raw_docs": f"{store}/raw_docs", "contacts": f"{store}/contacts",
     }
