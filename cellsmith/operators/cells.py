@@ -104,21 +104,19 @@ def with_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:
     Distributed: range-sort, number rows inside each partition with
     ``monotonically_increasing_id`` and add the row counts of all earlier
     partitions.  The count table has one row per partition (the bound that
-    allows its broadcast); the sorted data is checkpointed to the shared
-    folder so both uses see the same partitions.
+    allows its broadcast); the numbered data is written once to the shared
+    folder so both uses see the same ids.
     """
     from pyspark.sql import Window
 
-    from cellsmith.session import shared_dir
+    from cellsmith.session import materialize
 
-    shared_dir(cells.sparkSession)
-    ranked = (
+    ranked = materialize(
         sort_cells(cells, partitions)
         .sortWithinPartitions("rowkey", "family", "qualifier", "value")
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_pid", F.shiftright("_mid", 33))
-    )
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "order",
+    ).withColumn("_pid", F.shiftright("_mid", 33))
     stats = ranked.groupBy("_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellsmith.session import shared_dir
+from cellsmith.session import materialize
 
 # Rows above which a base key takes the split (range) path.
 DEFAULT_HOT_ROWS = 2_000_000
@@ -104,14 +104,13 @@ def _split_sequence(df: DataFrame, base: str, order_by: list, out: str) -> DataF
     """Ordinals for rows of hot keys, spread over range partitions."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared_dir(spark)  # the checkpoint below goes to the shared folder
-    ranged = (
+    # Written once to the shared folder: both uses below see the same ids.
+    ranged = materialize(
         df.repartitionByRange(parts, base, *order_by)
         .sortWithinPartitions(base, *order_by)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_pid", F.shiftright("_mid", 33))
-    )
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "hot-split",
+    ).withColumn("_pid", F.shiftright("_mid", 33))
     stats = ranged.groupBy(base, "_pid").agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(base).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

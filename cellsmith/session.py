@@ -55,3 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the files instead of
+    recomputing upstream, and nondeterministic columns such as
+    ``monotonically_increasing_id`` keep their values) in a single job.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
