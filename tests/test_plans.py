@@ -46,3 +46,25 @@ def test_scan_is_pruned(spark):
         or "value:double" not in plan
     contacts = jobs.contacts_to_cells(fx.contacts(spark, SF))
     assert "o_totalprice" not in plan_text(contacts)
+
+
+def test_library_stays_on_the_jvm_path():
+    """No Python UDFs, RDDs, driver collects of data, local checkpoints or
+    machine-local temp folders in library code (session.py's test-only
+    fallback for an unset checkpoint dir excepted)."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "cellsmith"
+    banned = re.compile(r"localCheckpoint|pandas_udf|\budf\(|toPandas|\.rdd\b|mapInPandas|applyInPandas")
+    for path in root.rglob("*.py"):
+        text = path.read_text()
+        assert not banned.search(text), path
+        if path.name != "session.py":
+            assert "tempfile" not in text, path
+
+
+def test_latest_per_key_combines_map_side(spark):
+    from cellsmith.plans import jobs as J
+    plan = plan_text(J.contacts_latest(fx.contacts(spark, SF)))
+    assert "partial_max" in plan
