@@ -352,7 +352,7 @@ def q_publish_cells(spark, sf_dir):
     target = f"{base}/table"
     S.publish(spark, staging, target)
     S.publish(spark, staging, target)  # a second publish leaves the same state
-    return S.read_current(spark, target)
+    return S.read_cells(spark, target)
 
 
 @query("publish_existing")
@@ -362,7 +362,7 @@ def q_publish_existing(spark, sf_dir):
                                    presorted=True)
     target = f"{base}/table"
     S.publish_existing(spark, staging, target)
-    return S.read_current(spark, target)
+    return S.read_cells(spark, target)
 
 
 @query("upsert_wide")
@@ -371,7 +371,7 @@ def q_upsert_wide(spark, sf_dir):
     target = scratch_path(spark, "upsert")
     S.upsert(rows, target, "rowkey", "task_id")
     S.upsert(rows, target, "rowkey", "task_id")
-    return S.read_current(spark, target)
+    return S.read_rows(spark, target, "rowkey", "task_id")
 
 
 # ---------------------------------------------------------------------------
@@ -542,4 +542,4 @@ def q_contacts_to_cells_plain(spark, sf_dir):
 def q_contacts_wide(spark, sf_dir):
     target = scratch_path(spark, "contacts-wide")
     S.upsert(jobs.contact_rows(fx.contacts(spark, sf_dir), exclude=(), raw=("ord",)), target, "rowkey", "ord")
-    return S.read_current(spark, target)
+    return S.read_rows(spark, target, "rowkey", "ord")

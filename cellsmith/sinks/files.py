@@ -1,14 +1,20 @@
 """Sinks (K1-K7): staged sorted cell files, all-or-nothing publish, upsert.
 
-A target is a folder of versions::
-
-    <target>/v00000001/   parquet cells (or wide rows), sorted, non-overlapping
-    <target>/_commits/v00000001   empty marker, created last
-
-A version becomes visible only when its marker exists; readers take the
-highest committed version.  Markers are created with ``overwrite=false``
-through the Hadoop FileSystem API, so a concurrent publisher fails instead
-of silently replacing a version.  Nothing is modified in place.
+A target is a folder of committed layers::
+
+    <target>/v00000001/            parquet, sorted, non-overlapping files
+    <target>/_commits/v00000001    empty marker, created last
+    <target>/_commits/v00000004.base   marker of a compacted (full-state) layer
+
+A layer becomes visible only when its marker exists.  Publishing writes only
+the staged data as a new layer (cost of the batch, not of the table), like a
+bulk load adds files; readers merge the layers from the newest base layer
+on, newest value winning (``read_cells``) or newest by a recency column
+(``read_rows``), with a map-side-combined aggregate.  ``compact_*`` writes
+the merged state as a new base layer so the number of layers stays small.
+Markers are created with ``overwrite=false`` through the Hadoop FileSystem
+API, so a concurrent publisher fails instead of replacing a layer; nothing
+is modified in place.
 """
 
 from __future__ import annotations
@@ -96,59 +102,90 @@ def check_staging(spark: SparkSession, staging: str) -> None:
 
 
 # ---------------------------------------------------------------------------
-# Versioned target (K3, K4, K1)
+# Layered target (K3, K4, K1)
 # ---------------------------------------------------------------------------
 
+def _markers(spark: SparkSession, target: str) -> list[str]:
+    return _list_names(spark, f"{target.rstrip('/')}/_commits")
+
+
 def committed_versions(spark: SparkSession, target: str) -> list[int]:
-    names = _list_names(spark, f"{target.rstrip('/')}/_commits")
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+    names = [n.split(".")[0] for n in _markers(spark, target)]
+    return sorted({int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()})
 
 
-def current_path(spark: SparkSession, target: str) -> str | None:
+def live_layers(spark: SparkSession, target: str) -> list[int]:
+    """Committed layers from the newest base layer on (all when none is a base)."""
     versions = committed_versions(spark, target)
-    return f"{target.rstrip('/')}/v{versions[-1]:08d}" if versions else None
+    bases = [int(n[1:].split(".")[0]) for n in _markers(spark, target) if n.endswith(".base")]
+    start = max(bases) if bases else (versions[0] if versions else 0)
+    return [v for v in versions if v >= start]
+
+
+def _layer_path(target: str, v: int) -> str:
+    return f"{target.rstrip('/')}/v{v:08d}"
 
 
-def read_current(spark: SparkSession, target: str, schema: str | None = None) -> DataFrame | None:
-    """The visible state of a target, or ``None`` before its first publish."""
-    path = current_path(spark, target)
-    if path is None:
+def _read_layers(spark: SparkSession, target: str) -> DataFrame | None:
+    layers = live_layers(spark, target)
+    if not layers:
         return None
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    parts = [spark.read.parquet(_layer_path(target, v)).withColumn("_layer", F.lit(v)) for v in layers]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_cells(spark: SparkSession, target: str) -> DataFrame | None:
+    """Visible cells: per ``(rowkey, family, qualifier)`` the value of the
+    newest layer.  ``None`` before the first publish."""
+    layers = _read_layers(spark, target)
+    if layers is None:
+        return None
+    if len(live_layers(spark, target)) == 1:
+        return layers.drop("_layer")
+    return latest_per_key(layers, CELL_KEY, "_layer").drop("_layer")
 
 
-def _written_versions(spark: SparkSession, target: str) -> list[int]:
-    names = _list_names(spark, target.rstrip("/"))
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str]) -> DataFrame | None:
+    """Visible wide rows: per key the newest row by ``recency`` (the newest
+    layer breaks ties).  ``None`` before the first write."""
+    layers = _read_layers(spark, target)
+    if layers is None:
+        return None
+    keys = [key] if isinstance(key, str) else list(key)
+    recency = [recency] if isinstance(recency, str) else list(recency)
+    return latest_per_key(layers, keys, [*recency, "_layer"]).drop("_layer")
 
 
-def _commit(spark: SparkSession, target: str, state: DataFrame, compression: str) -> str:
+def _commit(spark: SparkSession, target: str, data: DataFrame, compression: str, base: bool = False) -> str:
     # Number past every folder, committed or not: a publish that died after
     # writing data but before its marker leaves an invisible folder behind.
     versions = committed_versions(spark, target) + _written_versions(spark, target)
     nxt = max(versions) + 1 if versions else 1
-    path = f"{target.rstrip('/')}/v{nxt:08d}"
-    state.write.mode("errorifexists").option("compression", compression).parquet(path)
-    _create_marker(spark, f"{target.rstrip('/')}/_commits/v{nxt:08d}")
+    path = _layer_path(target, nxt)
+    data.write.mode("errorifexists").option("compression", compression).parquet(path)
+    _create_marker(spark, f"{target.rstrip('/')}/_commits/v{nxt:08d}" + (".base" if base else ""))
     return path
 
 
+def _written_versions(spark: SparkSession, target: str) -> list[int]:
+    names = _list_names(spark, target.rstrip("/"))
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+
 def publish(spark: SparkSession, staging: str, target: str, validate: bool = True,
             compression: str = "snappy") -> str:
     """Publish staged cells into ``target`` as one step (K3, K4).
 
-    New state = current cells not replaced by a staged cell, plus all staged
-    cells (a staged cell wins on equal ``(rowkey, family, qualifier)``),
-    sorted.  Publishing the same staging twice leaves the same state.
+    The staged cells become a new layer; a staged cell wins over older ones
+    on equal ``(rowkey, family, qualifier)`` when read.  Publishing the same
+    staging twice leaves the same visible state.  Cost: the staged cells.
     """
     if validate:
         check_staging(spark, staging)
-    staged = spark.read.parquet(staging)
-    current = read_current(spark, target)
-    state = staged if current is None else current.join(staged.select(*CELL_KEY), CELL_KEY, "left_anti") \
-        .unionByName(staged)
-    return _commit(spark, target, sort_cells(state), compression)
+    return _commit(spark, target, spark.read.parquet(staging), compression)
 
 
 def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True) -> str:
@@ -158,25 +195,32 @@ def publish_existing(spark: SparkSession, staging: str, target: str, validate: b
     return publish(spark, staging, target, validate)
 
 
+def compact_cells(spark: SparkSession, target: str, compression: str = "snappy") -> str | None:
+    """Merge the live layers of a cell target into one sorted base layer."""
+    state = read_cells(spark, target)
+    if state is None:
+        return None
+    return _commit(spark, target, sort_cells(state), compression, base=True)
+
+
 def upsert(df: DataFrame, target: str, key: str | list[str], recency: str | list[str],
            compression: str = "snappy") -> str:
-    """Keyed write of wide rows (K1): per key the newest row by ``recency``
-    over the current state and ``df`` wins; written as a new version.
-
-    Keys absent from ``df`` pass through an anti-join untouched; only keys
-    present in ``df`` are resolved by ``latest_per_key``, so a small batch
-    does not aggregate the whole state.  Spark picks broadcast or sort-merge
-    for the key joins from the sizes it measures.
-    """
+    """Keyed write of wide rows (K1): ``df`` becomes a new layer; per key the
+    newest row by ``recency`` over all layers is what ``read_rows`` shows.
+    Cost: the batch (sorted by key), not the table."""
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    current = read_current(spark, target)
-    if current is None:
-        state = latest_per_key(df, keys, recency)
-    else:
-        batch_keys = df.select(*keys).distinct()
-        untouched = current.join(batch_keys, keys, "left_anti")
-        touched = current.join(batch_keys, keys, "left_semi").unionByName(df)
-        state = untouched.unionByName(latest_per_key(touched, keys, recency))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _commit(spark, target, state.repartitionByRange(n, *keys).sortWithinPartitions(*keys), compression)
+    return _commit(spark, target, df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), compression)
+
+
+def compact_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str],
+                 compression: str = "snappy") -> str | None:
+    """Merge the live layers of a wide-row target into one base layer."""
+    state = read_rows(spark, target, key, recency)
+    if state is None:
+        return None
+    keys = [key] if isinstance(key, str) else list(key)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _commit(spark, target, state.repartitionByRange(n, *keys).sortWithinPartitions(*keys),
+                   compression, base=True)

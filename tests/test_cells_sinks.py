@@ -67,11 +67,11 @@ def test_publish_is_idempotent_and_versioned(spark):
     cells = _contact_cells(spark)
     staging = S.write_sorted_cells(cells, f"{base}/stage", presorted=True)
     target = f"{base}/table"
-    assert S.read_current(spark, target) is None
+    assert S.read_cells(spark, target) is None
     S.publish(spark, staging, target)
-    first = sorted(tuple(r) for r in S.read_current(spark, target).collect())
+    first = sorted(tuple(r) for r in S.read_cells(spark, target).collect())
     S.publish_existing(spark, staging, target)
-    assert sorted(tuple(r) for r in S.read_current(spark, target).collect()) == first
+    assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == first
     assert S.committed_versions(spark, target) == [1, 2]
     assert len(first) == cells.count()
 
@@ -84,7 +84,7 @@ def test_publish_replaces_cells(spark):
     target = f"{base}/table"
     S.publish(spark, S.write_sorted_cells(a, f"{base}/a"), target)
     S.publish(spark, S.write_sorted_cells(b, f"{base}/b"), target)
-    assert sorted(tuple(r) for r in S.read_current(spark, target).collect()) == [
+    assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == [
         ("k1", "cf", "q", "new"), ("k2", "cf", "q", "keep")]
 
 
@@ -102,7 +102,7 @@ def test_upsert_keeps_newest(spark):
     schema = "k string, r long, v string"
     S.upsert(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], schema), target, "k", "r")
     S.upsert(spark.createDataFrame([("a", 2, "x2"), ("b", 0, "stale")], schema), target, "k", "r")
-    got = sorted(tuple(r) for r in S.read_current(spark, target).collect())
+    got = sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect())
     assert got == [("a", 2, "x2"), ("b", 1, "y")]
 
 
@@ -118,7 +118,7 @@ def test_publish_after_interrupted_version(spark):
     assert S.committed_versions(spark, target) == [1]
     path = S.publish(spark, staging, target)
     assert path.endswith("v00000003") and S.committed_versions(spark, target) == [1, 3]
-    assert [tuple(r) for r in S.read_current(spark, target).collect()] == [("k1", "cf", "q", "v")]
+    assert [tuple(r) for r in S.read_cells(spark, target).collect()] == [("k1", "cf", "q", "v")]
 
 
 def test_upsert_partial_batch_keeps_untouched(spark):
@@ -126,5 +126,25 @@ def test_upsert_partial_batch_keeps_untouched(spark):
     schema = "k string, r long, v string"
     S.upsert(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("b", 3, "y3")], schema), target, "k", "r")
     S.upsert(spark.createDataFrame([("c", 1, "z"), ("a", 0, "stale")], schema), target, "k", "r")
-    got = sorted(tuple(r) for r in S.read_current(spark, target).collect())
+    got = sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect())
+    assert S.compact_rows(spark, target, "k", "r").endswith("v00000003")
+    assert S.live_layers(spark, target) == [3]
+    assert sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect()) == got
     assert got == [("a", 1, "x"), ("b", 3, "y3"), ("c", 1, "z")]
+
+
+def test_compaction_keeps_state_and_bounds_layers(spark):
+    base = scratch_path(spark, "t-compact")
+    schema = "rowkey string, family string, qualifier string, value string"
+    target = f"{base}/table"
+    for i, rows in enumerate([[("k1", "cf", "q", "a"), ("k2", "cf", "q", "b")], [("k1", "cf", "q", "c")]]):
+        S.publish(spark, S.write_sorted_cells(spark.createDataFrame(rows, schema), f"{base}/s{i}"), target)
+    before = sorted(tuple(r) for r in S.read_cells(spark, target).collect())
+    assert before == [("k1", "cf", "q", "c"), ("k2", "cf", "q", "b")]
+    S.compact_cells(spark, target)
+    assert S.live_layers(spark, target) == [3]
+    assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == before
+    S.publish(spark, S.write_sorted_cells(spark.createDataFrame([("k2", "cf", "q", "d")], schema), f"{base}/s9"), target)
+    assert S.live_layers(spark, target) == [3, 4]
+    assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == [
+        ("k1", "cf", "q", "c"), ("k2", "cf", "q", "d")]
