@@ -63,7 +63,8 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
 
 
 def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False,
-                   one_shuffle: bool = False, **seq) -> tuple[DataFrame, DataFrame]:
+                   one_shuffle: bool = False, hot_sample: DataFrame | None = None,
+                   hot_fraction: float = HOT_SAMPLE_FRACTION, **seq) -> tuple[DataFrame, DataFrame]:
     """Call documents -> unique, sorted cells.
 
     Keep-first on ``(base, peer_number, time)`` (G2), ordinal appended to the
@@ -76,14 +77,19 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
     exchange on the base key for everything (when keys are prefix-free and
     none is hot); it saves a shuffle but its range sampling recomputes the
     parse, so it pays off when shuffles cost more than re-reading the input.
+
+    Hot keys come from ``hot_sample``, documents making up ``hot_fraction``
+    of the input (default: a fixed-seed row sample of ``docs``, which parses
+    1% but still reads the payload column; at scale pass a read of a subset
+    of the input files to save that read too), unless ``hot`` is given.
     """
     items, rejects = call_items(docs, payload)
     if "hot" not in seq:
         # Hot keys from a fixed-seed sample of whole documents: only 1% of the
         # payloads are parsed for it.  It only routes keys; results are equal.
-        sample, _ = call_items(docs.sample(fraction=HOT_SAMPLE_FRACTION, seed=HOT_SAMPLE_SEED), payload)
-        seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"),
-                              fraction=HOT_SAMPLE_FRACTION)
+        probe = hot_sample if hot_sample is not None else docs.sample(fraction=hot_fraction, seed=HOT_SAMPLE_SEED)
+        sample, _ = call_items(probe, payload)
+        seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"), fraction=hot_fraction)
     _check_strict(rejects, strict)
     if one_shuffle and not seq["hot"] and prefix_free_calls(docs):
         # One shuffle: range partitions on the base key serve keep-first, the

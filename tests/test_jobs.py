@@ -96,3 +96,18 @@ def test_contact_without_phone_is_rejected(spark):
     assert jobs.contact_rows(c).count() == 1
     with pytest.raises(ValueError):
         jobs.contacts_to_cells(c, strict=True)
+
+
+def test_hot_keys_from_a_file_subset(spark):
+    from cellsmith.session import scratch_path
+
+    docs = fx.call_docs(spark, SF)
+    path = scratch_path(spark, "t-docs-files")
+    docs.repartition(4).write.parquet(path)
+    stored = spark.read.parquet(path)
+    files = sorted(stored.inputFiles())
+    subset = spark.read.parquet(*files[:1])
+    normal, _ = jobs.calls_to_cells(stored)
+    # a quarter of the files as the probe; tiny threshold so that keys do turn hot
+    probed, _ = jobs.calls_to_cells(stored, hot_sample=subset, hot_fraction=0.25, hot_rows=4)
+    assert rows(normal) == rows(probed)
