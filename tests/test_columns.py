@@ -89,3 +89,14 @@ def test_messages(spark):
     df = spark.createDataFrame([(3,)], "i long")
     assert df.select(C.sample_number("i"), C.sample_text("i")).first() == (
         "18601234583", "hello kafka.javaapi.producer message 3")
+
+
+def test_recency_key_pad(spark):
+    df = spark.createDataFrame([("123", "2018-04-24 22:13:21.999"), ("123", "2018-04-24 22:13:20.000")],
+                               "m string, t string")
+    plain = [r[0] for r in df.select(C.recency_key("m", "t")).collect()]
+    padded = [r[0] for r in df.select(C.recency_key("m", "t", pad=10)).collect()]
+    assert plain == ["321_999999999", "321_1000000000"]
+    # unpadded text puts the older row first; padded restores newest first
+    assert sorted(plain) == ["321_1000000000", "321_999999999"]
+    assert padded == ["321_0999999999", "321_1000000000"] and sorted(padded) == padded
