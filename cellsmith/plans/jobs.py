@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsmith.functions import columns as C
 from cellsmith.operators.cells import as_text, sorted_cells, to_cells
@@ -114,7 +115,13 @@ def prefix_free_calls(docs: DataFrame) -> bool:
 
 def raw_rows(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | None = None) -> DataFrame:
     """W2 before the reshape: length filter (F2), recency key (P8, P12),
-    every field as text (P2, P15)."""
+    every field as text (P2, P15).
+
+    ``create_time`` is expected as text.  A timestamp column is first
+    rendered as ``yyyy-MM-dd HH:mm:ss.SSS`` text (wall clock of the value;
+    for a zoned timestamp, in the session zone)."""
+    if isinstance(docs.schema["create_time"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        docs = docs.withColumn("create_time", F.date_format(F.col("create_time"), C.LONG_TIME_FORMAT))
     kept = docs.where(C.min_length(F.col("create_time"), RAW_MIN_TIME_LENGTH))
     key = C.recency_key(F.col("mobile"), C.text_or_empty(F.col("create_time")), zone, pad)
     return kept.select(key.alias("rowkey"), *[

@@ -148,3 +148,9 @@ def test_compaction_keeps_state_and_bounds_layers(spark):
     assert S.live_layers(spark, target) == [3, 4]
     assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == [
         ("k1", "cf", "q", "c"), ("k2", "cf", "q", "d")]
+
+
+def test_nested_values_become_json_text(spark):
+    df = spark.createDataFrame([("k", {"a": 1}, [1, 2])], "rowkey string, m map<string,int>, l array<int>")
+    got = {r["qualifier"]: r["value"] for r in CE.to_cells(df, "rowkey").collect()}
+    assert got == {"l": "[1,2]", "m": '{"a":1}'}

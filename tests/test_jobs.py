@@ -111,3 +111,15 @@ def test_hot_keys_from_a_file_subset(spark):
     # a quarter of the files as the probe; tiny threshold so that keys do turn hot
     probed, _ = jobs.calls_to_cells(stored, hot_sample=subset, hot_fraction=0.25, hot_rows=4)
     assert rows(normal) == rows(probed)
+
+
+def test_raw_rows_with_timestamp_create_time(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame(
+        [("a", dt.datetime(2018, 4, 24, 22, 13, 20), "13800000001", None, None, None, None)],
+        "_id string, create_time timestamp_ntz, mobile string, moxie_carrier_originalInfo string, "
+        "successFlag string, task_id string, update_time string")
+    row = jobs.raw_rows(df).first()
+    assert row["create_time"] == "2018-04-24 22:13:20.000"
+    assert row["rowkey"] == "10000000831_1000000000"
