@@ -176,23 +176,33 @@ def _written_versions(spark: SparkSession, target: str) -> list[int]:
 
 
 def publish(spark: SparkSession, staging: str, target: str, validate: bool = True,
-            compression: str = "snappy") -> str:
+            compression: str = "snappy", resolve_repeats: bool = False) -> str:
     """Publish staged cells into ``target`` as one step (K3, K4).
 
     The staged cells become a new layer; a staged cell wins over older ones
     on equal ``(rowkey, family, qualifier)`` when read.  Publishing the same
     staging twice leaves the same visible state.  Cost: the staged cells.
+
+    Jobs whose row keys may repeat (raw documents, contacts keyed as they
+    are) pass ``resolve_repeats=True``: repeated cells of the batch collapse
+    to one value (the greatest, a fixed choice where the original write
+    order is arbitrary) with a map-side-combined aggregate, and the layer is
+    re-sorted.  Otherwise the staging must hold unique cells.
     """
-    if validate:
+    staged = spark.read.parquet(staging)
+    if resolve_repeats:
+        staged = sort_cells(staged.groupBy(*CELL_KEY).agg(F.max("value").alias("value")))
+    elif validate:
         check_staging(spark, staging)
-    return _commit(spark, target, spark.read.parquet(staging), compression)
+    return _commit(spark, target, staged, compression)
 
 
-def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True) -> str:
+def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True,
+                     resolve_repeats: bool = False) -> str:
     """Publish a staging folder written by an earlier job."""
     if not _exists(spark, staging):
         raise FileNotFoundError(staging)
-    return publish(spark, staging, target, validate)
+    return publish(spark, staging, target, validate, resolve_repeats=resolve_repeats)
 
 
 def compact_cells(spark: SparkSession, target: str, compression: str = "snappy") -> str | None:

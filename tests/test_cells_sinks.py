@@ -154,3 +154,13 @@ def test_nested_values_become_json_text(spark):
     df = spark.createDataFrame([("k", {"a": 1}, [1, 2])], "rowkey string, m map<string,int>, l array<int>")
     got = {r["qualifier"]: r["value"] for r in CE.to_cells(df, "rowkey").collect()}
     assert got == {"l": "[1,2]", "m": '{"a":1}'}
+
+
+def test_publish_resolves_repeats_when_asked(spark):
+    base = scratch_path(spark, "t-repeats")
+    schema = "rowkey string, family string, qualifier string, value string"
+    dup = spark.createDataFrame([("k", "cf", "q", "1"), ("k", "cf", "q", "2"), ("j", "cf", "q", "0")], schema)
+    staging = S.write_sorted_cells(dup, f"{base}/stage")
+    S.publish(spark, staging, f"{base}/table", resolve_repeats=True)
+    assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == [
+        ("j", "cf", "q", "0"), ("k", "cf", "q", "2")]
