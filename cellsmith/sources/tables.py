@@ -39,11 +39,11 @@ def scan_documents(
     classpath (for example a document-store format with database and
     collection options); by default JSON lines at ``path`` are read.
     """
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).options(**(options or {}))
     if fmt:
-        return reader.format(fmt).options(**(options or {})).load(path) if path else \
-            reader.format(fmt).options(**(options or {})).load()
-    return reader.options(**(options or {})).json(path)
+        reader = reader.format(fmt)
+        return reader.load(path) if path else reader.load()
+    return reader.json(path)
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
