@@ -71,9 +71,16 @@ def to_cells(
 
 
 def sort_cells(cells: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Total order by ``(rowkey, family, qualifier)`` in byte order (O1)."""
+    """Total order by ``(rowkey, family, qualifier)`` in byte order (O1).
+
+    The range exchange is on the whole cell ``(rowkey, family, qualifier,
+    value)``, so one row key repeated on many rows (a hot key) spreads over
+    partitions instead of filling one; partitions still hold consecutive,
+    non-overlapping runs of the cell order.
+    """
     n = partitions or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.repartitionByRange(n, "rowkey").sortWithinPartitions("rowkey", "family", "qualifier")
+    order = ["rowkey", "family", "qualifier", "value"]
+    return cells.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def sorted_cells(
@@ -83,18 +90,20 @@ def sorted_cells(
 ) -> DataFrame:
     """Cells in total order, sorting the wide rows before the reshape.
 
-    Moving k cells per row through the range exchange costs about k times the
-    row key; sorting the wide rows first moves each key once.  The final
-    sort inside each partition only confirms an order that ``unpivot``
-    already produced.  With ``keys_unique`` (each row key on one row, as
-    after ``sequence_key``) that order is already total, because ``unpivot``
-    emits each row's cells in qualifier order right after one another, and
-    the final sort is left out.
+    With ``keys_unique`` (each row key on one row, as after
+    ``sequence_key``), the wide rows are range-sorted by key and then
+    reshaped: each key moves once instead of once per cell, and ``unpivot``
+    emits each row's cells in qualifier order right after one another, so
+    the result is already in total order.  Otherwise the cells are sorted
+    (``sort_cells``), which also splits a row key repeated on many rows.
     """
+    if not keys_unique:
+        # Repeated keys: sort the cells themselves, so that a key on many rows
+        # can be split between partitions.
+        return sort_cells(to_cells(df, key, columns, keep_key, drop, family), partitions)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wide = df.repartitionByRange(n, key).sortWithinPartitions(key)
-    cells = to_cells(wide, key, columns, keep_key, drop, family)
-    return cells if keys_unique else cells.sortWithinPartitions("rowkey", "family", "qualifier")
+    return to_cells(wide, key, columns, keep_key, drop, family)
 
 
 def with_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:

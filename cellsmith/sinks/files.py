@@ -84,7 +84,8 @@ def write_sorted_cells(
 
 def check_staging(spark: SparkSession, staging: str) -> None:
     """Validate staged cells: unique ``(rowkey, family, qualifier)`` and
-    disjoint per-file key ranges.  Raises ``ValueError`` otherwise.
+    per-file spans that do not overlap in that order (one row key may end
+    one file and start the next).  Raises ``ValueError`` otherwise.
 
     The range check collects one row per file (the number of files is the
     bound); the uniqueness check is a distributed aggregate.
@@ -93,12 +94,17 @@ def check_staging(spark: SparkSession, staging: str) -> None:
     dup = df.groupBy(*CELL_KEY).count().where(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError(f"staged cells in {staging} repeat a (rowkey, family, qualifier)")
+    cell = F.struct(*CELL_KEY)
     ranges = (df.groupBy(F.input_file_name().alias("f"))
-              .agg(F.min("rowkey").alias("lo"), F.max("rowkey").alias("hi")).collect())
-    spans = sorted((r["lo"].encode("utf-8"), r["hi"].encode("utf-8")) for r in ranges)
+              .agg(F.min(cell).alias("lo"), F.max(cell).alias("hi")).collect())
+
+    def enc(c):
+        return tuple(x.encode("utf-8") for x in c)
+
+    spans = sorted((enc(r["lo"]), enc(r["hi"])) for r in ranges)
     for (_, hi), (lo, _) in zip(spans, spans[1:]):
         if lo <= hi:
-            raise ValueError(f"staged files in {staging} overlap in row key range")
+            raise ValueError(f"staged files in {staging} overlap in cell order")
 
 
 # ---------------------------------------------------------------------------

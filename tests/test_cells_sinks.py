@@ -55,7 +55,7 @@ def test_staged_files_sorted_and_disjoint(spark):
             continue
         enc = [(a.encode(), b.encode()) for a, b in pairs]
         assert enc == sorted(enc), f"{f} not sorted"
-        spans.append((enc[0][0], enc[-1][0]))
+        spans.append((enc[0], enc[-1]))
     assert len(spans) >= 2
     spans.sort()
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
@@ -164,3 +164,15 @@ def test_publish_resolves_repeats_when_asked(spark):
     S.publish(spark, staging, f"{base}/table", resolve_repeats=True)
     assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == [
         ("j", "cf", "q", "0"), ("k", "cf", "q", "2")]
+
+
+def test_hot_repeated_row_key_spreads_over_partitions(spark):
+    # a third of the rows share one row key (keys are not unique)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.format_string("k%05d", "id")).alias("rowkey"),
+        F.col("id").cast("string").alias("a"))
+    cells = CE.sorted_cells(df, "rowkey", ["a"], partitions=6)
+    sizes = cells.rdd.mapPartitions(lambda it: [sum(1 for r in it if r[0] == "hot")]).collect()
+    assert sum(sizes) == 1000 and max(sizes) < 1000
+    flat = [(r[0].encode(), r[2].encode(), r[3].encode()) for r in cells.collect()]
+    assert flat == sorted(flat)
