@@ -226,8 +226,10 @@ def upsert(df: DataFrame, target: str, key: str | list[str], recency: str | list
     Cost: the batch (sorted by key), not the table."""
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
+    order = keys + ([recency] if isinstance(recency, str) else list(recency))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _commit(spark, target, df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), compression)
+    # (key, recency): a key repeated on many rows of the batch is split over partitions
+    return _commit(spark, target, df.repartitionByRange(n, *order).sortWithinPartitions(*order), compression)
 
 
 def compact_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str],
