@@ -86,11 +86,14 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
     """
     items, rejects = call_items(docs, payload)
     if "hot" not in seq:
-        # Hot keys from a fixed-seed sample of whole documents: only 1% of the
-        # payloads are parsed for it.  It only routes keys; results are equal.
-        probe = hot_sample if hot_sample is not None else docs.sample(fraction=hot_fraction, seed=HOT_SAMPLE_SEED)
+        # Hot keys from a sample of whole documents.  It only routes keys;
+        # results are the same whatever it finds.
+        if hot_sample is not None:
+            probe, fraction = hot_sample, hot_fraction
+        else:
+            probe, fraction = document_sample(docs, payload, hot_fraction)
         sample, _ = call_items(probe, payload)
-        seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"), fraction=hot_fraction)
+        seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"), fraction=fraction)
     _check_strict(rejects, strict)
     if one_shuffle and not seq["hot"] and prefix_free_calls(docs):
         # One shuffle: range partitions on the base key serve keep-first, the
@@ -102,6 +105,31 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
     return sorted_cells(wide, "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
 
 
+def document_sample(docs: DataFrame, payload: str = PAYLOAD,
+                    fraction: float = HOT_SAMPLE_FRACTION) -> tuple[DataFrame, float]:
+    """About ``fraction`` of the documents, and the fraction actually taken.
+
+    When ``docs`` reads at least ``1 / fraction`` files that hold the
+    document columns (as at cluster scale), every n-th input file is read,
+    so the sample costs that share of the I/O too.  A
+    filter on ``docs`` is then not applied to the sample, which can only
+    overstate key counts, and that is harmless for routing.  Otherwise a
+    fixed-seed row sample is taken (it parses the share but reads the
+    payload column in full).
+    """
+    files = sorted(docs.inputFiles())
+    step = max(1, round(1 / fraction))
+    if len(files) >= step:  # enough files for every n-th one to be about that share
+        subset = files[::step]
+        try:
+            sample = docs.sparkSession.read.parquet(*subset)
+            if {"_id", "mobile", payload} <= set(sample.columns):
+                return sample, len(subset) / len(files)
+        except Exception:  # not parquet documents: fall back to a row sample
+            pass
+    return docs.sample(fraction=fraction, seed=HOT_SAMPLE_SEED), fraction
+
+
 def prefix_free_calls(docs: DataFrame) -> bool:
     """True when no call base key can be a prefix of another.
 

@@ -123,3 +123,19 @@ def test_raw_rows_with_timestamp_create_time(spark):
     row = jobs.raw_rows(df).first()
     assert row["create_time"] == "2018-04-24 22:13:20.000"
     assert row["rowkey"] == "10000000831_1000000000"
+
+
+def test_document_sample_reads_a_file_subset(spark):
+    from cellsmith.session import scratch_path
+
+    path = scratch_path(spark, "t-docs-sample")
+    fx.call_docs(spark, SF).repartition(6).write.parquet(path)
+    stored = spark.read.parquet(path)
+    sample, fraction = jobs.document_sample(stored, fraction=0.5)
+    assert len(sample.inputFiles()) == 3 and fraction == 0.5
+    # fewer files than 1 / fraction: a row sample of the same share
+    rows_sample, f1 = jobs.document_sample(stored, fraction=0.1)
+    assert f1 == 0.1 and len(rows_sample.inputFiles()) == 6
+    # documents built by Spark from other tables fall back to a row sample
+    derived, f2 = jobs.document_sample(fx.call_docs(spark, SF), fraction=0.5)
+    assert f2 == 0.5 and "lineitem" in " ".join(derived.inputFiles())
