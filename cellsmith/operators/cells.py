@@ -2,9 +2,11 @@
 
 A cell is ``(rowkey, family, qualifier, value)``, all text, no nulls.  The
 reshape is ``unpivot`` (one ``Expand`` node, narrow, no shuffle).  The total
-order is a range exchange on the row key followed by a sort inside each
-partition: partitions hold disjoint key ranges, so files written from them
-are internally sorted and do not overlap.
+order is a range exchange followed by a sort inside each partition:
+partitions hold consecutive, non-overlapping runs of the cell order, so
+files written from them are internally sorted and do not overlap.  Unique
+row keys are range-sorted as wide rows (each key moves once); cells whose
+keys may repeat are range-sorted on the whole cell, which splits a hot key.
 """
 
 from __future__ import annotations
