@@ -33,21 +33,18 @@ HOT_SAMPLE_FRACTION = 0.01
 HOT_SAMPLE_SEED = 17
 
 
-def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, DataFrame]:
+def call_items(docs: DataFrame, payload: str = PAYLOAD, with_rejects: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Filter, parse, flatten and key call items.
 
     Returns ``(items, rejects)``.  ``items`` has ``base`` (the call key
     prefix), the tie-break ``id, call_pos, item_pos`` and the item fields.
     Rows the reference would fail on (null id or mobile, malformed payload,
-    null peer number, unparseable time) go to ``rejects`` with a reason.
+    null peer number, unparseable time) go to ``rejects`` with a reason
+    (``None`` when ``with_rejects`` is false).
     """
     present = docs.where(F.col(payload).isNotNull())
     parsed = parse_calls(present.select("_id", "mobile", payload), payload)
     doc_ok = parsed["_valid"] & F.col("_id").isNotNull() & F.col("mobile").isNotNull()
-    doc_rejects = parsed.where(~doc_ok).select(
-        F.col("_id").cast("string").alias("id"), F.col("mobile").cast("string").alias("mobile"),
-        F.lit(None).cast("long").alias("call_pos"), F.lit(None).cast("long").alias("item_pos"),
-        F.when(~parsed["_valid"], "payload").otherwise("id_or_mobile").alias("reason"))
     flat = flatten_calls(parsed.withColumn("_ok", doc_ok), "doc", keep=("_id", "mobile"), valid="_ok")
     keyed = flat.select(
         C.call_key(F.col("mobile"), F.col("time"), F.col("dial_type")).alias("base"),
@@ -57,6 +54,12 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
         C.normalize_phone(F.col("peer_number")).alias("peer_number"), "time",
     )
     ok = F.col("base").isNotNull() & F.col("peer_number").isNotNull()
+    if not with_rejects:
+        return keyed.where(ok), None
+    doc_rejects = parsed.where(~doc_ok).select(
+        F.col("_id").cast("string").alias("id"), F.col("mobile").cast("string").alias("mobile"),
+        F.lit(None).cast("long").alias("call_pos"), F.lit(None).cast("long").alias("item_pos"),
+        F.when(~parsed["_valid"], "payload").otherwise("id_or_mobile").alias("reason"))
     item_rejects = keyed.where(~ok).select(
         "id", "mobile", "call_pos", "item_pos",
         F.when(F.col("peer_number").isNull(), "peer_number").otherwise("time").alias("reason"))
@@ -92,7 +95,7 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
             probe, fraction = hot_sample, hot_fraction
         else:
             probe, fraction = document_sample(docs, payload, hot_fraction)
-        sample, _ = call_items(probe, payload)
+        sample, _ = call_items(probe, payload, with_rejects=False)
         seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"), fraction=fraction)
     _check_strict(rejects, strict)
     if one_shuffle and not seq["hot"] and prefix_free_calls(docs):
