@@ -1,17 +1,20 @@
 """Unique keys: keep-first duplicate removal, ordinals per key, latest per key
 (G2-G5).
 
-All three are skew-safe at any scale:
+All of them are skew-safe at any scale:
 
 * ``dedup_keep_first`` and ``latest_per_key`` are aggregates (``min``/``max``
   of a struct that starts with the ordering columns).  Spark combines them
   map-side, so a hot key costs one row per map task in the shuffle, never a
   whole group in one task.
-* ``sequence_key`` numbers rows within a base key in a fixed order.  Normal
-  keys use a window over the key (one hash shuffle).  Keys with more than
-  ``hot_rows`` rows are split: their rows are range-partitioned on
-  ``(base, order...)`` so one hot key spreads over many tasks, numbered
-  inside each partition from ``monotonically_increasing_id`` and shifted by
+* ``sequence_key`` numbers rows within a base key in a fixed order;
+  ``unique_sequence_key`` first keeps the first row of each duplicate group
+  (one hash exchange on the key serves both windows).  Normal keys use
+  windows over the key.  Keys with more than ``hot_rows`` rows are split:
+  keep-first runs as a map-side-combined aggregate, the rows are
+  range-partitioned on ``(base, order...)`` so one hot key spreads over many
+  tasks, numbered inside each partition from ``monotonically_increasing_id``
+  (written once to the shared folder, so the ids are stable) and shifted by
   the row counts of the key in earlier partitions.  The per-(key, partition)
   table that carries those counts has at most ``hot keys + partitions`` rows,
   which is the bound checked before it is broadcast.
