@@ -37,3 +37,13 @@ def test_cli_wide_and_publish(spark):
         ["rowkey", "family", "qualifier"]), f"{base}/stage")
     cli.run(["publish", staging, f"{base}/t"], spark)
     assert S.live_layers(spark, f"{base}/t") == [1]
+
+
+def test_cli_reads_a_catalog_table(spark):
+    base = scratch_path(spark, "t-cli3")
+    fx.contacts(spark, SF).createOrReplaceTempView("cellsmith_contacts_t")
+    cli.run(["contacts", "cellsmith_contacts_t", f"{base}/t", "--table", "--plain", "--staging", f"{base}/s"], spark)
+    expect = jobs.contacts_to_cells_plain(fx.contacts(spark, SF))
+    # repeated keys collapse to one value per cell on publish
+    assert S.read_cells(spark, f"{base}/t").count() == expect.dropDuplicates(
+        ["rowkey", "family", "qualifier"]).count()
