@@ -32,8 +32,7 @@ PRODUCT_OTHER = "0"
 # Width of the peer tail and its pad character.
 PEER_TAIL_WIDTH = 4
 PEER_TAIL_PAD = "0"
-# Time formats: input call time, long-time input, compact output.
-CALL_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Long-time input format and length.
 LONG_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 LONG_TIME_LENGTH = 23
 # Message line layouts.

@@ -22,7 +22,6 @@ from cellsmith.functions.columns import text_or_empty
 FAMILY = "cf"
 # Fixed value: the column the all-columns writer leaves out.
 SKIPPED_COLUMN = "main"
-CELL_COLUMNS = ("rowkey", "family", "qualifier", "value")
 
 
 def cell_columns(

@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 from cellsmith.functions import columns as C
 
 MESSAGE_SCHEMA = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
-MESSAGE_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")
 
 
 def read_messages(
