@@ -139,3 +139,13 @@ def test_document_sample_reads_a_file_subset(spark):
     # documents built by Spark from other tables fall back to a row sample
     derived, f2 = jobs.document_sample(fx.call_docs(spark, SF), fraction=0.5)
     assert f2 == 0.5 and "lineitem" in " ".join(derived.inputFiles())
+
+
+def test_jobs_are_independent_of_input_partitioning(spark):
+    docs = fx.call_docs(spark, SF)
+    a, _ = jobs.calls_to_cells(docs)
+    b, _ = jobs.calls_to_cells(docs.repartition(5, "mobile"))
+    c, _ = jobs.calls_to_cells(docs.repartition(3).orderBy("_id", ascending=False))
+    assert rows(a) == rows(b) == rows(c)
+    contacts = fx.contacts(spark, SF)
+    assert rows(jobs.contacts_to_cells(contacts)) == rows(jobs.contacts_to_cells(contacts.repartition(7)))
