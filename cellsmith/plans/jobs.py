@@ -184,33 +184,35 @@ def _check_strict(rejects: DataFrame, strict: bool) -> None:
 
 def contacts_to_cells(
     df: DataFrame, order_by: Sequence[str] = ("ord",), exclude: Sequence[str] = ("ord",),
-    strict: bool = False, **seq
+    strict: bool = False, null_tel_cell: str = C.NO_TEL, **seq
 ) -> DataFrame:
     """Contacts -> cells with unique keys ``reverse(phone)_tel_n``.
 
-    A null tel is written as ``noTel`` in the cell too.  Rows without a
-    phone number are left out (``contact_rejects``); ``strict=True`` fails
-    on them instead, like the original job.
+    A null tel is written as ``null_tel_cell`` in the cell (``noTel`` in this
+    job).  Rows without a phone number are left out (``contact_rejects``);
+    ``strict=True`` fails on them instead, like the original job.
     """
     _check_strict(contact_rejects(df), strict)
     cols = [c for c in df.columns if c not in exclude]
     keyed = sequence_key(contact_base(df), "_base", list(order_by), out="rowkey", sep="_", **seq)
     wide = keyed.select("rowkey", *[
-        (F.coalesce(C.normalize_phone(F.col("tel")), F.lit(C.NO_TEL)) if c == "tel"
+        (F.coalesce(C.normalize_phone(F.col("tel")), F.lit(null_tel_cell)) if c == "tel"
          else C.text_or_empty(F.col(c), keyed.schema[c].dataType)).alias(c) for c in cols])
     return sorted_cells(wide, "rowkey", cols, keys_unique=True)
 
 
-def contact_rows(df: DataFrame, exclude: Sequence[str] = ("ord",), raw: Sequence[str] = ()) -> DataFrame:
+def contact_rows(df: DataFrame, exclude: Sequence[str] = ("ord",), raw: Sequence[str] = (),
+                 null_tel_cell: str = "") -> DataFrame:
     """Contacts keyed as they are (no ordinal), tel normalised with null as
-    ``""``, other columns as text (R2/R4 rows).  Columns in ``raw`` (for
-    example a recency column) pass through with their type."""
+    ``null_tel_cell`` (``""`` in these jobs), other columns as text (R2/R4
+    rows).  Columns in ``raw`` (for example a recency column) pass through
+    with their type."""
 
     def value(c: str):
         if c in raw:
             return F.col(c)
         if c == "tel":
-            return F.coalesce(C.normalize_phone(F.col("tel")), F.lit(""))
+            return F.coalesce(C.normalize_phone(F.col("tel")), F.lit(null_tel_cell))
         return C.text_or_empty(F.col(c), df.schema[c].dataType)
 
     cols = [c for c in df.columns if c not in exclude]

@@ -149,3 +149,13 @@ def test_jobs_are_independent_of_input_partitioning(spark):
     assert rows(a) == rows(b) == rows(c)
     contacts = fx.contacts(spark, SF)
     assert rows(jobs.contacts_to_cells(contacts)) == rows(jobs.contacts_to_cells(contacts.repartition(7)))
+
+
+def test_null_tel_cell_choice(spark):
+    c = spark.createDataFrame([(1, "123", None, "a")], "ord long, phoneNo string, tel string, name string")
+    tel = [r["value"] for r in jobs.contacts_to_cells(c).collect() if r["qualifier"] == "tel"]
+    assert tel == ["noTel"]
+    tel = [r["value"] for r in jobs.contacts_to_cells(c, null_tel_cell="").collect() if r["qualifier"] == "tel"]
+    assert tel == [""]
+    assert [r["tel"] for r in jobs.contact_rows(c).collect()] == [""]
+    assert [r["tel"] for r in jobs.contact_rows(c, null_tel_cell="noTel").collect()] == ["noTel"]
