@@ -165,14 +165,36 @@ def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: s
     return latest_per_key(layers, keys, [*recency, "_layer"]).drop("_layer")
 
 
-def _commit(spark: SparkSession, target: str, data: DataFrame, compression: str, base: bool = False) -> str:
+def _next_version(spark: SparkSession, target: str) -> int:
     # Number past every folder, committed or not: a publish that died after
     # writing data but before its marker leaves an invisible folder behind.
     versions = committed_versions(spark, target) + _written_versions(spark, target)
-    nxt = max(versions) + 1 if versions else 1
+    return max(versions) + 1 if versions else 1
+
+
+def _mark(spark: SparkSession, target: str, v: int, base: bool = False) -> None:
+    _create_marker(spark, f"{target.rstrip('/')}/_commits/v{v:08d}" + (".base" if base else ""))
+
+
+def _commit(spark: SparkSession, target: str, data: DataFrame, compression: str, base: bool = False) -> str:
+    nxt = _next_version(spark, target)
     path = _layer_path(target, nxt)
     data.write.mode("errorifexists").option("compression", compression).parquet(path)
-    _create_marker(spark, f"{target.rstrip('/')}/_commits/v{nxt:08d}" + (".base" if base else ""))
+    _mark(spark, target, nxt, base)
+    return path
+
+
+def _move_in(spark: SparkSession, staging: str, target: str) -> str:
+    """Rename a staging folder into the next layer, then commit it: the data
+    is not rewritten (atomic and O(1) on HDFS; object stores copy)."""
+    nxt = _next_version(spark, target)
+    path = _layer_path(target, nxt)
+    fs, src = _fs(spark, staging)
+    _, dst = _fs(spark, path)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {staging} to {path}")
+    _mark(spark, target, nxt)
     return path
 
 
@@ -182,7 +204,7 @@ def _written_versions(spark: SparkSession, target: str) -> list[int]:
 
 
 def publish(spark: SparkSession, staging: str, target: str, validate: bool = True,
-            compression: str = "snappy", resolve_repeats: bool = False) -> str:
+            compression: str = "snappy", resolve_repeats: bool = False, move: bool = False) -> str:
     """Publish staged cells into ``target`` as one step (K3, K4).
 
     The staged cells become a new layer; a staged cell wins over older ones
@@ -194,7 +216,15 @@ def publish(spark: SparkSession, staging: str, target: str, validate: bool = Tru
     to one value (the greatest, a fixed choice where the original write
     order is arbitrary) with a map-side-combined aggregate, and the layer is
     re-sorted.  Otherwise the staging must hold unique cells.
+
+    ``move=True`` renames the validated staging folder into the table
+    instead of copying it, as a bulk load moves its files; the staging
+    folder is gone afterwards.
     """
+    if move and not resolve_repeats:
+        if validate:
+            check_staging(spark, staging)
+        return _move_in(spark, staging, target)
     staged = spark.read.parquet(staging)
     if resolve_repeats:
         staged = sort_cells(staged.groupBy(*CELL_KEY).agg(F.max("value").alias("value")))

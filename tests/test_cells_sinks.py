@@ -176,3 +176,14 @@ def test_hot_repeated_row_key_spreads_over_partitions(spark):
     assert sum(sizes) == 1000 and max(sizes) < 1000
     flat = [(r[0].encode(), r[2].encode(), r[3].encode()) for r in cells.collect()]
     assert flat == sorted(flat)
+
+
+def test_publish_by_move(spark):
+    base = scratch_path(spark, "t-move")
+    cells = _contact_cells(spark)
+    staging = S.write_sorted_cells(cells, f"{base}/stage", presorted=True)
+    path = S.publish(spark, staging, f"{base}/table", move=True)
+    assert path.endswith("v00000001")
+    assert not os.path.exists(staging.replace("file:", ""))
+    assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == sorted(
+        tuple(r) for r in cells.collect())
