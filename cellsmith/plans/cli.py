@@ -8,8 +8,8 @@
 
 ``<input>`` is a parquet path (or a catalog table with ``--table``).  Cell
 jobs write sorted cells to ``<staging>/bulkload/<target name>_<millis>`` and
-publish them into ``<target>`` as one layer; call rejects are written next
-to the staging folder.  The staging base defaults to the session's shared
+publish them into ``<target>`` as one layer (by moving the folder when the
+keys are unique); call rejects are written next to the staging folder.  The staging base defaults to the session's shared
 folder.  Session settings (partitions, checkpoint dir) come from
 ``spark-submit``.
 """
@@ -34,7 +34,9 @@ def _stage_and_publish(spark, cells, target: str, staging_base: str | None, repe
     name = target.rstrip("/").split("/")[-1]
     staging = S.staging_path(staging_base or shared_dir(spark), name)
     S.write_sorted_cells(cells, staging, presorted=True)
-    S.publish(spark, staging, target, resolve_repeats=repeats)
+    # The job's own staging folder is moved into the table, as a bulk load
+    # moves its files; cells with repeated keys are collapsed and rewritten.
+    S.publish(spark, staging, target, resolve_repeats=repeats, move=not repeats)
     return staging
 
 
