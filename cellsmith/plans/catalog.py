@@ -361,7 +361,7 @@ def q_publish_existing(spark, sf_dir):
     staging = S.write_sorted_cells(_contact_cells(spark, sf_dir), S.staging_path(base, "ns:contacts"),
                                    presorted=True)
     target = f"{base}/table"
-    S.publish_existing(spark, staging, target)
+    S.publish_existing(spark, staging, target, move=True)  # files move into the table, as a bulk load
     return S.read_cells(spark, target)
 
 

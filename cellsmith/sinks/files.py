@@ -234,11 +234,11 @@ def publish(spark: SparkSession, staging: str, target: str, validate: bool = Tru
 
 
 def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True,
-                     resolve_repeats: bool = False) -> str:
+                     resolve_repeats: bool = False, move: bool = False) -> str:
     """Publish a staging folder written by an earlier job."""
     if not _exists(spark, staging):
         raise FileNotFoundError(staging)
-    return publish(spark, staging, target, validate, resolve_repeats=resolve_repeats)
+    return publish(spark, staging, target, validate, resolve_repeats=resolve_repeats, move=move)
 
 
 def compact_cells(spark: SparkSession, target: str, compression: str = "snappy") -> str | None:
