@@ -37,7 +37,8 @@ def parse_calls(df: DataFrame, payload: str = "moxie_carrier_originalInfo", out:
     )
 
 
-def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid: str | None = None) -> DataFrame:
+def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid: str | None = None,
+                  payload: str | None = None) -> DataFrame:
     """One row per item of ``doc.calls[].items[]``.
 
     Keeps the columns in ``keep`` and adds ``call_pos`` and ``item_pos`` (the
@@ -46,7 +47,12 @@ def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid
     ``valid`` is false explode nothing; dropping them this way instead of by
     a filter keeps the optimizer from copying the JSON parse into a
     pushed-down predicate.  Narrow: no shuffle.
+
+    With ``payload`` (a JSON text column) the documents are parsed first and
+    invalid ones are skipped (``parse_calls``).
     """
+    if payload is not None:
+        df, doc, valid = parse_calls(df, payload, doc), doc, "_valid"
     keep = list(keep)
     calls = F.col(f"{doc}.calls")
     if valid:

@@ -159,3 +159,12 @@ def test_null_tel_cell_choice(spark):
     assert tel == [""]
     assert [r["tel"] for r in jobs.contact_rows(c).collect()] == [""]
     assert [r["tel"] for r in jobs.contact_rows(c, null_tel_cell="noTel").collect()] == ["noTel"]
+
+
+def test_flatten_calls_from_payload(spark):
+    from cellsmith.operators import nested as N
+
+    docs = fx.call_docs(spark, SF)
+    a = N.flatten_calls(docs, payload="moxie_carrier_originalInfo")
+    b = N.flatten_calls(N.parse_calls(docs), "doc", valid="_valid")
+    assert rows(a) == rows(b) and a.count() == fx.read_table(spark, SF, "lineitem").count()
