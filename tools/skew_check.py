@@ -3,15 +3,20 @@ ordinals through the window path and the split path must agree.
 
 Usage: python tools/skew_check.py
 """
-import sys, time, tempfile
-sys.path.insert(0, '/root/repo')
-from pyspark.sql import functions as F
-from cellsmith.session import local_session
-from cellsmith.sources import fixtures as fx
-from cellsmith.plans import jobs
-from cellsmith.operators import keys as K
+
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import functions as F  # noqa: E402
+from cellsmith.session import local_session, scratch_path  # noqa: E402
+from cellsmith.sources import fixtures as fx  # noqa: E402
+from cellsmith.plans import jobs  # noqa: E402
+from cellsmith.operators import keys as K  # noqa: E402
 spark = local_session("8", 8)
-p = tempfile.mkdtemp(prefix="skew-") + "/items"
+p = scratch_path(spark, "skew-items")
 items, _ = jobs.call_items(fx.call_docs(spark, "/root/testdata/sf0.1"), with_rejects=False)
 # a third of all items share one base key
 skewed = items.withColumn("base", F.when(F.xxhash64("details_id", "id") % 3 == 0, F.lit("HOT_")).otherwise(F.col("base")))
