@@ -40,12 +40,11 @@ def test_call_job_default_plan(spark, stored_docs):
 
 
 def test_scan_is_pruned(spark):
-    cells = jobs.raw_docs_to_cells(fx.raw_docs(spark, SF))
-    plan = plan_text(cells)
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan \
-        or "value:double" not in plan
-    contacts = jobs.contacts_to_cells(fx.contacts(spark, SF))
-    assert "o_totalprice" not in plan_text(contacts)
+    plan = plan_text(jobs.raw_docs_to_cells(fx.raw_docs(spark, SF)))
+    # events.value (a double) is never read
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
+    contacts = plan_text(jobs.contacts_to_cells(fx.contacts(spark, SF)))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderpriority:string>" in contacts
 
 
 def test_library_stays_on_the_jvm_path():
