@@ -82,5 +82,7 @@ def test_console_sink(spark):
                        options={"truncate": "false", "numRows": "3"}, processing_time="1 second")
     try:
         q.processAllAvailable()
+        assert q.exception() is None
+        assert sum(p.get("numInputRows", 0) for p in q.recentProgress) > 0
     finally:
         q.stop()
