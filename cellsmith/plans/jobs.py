@@ -184,13 +184,14 @@ def _check_strict(rejects: DataFrame, strict: bool) -> None:
 
 def contacts_to_cells(
     df: DataFrame, order_by: Sequence[str] = ("ord",), exclude: Sequence[str] = ("ord",),
-    strict: bool = False, null_tel_cell: str = C.NO_TEL, **seq
-) -> DataFrame:
+    strict: bool = False, null_tel_cell: str = C.NO_TEL, with_rejects: bool = False, **seq
+):
     """Contacts -> cells with unique keys ``reverse(phone)_tel_n``.
 
     A null tel is written as ``null_tel_cell`` in the cell (``noTel`` in this
     job).  Rows without a phone number are left out (``contact_rejects``);
     ``strict=True`` fails on them instead, like the original job.
+    ``with_rejects=True`` returns ``(cells, rejects)`` like ``calls_to_cells``.
     """
     _check_strict(contact_rejects(df), strict)
     cols = [c for c in df.columns if c not in exclude]
@@ -198,7 +199,8 @@ def contacts_to_cells(
     wide = keyed.select("rowkey", *[
         (F.coalesce(C.normalize_phone(F.col("tel")), F.lit(null_tel_cell)) if c == "tel"
          else C.text_or_empty(F.col(c), keyed.schema[c].dataType)).alias(c) for c in cols])
-    return sorted_cells(wide, "rowkey", cols, keys_unique=True)
+    cells = sorted_cells(wide, "rowkey", cols, keys_unique=True)
+    return (cells, contact_rejects(df)) if with_rejects else cells
 
 
 def contact_rows(df: DataFrame, exclude: Sequence[str] = ("ord",), raw: Sequence[str] = (),

@@ -168,3 +168,10 @@ def test_flatten_calls_from_payload(spark):
     a = N.flatten_calls(docs, payload="moxie_carrier_originalInfo")
     b = N.flatten_calls(N.parse_calls(docs), "doc", valid="_valid")
     assert rows(a) == rows(b) and a.count() == fx.read_table(spark, SF, "lineitem").count()
+
+
+def test_contacts_with_rejects(spark):
+    c = spark.createDataFrame([(1, "123", None, "a"), (2, None, "9", "b")],
+                              "ord long, phoneNo string, tel string, name string")
+    cells, rejects = jobs.contacts_to_cells(c, with_rejects=True)
+    assert cells.count() == 3 and [r["ord"] for r in rejects.collect()] == [2]
