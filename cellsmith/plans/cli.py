@@ -1,6 +1,6 @@
 """Command-line jobs, one per original batch program.
 
-    python -m cellsmith.plans.cli calls    <input> <target> [--staging DIR] [--table]
+    python -m cellsmith.plans.cli calls    <input> <target> [--staging DIR] [--table] [--files N]
     python -m cellsmith.plans.cli raw      <input> <target> [--staging DIR] [--table]
     python -m cellsmith.plans.cli contacts <input> <target> [--staging DIR] [--table] [--order-by COL ...] [--plain]
     python -m cellsmith.plans.cli wide     <input> <target> --recency COL [--table]
@@ -30,10 +30,11 @@ def _read(spark: SparkSession, source: str, table: bool):
     return spark.table(source) if table else spark.read.parquet(source)
 
 
-def _stage_and_publish(spark, cells, target: str, staging_base: str | None, repeats: bool = False) -> str:
+def _stage_and_publish(spark, cells, target: str, staging_base: str | None, repeats: bool = False,
+                       files: int | None = None) -> str:
     name = target.rstrip("/").split("/")[-1]
     staging = S.staging_path(staging_base or shared_dir(spark), name)
-    S.write_sorted_cells(cells, staging, presorted=True)
+    S.write_sorted_cells(cells, staging, files=files, presorted=True)
     # The job's own staging folder is moved into the table, as a bulk load
     # moves its files; cells with repeated keys are collapsed and rewritten.
     S.publish(spark, staging, target, resolve_repeats=repeats, move=not repeats)
@@ -53,6 +54,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     p.add_argument("--recency", nargs="+", default=None, help="recency columns of the wide upsert")
     p.add_argument("--strict", action="store_true", help="fail on rows the keys cannot be built for")
     p.add_argument("--resolve-repeats", action="store_true", help="publish: collapse repeated cells")
+    p.add_argument("--files", type=int, default=None, help="number of staged files (range partitions)")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"cellsmith-{a.job}").getOrCreate()
 
@@ -61,17 +63,19 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     df = _read(spark, a.source, a.table)
     if a.job == "calls":
         cells, rejects = jobs.calls_to_cells(df, strict=a.strict)
-        staging = _stage_and_publish(spark, cells, a.target, a.staging)
+        staging = _stage_and_publish(spark, cells, a.target, a.staging, files=a.files)
         rejects.write.mode("errorifexists").parquet(staging + "_rejects")
         return {"staging": staging, "rejects": staging + "_rejects"}
     if a.job == "raw":
         # raw keys repeat when one mobile has two documents in the same second
-        return {"staging": _stage_and_publish(spark, jobs.raw_docs_to_cells(df), a.target, a.staging, True)}
+        return {"staging": _stage_and_publish(spark, jobs.raw_docs_to_cells(df), a.target, a.staging, True,
+                                              files=a.files)}
     if a.job == "contacts":
         exclude = a.exclude if a.exclude is not None else [c for c in a.order_by if c in df.columns]
         cells = (jobs.contacts_to_cells_plain(df, exclude) if a.plain
                  else jobs.contacts_to_cells(df, a.order_by, exclude, strict=a.strict))
-        return {"staging": _stage_and_publish(spark, cells, a.target, a.staging, repeats=a.plain)}
+        return {"staging": _stage_and_publish(spark, cells, a.target, a.staging, repeats=a.plain,
+                                              files=a.files)}
     if not a.recency:
         p.error("wide needs --recency")
     rows = jobs.contact_rows(df, exclude=(), raw=tuple(a.recency))

@@ -47,3 +47,15 @@ def test_cli_reads_a_catalog_table(spark):
     # repeated keys collapse to one value per cell on publish
     assert S.read_cells(spark, f"{base}/t").count() == expect.dropDuplicates(
         ["rowkey", "family", "qualifier"]).count()
+
+
+def test_cli_files_option(spark):
+    import glob
+
+    base = scratch_path(spark, "t-cli-files")
+    fx.contacts(spark, SF).write.parquet(f"{base}/contacts")
+    cli.run(["contacts", f"{base}/contacts", f"{base}/t", "--staging", f"{base}/s", "--files", "3"], spark)
+    layer = S.live_layers(spark, f"{base}/t")[0]
+    files = glob.glob(f"{base}/t/v{layer:08d}/*.parquet".replace("file:", ""))
+    assert len(files) == 3
+    assert rows(S.read_cells(spark, f"{base}/t")) == rows(jobs.contacts_to_cells(spark.read.parquet(f"{base}/contacts")))
