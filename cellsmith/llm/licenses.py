@@ -11,7 +11,8 @@ to miss it is at most ``(1 - 0.17) ** 64 < 1e-5`` for each window, and nearly
 nil for a whole copy.  Then the share of the template's distinct shingles
 found in the window is computed exactly and kept from ``CONTAINMENT`` up.
 
-Windows with fewer template shingles of any kind than the smallest template
+Texts without any template's words (the longest of each shingle) are set aside
+first.  Windows with fewer template shingles of any kind than the smallest template
 of the class needs cannot reach the containment; they get no signature.
 
 Everything is DataFrame functions.  The band table of the templates has
@@ -27,6 +28,7 @@ are ignored.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,30 +57,43 @@ TEMPLATES = (
 )
 
 
-def _hashed(df: DataFrame, text: str, out: str, k: int = SHINGLE) -> DataFrame:
-    """Add ``out``: the shingle hashes of ``text``.
+def _words(text):
+    """Words of a text column: runs of a-z and 0-9 after lower-casing."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SPLIT), "")
 
-    The words go through a generator, so that they are split once and not
-    again for each shingle."""
-    split = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SPLIT), lambda w: w != "")
-    df = df.select("*", F.explode(F.array(split)).alias("_words")).drop(text)
-    words = F.col("_words")
-    runs = F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + j) for j in range(1, k)]))
-    whole = F.when(F.size(words) == 0, F.array().cast("array<long>")).otherwise(
-        F.array(F.xxhash64(F.lit("short"), words)))
-    return df.withColumn(out, F.when(F.size(words) >= k, F.slice(runs, F.lit(1), F.size(words) - (k - 1)))
-                         .otherwise(whole)).drop("_words")
+
+def _hashed(df: DataFrame, words: str, out: str, k: int = SHINGLE) -> DataFrame:
+    """Replace the array column ``words`` by ``out``, the shingle hashes in order."""
+    n = F.size(words)
+    ids = F.transform(words, lambda w: F.xxhash64(w))
+    df = df.withColumn("_ids", F.when(n > 0, ids).otherwise(F.array().cast("array<long>")))
+    df = df.select(*[c for c in df.columns if c not in (words, "_ids")], F.explode(F.array("_ids")).alias("_ids"))
+    n, ids = F.size("_ids"), F.col("_ids")
+    runs = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(ids, i + j) for j in range(k)]))
+    short = F.when(n > 0, F.array(F.xxhash64(F.lit("short"), ids))).otherwise(F.array().cast("array<long>"))
+    return df.withColumn(out, F.when(n >= k, runs).otherwise(short)).drop("_ids")
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES, k: int = SHINGLE) -> DataFrame:
     """``license, template, shingles (distinct), step``: one row per template."""
     rows = spark.createDataFrame([(a, i, b) for i, (a, b) in enumerate(templates)], "license string, template int, text string")
-    hashed = _hashed(rows, "text", "_h", k)
+    hashed = _hashed(rows.withColumn("words", _words(F.col("text"))).drop("text"), "words", "_h", k)
     distinct = F.array_distinct("_h")
     step = F.pow(F.lit(2), F.ceil(F.log2(F.size("shingles")))).cast("int")
     return hashed.withColumn("shingles", distinct).where(F.size("shingles") > 0).withColumn("step", step).drop("_h")
 
 
+def anchor_words(templates, k: int = SHINGLE) -> list[str]:
+    """The longest word of every shingle: a text that holds none of them holds no shingle."""
+    found = set()
+    for _, text in templates:
+        words = [w for w in re.split(SPLIT, text.lower()) if w]
+        for i in range(max(1, len(words) - k + 1)):
+            if words:
+                found.add(max(words[i: i + k], key=lambda w: (len(w), w)))
+    return sorted(found)
+
+
 def _bands(shingle_array, bands: int):
     seeds = F.sequence(F.lit(0), F.lit(bands - 1))
     return F.transform(seeds, lambda b: F.struct(
@@ -91,13 +106,18 @@ def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT,
     spark = docs.sparkSession
     table = template_table(spark, templates, k)
     small = len(templates) <= MAX_TEMPLATES
-    # The vocabulary and the least template of each class are bounded by the template list itself.
-    classes = {r.step: r.least for r in table.groupBy("step").agg(F.min(F.size("shingles")).alias("least")).collect()}
-    known = [r.h for r in table.select(F.explode("shingles").alias("h")).distinct().orderBy("h").collect()]
-    vocabulary = F.array(*[F.lit(h) for h in known])
-
-    rows = _hashed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), "_text", "_h", k)
-    rows = rows.withColumn("_common", F.array_intersect("_h", vocabulary))
+    # All of these are bounded by the template list itself.
+    parts = table.select("step", F.size("shingles").alias("n"), "shingles").collect()
+    classes: dict[int, int] = {}
+    for r in parts:
+        classes[r.step] = min(classes.get(r.step, r.n), r.n)
+    vocabulary = F.array(*[F.lit(h) for h in sorted({h for r in parts for h in r.shingles})])
+    anchors = F.array(*[F.lit(w) for w in anchor_words(templates, k)])
+
+    # The words go through a generator, so they are split once, whatever reads them.
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(F.array(_words(F.col(text)))).alias("_words"))
+    rows = rows.where(F.arrays_overlap("_words", anchors))
+    rows = _hashed(rows, "_words", "_h", k).withColumn("_common", F.array_intersect("_h", vocabulary))
     rows = rows.where(F.size("_common") > 0)
     hits = F.filter(F.transform("_h", lambda x, i: F.when(F.array_contains("_common", x), i)), lambda i: i.isNotNull())
     rows = rows.select("doc_id", "_h", F.explode(F.array(hits)).alias("_hits"))

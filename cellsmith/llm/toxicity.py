@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from cellsmith.llm.common import id_crc
 
-FIT_ROWS, UNITS, STEM, Z, PRIOR, DRIFT, PASSAGE, THRESHOLD = 20_000, 20_000, 5, 4.0, 0.1, 0.2, 0.01, 0.7
+FIT_ROWS, UNITS, STEM, Z, PRIOR, DRIFT, PASSAGE, THRESHOLD = 20_000, 20_000, 5, 3.5, 0.1, 0.2, 0.01, 0.7
 MAX_EVIDENCE, BINS = 40.0, 160
 CACHE = 400_000
 WORD = re.compile(r"[^\W_]+")
