@@ -176,7 +176,7 @@ def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(roll[a: b - size + 1]))
         elif b > a:
-            x = b - a
+            x = int(b - a)
             for w in h[a:b].tolist():
                 x = (x * int(k) + w) & 0xFFFFFFFFFFFFFFFF
             out.append(mix(np.array([x], np.uint64)))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ERROR, MIN_CHARS, BLOCK_CHARS = 0.06, 24, 8_000_000
+ERROR, MIN_CHARS, BLOCK_CHARS = 0.08, 24, 8_000_000
 
 
 def normal(text: str | None) -> str:

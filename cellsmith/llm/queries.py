@@ -93,7 +93,7 @@ c0 AS (SELECT *, tokens::DOUBLE AS w FROM cells),
 r AS (SELECT source, lang, topic, tokens, CASE WHEN tokens > 0 THEN w / tokens ELSE 1 END AS ratio FROM {last}),
 k AS (SELECT *, coalesce(sum(tokens) OVER (ORDER BY ratio DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_tokens,
   sum(tokens * ratio) OVER (ORDER BY ratio DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM r),
-s AS (SELECT min(({raking.KEEP} * (SELECT sum(tokens) FROM r) - full_tokens) / rest) AS scale FROM k
+s AS (SELECT max(({raking.KEEP} * (SELECT sum(tokens) FROM r) - full_tokens) / rest) AS scale FROM k
   WHERE rest > 0 AND ({raking.KEEP} * (SELECT sum(tokens) FROM r) - full_tokens) / rest * ratio <= 1),
 p AS (SELECT source, lang, topic, ratio, round(least(1, ratio * scale), 6) AS probability FROM r, s)
 SELECT doc_id, d.source, d.lang, d.topic, n_tokens, probability, CASE WHEN probability > 0 THEN round(ratio / probability, 4) ELSE 0 END AS weight,

@@ -54,8 +54,8 @@ def rake_local(cells: list[tuple], dims: int, targets: list[dict] | None, temper
     codes, goals = [], []
     for d in range(dims):
         labels = list(dict.fromkeys(c[d] for c in cells))
-        code = np.array([labels.index(c[d]) for c in cells]) if len(labels) < 50 else np.array(
-            list(map({x: i for i, x in enumerate(labels)}.get, (c[d] for c in cells))))
+        number = {x: i for i, x in enumerate(labels)}
+        code = np.array([number[c[d]] for c in cells], np.int64)
         sums = np.bincount(code, tokens, len(labels))
         share = dict(zip(labels, sums / max(tokens.sum(), 1)))
         goal = targets[d] if targets else tempered(share, temper)
