@@ -7,7 +7,7 @@ of ``TREES`` independent trees, a node sends each of its classes to
 child is named by the token.  Two classes of similarity ``j`` stay together
 in a child with chance ``j`` each.  At ``j = 0.75`` and two children a
 tree loses a pair with chance at most 0.111 however deep it goes (the least
-root of ``q = (0.25 + 0.75 q)^2``), so five trees lose at most 2e-5.
+root of ``q = (0.25 + 0.75 q)^2``), so four trees lose at most 2e-4.
 
 A node of at most ``LEAF`` classes is compared exhaustively: pairs whose
 minwise tokens agree often enough (four standard deviations below the
@@ -16,10 +16,15 @@ that are linked already; the node yields a spanning forest of true links.
 
 A larger node branches.  If a child keeps ``DENSE`` of its parent, its classes
 are mostly alike and more branching would not part them.  It is dealt out by
-hash into blocks of ``LEAF / 2``; each block is compared exhaustively, and of each
-of its components only the ``MEDOIDS`` members nearest to all others go on, with all that
-are in small components.  What goes on is a new node, so a group of any
-size is joined in rounds, and no task sees more than ``LEAF`` classes.
+hash into blocks of ``LEAF / 2``, each compared exhaustively like a node.  Of
+the members of a block that agree in ``SURE`` tokens, as chains, only the
+``MEDOIDS`` nearest to all others go on; all other members go on too.  What
+goes on is a new node, so a group of any size is joined in rounds, and no task
+sees more than ``LEAF`` classes.
+
+Full sets are made for the candidates alone, in a second reading of the
+texts; their ids are broadcast up to ``SMALL_IDS`` rows and joined by shuffle
+beyond.
 
 Components are found by alternating large-star and small-star steps on
 tables in the shared folder.
@@ -41,12 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsmith.llm.common import Words, by_group, mix, shingle_sets
+from cellsmith.llm.common import Words, by_group, mix, shingle_sets, within
 from cellsmith.session import materialize
 
-SHINGLE, T, TREES, BRANCH, LEAF, DENSE, MEDOIDS = 5, 64, 5, 2, 400, 0.6, 8
+SHINGLE, T, TREES, BRANCH, LEAF, DENSE, MEDOIDS = 5, 64, 4, 2, 400, 0.6, 8
 NUM, DEN = 75, 100  # link: DEN * intersection >= NUM * union
 LEAST_AGREE = 34  # of T = 64: four standard deviations under 0.75
+SURE = 56  # of T = 64: over 0.75 by more than two
+SMALL_IDS = 2_000_000
 
 _SEEDS = mix(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _A, _B = _SEEDS[:T] | np.uint64(1), _SEEDS[T:]
@@ -154,24 +161,14 @@ def _clusters(group: dict) -> Iterator[dict]:
                 yield {"cluster": name, "cid": c}
 
 
-def _links(group: dict, carry: bool) -> Iterator[dict]:
-    """Spanning links of a block on full sets; with ``carry`` also the classes that go on."""
-    cids = group["cid"].to_pylist()
-    if len(cids) > 1:
-        sets = [np.frombuffer(x, np.uint64) for x in group["elements"].to_pylist()]
-        sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(cids), T)
-        agree = agreement(sig)
-        up = list(range(len(cids)))
-        for i, j in _candidates(agree):
-            a, b = _find(up, i), _find(up, j)
-            if a != b and linked(sets[i], sets[j]):
-                up[a] = b
-                yield {"a": min(cids[i], cids[j]), "b": max(cids[i], cids[j]), "node": None}
-    else:
-        up, agree = [0], np.zeros((1, 1))
-    if not carry:
-        return
-    node = group["node"][0].as_py()
+def _carry(group: dict) -> Iterator[dict]:
+    """The classes of a block that go on."""
+    cids, node = group["cid"].to_pylist(), group["node"][0].as_py()
+    sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(cids), T)
+    agree = agreement(sig)
+    up = list(range(len(cids)))
+    for i, j in zip(*np.nonzero(np.triu(agree >= SURE, 1))):
+        up[_find(up, int(i))] = _find(up, int(j))
     members: dict[int, list[int]] = {}
     for i in range(len(cids)):
         members.setdefault(_find(up, i), []).append(i)
@@ -180,7 +177,20 @@ def _links(group: dict, carry: bool) -> Iterator[dict]:
             near = agree[np.ix_(m, m)].sum(1)
             m = [m[i] for i in np.argsort(-near, kind="stable")[:MEDOIDS]]
         for i in m:
-            yield {"a": cids[i], "b": None, "node": node}
+            yield {"node": node, "cid": cids[i]}
+
+
+def _links(group: dict) -> Iterator[dict]:
+    """Spanning links of a cluster, on full sets."""
+    cids = group["cid"].to_pylist()
+    sets = [np.frombuffer(x, np.uint64) for x in group["elements"].to_pylist()]
+    sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(cids), T)
+    up = list(range(len(cids)))
+    for i, j in _candidates(agreement(sig)):
+        a, b = _find(up, i), _find(up, j)
+        if a != b and linked(sets[i], sets[j]):
+            up[a] = b
+            yield {"a": min(cids[i], cids[j]), "b": max(cids[i], cids[j])}
 
 
 def _split_open(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -190,48 +200,52 @@ def _split_open(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return leaf, dense, branch
 
 
-def links(classes: DataFrame, sets_of, trees: int = TREES) -> DataFrame:
-    """Spanning links ``(a, b)`` between class ids of ``classes (cid, sig)``.
-
-    ``sets_of(cids)`` gives ``(cid, elements, sig)`` of the class ids asked for."""
+def leaves(classes: DataFrame, trees: int = TREES) -> DataFrame:
+    """``(node, cid)``: groups of at most ``LEAF`` classes to compare exhaustively."""
     far = float(1 << 62)
     roots = classes.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("node"), "cid", "sig")
     roots = roots.withColumn("node", F.xxhash64(F.lit("root"), "node"))
     now = materialize(_sized(_children(roots, 11)).withColumn("parent", F.lit(far)), "nodes")
-    full = materialize(sets_of(now.select("cid").distinct()), "sets")
-    leaves, found = [], []
+    found = []
     for step in range(1, 60):
         leaf, dense, branch = _split_open(now)
-        leaves.append(leaf.select("node", "cid"))
-        big = {r.d: r.n for r in now.where(F.col("size") > LEAF).groupBy(
-            (F.col("size") >= DENSE * F.col("parent")).alias("d")).agg(F.count("*").alias("n")).collect()}
+        found.append(leaf.select("node", "cid"))
+        big = {r.d for r in now.where(F.col("size") > LEAF).select(
+            (F.col("size") >= DENSE * F.col("parent")).alias("d")).distinct().collect()}
         nxt = None
-        if big.get(False):
+        if False in big:
             rows = branch.select("node", "cid", F.col("size").cast("double").alias("_size")).join(classes, "cid")
             nxt = _sized(_children(rows, 100 * step)).withColumnRenamed("_size", "parent").select("node", "cid", "size", "parent")
-        if big.get(True):
+        if True in big:
             count = F.ceil(F.col("size") / F.lit(LEAF // 2))
             block = F.xxhash64("node", F.pmod(F.xxhash64(F.lit(step), "cid"), count))
-            rows = dense.select("node", "cid", block.alias("block")).join(full, "cid")
-            got = materialize(by_group(rows, "block", lambda g: _links(g, True), "a binary, b binary, node long"), "blocks")
-            found.append(got.where("b is not null").select("a", "b"))
-            on = got.where("b is null").select(F.xxhash64(F.lit(step), "node").alias("node"), F.col("a").alias("cid"))
-            on = _sized(on).withColumn("parent", F.lit(far)).select("node", "cid", "size", "parent")
+            rows = dense.select("node", "cid", block.alias("block"))
+            found.append(rows.select(F.col("block").alias("node"), "cid"))
+            on = materialize(by_group(rows.join(classes, "cid"), "block", _carry, "node long, cid binary"), "blocks")
+            on = _sized(on.withColumn("node", F.xxhash64(F.lit(step), "node"))).withColumn("parent", F.lit(far))
+            on = on.select("node", "cid", "size", "parent")
             nxt = on if nxt is None else nxt.unionByName(on)
         if nxt is None:
             break
         now = materialize(nxt, "nodes")
     else:
         raise RuntimeError("nodes remain after 60 levels")
-    all_leaves = leaves[0]
-    for more in leaves[1:]:
-        all_leaves = all_leaves.unionByName(more)
-    grouped = by_group(all_leaves.join(classes, "cid"), "node", _clusters, "cluster long, cid binary").distinct()
-    exact = by_group(grouped.join(full, "cid"), "cluster", lambda g: _links(g, False), "a binary, b binary, node long")
-    out = exact.select("a", "b")
-    for more in found:
+    out = found[0]
+    for more in found[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out
+
+
+def links(classes: DataFrame, sets_of, trees: int = TREES) -> DataFrame:
+    """Spanning links ``(a, b)`` between class ids of ``classes (cid, sig)``.
+
+    ``sets_of(cids)`` gives ``(cid, elements, sig)`` of the class ids asked for."""
+    grouped = leaves(classes, trees).join(classes, "cid")
+    clusters = materialize(by_group(grouped, "node", _clusters, "cluster long, cid binary").distinct(), "clusters")
+    full = materialize(sets_of(clusters.select("cid").distinct()), "sets")
+    if full.count() > full.select("cid").distinct().count():  # ids given to several rows
+        full = materialize(full.dropDuplicates(["cid"]), "sets")
+    return by_group(clusters.join(full, "cid"), "cluster", _links, "a binary, b binary").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -260,9 +274,10 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, doc_id: str = "doc_id",
     classes = materialize(base.where("n_shingles > 0").groupBy("cid", "sig").agg(F.min("doc_id").alias("least")), "classes")
 
     def sets_of(cids: DataFrame) -> DataFrame:
-        ids = classes.join(cids, "cid").select(F.col("least").alias("_id")).distinct()
+        ids = materialize(classes.join(cids, "cid").select(F.col("least").alias("_id")).distinct(), "ids")
+        ids = F.broadcast(ids) if within(ids, SMALL_IDS) else ids
         part = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        return part.mapInArrow(_sets_task(True), "cid binary, elements binary, sig binary").dropDuplicates(["cid"])
+        return part.mapInArrow(_sets_task(True), "cid binary, elements binary, sig binary")
 
     label = components(links(classes.select("cid", "sig"), sets_of, trees)).select(F.col("id").alias("cid"), "label")
     named = classes.select("cid", "least").join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
