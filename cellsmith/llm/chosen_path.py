@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from cellsmith.llm.common import Words, by_group, mix, shingle_sets, within
 from cellsmith.session import materialize
 
-SHINGLE, T, TREES, BRANCH, LEAF, DENSE, MEDOIDS = 5, 64, 4, 2, 400, 0.6, 8
+SHINGLE, T, TREES, BRANCH, LEAF, DENSE, MEDOIDS = 5, 64, 4, 2, 1200, 0.6, 8
 NUM, DEN = 75, 100  # link: DEN * intersection >= NUM * union
 LEAST_AGREE = 34  # of T = 64: four standard deviations under 0.75
 SURE = 48  # of T = 64: at the threshold
