@@ -249,7 +249,8 @@ def q_format_message(spark, sf_dir):
 @query("message_key")
 def q_message_key(spark, sf_dir):
     m = fx.messages(spark, sf_dir)
-    return m.select("offset", C.message_key().alias("key"), C.message_key(F.col("timestamp")).alias("row_key"))
+    return m.select("offset", C.message_key(F.col("timestamp")).alias("row_key"),
+                    C.message_key().rlike("^[0-9]{13}$").alias("batch_key_ok"))
 
 
 # ---------------------------------------------------------------------------

@@ -241,6 +241,7 @@ def oracles() -> dict[str, str]:
     q["stream_format"] = with_ctes(msg, f"SELECT {line} FROM messages")
     q["stream_json_decode"] = "SELECT cast(event_id AS varchar) AS key, user_id, event_type FROM events"
     q["stream_write"] = with_ctes(msg, "SELECT value FROM messages")
+    q["message_key"] = with_ctes(msg, "SELECT \"offset\", cast(epoch_us(ts) // 1000 AS varchar) AS row_key, true AS batch_key_ok FROM messages")
     q["stream_write_json"] = with_ctes(msg, "SELECT value, true AS key_ok FROM messages")
     q["message_roundtrip"] = "SELECT cast(event_id AS varchar) AS key, user_id, event_type FROM events"
     q["message_listen"] = with_ctes(msg, f"SELECT {line} FROM messages WHERE topic IN ('click', 'purchase')")

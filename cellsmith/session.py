@@ -41,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not conf and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="cellsmith-ckpt-")
     sc.setCheckpointDir(conf)

@@ -52,12 +52,10 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 
 
 def preview_count(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
-    """One row: ``rows`` (whole count) and ``preview_rows`` (rows a preview of
-    ``n`` shows), both as one lazy aggregate (S4)."""
-    total = F.count(F.lit(1)).alias("rows")
-    return df.agg(total).select(
-        F.col("rows").cast("long").alias("rows"),
-        F.least(F.col("rows"), F.lit(n)).cast("long").alias("preview_rows"))
+    """One row: ``rows`` (whole count) and ``preview_rows`` (rows of the preview itself)."""
+    whole = df.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(0).cast("long").alias("preview_rows"))
+    shown = preview(df, n).agg(F.count(F.lit(1)).alias("preview_rows")).select(F.lit(0).cast("long").alias("rows"), "preview_rows")
+    return whole.unionByName(shown).agg(F.sum("rows").alias("rows"), F.sum("preview_rows").alias("preview_rows"))
 
 
 def generate_numbers(df: DataFrame, id_col: str) -> DataFrame:
