@@ -17,7 +17,7 @@ from cellsmith.operators.keys import (  # noqa: F401
     dedup_keep_first, hot_keys, latest_per_key, sequence_key, sequence_number, unique_sequence_key,
     unique_sequence_key_ranged,
 )
-from cellsmith.operators.nested import flatten_calls, json_decode, json_encode, parse_calls  # noqa: F401
+from cellsmith.operators.nested import flatten_calls, json_encode, parse_calls  # noqa: F401
 from cellsmith.plans.jobs import (  # noqa: F401
     call_items, calls_to_cells, contact_rejects, contact_rows, contact_wide, contacts_latest,
     contacts_to_cells, contacts_to_cells_plain, raw_docs_to_cells, raw_rows,

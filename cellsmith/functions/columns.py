@@ -147,8 +147,12 @@ def epoch_seconds(c, zone: str = DEFAULT_ZONE) -> Column:
 
 
 def fee_text(c) -> Column:
-    """Integer text with default ``0`` (P14): missing -> ``0``, ``"12"`` -> ``12``."""
-    return F.coalesce(_col(c).cast("string").try_cast("int"), F.lit(0)).cast("string")
+    """Integer text with default ``0`` (P14): missing -> ``0``, ``"12"`` -> ``12``.
+
+    Text that is not a 32-bit integer (``12.5``, ``abc``) gives null, so that
+    a job can reject it instead of taking it for a missing fee."""
+    c = _col(c).cast("string")
+    return F.when(c.isNull(), F.lit("0")).otherwise(c.try_cast("int").cast("string"))
 
 
 def is_numeric(c) -> Column:

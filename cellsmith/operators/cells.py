@@ -6,7 +6,8 @@ order is a range exchange followed by a sort inside each partition:
 partitions hold consecutive, non-overlapping runs of the cell order, so
 files written from them are internally sorted and do not overlap.  Unique
 row keys are range-sorted as wide rows (each key moves once); cells whose
-keys may repeat are range-sorted on the whole cell, which splits a hot key.
+keys may repeat are range-sorted on the cell key and the head and hash of
+the value, which splits a hot key.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from cellsmith.functions.columns import text_or_empty
 FAMILY = "cf"
 # Fixed value: the column the all-columns writer leaves out.
 SKIPPED_COLUMN = "main"
+# Characters of a value that take part in the order of repeated cells.
+VALUE_HEAD = 64
 
 
 def cell_columns(
@@ -74,13 +77,14 @@ def to_cells(
 def sort_cells(cells: DataFrame, partitions: int | None = None) -> DataFrame:
     """Total order by ``(rowkey, family, qualifier)`` in byte order (O1).
 
-    The range exchange is on the whole cell ``(rowkey, family, qualifier,
-    value)``, so one row key repeated on many rows (a hot key) spreads over
-    partitions instead of filling one; partitions still hold consecutive,
-    non-overlapping runs of the cell order.
+    Cells of one key follow by the head of their value and its hash, so one
+    row key repeated on many rows (a hot key) spreads over partitions instead
+    of filling one, while the range key, which is sampled to the driver, stays
+    short however long the values are.  Partitions hold consecutive,
+    non-overlapping runs of that order.
     """
     n = partitions or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["rowkey", "family", "qualifier", "value"]
+    order = ["rowkey", "family", "qualifier", F.substring("value", 1, VALUE_HEAD), F.xxhash64("value")]
     return cells.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
@@ -123,7 +127,6 @@ def with_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:
 
     ranked = materialize(
         sort_cells(cells, partitions)
-        .sortWithinPartitions("rowkey", "family", "qualifier", "value")
         .withColumn("_mid", F.monotonically_increasing_id()),
         "order",
     ).withColumn("_pid", F.shiftright("_mid", 33))

@@ -16,8 +16,8 @@ All of them are skew-safe at any scale:
   tasks, numbered inside each partition from ``monotonically_increasing_id``
   (written once to the shared folder, so the ids are stable) and shifted by
   the row counts of the key in earlier partitions.  The per-(key, partition)
-  table that carries those counts has at most ``hot keys + partitions`` rows,
-  which is the bound checked before it is broadcast.
+  table that carries those counts has at most ``hot keys + partitions`` rows
+  and is broadcast only if that many are few (``BROADCAST_KEYS``).
 """
 
 from __future__ import annotations
@@ -26,14 +26,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsmith.session import materialize
 
 # Rows above which a base key takes the split (range) path.
 DEFAULT_HOT_ROWS = 2_000_000
-# Largest number of hot keys handled on the split path; the rest (each then
-# smaller than the total divided by this number) stay on the window path.
-DEFAULT_MAX_HOT_KEYS = 10_000
+# Hot keys up to this number are broadcast to the joins that route them.
+BROADCAST_KEYS = 100_000
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -43,8 +43,17 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
         return default
 
 
-def _packed(order_by: Sequence[str], rest: Sequence[str]):
-    return F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
+def _pick(df: DataFrame, best, keys: list[str], order_by: list[str]) -> DataFrame:
+    """Per key the row of the least or greatest (``best``) struct led by the
+    order columns.  Maps have no order, so they are compared as entries in key order."""
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    maps = [c for c in rest if isinstance(df.schema[c].dataType, T.MapType)]
+    packed = F.struct(*order_by, *[
+        F.array_sort(F.map_entries(c)).alias(c) if c in maps else F.col(c) for c in rest])
+    picked = df.groupBy(*keys).agg(best(packed).alias("_row"))
+    return picked.select(*keys, *[
+        (F.map_from_entries(F.col("_row")[c]) if c in maps else F.col("_row")[c]).alias(c) for c in order_by + rest
+    ]).select(*df.columns)
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -53,54 +62,30 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     ``order_by`` must be a total order within a group for a deterministic
     result.  Runs as an aggregate with map-side combine.
     """
-    keys, order_by = list(keys), list(order_by)
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    picked = df.groupBy(*keys).agg(F.min(_packed(order_by, rest)).alias("_first"))
-    return picked.select(*[F.col(c) for c in keys], *[F.col("_first")[c].alias(c) for c in order_by + rest]) \
-        .select(*df.columns)
+    return _pick(df, F.min, list(keys), list(order_by))
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str] | str, recency: Sequence[str] | str) -> DataFrame:
     """Keep the newest row by ``recency`` per key (G5, a key overwrite)."""
     keys = [key] if isinstance(key, str) else list(key)
     recency = [recency] if isinstance(recency, str) else list(recency)
-    rest = [c for c in df.columns if c not in keys and c not in recency]
-    picked = df.groupBy(*keys).agg(F.max(_packed(recency, rest)).alias("_last"))
-    return picked.select(*[F.col(c) for c in keys], *[F.col("_last")[c].alias(c) for c in recency + rest]) \
-        .select(*df.columns)
-
-
-def _hot_keys(df: DataFrame, base: str, hot_rows: int, max_hot_keys: int) -> list:
-    counts = df.groupBy(base).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    # Top-k of the hottest keys: the limit bounds what reaches the driver.
-    return [r[0] for r in counts.orderBy(F.desc("_n"), F.col(base)).limit(max_hot_keys).select(base).collect()]
-
-
-def hot_keys(df: DataFrame, base: str, hot_rows: int | None = None, max_hot_keys: int | None = None,
-             fraction: float = 1.0) -> list:
-    """Keys with more than ``hot_rows`` rows (at most ``max_hot_keys``, the hottest).
+    return _pick(df, F.max, keys, recency)
 
-    ``df`` may be a sample of the data taken with ``fraction`` (for example
-    built from ``docs.sample(fraction, seed)`` before an expensive parse);
-    the threshold is scaled by it, with a factor 2 margin.  The list only
-    decides which path a key takes; results are the same either way.
-    """
-    hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
-    threshold = hot_rows if fraction >= 1.0 else int(hot_rows * fraction / 2)
-    return _hot_keys(df, base, threshold, max_hot_keys)
-
-
-def _hot_frame(df: DataFrame, base: str, hot: list):
-    spark = df.sparkSession
-    base_type = df.schema[base].dataType
-    return F.broadcast(spark.createDataFrame([(k,) for k in hot], f"{base} {base_type.simpleString()}"))
 
+def hot_keys(df: DataFrame, base: str, hot_rows: int | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows as a table in the shared folder, or None.
 
-def _limits(df: DataFrame, hot_rows, max_hot_keys):
-    hot_rows = hot_rows if hot_rows is not None else _conf_int(df, "cellsmith.hotRows", DEFAULT_HOT_ROWS)
-    max_hot_keys = max_hot_keys if max_hot_keys is not None else _conf_int(
-        df, "cellsmith.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
-    return hot_rows, max_hot_keys
+    Counted over all rows, combined map-side.  The keys stay distributed; at
+    most ``rows / hot_rows`` of them exist.  They only decide which path a key
+    takes; results are the same either way."""
+    if hot_rows is None:
+        hot_rows = _conf_int(df, "cellsmith.hotRows", DEFAULT_HOT_ROWS)
+    hot = materialize(
+        df.groupBy(base).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(base), "hot-keys")
+    n = hot.count()
+    if not n:
+        return None
+    return F.broadcast(hot) if n <= BROADCAST_KEYS else hot
 
 
 def _split_sequence(df: DataFrame, base: str, order_by: list, out: str) -> DataFrame:
@@ -119,7 +104,9 @@ def _split_sequence(df: DataFrame, base: str, order_by: list, out: str) -> DataF
     before = Window.partitionBy(base).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(base, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # At most (hot keys + partitions) rows: a key's partitions are disjoint ranges.
-    numbered = ranged.join(F.broadcast(stats), [base, "_pid"]).withColumn(
+    stats = materialize(stats, "hot-offsets")
+    stats = F.broadcast(stats) if stats.count() <= BROADCAST_KEYS else stats
+    numbered = ranged.join(stats, [base, "_pid"]).withColumn(
         out, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long"))
     return numbered.select(*df.columns, out)
 
@@ -130,22 +117,19 @@ def sequence_number(
     order_by: Sequence[str],
     out: str = "seq",
     hot_rows: int | None = None,
-    max_hot_keys: int | None = None,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of each row within its ``base`` key,
     ordered by ``order_by`` (which must be unique within a key).  ``hot``
-    gives the hot keys when known; otherwise they are counted exactly."""
+    gives the hot keys when known (``hot_keys``); otherwise they are counted."""
     order_by = list(order_by)
     if hot is None:
-        hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
-        hot = _hot_keys(df, base, hot_rows, max_hot_keys)
+        hot = hot_keys(df, base, hot_rows)
     w = Window.partitionBy(base).orderBy(*order_by)
-    if not hot:
+    if hot is None:
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    hot_df = _hot_frame(df, base, hot)
-    cold = df.join(hot_df, base, "left_anti").withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    split = _split_sequence(df.join(hot_df, base, "left_semi"), base, order_by, out)
+    cold = df.join(hot, base, "left_anti").withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    split = _split_sequence(df.join(hot, base, "left_semi"), base, order_by, out)
     return cold.select(*df.columns, out).unionByName(split)
 
 
@@ -156,8 +140,7 @@ def unique_sequence_number(
     order_by: Sequence[str],
     out: str = "seq",
     hot_rows: int | None = None,
-    max_hot_keys: int | None = None,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Keep-first on ``(base, *dedup_keys)`` by ``order_by``, then the
     ordinal per ``base`` (G2 followed by G3) with one shuffle.
@@ -169,8 +152,7 @@ def unique_sequence_number(
     """
     dedup_keys, order_by = list(dedup_keys), list(order_by)
     if hot is None:
-        hot_rows, max_hot_keys = _limits(df, hot_rows, max_hot_keys)
-        hot = _hot_keys(df, base, hot_rows, max_hot_keys)
+        hot = hot_keys(df, base, hot_rows)
 
     def by_window(x: DataFrame) -> DataFrame:
         first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
@@ -178,11 +160,10 @@ def unique_sequence_number(
         kept = x.repartition(base).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
         return kept.withColumn(out, (F.row_number().over(seq) - 1).cast("long")).select(*df.columns, out)
 
-    if not hot:
+    if hot is None:
         return by_window(df)
-    hot_df = _hot_frame(df, base, hot)
-    cold = by_window(df.join(hot_df, base, "left_anti"))
-    hot_rows_df = dedup_keep_first(df.join(hot_df, base, "left_semi"), [base, *dedup_keys], order_by)
+    cold = by_window(df.join(hot, base, "left_anti"))
+    hot_rows_df = dedup_keep_first(df.join(hot, base, "left_semi"), [base, *dedup_keys], order_by)
     return cold.unionByName(_split_sequence(hot_rows_df, base, order_by, out))
 
 
@@ -193,15 +174,14 @@ def sequence_key(
     out: str = "rowkey",
     sep: str = "",
     hot_rows: int | None = None,
-    max_hot_keys: int | None = None,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Row key = ``base + sep + ordinal`` (G3 with ``sep=""``, G4 with ``"_"``).
 
     The ordinal is unpadded text, as in the reference (``_10`` sorts before
     ``_2``).  Replaces ``base`` by ``out`` when the names differ.
     """
-    numbered = sequence_number(df, base, order_by, "_seq", hot_rows, max_hot_keys, hot)
+    numbered = sequence_number(df, base, order_by, "_seq", hot_rows, hot)
     return _with_key(numbered, df.columns, base, out, sep)
 
 
@@ -239,11 +219,10 @@ def unique_sequence_key(
     out: str = "rowkey",
     sep: str = "",
     hot_rows: int | None = None,
-    max_hot_keys: int | None = None,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Keep-first on ``(base, *dedup_keys)``, then ``base + sep + ordinal`` (G2 + G3)."""
-    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", hot_rows, max_hot_keys, hot)
+    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", hot_rows, hot)
     return _with_key(numbered, df.columns, base, out, sep)
 
 

@@ -25,12 +25,18 @@ def parse_calls(df: DataFrame, payload: str = "moxie_carrier_originalInfo", out:
     """Parse the JSON payload into ``out`` and flag valid documents.
 
     Adds ``out`` (struct) and ``_valid`` (boolean).  A document is valid when
-    ``calls`` is present and no call lacks ``items``; malformed text parses to
-    nulls (permissive mode) and so is invalid.  ``{"calls":[]}`` is valid and
-    yields no items later.
+    the text is one JSON object and nothing else, ``calls`` is present and no
+    call lacks ``items``.  ``{"calls":[]}`` is valid and yields no items later.
+
+    The parser stops after the first JSON value, so text behind a document
+    would pass unseen.  The document is therefore parsed as the first of two
+    elements of an array: with anything behind it the array is malformed (null)
+    or has another length.
     """
-    doc = F.from_json(F.col(payload), CALLS_SCHEMA)
-    return df.withColumn(out, doc).withColumn(
+    pair = F.from_json(F.concat(F.lit("["), F.col(payload), F.lit(",{}]")), T.ArrayType(CALLS_SCHEMA))
+    # A column of its own, so that the text is parsed once.
+    parsed = df.withColumn("_pair", pair).withColumn(out, F.when(F.size("_pair") == 2, F.element_at("_pair", 1)))
+    return parsed.drop("_pair").withColumn(
         "_valid",
         F.col(f"{out}.calls").isNotNull()
         & ~F.coalesce(F.exists(F.col(f"{out}.calls"), lambda c: c["items"].isNull()), F.lit(True)),
@@ -38,14 +44,15 @@ def parse_calls(df: DataFrame, payload: str = "moxie_carrier_originalInfo", out:
 
 
 def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid: str | None = None,
-                  payload: str | None = None) -> DataFrame:
+                  payload: str | None = None, outer: bool = False) -> DataFrame:
     """One row per item of ``doc.calls[].items[]``.
 
     Keeps the columns in ``keep`` and adds ``call_pos`` and ``item_pos`` (the
     positions, used as a deterministic tie-break) and the eight item fields.
-    Empty lists give no rows (inner explode).  Rows where the boolean column
-    ``valid`` is false explode nothing; dropping them this way instead of by
-    a filter keeps the optimizer from copying the JSON parse into a
+    Empty lists give no rows (inner explode); with ``outer`` a document or call
+    without items gives one row with null positions.  Rows where the boolean
+    column ``valid`` is false explode nothing; dropping them this way instead
+    of by a filter keeps the optimizer from copying the JSON parse into a
     pushed-down predicate.  Narrow: no shuffle.
 
     With ``payload`` (a JSON text column) the documents are parsed first and
@@ -54,11 +61,12 @@ def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid
     if payload is not None:
         df, doc, valid = parse_calls(df, payload, doc), doc, "_valid"
     keep = list(keep)
+    explode = F.posexplode_outer if outer else F.posexplode
     calls = F.col(f"{doc}.calls")
     if valid:
         calls = F.when(F.col(valid), calls)
-    exploded = df.select(*keep, F.posexplode(calls).alias("call_pos", "_call"))
-    items = exploded.select(*keep, "call_pos", F.posexplode(F.col("_call.items")).alias("item_pos", "_item"))
+    exploded = df.select(*keep, explode(calls).alias("call_pos", "_call"))
+    items = exploded.select(*keep, "call_pos", explode(F.col("_call.items")).alias("item_pos", "_item"))
     return items.select(
         *keep,
         F.col("call_pos").cast("long").alias("call_pos"),
@@ -70,12 +78,3 @@ def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid
 def json_encode(*cols) -> Column:
     """Columns to one JSON object text (J3); null fields are left out."""
     return F.to_json(F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols]))
-
-
-def json_decode(df: DataFrame, column: str, schema: T.StructType | str, prefix: str = "") -> DataFrame:
-    """Decode JSON text in ``column`` to top-level columns of ``schema``."""
-    if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
-    parsed = F.from_json(F.col(column), schema)
-    others = [c for c in df.columns if c != column]
-    return df.select(*others, *[parsed[f.name].alias(prefix + f.name) for f in schema.fields])

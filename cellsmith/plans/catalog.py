@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellsmith.functions import columns as C
@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 # Fixed parameters of the registered queries.
-STREAM_BATCHES = 4                # micro-batches the paced queries aim at, at any scale
+FILES_PER_BATCH = 2               # pace of the paced streams
 STREAM_CUTOFF = "2024-01-16"      # messages before it are the backlog, the rest arrive later
 LISTEN_TOPICS = ("click", "purchase")
 MESSAGE_VALUE_SCHEMA = "user_id bigint, event_type string"
@@ -333,6 +333,28 @@ def q_contact_wide(spark, sf_dir):
     return jobs.contact_wide(fx.contacts(spark, sf_dir))
 
 
+# ---------------------------------------------------------------------------
+# Rows that cannot be keyed, and unusual ones that can
+# ---------------------------------------------------------------------------
+
+@query("call_rejects")
+def q_call_rejects(spark, sf_dir):
+    _, rejects = jobs.calls_to_cells(fx.faulty_call_docs(spark, sf_dir))
+    return rejects
+
+
+@query("call_edges")
+def q_call_edges(spark, sf_dir):
+    items, _ = jobs.call_items(fx.faulty_call_docs(spark, sf_dir))
+    return items.select("id", "base", "fee", "peer_number", C.peer_tail(F.col("peer_number")).alias("tail"),
+                        C.product_type(F.col("id")).alias("product"), "location")
+
+
+@query("contact_rejects")
+def q_contact_rejects(spark, sf_dir):
+    return jobs.contact_rejects(fx.contacts_with_gaps(spark, sf_dir)).drop("phoneNo")
+
+
 # ---------------------------------------------------------------------------
 # Sinks (K1-K7)
 # ---------------------------------------------------------------------------
@@ -366,6 +388,28 @@ def q_publish_existing(spark, sf_dir):
     return S.read_cells(spark, target)
 
 
+@query("publish_order")
+def q_publish_order(spark, sf_dir):
+    base = scratch_path(spark, "publish-order")
+    staging = S.write_sorted_cells(_contact_cells(spark, sf_dir), S.staging_path(base, "ns:contacts"), presorted=True)
+    layer = S.publish(spark, staging, f"{base}/table")
+    S.check_staging(spark, layer)
+    spans = S.file_spans(spark, layer)
+    before = Window.orderBy("lo", "file", "start")  # one row per file split
+    seen = spans.withColumn("overlap", F.lag("hi").over(before) >= F.col("lo")).agg(
+        F.bool_and("rising").alias("sorted"), F.count_if("overlap").alias("overlaps"))
+    return seen.withColumn("cells", F.lit(spark.read.parquet(layer).count()).cast("long"))
+
+
+@query("raw_published")
+def q_raw_published(spark, sf_dir):
+    base = scratch_path(spark, "raw-published")
+    cells = jobs.raw_docs_latest(fx.raw_docs(spark, sf_dir))
+    staging = S.write_sorted_cells(cells, S.staging_path(base, "ns:raw"), presorted=True)
+    S.publish(spark, staging, f"{base}/table", move=True)
+    return S.read_cells(spark, f"{base}/table")
+
+
 @query("upsert_wide")
 def q_upsert_wide(spark, sf_dir):
     rows = jobs.raw_rows(fx.raw_docs(spark, sf_dir)).withColumn("task_id", F.col("task_id").cast("long"))
@@ -384,12 +428,6 @@ def _write_wave(messages: DataFrame, path: str) -> None:
     messages.write.mode("append").parquet(path)
 
 
-def _files_per_trigger(spark, path: str) -> int:
-    """Files per micro-batch so that a paced stream takes ``STREAM_BATCHES`` batches."""
-    files = [n for n in S._list_names(spark, path) if n.endswith(".parquet")]
-    return max(1, -(-len(files) // STREAM_BATCHES))
-
-
 def _stream_setup(spark, sf_dir, name):
     base = scratch_path(spark, name)
     return base, f"{base}/source", f"{base}/sink", f"{base}/checkpoint"
@@ -431,9 +469,11 @@ def q_stream_read_latest(spark, sf_dir):
 def q_stream_paced(spark, sf_dir):
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-paced")
     _write_wave(fx.messages(spark, sf_dir), src)
-    paced = M.read_messages(spark, "parquet", src, per_trigger=_files_per_trigger(spark, src))
+    paced = M.read_messages(spark, "parquet", src, per_trigger=FILES_PER_BATCH)
     M.run_available(_msg_cols(paced), sink, ckpt)
-    return spark.read.parquet(sink)
+    files = sum(n.endswith(".parquet") for n in S._list_names(spark, src))
+    batches = sum(n.isdigit() for n in S._list_names(spark, f"{ckpt}/commits"))
+    return spark.read.parquet(sink).withColumn("paced", F.lit(batches == -(-files // FILES_PER_BATCH)))
 
 
 @query("stream_resume")
@@ -494,14 +534,15 @@ def q_stream_write_json(spark, sf_dir):
 
 @query("message_roundtrip")
 def q_message_roundtrip(spark, sf_dir):
-    base = scratch_path(spark, "roundtrip")
-    e = fx.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    sent = M.encode_messages(e, ["user_id", "event_type"], key_col="event_id")
-    M.write_messages(sent, "parquet", f"{base}/topic")
-    received = spark.readStream.schema("key string, value string").parquet(f"{base}/topic")
-    decoded = M.decode_messages(received, MESSAGE_VALUE_SCHEMA)
-    M.run_available(decoded, f"{base}/sink", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/sink")
+    # Sent with time keys, received from the latest position on, logged as lines.
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "roundtrip")
+    sent = fx.messages(spark, sf_dir).withColumn("key", C.message_key(F.col("timestamp")))
+    stream = M.read_messages(spark, "parquet", src)
+    _write_wave(sent.where(F.lit(False)), src)
+    M.prime_latest(M.format_lines(stream), sink, ckpt)
+    _write_wave(sent, src)
+    M.run_available(M.format_lines(stream), sink, ckpt)
+    return spark.read.parquet(sink)
 
 
 @query("message_listen")
@@ -509,7 +550,7 @@ def q_message_listen(spark, sf_dir):
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "listen")
     _write_wave(fx.messages(spark, sf_dir), src)
     stream = M.read_messages(spark, "parquet", src, topics=LISTEN_TOPICS,
-                             per_trigger=_files_per_trigger(spark, src))
+                             per_trigger=FILES_PER_BATCH)
     M.run_available(M.format_lines(stream), sink, ckpt)
     return spark.read.parquet(sink)
 

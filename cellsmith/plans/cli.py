@@ -8,8 +8,10 @@
 
 ``<input>`` is a parquet path (or a catalog table with ``--table``).  Cell
 jobs write sorted cells to ``<staging>/bulkload/<target name>_<millis>`` and
-publish them into ``<target>`` as one layer (by moving the folder when the
-keys are unique); call rejects are written next to the staging folder.  The staging base defaults to the session's shared
+publish them into ``<target>`` as one layer by moving that folder.  Documents
+(``raw``) and contacts (``--plain``) that share a key are resolved as whole
+rows.  Rows that cannot be keyed are written to ``..._rejects`` beside the
+staging folder.  The staging base defaults to the session's shared
 folder.  Session settings (partitions, checkpoint dir) come from
 ``spark-submit``.
 """
@@ -30,17 +32,21 @@ def _read(spark: SparkSession, source: str, table: bool):
     return spark.table(source) if table else spark.read.parquet(source)
 
 
-def _stage_and_publish(spark, cells, target: str, staging_base: str | None, repeats: bool = False,
-                       files: int | None = None) -> str:
+def _stage_and_publish(spark, cells, target: str, staging_base: str | None, files: int | None = None) -> str:
     name = target.rstrip("/").split("/")[-1]
     staging = S.staging_path(staging_base or shared_dir(spark), name)
     S.write_sorted_cells(cells, staging, files=files, presorted=True)
     # The job's own staging folder is moved into the table, as a bulk load
-    # moves its files; cells with repeated keys are collapsed and rewritten.
-    S.publish(spark, staging, target, resolve_repeats=repeats, move=not repeats)
+    # moves its files.
+    S.publish(spark, staging, target, move=True)
     return staging
 
 
+def _write_rejects(rejects, staging: str) -> str:
+    rejects.write.mode("errorifexists").parquet(staging + "_rejects")
+    return staging + "_rejects"
+
+
 def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     p = argparse.ArgumentParser(prog="cellsmith")
     p.add_argument("job", choices=["calls", "raw", "contacts", "wide", "publish"])
@@ -53,33 +59,33 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     p.add_argument("--plain", action="store_true", help="contacts keyed as they are (no ordinals)")
     p.add_argument("--recency", nargs="+", default=None, help="recency columns of the wide upsert")
     p.add_argument("--strict", action="store_true", help="fail on rows the keys cannot be built for")
-    p.add_argument("--resolve-repeats", action="store_true", help="publish: collapse repeated cells")
     p.add_argument("--files", type=int, default=None, help="number of staged files (range partitions)")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"cellsmith-{a.job}").getOrCreate()
 
     if a.job == "publish":
-        return {"published": S.publish_existing(spark, a.source, a.target, resolve_repeats=a.resolve_repeats)}
+        return {"published": S.publish_existing(spark, a.source, a.target)}
     df = _read(spark, a.source, a.table)
     if a.job == "calls":
-        cells, rejects = jobs.calls_to_cells(df, strict=a.strict)
-        staging = _stage_and_publish(spark, cells, a.target, a.staging, files=a.files)
-        rejects.write.mode("errorifexists").parquet(staging + "_rejects")
-        return {"staging": staging, "rejects": staging + "_rejects"}
+        cells, rejects = jobs.calls_to_cells(df, strict=a.strict, once=True)
+        staging = _stage_and_publish(spark, cells, a.target, a.staging, a.files)
+        return {"staging": staging, "rejects": _write_rejects(rejects, staging)}
     if a.job == "raw":
-        # raw keys repeat when one mobile has two documents in the same second
-        return {"staging": _stage_and_publish(spark, jobs.raw_docs_to_cells(df), a.target, a.staging, True,
-                                              files=a.files)}
+        return {"staging": _stage_and_publish(spark, jobs.raw_docs_latest(df), a.target, a.staging, a.files)}
+    rejects = jobs.contact_rejects(df)
     if a.job == "contacts":
         exclude = a.exclude if a.exclude is not None else [c for c in a.order_by if c in df.columns]
-        cells = (jobs.contacts_to_cells_plain(df, exclude) if a.plain
+        cells = (jobs.contacts_to_cells_latest(df, a.order_by, exclude) if a.plain
                  else jobs.contacts_to_cells(df, a.order_by, exclude, strict=a.strict))
-        return {"staging": _stage_and_publish(spark, cells, a.target, a.staging, repeats=a.plain,
-                                              files=a.files)}
+        staging = _stage_and_publish(spark, cells, a.target, a.staging, a.files)
+        return {"staging": staging, "rejects": _write_rejects(rejects, staging)}
     if not a.recency:
         p.error("wide needs --recency")
     rows = jobs.contact_rows(df, exclude=(), raw=tuple(a.recency))
-    return {"written": S.upsert(rows, a.target, "rowkey", a.recency)}
+    name = a.target.rstrip("/").split("/")[-1]
+    written = S.upsert(rows, a.target, "rowkey", a.recency)
+    return {"written": written,
+            "rejects": _write_rejects(rejects, S.staging_path(a.staging or shared_dir(spark), name))}
 
 
 def main() -> None:

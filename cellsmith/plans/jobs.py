@@ -1,7 +1,9 @@
 """Whole jobs (W1-W5) as lazy DataFrame plans.
 
 Each job returns ``(cells, rejects)`` or a wide DataFrame; nothing here runs
-an action except the hot-key probe inside ``sequence_key`` (a bounded top-k).
+an action except the exact hot-key count (``hot_keys``), the split of hot keys
+and the flattened call items, written once.  Rows that cannot be keyed are never lost: ``calls_to_cells``
+returns them, ``contact_rejects`` gives those of the contact jobs.
 Sinks (``cellsmith.sinks``) write the results.
 """
 
@@ -19,6 +21,7 @@ from cellsmith.operators.keys import (
     hot_keys, latest_per_key, sequence_key, unique_sequence_key, unique_sequence_key_ranged,
 )
 from cellsmith.operators.nested import flatten_calls, parse_calls
+from cellsmith.session import materialize
 
 PAYLOAD = "moxie_carrier_originalInfo"
 # Fixed value: call-detail output fields, in the reference's order.
@@ -28,111 +31,89 @@ RAW_FIELDS = ("_id", "create_time", "mobile", PAYLOAD, "successFlag", "task_id",
 # Fixed value: shortest create_time text that is kept.
 RAW_MIN_TIME_LENGTH = 23
 CALL_ORDER = ("id", "call_pos", "item_pos")
-# Share of documents parsed to find hot call keys, and the sample's seed.
-HOT_SAMPLE_FRACTION = 0.01
-HOT_SAMPLE_SEED = 17
+# What decides between two raw documents of one mobile and second: the greatest.
+RAW_RECENCY = ("update_time", "create_time", "_id")
 
 
-def call_items(docs: DataFrame, payload: str = PAYLOAD, with_rejects: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """Filter, parse, flatten and key call items.
+def keyed_calls(docs: DataFrame, payload: str = PAYLOAD) -> DataFrame:
+    """Filter, parse, flatten and key call items (F1, J1, J2, P1, P5, P6, P13, P14) in one pass.
 
-    Returns ``(items, rejects)``.  ``items`` has ``base`` (the call key
-    prefix), the tie-break ``id, call_pos, item_pos`` and the item fields.
-    Rows the reference would fail on (null id or mobile, malformed payload,
-    null peer number, unparseable time) go to ``rejects`` with a reason
-    (``None`` when ``with_rejects`` is false).
+    One row per item with ``base`` (the call key prefix), the tie-break ``id,
+    call_pos, item_pos``, the item fields and ``reason``, null for good items.
+    What the reference would fail on has a reason: ``payload`` (malformed text,
+    text behind the document, missing lists) and ``id_or_mobile`` once per
+    document; ``peer_number``, ``time`` and ``fee`` (not an integer) per item.
     """
     present = docs.where(F.col(payload).isNotNull())
     parsed = parse_calls(present.select("_id", "mobile", payload), payload)
-    doc_ok = parsed["_valid"] & F.col("_id").isNotNull() & F.col("mobile").isNotNull()
-    flat = flatten_calls(parsed.withColumn("_ok", doc_ok), "doc", keep=("_id", "mobile"), valid="_ok")
+    whole = F.col("_id").isNotNull() & F.col("mobile").isNotNull()
+    parsed = parsed.withColumn("_ok", F.col("_valid") & whole)
+    flat = flatten_calls(parsed, "doc", keep=("_id", "mobile", "_valid"), valid="_ok", outer=True)
     keyed = flat.select(
         C.call_key(F.col("mobile"), F.col("time"), F.col("dial_type")).alias("base"),
         F.col("_id").cast("string").alias("id"), "call_pos", "item_pos", "details_id",
         "dial_type", "duration", C.fee_text(F.col("fee")).alias("fee"), "location", "location_type",
         F.col("mobile").cast("string").alias("mobile"),
-        C.normalize_phone(F.col("peer_number")).alias("peer_number"), "time",
+        C.normalize_phone(F.col("peer_number")).alias("peer_number"), "time", "_valid",
     )
-    ok = F.col("base").isNotNull() & F.col("peer_number").isNotNull()
-    if not with_rejects:
-        return keyed.where(ok), None
-    doc_rejects = parsed.where(~doc_ok).select(
-        F.col("_id").cast("string").alias("id"), F.col("mobile").cast("string").alias("mobile"),
-        F.lit(None).cast("long").alias("call_pos"), F.lit(None).cast("long").alias("item_pos"),
-        F.when(~parsed["_valid"], "payload").otherwise("id_or_mobile").alias("reason"))
-    item_rejects = keyed.where(~ok).select(
-        "id", "mobile", "call_pos", "item_pos",
-        F.when(F.col("peer_number").isNull(), "peer_number").otherwise("time").alias("reason"))
-    return keyed.where(ok), doc_rejects.unionByName(item_rejects)
+    reason = (
+        F.when(~F.col("_valid"), "payload")
+        .when(F.col("id").isNull() | F.col("mobile").isNull(), "id_or_mobile")
+        .when(F.col("peer_number").isNull(), "peer_number")
+        .when(F.col("base").isNull(), "time")
+        .when(F.col("fee").isNull(), "fee"))
+    in_doc = F.col("item_pos").isNotNull() | ~F.col("_valid") | F.col("id").isNull() | F.col("mobile").isNull()
+    # Good documents and calls without items leave no row.
+    return keyed.where(in_doc).withColumn("reason", reason).drop("_valid")
+
+
+def split_calls(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(items, rejects)`` of ``keyed_calls``."""
+    rejects = keyed.where(F.col("reason").isNotNull()).select("id", "mobile", "call_pos", "item_pos", "reason")
+    return keyed.where(F.col("reason").isNull()).drop("reason"), rejects
+
+
+def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, DataFrame]:
+    """``(items, rejects)``: call items with their key prefix, and what cannot be keyed."""
+    return split_calls(keyed_calls(docs, payload))
 
 
 def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False,
-                   one_shuffle: bool = False, hot_sample: DataFrame | None = None,
-                   hot_fraction: float = HOT_SAMPLE_FRACTION, **seq) -> tuple[DataFrame, DataFrame]:
-    """Call documents -> unique, sorted cells.
+                   one_shuffle: bool = False, once: bool = True, **seq) -> tuple[DataFrame, DataFrame]:
+    """Call documents -> unique, sorted cells, and rejects.
 
     Keep-first on ``(base, peer_number, time)`` (G2), ordinal appended to the
     key without separator (G3), every field but the key as a cell (R1b),
     total order (O1).  ``strict=True`` fails, like the original job, when any
     row would be rejected (one bounded probe: ``limit(1)``).
 
+    The flattened items are written once to the shared folder, so the documents
+    are read and parsed once for cells, rejects and the hot-key count;
+    ``once=False`` leaves that out and parses for each.
+
     Default plan: a hash exchange on the base key for both windows, then a
     range exchange on the row key.  ``one_shuffle=True`` uses one range
     exchange on the base key for everything (when keys are prefix-free and
     none is hot); it saves a shuffle but its range sampling recomputes the
     parse, so it pays off when shuffles cost more than re-reading the input.
-
-    Hot keys come from ``hot_sample``, documents making up ``hot_fraction``
-    of the input (default: a fixed-seed row sample of ``docs``, which parses
-    1% but still reads the payload column; at scale pass a read of a subset
-    of the input files to save that read too), unless ``hot`` is given.
     """
-    items, rejects = call_items(docs, payload)
-    if "hot" not in seq:
-        # Hot keys from a sample of whole documents.  It only routes keys;
-        # results are the same whatever it finds.
-        if hot_sample is not None:
-            probe, fraction = hot_sample, hot_fraction
-        else:
-            probe, fraction = document_sample(docs, payload, hot_fraction)
-        sample, _ = call_items(probe, payload, with_rejects=False)
-        seq["hot"] = hot_keys(sample, "base", seq.get("hot_rows"), seq.get("max_hot_keys"), fraction=fraction)
+    keyed = keyed_calls(docs, payload)
+    if once:
+        keyed = materialize(keyed, "call-items")
+    items, rejects = split_calls(keyed)
     _check_strict(rejects, strict)
-    if one_shuffle and not seq["hot"] and prefix_free_calls(docs):
+    if one_shuffle and "hot" not in seq:
+        seq["hot"] = hot_keys(items, "base", seq.get("hot_rows"))
+    if one_shuffle and seq["hot"] is None and prefix_free_calls(docs):
         # One shuffle: range partitions on the base key serve keep-first, the
         # ordinal and the final order.
-        keyed = unique_sequence_key_ranged(items, "base", ["peer_number", "time"], list(CALL_ORDER), "rowkey", "")
-        return to_cells(as_text(keyed, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS)), rejects
-    keyed = unique_sequence_key(items, "base", ["peer_number", "time"], list(CALL_ORDER), out="rowkey", sep="", **seq)
-    wide = as_text(keyed, ["rowkey", *CALL_FIELDS])
+        numbered = unique_sequence_key_ranged(items, "base", ["peer_number", "time"], list(CALL_ORDER), "rowkey", "")
+        return to_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS)), rejects
+    numbered = unique_sequence_key(items, "base", ["peer_number", "time"], list(CALL_ORDER), out="rowkey", sep="", **seq)
+    wide = as_text(numbered, ["rowkey", *CALL_FIELDS])
     return sorted_cells(wide, "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
 
 
-def document_sample(docs: DataFrame, payload: str = PAYLOAD,
-                    fraction: float = HOT_SAMPLE_FRACTION) -> tuple[DataFrame, float]:
-    """About ``fraction`` of the documents, and the fraction actually taken.
-
-    When ``docs`` reads at least ``1 / fraction`` files that hold the
-    document columns (as at cluster scale), every n-th input file is read,
-    so the sample costs that share of the I/O too.  A
-    filter on ``docs`` is then not applied to the sample, which can only
-    overstate key counts, and that is harmless for routing.  Otherwise a
-    fixed-seed row sample is taken (it parses the share but reads the
-    payload column in full).
-    """
-    files = sorted(docs.inputFiles())
-    step = max(1, round(1 / fraction))
-    if len(files) >= step:  # enough files for every n-th one to be about that share
-        subset = files[::step]
-        try:
-            sample = docs.sparkSession.read.parquet(*subset)
-            if {"_id", "mobile", payload} <= set(sample.columns):
-                return sample, len(subset) / len(files)
-        except Exception:  # not parquet documents: fall back to a row sample
-            pass
-    return docs.sample(fraction=fraction, seed=HOT_SAMPLE_SEED), fraction
-
-
 def prefix_free_calls(docs: DataFrame) -> bool:
     """True when no call base key can be a prefix of another.
 
@@ -164,6 +145,13 @@ def raw_docs_to_cells(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | No
     return sorted_cells(raw_rows(docs, zone, pad), "rowkey", list(RAW_FIELDS))
 
 
+def raw_docs_latest(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | None = None) -> DataFrame:
+    """W2 as published: sorted unique cells, where documents of one key are
+    resolved as whole rows (G5 by ``RAW_RECENCY``) before the reshape."""
+    rows = latest_per_key(raw_rows(docs, zone, pad), "rowkey", RAW_RECENCY)
+    return sorted_cells(rows, "rowkey", list(RAW_FIELDS), keys_unique=True)
+
+
 def contact_base(df: DataFrame, phone: str = "phoneNo", tel: str = "tel") -> DataFrame:
     """Contacts with their key ``_base``; rows without a phone number (which
     the original jobs fail on) are left out, see ``contact_rejects``."""
@@ -227,6 +215,14 @@ def contacts_to_cells_plain(df: DataFrame, exclude: Sequence[str] = ("ord",)) ->
     return sorted_cells(rows, "rowkey", [c for c in rows.columns if c != "rowkey"])
 
 
+def contacts_to_cells_latest(df: DataFrame, order_by: Sequence[str] = ("ord",),
+                             exclude: Sequence[str] = ("ord",)) -> DataFrame:
+    """W4 as published: sorted unique cells, the last whole row by ``order_by`` of each key."""
+    rows = latest_per_key(contact_rows(df, exclude=(), raw=tuple(order_by)), "rowkey", list(order_by))
+    cols = [c for c in df.columns if c not in exclude]
+    return sorted_cells(as_text(rows, ["rowkey", *cols]), "rowkey", cols, keys_unique=True)
+
+
 def contact_wide(df: DataFrame, exclude: Sequence[str] = ("ord",)) -> DataFrame:
     """One wide keyed row per contact, every column in input order."""
     return contact_rows(df, exclude)

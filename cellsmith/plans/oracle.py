@@ -83,6 +83,19 @@ contact_seq AS (
          ord, phoneNo, coalesce(""" + normalize_phone_sql("tel") + """, 'noTel') AS tel, name
   FROM contact_base)"""
 
+FAULTY = """
+faulty AS (
+  SELECT o_orderkey % 13 AS r,
+         lpad(cast(o_orderkey AS varchar), CASE WHEN o_orderkey % 13 = 11 THEN 13 ELSE 14 END, '0') AS id,
+         CASE WHEN o_orderkey % 13 <> 6 THEN '139' || lpad(cast(o_custkey AS varchar), 8, '0') END AS mobile
+  FROM orders),
+faulty_item AS (
+  SELECT *, CASE r WHEN 10 THEN '0' ELSE '12' END AS fee, CASE r WHEN 11 THEN '1' ELSE '1380001' END AS peer_number,
+         CASE r WHEN 11 THEN '1000' ELSE '0001' END AS tail, CASE r WHEN 11 THEN '0' ELSE '2' END AS product,
+         CASE r WHEN 11 THEN 'x' END AS location,
+         reverse(mobile) || '_20171220164210_' || CASE r WHEN 11 THEN '1' ELSE '2' END || '_' AS base
+  FROM faulty WHERE r IN (10, 11))"""
+
 EPOCH = ("coalesce(cast(floor(epoch(try_cast(substring(create_time, 1, 23) AS timestamp))) AS bigint)"
          " - 28800, 0)")
 
@@ -223,7 +236,20 @@ def oracles() -> dict[str, str]:
     q["contact_cells_plain"] = with_ctes(cf, cells_sql("contact_rows", ("name", "phoneNo", "tel")))
     q["contact_cells"] = with_ctes(cf, w3_cells)
     q["contact_wide"] = with_ctes(cf, "SELECT rowkey, phoneNo, tel, name FROM contact_rows")
+    # rows that cannot be keyed, and unusual ones that can
+    q["call_rejects"] = with_ctes(FAULTY, """SELECT id, mobile, CASE WHEN r >= 7 AND r <= 9 THEN cast(0 AS bigint) END AS call_pos,
+        CASE WHEN r >= 7 AND r <= 9 THEN cast(0 AS bigint) END AS item_pos,
+        CASE WHEN r IN (1, 2, 3, 4, 12) THEN 'payload' WHEN r = 6 THEN 'id_or_mobile' WHEN r = 7 THEN 'peer_number'
+             WHEN r = 8 THEN 'time' ELSE 'fee' END AS reason
+        FROM faulty WHERE r IN (1, 2, 3, 4, 6, 7, 8, 9, 12)""")
+    q["call_edges"] = with_ctes(FAULTY, "SELECT id, base, fee, peer_number, tail, product, location FROM faulty_item")
+    q["contact_rejects"] = with_ctes(cf, "SELECT ord, tel, name, 'phone' AS reason FROM contacts WHERE ord % 17 = 0")
     # sinks
+    q["raw_published"] = with_ctes(raw + """,
+raw_latest AS (SELECT * FROM raw_rows QUALIFY row_number() OVER (
+  PARTITION BY rowkey ORDER BY update_time DESC, create_time DESC, _id DESC) = 1)""", cells_sql("raw_latest", RAW_FIELDS))
+    q["publish_order"] = with_ctes(cf + ",\nw3 AS (" + w3_cells + ")",
+                                   "SELECT true AS sorted, cast(0 AS bigint) AS overlaps, cast(count(*) AS bigint) AS cells FROM w3")
     q["write_sorted_cells"] = with_ctes(cf, w3_cells)
     q["publish_cells"] = with_ctes(cf, w3_cells)
     q["publish_existing"] = with_ctes(cf, w3_cells)
@@ -234,7 +260,7 @@ def oracles() -> dict[str, str]:
     cols = 'SELECT key, value, topic, "offset" FROM messages'
     q["stream_read"] = with_ctes(msg, cols)
     q["stream_read_latest"] = with_ctes(msg, cols + " WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'")
-    q["stream_paced"] = with_ctes(msg, cols)
+    q["stream_paced"] = with_ctes(msg, cols.replace(" FROM", ", true AS paced FROM"))
     q["stream_resume"] = with_ctes(msg, cols)
     q["stream_topics"] = with_ctes(msg, cols + " WHERE topic IN ('click', 'purchase')")
     line = "printf('offset = %d, key = %s, value = %s', \"offset\", key, value) AS line"
@@ -243,7 +269,9 @@ def oracles() -> dict[str, str]:
     q["stream_write"] = with_ctes(msg, "SELECT value FROM messages")
     q["message_key"] = with_ctes(msg, "SELECT \"offset\", cast(epoch_us(ts) // 1000 AS varchar) AS row_key, true AS batch_key_ok FROM messages")
     q["stream_write_json"] = with_ctes(msg, "SELECT value, true AS key_ok FROM messages")
-    q["message_roundtrip"] = "SELECT cast(event_id AS varchar) AS key, user_id, event_type FROM events"
+    q["message_roundtrip"] = with_ctes(
+        msg, "SELECT printf('offset = %d, key = %s, value = %s', \"offset\", "
+        "cast(epoch_us(ts) // 1000 AS varchar), value) AS line FROM messages")
     q["message_listen"] = with_ctes(msg, f"SELECT {line} FROM messages WHERE topic IN ('click', 'purchase')")
     # whole jobs
     q["calls_to_cells"] = with_ctes(CALL_ITEMS, cells_sql("call_keyed", CALL_FIELDS))

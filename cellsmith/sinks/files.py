@@ -2,26 +2,36 @@
 
 A target is a folder of committed layers::
 
-    <target>/v00000001/            parquet, sorted, non-overlapping files
-    <target>/_commits/v00000001    empty marker, created last
-    <target>/_commits/v00000004.base   marker of a compacted (full-state) layer
-
-A layer becomes visible only when its marker exists.  Publishing writes only
-the staged data as a new layer (cost of the batch, not of the table), like a
-bulk load adds files; readers merge the layers from the newest base layer
-on, newest value winning (``read_cells``) or newest by a recency column
-(``read_rows``), with a map-side-combined aggregate.  ``compact_*`` writes
-the merged state as a new base layer so the number of layers stays small.
-Markers are created with ``overwrite=false`` through the Hadoop FileSystem
-API, so a concurrent publisher fails instead of replacing a layer; nothing
-is modified in place.
+    <target>/data/<unique name>/    parquet, sorted, non-overlapping files
+    <target>/_commits/v00000001     marker: names the layer's data folder, created last
+
+Each writer has a data folder of its own, and a layer is visible only through
+a marker that names its folder.  A marker is created whole and never replaces
+another: of two writers that try the same number one gets it and the other
+takes the next, so both layers are kept and a writer that dies leaves nothing
+visible.  Nothing is modified in place.
+
+Publishing writes only the staged data (cost of the batch, not of the table),
+like a bulk load adds files; readers merge the live layers, newest value
+winning (``read_cells``) or newest by a recency column (``read_rows``), with a
+map-side-combined aggregate.  ``compact_*`` writes the merged state as a base
+layer, whose marker records the last version it covers: layers committed
+while a compaction runs stay live.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import time
-
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellsmith.operators.cells import sort_cells
@@ -52,10 +62,43 @@ def _list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def _create_marker(spark: SparkSession, path: str) -> None:
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _create_whole(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content in one step; false when it is there already.
+
+    The content goes to a file of its own, which is then renamed without
+    overwriting (one step on HDFS) or, in a local folder, hard-linked."""
+    jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)  # fails if the marker already exists
+    fs.mkdirs(p.getParent())
+    _, temp = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = fs.create(temp, False)
+    out.write(bytearray(text.encode("utf-8")))
     out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(temp.toUri().getPath(), p.toUri().getPath())
+        else:
+            rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            how = spark.sparkContext._gateway.new_array(rename, 1)
+            how[0] = rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(temp, p, how)
+        return True
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    finally:
+        fs.delete(temp, False)
 
 
 # ---------------------------------------------------------------------------
@@ -82,171 +125,237 @@ def write_sorted_cells(
     return staging
 
 
-def check_staging(spark: SparkSession, staging: str) -> None:
-    """Validate staged cells: unique ``(rowkey, family, qualifier)`` and
-    per-file spans that do not overlap in that order (one row key may end
-    one file and start the next).  Raises ``ValueError`` otherwise.
+def _less(a: pa.RecordBatch, b: pa.RecordBatch) -> np.ndarray:
+    """Row by row: is the cell key of ``a`` below that of ``b`` in byte order (a null: no)."""
+    out = pc.less(a.column(2), b.column(2))
+    for k in (1, 0):
+        out = pc.or_(pc.less(a.column(k), b.column(k)), pc.and_(pc.equal(a.column(k), b.column(k)), out))
+    return out.fill_null(False).to_numpy(zero_copy_only=False)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per file split: its first and last cell key, and whether its keys rise strictly."""
+    names = ["file", "start", "lo", "hi", "rising"]
+    key = pa.struct([(c, pa.string()) for c in CELL_KEY])
+    types = [pa.string(), pa.int64(), key, key, pa.bool_()]
+
+    def out(run: dict) -> pa.RecordBatch:
+        lo, hi = ({c: x.column(i)[0].as_py() for i, c in enumerate(CELL_KEY)} for x in (run["first"], run["last"]))
+        row = [*run["at"], lo, hi, run["rising"]]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+
+    run: dict | None = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        up = _less(batch.slice(0, n - 1), batch.slice(1))
+        file, start = batch.column(3), batch.column(4)
+        turn = pc.or_(pc.not_equal(file.slice(0, n - 1), file.slice(1)), pc.not_equal(start.slice(0, n - 1), start.slice(1)))
+        edges = [0, *(np.flatnonzero(turn.to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+        for i, j in zip(edges, edges[1:]):
+            at, first, last = (file[i].as_py(), start[i].as_py()), batch.slice(i, 1), batch.slice(j - 1, 1)
+            rising = bool(up[i: j - 1].all())
+            if run and run["at"] == at:
+                run["rising"] = run["rising"] and rising and bool(_less(run["last"], first)[0])
+                run["last"] = last
+            else:
+                if run:
+                    yield out(run)
+                run = {"at": at, "first": first, "last": last, "rising": rising}
+    if run:
+        yield out(run)
+
+
+def file_spans(spark: SparkSession, path: str) -> DataFrame:
+    """``file, start, lo, hi, rising`` per file split of a folder of cells.  Reads the key columns; no shuffle."""
+    keys = spark.read.parquet(path).select(
+        *CELL_KEY, F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    key = ", ".join(f"{c}: string" for c in CELL_KEY)
+    return keys.mapInArrow(_spans, f"file string, start long, lo struct<{key}>, hi struct<{key}>, rising boolean")
 
-    The range check collects one row per file (the number of files is the
-    bound); the uniqueness check is a distributed aggregate.
-    """
-    df = spark.read.parquet(staging)
-    dup = df.groupBy(*CELL_KEY).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"staged cells in {staging} repeat a (rowkey, family, qualifier)")
-    cell = F.struct(*CELL_KEY)
-    ranges = (df.groupBy(F.input_file_name().alias("f"))
-              .agg(F.min(cell).alias("lo"), F.max(cell).alias("hi")).collect())
 
-    def enc(c):
-        return tuple(x.encode("utf-8") for x in c)
+def check_staging(spark: SparkSession, staging: str) -> None:
+    """Validate staged cells: keys ``(rowkey, family, qualifier)`` rise
+    strictly inside every file, and the files' spans do not overlap (one row
+    key may end one file and start the next).  With both, no key repeats.
+    Raises ``ValueError`` otherwise.
 
-    spans = sorted((enc(r["lo"]), enc(r["hi"])) for r in ranges)
-    for (_, hi), (lo, _) in zip(spans, spans[1:]):
-        if lo <= hi:
-            raise ValueError(f"staged files in {staging} overlap in cell order")
+    Neighbours are compared inside each file split; only the edges of the
+    splits (one row per split) are sorted and compared.
+    """
+    before = Window.orderBy("lo", "file", "start")
+    edges = file_spans(spark, staging).select(
+        "file", "rising",
+        (F.lag("hi").over(before) >= F.col("lo")).alias("overlap"),
+        (F.lag("file").over(before) == F.col("file")).alias("same"),
+        (F.lag("start").over(before) > F.col("start")).alias("back"))
+    seen = edges.agg(
+        F.count_if(~F.col("rising")).alias("unsorted"), F.count_if("overlap").alias("overlaps"),
+        F.count_if(F.col("same") & F.col("back")).alias("backward"),
+        F.count_if(~F.coalesce(F.col("same"), F.lit(False))).alias("runs"), F.count_distinct("file").alias("files")).first()
+    if seen["unsorted"] or seen["backward"]:
+        raise ValueError(f"staged cells in {staging} are not sorted by, or repeat, a (rowkey, family, qualifier)")
+    if seen["overlaps"] or seen["runs"] != seen["files"]:
+        raise ValueError(f"staged files in {staging} overlap in cell order or repeat a (rowkey, family, qualifier)")
 
 
 # ---------------------------------------------------------------------------
 # Layered target (K3, K4, K1)
 # ---------------------------------------------------------------------------
 
-def _markers(spark: SparkSession, target: str) -> list[str]:
-    return _list_names(spark, f"{target.rstrip('/')}/_commits")
+class Layer(NamedTuple):
+    version: int
+    folder: str
+    covers: int | None  # base layers: the last version merged into it
+
+
+def _commits(spark: SparkSession, target: str) -> list[Layer]:
+    folder = f"{target.rstrip('/')}/_commits"
+    names = sorted(n for n in _list_names(spark, folder) if n.startswith("v") and n[1:].isdigit())
+    found = []
+    for n in names:
+        said = json.loads(_read_text(spark, f"{folder}/{n}"))
+        found.append(Layer(int(n[1:]), said["folder"], said["covers"]))
+    return found
 
 
 def committed_versions(spark: SparkSession, target: str) -> list[int]:
-    names = [n.split(".")[0] for n in _markers(spark, target)]
-    return sorted({int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()})
+    return [c.version for c in _commits(spark, target)]
+
+
+def _live(spark: SparkSession, target: str) -> list[Layer]:
+    """The base layer that covers most, then the layers it does not cover, oldest first."""
+    commits = _commits(spark, target)
+    bases = [c for c in commits if c.covers is not None]
+    base = max(bases, key=lambda c: (c.covers, c.version), default=None)
+    later = [c for c in commits if c.covers is None and (base is None or c.version > base.covers)]
+    return ([base] if base else []) + later
 
 
 def live_layers(spark: SparkSession, target: str) -> list[int]:
-    """Committed layers from the newest base layer on (all when none is a base)."""
-    versions = committed_versions(spark, target)
-    bases = [int(n[1:].split(".")[0]) for n in _markers(spark, target) if n.endswith(".base")]
-    start = max(bases) if bases else (versions[0] if versions else 0)
-    return [v for v in versions if v >= start]
+    """Versions of the layers that readers merge, oldest data first."""
+    return [c.version for c in _live(spark, target)]
 
 
-def _layer_path(target: str, v: int) -> str:
-    return f"{target.rstrip('/')}/v{v:08d}"
+def layer_path(spark: SparkSession, target: str, version: int) -> str:
+    """Data folder of a committed layer."""
+    return next(f"{target.rstrip('/')}/data/{c.folder}" for c in _commits(spark, target) if c.version == version)
 
 
-def _read_layers(spark: SparkSession, target: str) -> DataFrame | None:
-    layers = live_layers(spark, target)
-    if not layers:
-        return None
-    parts = [spark.read.parquet(_layer_path(target, v)).withColumn("_layer", F.lit(v)) for v in layers]
+def _read_layers(spark: SparkSession, target: str, layers: list[Layer]) -> DataFrame:
+    root = f"{target.rstrip('/')}/data"
+    parts = [spark.read.parquet(f"{root}/{c.folder}").withColumn("_layer", F.lit(i)) for i, c in enumerate(layers)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def read_cells(spark: SparkSession, target: str) -> DataFrame | None:
-    """Visible cells: per ``(rowkey, family, qualifier)`` the value of the
-    newest layer.  ``None`` before the first publish."""
-    layers = _read_layers(spark, target)
-    if layers is None:
+def _cells_of(spark: SparkSession, target: str, layers: list[Layer]) -> DataFrame | None:
+    if not layers:
         return None
-    if len(live_layers(spark, target)) == 1:
-        return layers.drop("_layer")
-    return latest_per_key(layers, CELL_KEY, "_layer").drop("_layer")
+    cells = _read_layers(spark, target, layers)
+    return (cells if len(layers) == 1 else latest_per_key(cells, CELL_KEY, "_layer")).drop("_layer")
 
 
-def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str]) -> DataFrame | None:
-    """Visible wide rows: per key the newest row by ``recency`` (the newest
-    layer breaks ties).  ``None`` before the first write."""
-    layers = _read_layers(spark, target)
-    if layers is None:
+def _rows_of(spark: SparkSession, target: str, layers: list[Layer], key, recency) -> DataFrame | None:
+    if not layers:
         return None
+    rows = _read_layers(spark, target, layers)
+    if len(layers) == 1 and layers[0].covers is not None:
+        return rows.drop("_layer")
     keys = [key] if isinstance(key, str) else list(key)
     recency = [recency] if isinstance(recency, str) else list(recency)
-    return latest_per_key(layers, keys, [*recency, "_layer"]).drop("_layer")
+    return latest_per_key(rows, keys, [*recency, "_layer"]).drop("_layer")
+
+
+def read_cells(spark: SparkSession, target: str) -> DataFrame | None:
+    """Visible cells: per ``(rowkey, family, qualifier)`` the value of the
+    newest layer.  A single layer is read as it is.  ``None`` before the first
+    publish."""
+    return _cells_of(spark, target, _live(spark, target))
+
 
+def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str]) -> DataFrame | None:
+    """Visible wide rows: per key the newest row by ``recency`` (the newest
+    layer breaks ties).  A single compacted layer is read as it is.  ``None``
+    before the first write."""
+    return _rows_of(spark, target, _live(spark, target), key, recency)
 
-def _next_version(spark: SparkSession, target: str) -> int:
-    # Number past every folder, committed or not: a publish that died after
-    # writing data but before its marker leaves an invisible folder behind.
-    versions = committed_versions(spark, target) + _written_versions(spark, target)
-    return max(versions) + 1 if versions else 1
 
+def _new_folder() -> str:
+    return f"layer-{uuid.uuid4().hex}"
 
-def _mark(spark: SparkSession, target: str, v: int, base: bool = False) -> None:
-    _create_marker(spark, f"{target.rstrip('/')}/_commits/v{v:08d}" + (".base" if base else ""))
 
+def _mark(spark: SparkSession, target: str, folder: str, covers: int | None = None) -> str:
+    """Make a written data folder visible under the next free version; returns its path."""
+    text = json.dumps({"folder": folder, "covers": covers})
+    version = max(committed_versions(spark, target), default=0) + 1
+    while not _create_whole(spark, f"{target.rstrip('/')}/_commits/v{version:08d}", text):
+        version += 1
+    return f"{target.rstrip('/')}/data/{folder}"
 
-def _commit(spark: SparkSession, target: str, data: DataFrame, compression: str, base: bool = False) -> str:
-    nxt = _next_version(spark, target)
-    path = _layer_path(target, nxt)
-    data.write.mode("errorifexists").option("compression", compression).parquet(path)
-    _mark(spark, target, nxt, base)
-    return path
+
+def _commit(spark: SparkSession, target: str, data: DataFrame, compression: str, covers: int | None = None) -> str:
+    folder = _new_folder()
+    data.write.mode("errorifexists").option("compression", compression).parquet(f"{target.rstrip('/')}/data/{folder}")
+    return _mark(spark, target, folder, covers)
 
 
 def _move_in(spark: SparkSession, staging: str, target: str) -> str:
-    """Rename a staging folder into the next layer, then commit it: the data
-    is not rewritten (atomic and O(1) on HDFS; object stores copy)."""
-    nxt = _next_version(spark, target)
-    path = _layer_path(target, nxt)
+    """Rename a staging folder into a data folder of its own, then commit it:
+    the data is not rewritten (atomic and O(1) on HDFS; object stores copy)."""
+    folder = _new_folder()
     fs, src = _fs(spark, staging)
-    _, dst = _fs(spark, path)
+    _, dst = _fs(spark, f"{target.rstrip('/')}/data/{folder}")
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
-        raise OSError(f"could not move {staging} to {path}")
-    _mark(spark, target, nxt)
-    return path
-
-
-def _written_versions(spark: SparkSession, target: str) -> list[int]:
-    names = _list_names(spark, target.rstrip("/"))
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+        raise OSError(f"could not move {staging} to {dst}")
+    return _mark(spark, target, folder)
 
 
 def publish(spark: SparkSession, staging: str, target: str, validate: bool = True,
-            compression: str = "snappy", resolve_repeats: bool = False, move: bool = False) -> str:
-    """Publish staged cells into ``target`` as one step (K3, K4).
+            compression: str = "snappy", move: bool = False) -> str:
+    """Publish staged cells into ``target`` as one step (K3, K4); returns the layer's folder.
 
     The staged cells become a new layer; a staged cell wins over older ones
     on equal ``(rowkey, family, qualifier)`` when read.  Publishing the same
-    staging twice leaves the same visible state.  Cost: the staged cells.
-
-    Jobs whose row keys may repeat (raw documents, contacts keyed as they
-    are) pass ``resolve_repeats=True``: repeated cells of the batch collapse
-    to one value (the greatest, a fixed choice where the original write
-    order is arbitrary) with a map-side-combined aggregate, and the layer is
-    re-sorted.  Otherwise the staging must hold unique cells.
-
-    ``move=True`` renames the validated staging folder into the table
-    instead of copying it, as a bulk load moves its files; the staging
-    folder is gone afterwards.
+    staging twice leaves the same visible state.  The staging must hold sorted
+    unique cells (``check_staging``); jobs whose keys repeat resolve whole rows
+    before the reshape, so that a published row is always one input row.
+
+    ``move=True`` renames the staging folder into the table, as a bulk load
+    moves its files; the staging folder is gone afterwards.  Otherwise the
+    staging stays, and its cells are range-sorted again into the layer, as
+    reading them back packs several files into a task.
     """
-    if move and not resolve_repeats:
-        if validate:
-            check_staging(spark, staging)
-        return _move_in(spark, staging, target)
-    staged = spark.read.parquet(staging)
-    if resolve_repeats:
-        staged = sort_cells(staged.groupBy(*CELL_KEY).agg(F.max("value").alias("value")))
-    elif validate:
+    if validate:
         check_staging(spark, staging)
-    return _commit(spark, target, staged, compression)
+    if move:
+        return _move_in(spark, staging, target)
+    return _commit(spark, target, sort_cells(spark.read.parquet(staging)), compression)
 
 
 def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True,
-                     resolve_repeats: bool = False, move: bool = False) -> str:
+                     move: bool = False) -> str:
     """Publish a staging folder written by an earlier job."""
     if not _exists(spark, staging):
         raise FileNotFoundError(staging)
-    return publish(spark, staging, target, validate, resolve_repeats=resolve_repeats, move=move)
+    return publish(spark, staging, target, validate, move=move)
+
+
+def _covered(layers: list[Layer]) -> int:
+    return max(c.version if c.covers is None else c.covers for c in layers)
 
 
 def compact_cells(spark: SparkSession, target: str, compression: str = "snappy") -> str | None:
     """Merge the live layers of a cell target into one sorted base layer."""
-    state = read_cells(spark, target)
+    layers = _live(spark, target)
+    state = _cells_of(spark, target, layers)
     if state is None:
         return None
-    return _commit(spark, target, sort_cells(state), compression, base=True)
+    return _commit(spark, target, sort_cells(state), compression, _covered(layers))
 
 
 def upsert(df: DataFrame, target: str, key: str | list[str], recency: str | list[str],
@@ -265,10 +374,11 @@ def upsert(df: DataFrame, target: str, key: str | list[str], recency: str | list
 def compact_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str],
                  compression: str = "snappy") -> str | None:
     """Merge the live layers of a wide-row target into one base layer."""
-    state = read_rows(spark, target, key, recency)
+    layers = _live(spark, target)
+    state = _rows_of(spark, target, layers, key, recency)
     if state is None:
         return None
     keys = [key] if isinstance(key, str) else list(key)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _commit(spark, target, state.repartitionByRange(n, *keys).sortWithinPartitions(*keys),
-                   compression, base=True)
+                   compression, _covered(layers))

@@ -47,6 +47,40 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contacts_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``contacts`` without a phone number on every 17th order key."""
+    return contacts(spark, sf_dir).withColumn(
+        "phoneNo", F.when(F.col("ord") % 17 != 0, F.col("phoneNo")))
+
+
+def faulty_call_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One carrier document per order, by ``o_orderkey % 13``: no payload,
+    malformed, ``{}``, text behind the document, a call without items, no
+    calls, no mobile, no peer number, a bad time, a fee that is no integer, no
+    fee and dial type, a fractional time with text fee, short peer, location
+    and 13-character id, empty text."""
+    o = read_table(spark, sf_dir, "orders")
+    r = F.col("o_orderkey") % 13
+
+    def doc(time="2017-12-20 16:42:10", peer='"+86 138-0001"', rest=',"dial_type":"DIAL","fee":3'):
+        return F.concat(
+            F.lit('{"calls":[{"items":[{"details_id":"'), F.col("o_orderkey").cast("string"),
+            F.lit(f'","duration":"5","peer_number":{peer},"time":"{time}"{rest}}}]}}]}}'))
+
+    payload = (
+        F.when(r == 0, F.lit(None).cast("string")).when(r == 1, F.lit("{bad")).when(r == 2, F.lit("{}"))
+        .when(r == 3, F.concat(doc(), F.lit(" trailing"))).when(r == 4, F.lit('{"calls":[{}]}'))
+        .when(r == 5, F.lit('{"calls":[]}')).when(r == 7, doc(peer="null"))
+        .when(r == 8, doc(time="2017-13-40 16:42:10"))
+        .when(r == 9, doc(rest=',"dial_type":"DIALED","fee":"12.5"')).when(r == 10, doc(rest=""))
+        .when(r == 11, doc("2017-12-20 16:42:10.5", '"+86 1"', ',"dial_type":"DIALED","fee":"12","location":"x"'))
+        .when(r == 12, F.lit("")).otherwise(doc()))
+    return o.select(
+        F.when(r == 11, _lpad_num(F.col("o_orderkey"), 13)).otherwise(_lpad_num(F.col("o_orderkey"), 14)).alias("_id"),
+        F.when(r != 6, F.concat(F.lit("139"), _lpad_num(F.col("o_custkey"), 8))).alias("mobile"),
+        payload.alias("moxie_carrier_originalInfo"))
+
+
 def call_items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One call item per ``lineitem`` row, before nesting (B2 fields)."""
     li = read_table(spark, sf_dir, "lineitem")

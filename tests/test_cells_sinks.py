@@ -106,28 +106,141 @@ def test_upsert_keeps_newest(spark):
     assert got == [("a", 2, "x2"), ("b", 1, "y")]
 
 
-def test_publish_after_interrupted_version(spark):
+def _cells(spark, rows):
+    return spark.createDataFrame([(k, "cf", "q", v) for k, v in rows],
+                                 "rowkey string, family string, qualifier string, value string")
+
+
+def test_publish_after_interrupted_writer(spark):
     base = scratch_path(spark, "t-interrupt")
-    schema = "rowkey string, family string, qualifier string, value string"
-    a = spark.createDataFrame([("k1", "cf", "q", "v")], schema)
+    a = _cells(spark, [("k1", "v")])
     target = f"{base}/table"
     staging = S.write_sorted_cells(a, f"{base}/a")
     S.publish(spark, staging, target)
-    # data of version 2 written, marker never created (job lost before commit)
-    a.write.parquet(f"{target}/v00000002")
+    # data written, marker never created (job lost before commit)
+    _cells(spark, [("k9", "lost")]).write.parquet(f"{target}/data/layer-lost")
     assert S.committed_versions(spark, target) == [1]
     path = S.publish(spark, staging, target)
-    assert path.endswith("v00000003") and S.committed_versions(spark, target) == [1, 3]
+    assert S.committed_versions(spark, target) == [1, 2] and path == S.layer_path(spark, target, 2)
     assert [tuple(r) for r in S.read_cells(spark, target).collect()] == [("k1", "cf", "q", "v")]
 
 
+def test_concurrent_writers_lose_and_leak_nothing(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    target = scratch_path(spark, "t-race")
+    parts = [spark.range(i * 100, i * 100 + 100).select(
+        F.col("id").cast("string").alias("k"), F.lit(i).alias("r")) for i in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda df: S.upsert(df, target, "k", "r"), parts))
+    assert S.committed_versions(spark, target) == [1, 2, 3, 4, 5, 6]
+    assert S.read_rows(spark, target, "k", "r").count() == 600
+
+
+def test_marker_is_never_replaced(spark):
+    path = f"{scratch_path(spark, 't-marker')}/_commits/v00000001"
+    assert S._create_whole(spark, path, "a") and not S._create_whole(spark, path, "b")
+    assert S._read_text(spark, path) == "a"
+    assert S._list_names(spark, path.rsplit("/", 1)[0]) == ["v00000001"]
+
+
+def test_layer_committed_during_compaction_stays_live(spark, monkeypatch):
+    target = scratch_path(spark, "t-compact-race")
+    row = lambda k, r, v: spark.createDataFrame([(k, r, v)], "k string, r long, v string")
+    S.upsert(row("a", 1, "x"), target, "k", "r")
+    S.upsert(row("a", 2, "y"), target, "k", "r")
+    mark, late = S._mark, []
+
+    def mark_later(spark_, target_, folder, covers=None):
+        if covers is not None and not late:
+            late.append(S.upsert(row("a", 3, "z"), target, "k", "r"))
+        return mark(spark_, target_, folder, covers)
+
+    monkeypatch.setattr(S, "_mark", mark_later)
+    S.compact_rows(spark, target, "k", "r")
+    assert S.live_layers(spark, target) == [4, 3]
+    assert [tuple(r) for r in S.read_rows(spark, target, "k", "r").collect()] == [("a", 3, "z")]
+
+
+def test_compacted_layer_is_read_without_aggregate(spark):
+    target = scratch_path(spark, "t-plain-read")
+    df = spark.range(50).select(F.col("id").cast("string").alias("k"), F.col("id").alias("r"))
+    S.upsert(df, target, "k", "r")
+    S.compact_rows(spark, target, "k", "r")
+    out = S.read_rows(spark, target, "k", "r")
+    assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 50
+
+
+def test_upsert_with_map_columns(spark):
+    target = scratch_path(spark, "t-maps")
+    schema = "k string, r long, m map<string,int>"
+    S.upsert(spark.createDataFrame([("a", 1, {"x": 1}), ("b", 1, None)], schema), target, "k", "r")
+    S.upsert(spark.createDataFrame([("a", 2, {"y": 2, "b": 3})], schema), target, "k", "r")
+    got = {r["k"]: r["m"] for r in S.read_rows(spark, target, "k", "r").collect()}
+    assert got == {"a": {"y": 2, "b": 3}, "b": None}
+
+
+@pytest.mark.parametrize("rows", [
+    [("b", "1"), ("a", "1"), ("c", "1")],  # unsorted
+    [("a", "1"), ("a", "1")],  # repeated
+])
+def test_unsorted_or_repeated_staging_is_refused(spark, rows):
+    base = scratch_path(spark, "t-unsorted")
+    _cells(spark, rows).coalesce(1).write.parquet(f"{base}/s")
+    for move in (False, True):
+        with pytest.raises(ValueError):
+            S.publish(spark, f"{base}/s", f"{base}/t", move=move)
+
+
+@pytest.mark.parametrize("second", [["c", "e"], ["d", "f"], ["b", "c"]])
+def test_overlapping_files_are_refused(spark, second):
+    base = scratch_path(spark, "t-overlap")
+    for keys in (["a", "d"], second):
+        _cells(spark, [(k, "1") for k in keys]).coalesce(1).write.mode("append").parquet(f"{base}/s")
+    with pytest.raises(ValueError):
+        S.check_staging(spark, f"{base}/s")
+
+
+def test_staging_of_one_key_over_files_and_empty_files(spark):
+    base = scratch_path(spark, "t-edges")
+    for keys in (["a", "b"], [], ["c"]):
+        _cells(spark, [(k, "1") for k in keys]).coalesce(1).write.mode("append").parquet(f"{base}/s")
+    S.check_staging(spark, f"{base}/s")
+    spark.createDataFrame([], "rowkey string, family string, qualifier string, value string").write.parquet(f"{base}/e")
+    S.check_staging(spark, f"{base}/e")
+
+
+def test_copied_layer_keeps_the_order(spark):
+    base = scratch_path(spark, "t-copy")
+    staging = S.write_sorted_cells(_contact_cells(spark), f"{base}/s", files=16)
+    S.check_staging(spark, S.publish(spark, staging, f"{base}/t"))
+
+
+def test_sort_of_long_values_keeps_them_out_of_the_sample(spark):
+    wide = spark.range(400).select(
+        F.format_string("k%03d", F.col("id") % 7).alias("rowkey"), F.lit("cf").alias("family"), F.lit("q").alias("qualifier"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 200).alias("value"))
+    keys = [a.toString() for a in _range_keys(CE.sort_cells(wide, 20))]
+    assert len(keys) == 5 and not any(k.startswith("value") for k in keys)
+    assert CE.sort_cells(wide, 20).count() == 400
+
+
+def _range_keys(df):
+    """Columns of the range exchange."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while "RepartitionByExpression" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    found = plan.partitionExpressions()
+    return [found.apply(i) for i in range(found.size())]
+
+
 def test_upsert_partial_batch_keeps_untouched(spark):
     target = scratch_path(spark, "t-upsert-partial")
     schema = "k string, r long, v string"
     S.upsert(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("b", 3, "y3")], schema), target, "k", "r")
     S.upsert(spark.createDataFrame([("c", 1, "z"), ("a", 0, "stale")], schema), target, "k", "r")
     got = sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect())
-    assert S.compact_rows(spark, target, "k", "r").endswith("v00000003")
+    assert S.compact_rows(spark, target, "k", "r") == S.layer_path(spark, target, 3)
     assert S.live_layers(spark, target) == [3]
     assert sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect()) == got
     assert got == [("a", 1, "x"), ("b", 3, "y3"), ("c", 1, "z")]
@@ -156,14 +269,17 @@ def test_nested_values_become_json_text(spark):
     assert got == {"l": "[1,2]", "m": '{"a":1}'}
 
 
-def test_publish_resolves_repeats_when_asked(spark):
-    base = scratch_path(spark, "t-repeats")
-    schema = "rowkey string, family string, qualifier string, value string"
-    dup = spark.createDataFrame([("k", "cf", "q", "1"), ("k", "cf", "q", "2"), ("j", "cf", "q", "0")], schema)
-    staging = S.write_sorted_cells(dup, f"{base}/stage")
-    S.publish(spark, staging, f"{base}/table", resolve_repeats=True)
-    assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == [
-        ("j", "cf", "q", "0"), ("k", "cf", "q", "2")]
+def test_published_documents_are_whole_rows(spark):
+    from cellsmith.plans import jobs
+
+    base = scratch_path(spark, "t-whole")
+    t = "2018-04-24 22:13:20.000"
+    docs = spark.createDataFrame([("A", t, "13800000001", "z"), ("B", t, "13800000001", "a")],
+                                 "_id string, create_time string, mobile string, moxie_carrier_originalInfo string")
+    docs = docs.selectExpr("*", "cast(null as string) successFlag", "cast(null as string) task_id", "'' update_time")
+    S.publish(spark, S.write_sorted_cells(jobs.raw_docs_latest(docs), f"{base}/s", presorted=True), f"{base}/t")
+    got = {r["qualifier"]: r["value"] for r in S.read_cells(spark, f"{base}/t").collect()}
+    assert (got["_id"], got["moxie_carrier_originalInfo"]) == ("B", "a")
 
 
 def test_hot_repeated_row_key_spreads_over_partitions(spark):
@@ -183,7 +299,7 @@ def test_publish_by_move(spark):
     cells = _contact_cells(spark)
     staging = S.write_sorted_cells(cells, f"{base}/stage", presorted=True)
     path = S.publish(spark, staging, f"{base}/table", move=True)
-    assert path.endswith("v00000001")
+    assert path == S.layer_path(spark, f"{base}/table", 1)
     assert not os.path.exists(staging.replace("file:", ""))
     assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == sorted(
         tuple(r) for r in cells.collect())

@@ -63,6 +63,7 @@ def test_is_numeric(spark):
 
 def test_fee_text(spark):
     assert one(spark, C.fee_text, [None, "12", "2"]) == ["0", "12", "2"]
+    assert one(spark, C.fee_text, ["12.5", "abc", "99999999999", ""]) == [None, None, None, None]
 
 
 def test_contact_key(spark):

@@ -18,7 +18,7 @@ def test_calls_to_cells_same_with_forced_split(spark):
     docs = fx.call_docs(spark, SF)
     normal, _ = jobs.calls_to_cells(docs)
     # every base key with more than 1 item takes the range-split path
-    split, _ = jobs.calls_to_cells(docs, hot_rows=1, max_hot_keys=100000)
+    split, _ = jobs.calls_to_cells(docs, hot_rows=1)
     assert rows(normal) == rows(split)
 
 
@@ -61,6 +61,11 @@ def edge_docs(spark):
         ("00000000000f", None, _doc([{"items": [_item()]}])),
         ("00000000000g", "13800000006", _doc([{"items": [_item(time="2017-13-40 16:42:10"), _item(peer=None)]}])),
         ("00000000000h", "13800000007", None),
+        ("00000000000j", "13800000008", _doc([{"items": [_item()]}]) + " trailing"),
+        ("00000000000k", "13800000008", _doc([{"items": [_item()]}]) + "] x"),
+        ("00000000000l", "13800000008", "[" + _doc([{"items": [_item()]}]) + "]"),
+        ("00000000000m", "13800000009", _doc([{"items": [_item(fee="12.5")]}, {"items": []}])),
+        ("00000000000n", "13800000009", ""),
         ("00000000000i", "13800000001", _doc([{"items": [_item(), _item(time="2017-12-20 16:42:10.5", fee=2)]}])),
     ]
     return spark.createDataFrame(data, "_id string, mobile string, moxie_carrier_originalInfo string")
@@ -72,6 +77,8 @@ def test_call_rejects(spark, edge_docs):
     assert reasons == [
         ("00000000000b", "payload"), ("00000000000c", "payload"), ("00000000000d", "payload"),
         ("00000000000f", "id_or_mobile"), ("00000000000g", "peer_number"), ("00000000000g", "time"),
+        ("00000000000j", "payload"), ("00000000000k", "payload"), ("00000000000l", "payload"),
+        ("00000000000m", "fee"), ("00000000000n", "payload"),
     ]
     keys = sorted({r["rowkey"] for r in cells.collect()})
     # doc a: two items, distinct peers; doc i (same mobile): first item repeats doc a's first
@@ -98,21 +105,6 @@ def test_contact_without_phone_is_rejected(spark):
         jobs.contacts_to_cells(c, strict=True)
 
 
-def test_hot_keys_from_a_file_subset(spark):
-    from cellsmith.session import scratch_path
-
-    docs = fx.call_docs(spark, SF)
-    path = scratch_path(spark, "t-docs-files")
-    docs.repartition(4).write.parquet(path)
-    stored = spark.read.parquet(path)
-    files = sorted(stored.inputFiles())
-    subset = spark.read.parquet(*files[:1])
-    normal, _ = jobs.calls_to_cells(stored)
-    # a quarter of the files as the probe; tiny threshold so that keys do turn hot
-    probed, _ = jobs.calls_to_cells(stored, hot_sample=subset, hot_fraction=0.25, hot_rows=4)
-    assert rows(normal) == rows(probed)
-
-
 def test_raw_rows_with_timestamp_create_time(spark):
     import datetime as dt
 
@@ -125,22 +117,6 @@ def test_raw_rows_with_timestamp_create_time(spark):
     assert row["rowkey"] == "10000000831_1000000000"
 
 
-def test_document_sample_reads_a_file_subset(spark):
-    from cellsmith.session import scratch_path
-
-    path = scratch_path(spark, "t-docs-sample")
-    fx.call_docs(spark, SF).repartition(6).write.parquet(path)
-    stored = spark.read.parquet(path)
-    sample, fraction = jobs.document_sample(stored, fraction=0.5)
-    assert len(sample.inputFiles()) == 3 and fraction == 0.5
-    # fewer files than 1 / fraction: a row sample of the same share
-    rows_sample, f1 = jobs.document_sample(stored, fraction=0.1)
-    assert f1 == 0.1 and len(rows_sample.inputFiles()) == 6
-    # documents built by Spark from other tables fall back to a row sample
-    derived, f2 = jobs.document_sample(fx.call_docs(spark, SF), fraction=0.5)
-    assert f2 == 0.5 and "lineitem" in " ".join(derived.inputFiles())
-
-
 def test_jobs_are_independent_of_input_partitioning(spark):
     docs = fx.call_docs(spark, SF)
     a, _ = jobs.calls_to_cells(docs)
@@ -175,3 +151,11 @@ def test_contacts_with_rejects(spark):
                               "ord long, phoneNo string, tel string, name string")
     cells, rejects = jobs.contacts_to_cells(c, with_rejects=True)
     assert cells.count() == 3 and [r["ord"] for r in rejects.collect()] == [2]
+
+
+def test_documents_are_parsed_once_for_cells_and_rejects(spark, edge_docs):
+    cells, rejects = jobs.calls_to_cells(edge_docs)
+    for df in (cells, rejects):
+        assert "from_json" not in df._jdf.queryExecution().executedPlan().toString()
+    again = jobs.calls_to_cells(edge_docs, once=False)
+    assert rows(cells) == rows(again[0]) and sorted(map(str, rejects.collect())) == sorted(map(str, again[1].collect()))

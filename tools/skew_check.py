@@ -17,7 +17,7 @@ from cellsmith.plans import jobs  # noqa: E402
 from cellsmith.operators import keys as K  # noqa: E402
 spark = local_session("8", 8)
 p = scratch_path(spark, "skew-items")
-items, _ = jobs.call_items(fx.call_docs(spark, "/root/testdata/sf0.1"), with_rejects=False)
+items, _ = jobs.call_items(fx.call_docs(spark, "/root/testdata/sf0.1"))
 # a third of all items share one base key
 skewed = items.withColumn("base", F.when(F.xxhash64("details_id", "id") % 3 == 0, F.lit("HOT_")).otherwise(F.col("base")))
 skewed.write.parquet(p)
