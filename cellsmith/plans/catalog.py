@@ -537,8 +537,8 @@ def q_message_roundtrip(spark, sf_dir):
     # Sent with time keys, received from the latest position on, logged as lines.
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "roundtrip")
     sent = fx.messages(spark, sf_dir).withColumn("key", C.message_key(F.col("timestamp")))
+    _write_wave(sent.where(F.lit(False)), src)  # the topic exists, without messages
     stream = M.read_messages(spark, "parquet", src)
-    _write_wave(sent.where(F.lit(False)), src)
     M.prime_latest(M.format_lines(stream), sink, ckpt)
     _write_wave(sent, src)
     M.run_available(M.format_lines(stream), sink, ckpt)
