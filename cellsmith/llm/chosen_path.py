@@ -15,12 +15,15 @@ threshold) are checked on the full sets, most similar first, skipping pairs
 that are linked already; the node yields a spanning forest of true links.
 
 A larger node branches.  If a child keeps ``DENSE`` of its parent, its classes
-are mostly alike and more branching would not part them.  It is dealt out by
-hash into blocks of ``LEAF / 2``, each compared exhaustively like a node.  Of
-the members of a block that agree in ``SURE`` tokens, as chains, only the
-``MEDOIDS`` nearest to all others go on; all other members go on too.  What
-goes on is a new node, so a group of any size is joined in rounds, and no task
-sees more than ``LEAF`` classes.
+are mostly alike and more branching would not part them; all its pairs are
+compared in three passes, each on full sets.  First it is dealt out by hash
+into blocks of ``LEAF / 2``, each compared exhaustively like a node.  Then the
+best linked class of each component found so far, at most ``HUBS`` a node, is
+compared with every block.  Last, every class outside the node's largest
+component is compared with all classes of the node, block by block.  The only
+pairs never compared are those that true links have put into one component, so
+a dense node loses none; no task sees more than about ``LEAF`` classes.  The
+last pass grows with the classes left over times the node's size.
 
 Full sets are made for the candidates alone, in a second reading of the
 texts; their ids are broadcast up to ``SMALL_IDS`` rows and joined by shuffle
@@ -40,6 +43,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +53,10 @@ from pyspark.sql import functions as F
 from cellsmith.llm.common import Words, by_group, mix, shingle_sets, within
 from cellsmith.session import materialize
 
-SHINGLE, T, TREES, BRANCH, LEAF, DENSE, MEDOIDS = 5, 64, 4, 2, 1200, 0.6, 8
+SHINGLE, T, TREES, BRANCH, LEAF, DENSE, HUBS = 5, 64, 4, 2, 1200, 0.6, 256
 NUM, DEN = 75, 100  # link: DEN * intersection >= NUM * union
 LEAST_AGREE = 34  # of T = 64: four standard deviations under 0.75
-SURE = 48  # of T = 64: at the threshold
+MANY = 2000  # pairs of a cluster, from which intersections are counted together
 SMALL_IDS = 2_000_000
 
 _SEEDS = mix(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -137,47 +141,63 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * shared >= NUM * (len(both) - shared)
 
 
-def _candidates(agree: np.ndarray) -> list[tuple[int, int]]:
-    i, j = np.nonzero(np.triu(agree >= LEAST_AGREE, 1))
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets (upper triangle)."""
+    m = len(sets)
+    x, row = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(x, kind="stable")
+    x, row = x[order], row[order]
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+    times = np.diff(np.r_[first, len(x)])
+    out = np.zeros((m, m), np.float32)
+    for k in range(2, 9):  # elements of few sets, pair by pair
+        rows = row[first[times == k][:, None] + np.arange(k)]
+        for a in range(k - 1):
+            at = (rows[:, a, None] * m + rows[:, a + 1:]).ravel()
+            if len(at):
+                out += np.bincount(at, minlength=m * m).reshape(m, m)
+    often = np.flatnonzero(times > 8)
+    for i in range(0, len(often), 2048):
+        part = often[i: i + 2048]
+        has = np.zeros((m, len(part)), np.float32)
+        for c, (a, n) in enumerate(zip(first[part].tolist(), times[part].tolist())):
+            has[row[a: a + n], c] = 1
+        out += has @ has.T
+    return out
+
+
+def _apart(group: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Known component of each member, and the pairs to compare.
+
+    Members of one component are not compared, nor are those of one ``side`` other than 0."""
+    names: dict[bytes, int] = {}
+    known = np.array([names.setdefault(x or c, len(names)) for x, c in zip(group["label"].to_pylist(), group["cid"].to_pylist())])
+    side = group["side"].to_numpy(zero_copy_only=False)
+    return known, (known[:, None] != known) & ((side[:, None] != side) | (side == 0))
+
+
+def _candidates(agree: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    i, j = np.nonzero(np.triu((agree >= LEAST_AGREE) & apart, 1))
     order = np.argsort(-agree[i, j], kind="stable")
-    return list(zip(i[order].tolist(), j[order].tolist()))
+    return i[order], j[order]
 
 
 def _clusters(group: dict) -> Iterator[dict]:
     """Groups of candidates within a leaf, named by their members."""
-    cids = group["cid"].to_pylist()
+    cids, labels, sides = (group[c].to_pylist() for c in ("cid", "label", "side"))
     sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(cids), T)
     up = list(range(len(cids)))
-    for i, j in _candidates(agreement(sig)):
+    for i, j in zip(*(x.tolist() for x in _candidates(agreement(sig), _apart(group)[1]))):
         up[_find(up, i)] = _find(up, j)
-    members: dict[int, list[bytes]] = {}
-    for i in range(len(cids)):
-        members.setdefault(_find(up, i), []).append(cids[i])
-    for m in members.values():
-        if len(m) > 1:
-            m.sort()
-            name = int.from_bytes(hashlib.blake2b(b"".join(m), digest_size=8).digest(), "little", signed=True)
-            for c in m:
-                yield {"cluster": name, "cid": c}
-
-
-def _carry(group: dict) -> Iterator[dict]:
-    """The classes of a block that go on."""
-    cids, node = group["cid"].to_pylist(), group["node"][0].as_py()
-    sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(cids), T)
-    agree = agreement(sig)
-    up = list(range(len(cids)))
-    for i, j in zip(*np.nonzero(np.triu(agree >= SURE, 1))):
-        up[_find(up, int(i))] = _find(up, int(j))
     members: dict[int, list[int]] = {}
     for i in range(len(cids)):
         members.setdefault(_find(up, i), []).append(i)
     for m in members.values():
-        if len(m) > MEDOIDS:
-            near = agree[np.ix_(m, m)].sum(1)
-            m = [m[i] for i in np.argsort(-near, kind="stable")[:MEDOIDS]]
-        for i in m:
-            yield {"node": node, "cid": cids[i]}
+        if len(m) > 1:
+            names = b"".join(sorted(cids[i] for i in m))
+            name = int.from_bytes(hashlib.blake2b(names, digest_size=8).digest(), "little", signed=True)
+            for i in m:
+                yield {"cluster": name, "cid": cids[i], "label": labels[i], "side": sides[i]}
 
 
 def _links(group: dict) -> Iterator[dict]:
@@ -185,10 +205,17 @@ def _links(group: dict) -> Iterator[dict]:
     cids = group["cid"].to_pylist()
     sets = [np.frombuffer(x, np.uint64) for x in group["elements"].to_pylist()]
     sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(cids), T)
+    known, apart = _apart(group)
+    i, j = _candidates(agreement(sig), apart)
+    many = len(i) > MANY
+    if many:
+        both, n = shared(sets)[i, j].astype(np.int64), np.array([len(s) for s in sets])
+        true = DEN * both >= NUM * (n[i] + n[j] - both)
+        i, j = i[true], j[true]
     up = list(range(len(cids)))
-    for i, j in _candidates(agreement(sig)):
-        a, b = _find(up, i), _find(up, j)
-        if a != b and linked(sets[i], sets[j]):
+    for i, j in zip(i.tolist(), j.tolist()):
+        a, b = _find(up, int(known[i])), _find(up, int(known[j]))
+        if a != b and (many or linked(sets[i], sets[j])):
             up[a] = b
             yield {"a": min(cids[i], cids[j]), "b": max(cids[i], cids[j])}
 
@@ -200,13 +227,23 @@ def _split_open(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return leaf, dense, branch
 
 
-def leaves(classes: DataFrame, trees: int = TREES) -> DataFrame:
-    """``(node, cid)``: groups of at most ``LEAF`` classes to compare exhaustively."""
+def _block(step):
+    """Block of a class in its dense node, of ``LEAF / 2`` classes."""
+    return F.pmod(F.xxhash64(F.lit(step), "cid"), _blocks("size"))
+
+
+def _blocks(size: str):
+    return F.ceil(F.col(size) / F.lit(LEAF // 2))
+
+
+def leaves(classes: DataFrame, trees: int = TREES) -> tuple[DataFrame, DataFrame | None]:
+    """``(node, cid)``: groups of at most ``LEAF`` classes to compare exhaustively; and
+    ``(node, cid, size, block)`` of the dense nodes, whose blocks are among the groups."""
     far = float(1 << 62)
     roots = classes.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("node"), "cid", "sig")
     roots = roots.withColumn("node", F.xxhash64(F.lit("root"), "node"))
     now = materialize(_sized(_children(roots, 11)).withColumn("parent", F.lit(far)), "nodes")
-    found = []
+    found, crowds = [], []
     for step in range(1, 60):
         leaf, dense, branch = _split_open(now)
         found.append(leaf.select("node", "cid"))
@@ -217,35 +254,75 @@ def leaves(classes: DataFrame, trees: int = TREES) -> DataFrame:
             rows = branch.select("node", "cid", F.col("size").cast("double").alias("_size")).join(classes, "cid")
             nxt = _sized(_children(rows, 100 * step)).withColumnRenamed("_size", "parent").select("node", "cid", "size", "parent")
         if True in big:
-            count = F.ceil(F.col("size") / F.lit(LEAF // 2))
-            block = F.xxhash64("node", F.pmod(F.xxhash64(F.lit(step), "cid"), count))
-            rows = dense.select("node", "cid", block.alias("block"))
-            found.append(rows.select(F.col("block").alias("node"), "cid"))
-            on = materialize(by_group(rows.join(classes, "cid"), "block", _carry, "node long, cid binary"), "blocks")
-            on = _sized(on.withColumn("node", F.xxhash64(F.lit(step), "node"))).withColumn("parent", F.lit(far))
-            on = on.select("node", "cid", "size", "parent")
-            nxt = on if nxt is None else nxt.unionByName(on)
+            rows = dense.select("node", "cid", "size", _block(step).alias("block"))
+            found.append(rows.select(F.xxhash64("node", "block").alias("node"), "cid"))
+            crowds.append(rows)
         if nxt is None:
             break
         now = materialize(nxt, "nodes")
     else:
         raise RuntimeError("nodes remain after 60 levels")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, found), reduce(DataFrame.unionByName, crowds) if crowds else None
+
+
+def _compare(groups: DataFrame, classes: DataFrame, sets_of) -> DataFrame:
+    """Spanning links ``(a, b)`` of groups ``(node, cid, label, side)``."""
+    grouped = groups.join(classes, "cid")
+    clusters = by_group(grouped, "node", _clusters, "cluster long, cid binary, label binary, side int").distinct()
+    clusters = materialize(clusters, "clusters")
+    full = materialize(sets_of(clusters.select("cid").distinct()), "sets")
+    if full.count() > full.select("cid").distinct().count():  # ids given to several rows
+        full = materialize(full.dropDuplicates(["cid"]), "sets")
+    return materialize(by_group(clusters.join(full, "cid"), "cluster", _links, "a binary, b binary").distinct(), "links")
+
+
+def _labelled(crowds: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes of dense nodes with the ``label`` of their component, and each
+    ``(node, label)`` with its number of classes and its best linked class."""
+    label = components(edges).select(F.col("id").alias("cid"), "label")
+    ends = edges.select(F.col("a").alias("cid")).unionByName(edges.select(F.col("b").alias("cid")))
+    label = label.join(ends.groupBy("cid").agg(F.count("*").alias("degree")), "cid", "left")
+    rows = materialize(crowds.join(label, "cid", "left"), "crowds")
+    parts = rows.where("label is not null").groupBy("node", "label").agg(
+        F.count("*").alias("n"), F.max(F.struct("degree", "cid"))["cid"].alias("hub"))
+    return rows.drop("degree"), materialize(parts, "parts")
+
+
+def _hub_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Every block of a dense node with the node's hubs."""
+    hubs = parts.groupBy("node", F.pmod(F.xxhash64("label"), F.lit(HUBS)).alias("h")).agg(
+        F.max(F.struct("n", "label", "hub")).alias("m")).select("node", F.col("m.hub").alias("cid"), F.col("m.label").alias("label"))
+    size = F.broadcast(rows.select("node", "size").distinct())
+    hubs = hubs.join(size, "node").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), _blocks("size") - 1)))
+    both = rows.withColumn("side", F.lit(1)).unionByName(hubs.withColumn("side", F.lit(2)))
+    return both.select(F.xxhash64(F.lit("hub"), "node", "block").alias("node"), "cid", "label", "side")
+
+
+def _rest_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Every class outside its dense node's largest component with every block of the node."""
+    best = parts.groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("best"))
+    rows = rows.join(F.broadcast(best), "node", "left").withColumn("out", ~F.coalesce(F.col("label") == F.col("best"), F.lit(False)))
+    left = rows.where("out").groupBy("node").agg(F.count("*").alias("rest"))
+    rows = rows.join(F.broadcast(left), "node")
+    mine = F.pmod(F.xxhash64(F.lit("rest"), "cid"), _blocks("rest"))
+    ones = rows.where("out").withColumn("part", mine).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), _blocks("size") - 1))).withColumn("side", F.lit(1))
+    last = F.when(F.col("out"), mine).otherwise(_blocks("rest") - 1)  # two that are left over meet in the lower part
+    others = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("side", F.lit(2))
+    both = ones.unionByName(others)
+    return both.select(F.xxhash64(F.lit("rest"), "node", "part", "block").alias("node"), "cid", "label", "side")
 
 
 def links(classes: DataFrame, sets_of, trees: int = TREES) -> DataFrame:
     """Spanning links ``(a, b)`` between class ids of ``classes (cid, sig)``.
 
     ``sets_of(cids)`` gives ``(cid, elements, sig)`` of the class ids asked for."""
-    grouped = leaves(classes, trees).join(classes, "cid")
-    clusters = materialize(by_group(grouped, "node", _clusters, "cluster long, cid binary").distinct(), "clusters")
-    full = materialize(sets_of(clusters.select("cid").distinct()), "sets")
-    if full.count() > full.select("cid").distinct().count():  # ids given to several rows
-        full = materialize(full.dropDuplicates(["cid"]), "sets")
-    return by_group(clusters.join(full, "cid"), "cluster", _links, "a binary, b binary").distinct()
+    groups, crowds = leaves(classes, trees)
+    groups = groups.withColumn("label", F.lit(None).cast("binary")).withColumn("side", F.lit(0))
+    edges = _compare(groups, classes, sets_of)
+    for more in (_hub_groups, _rest_groups) if crowds is not None else ():
+        edges = edges.unionByName(_compare(more(*_labelled(crowds, edges)), classes, sets_of))
+    return edges.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -393,6 +393,36 @@ def test_near_duplicates_large_groups(spark, monkeypatch):
     check_components(spark, dict(enumerate(texts)))
 
 
+def unlike_copies(n, seed, size=400, edits=10):
+    """A text and copies that are near to it (0.77), but not to each other (0.61)."""
+    rng = np.random.default_rng(seed)
+    base = [f"v{k}" for k in range(size)]
+    out = [" ".join(base)]
+    for c in range(n):
+        w = list(base)
+        for k in rng.choice(np.arange(4, size - 4), edits, replace=False):
+            w[k] = f"e{c}x{k}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_near_duplicates_unlike_copies_of_one_text(spark, monkeypatch):
+    """Copies that are linked through one original alone, in a group above the leaf size."""
+    monkeypatch.setattr(chosen_path, "LEAF", 200)
+    texts = unlike_copies(600, 3)
+    check_components(spark, dict(enumerate([*texts[1:], texts[0]])))
+
+
+def test_shared_counts_all_pairs():
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(15)]
+    sets += [np.unique(rng.integers(0, 5000, 300).astype(np.uint64)) for _ in range(25)]
+    got = chosen_path.shared(sets)
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            assert got[i, j] == len(set(sets[i].tolist()) & set(sets[j].tolist()))
+
+
 def test_near_duplicates_odd_rows(spark, odd_docs, no_docs):
     got = chosen_path.near_duplicates(odd_docs).collect()
     assert len(got) == 11
