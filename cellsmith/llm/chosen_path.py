@@ -7,7 +7,9 @@ of ``TREES`` independent trees, a node sends each of its classes to
 child is named by the token.  Two classes of similarity ``j`` stay together
 in a child with chance ``j`` each.  At ``j = 0.75`` and two children a
 tree loses a pair with chance at most 0.111 however deep it goes (the least
-root of ``q = (0.25 + 0.75 q)^2``), so four trees lose at most 2e-4.
+root of ``q = (0.25 + 0.75 q)^2``), so four trees lose at most 2e-4.  The
+bound is for branching; a pair in a leaf or dense node is lost only if it
+agrees in fewer than ``LEAST_AGREE`` tokens.
 
 A node of at most ``LEAF`` classes is compared exhaustively: pairs whose
 minwise tokens agree often enough (four standard deviations below the
@@ -17,7 +19,8 @@ that are linked already; the node yields a spanning forest of true links.
 A larger node branches.  If a child keeps ``DENSE`` of its parent, its classes
 are mostly alike and more branching would not part them; all its pairs are
 compared in three passes, each on full sets.  First it is dealt out by hash
-into blocks of ``LEAF / 2``, each compared exhaustively like a node.  Then the
+into blocks of ``LEAF / 2``, by a hash of node and class, so that no two nodes
+part the same pairs, each compared exhaustively like a node.  Then the
 best linked class of each component found so far, at most ``HUBS`` a node, is
 compared with every block.  Last, every class outside the node's largest
 component is compared with all classes of the node, block by block.  The only
@@ -228,8 +231,8 @@ def _split_open(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _block(step):
-    """Block of a class in its dense node, of ``LEAF / 2`` classes."""
-    return F.pmod(F.xxhash64(F.lit(step), "cid"), _blocks("size"))
+    """Block of a class in its dense node, of ``LEAF / 2`` classes; each node deals its own way."""
+    return F.pmod(F.xxhash64(F.lit(step), "node", "cid"), _blocks("size"))
 
 
 def _blocks(size: str):
@@ -304,7 +307,7 @@ def _rest_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
     rows = rows.join(F.broadcast(best), "node", "left").withColumn("out", ~F.coalesce(F.col("label") == F.col("best"), F.lit(False)))
     left = rows.where("out").groupBy("node").agg(F.count("*").alias("rest"))
     rows = rows.join(F.broadcast(left), "node")
-    mine = F.pmod(F.xxhash64(F.lit("rest"), "cid"), _blocks("rest"))
+    mine = F.pmod(F.xxhash64(F.lit("rest"), "node", "cid"), _blocks("rest"))
     ones = rows.where("out").withColumn("part", mine).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), _blocks("size") - 1))).withColumn("side", F.lit(1))
     last = F.when(F.col("out"), mine).otherwise(_blocks("rest") - 1)  # two that are left over meet in the lower part

@@ -413,6 +413,13 @@ def test_near_duplicates_unlike_copies_of_one_text(spark, monkeypatch):
     check_components(spark, dict(enumerate([*texts[1:], texts[0]])))
 
 
+def test_nodes_deal_their_blocks_apart(spark):
+    rows = spark.range(4000).select(F.lit(1).alias("node"), F.col("id").cast("string").cast("binary").alias("cid"), F.lit(6 * chosen_path.LEAF).alias("size"))
+    a, b = ([r.k for r in rows.withColumn("node", F.lit(n).cast("long")).select(chosen_path._block(1).alias("k")).collect()] for n in (5, 6))
+    assert set(a) == set(b) == set(range(12))
+    assert np.mean(np.array(a) == np.array(b)) == pytest.approx(1 / 12, abs=0.03)
+
+
 def test_shared_counts_all_pairs():
     rng = np.random.default_rng(12)
     sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(15)]
