@@ -54,6 +54,42 @@ TEMPLATES = (
                 "option) any later version."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met"),
+    ("CC-BY-NC-4.0-line", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-4.0-line", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0-line", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0-line", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0-line", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0-line", "Licensed under CC BY-NC-ND 4.0."),
+    *((f"CC-BY-{short}-4.0-line", f"This work is licensed under a Creative Commons Attribution-{name} 4.0 International License.")
+      for short, name in (("SA", "ShareAlike"), ("ND", "NoDerivatives"), ("NC", "NonCommercial"),
+                          ("NC-SA", "NonCommercial-ShareAlike"), ("NC-ND", "NonCommercial-NoDerivatives"))),
+    ("CC0-1.0", "has waived all copyright and related or neighboring rights to"),
+    ("LGPL-line", "licensed under the GNU Lesser General Public License"),
+    ("AGPL-line", "licensed under the GNU Affero General Public License"),
+    ("MPL-2.0-line", "licensed under the Mozilla Public License, version 2.0"),
+    ("BSD-3-Clause-line", "licensed under the BSD 3-Clause License"),
+    ("BSD-2-Clause-line", "licensed under the BSD 2-Clause License"),
+    ("ISC-line", "licensed under the ISC License"),
+    # Only the wording that tells them from the GPL-3.0 notice.
+    ("LGPL", "under the terms of the GNU Lesser General Public License as published by"),
+    ("AGPL", "under the terms of the GNU Affero General Public License as published by"),
+    ("GPL-2.0", "GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                "distributed with this file, You can obtain one at"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+                  "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                  "purpose, commercial or non-commercial, and by any means."),
+    ("BSD-source", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+                   "disclaimer."),
+    ("BSD-binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+                   "following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission."),
+    ("BSD-disclaimer", "This software is provided by the copyright holders and contributors \"as is\" and any express or implied "
+                       "warranties, including, but not limited to, the implied warranties of merchantability and fitness for a "
+                       "particular purpose are disclaimed."),
 )
 
 

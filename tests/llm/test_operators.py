@@ -65,6 +65,28 @@ def test_license_scan(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == 0 and licenses.scan(no_docs).count() == 0
 
 
+def test_license_lines_of_the_tables(spark):
+    """Every document of the given tables with a license line is found, as the license it names."""
+    for sf in ("sf0.001", "sf0.01"):
+        df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        want = {r.doc_id for r in df.where(r"text rlike '(?i)(licensed|released) under'").collect()}
+        got = licenses.scan(df).collect()
+        assert want and want <= {r.doc_id for r in got}
+        nc = {r.doc_id for r in df.where("text like '%CC BY-NC 4.0%'").collect()}
+        assert nc and nc == {r.doc_id for r in got if r.license == "CC-BY-NC-4.0-line"}
+
+
+def test_license_templates_do_not_meet_others(spark):
+    """Each template is found in its own text; nearly equal notices are told apart."""
+    rows = [(i, text) for i, (_, text) in enumerate(licenses.TEMPLATES)]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    want = {i: {name} for i, (name, _) in enumerate(licenses.TEMPLATES)}
+    want[6].add("Apache-2.0-line")  # the notice begins with the line
+    assert got == want
+
+
 # 2 Toxicity.
 
 def brute_segments(v):
