@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cellsmith.llm import (
-    attention, chosen_path, decontam, licenses, perspectives, raking, ring, syncmers, token_counts, toxicity,
+    attention, bpe, chosen_path, decontam, licenses, perspectives, raking, resample, ring, runs,
+    syncmers, token_counts, toxicity,
 )
 from cellsmith.llm.common import read
 
@@ -51,6 +52,18 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "weight", "sampled")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(read(spark, sf_dir, "documents"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -59,12 +72,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     ops = (op1_license_scan, op2_toxicity, op3_syncmers, op4_ring, op5_attention, op6_perspectives,
-           op7_decontamination, op8_chosen_path, op9_token_counts, op10_raking)
+           op7_decontamination, op8_chosen_path, op9_token_counts, op10_raking, op11_byte_bpe, op12_resample, op13_word_runs)
     return {f.__name__: f for f in ops} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.ORACLE, "op6_perspectives": perspectives.ORACLE, "op10_raking": _raking_sql()}
+    return {"op1_license_scan": licenses.ORACLE, "op6_perspectives": perspectives.ORACLE, "op10_raking": _raking_sql(),
+            "op12_resample": resample.ORACLE}
 
 
 def _raking_sql(temper: float = raking.TEMPER, sweeps: int = raking.SWEEPS) -> str:

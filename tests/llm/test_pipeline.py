@@ -17,11 +17,11 @@ def test_queries_are_registered():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)) and "pipeline" in names
 
 
 def _norm(v):
-    return None if v is None else str(v)
+    return "\0" if v is None else str(v)
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
