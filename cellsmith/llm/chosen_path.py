@@ -33,7 +33,8 @@ texts; their ids are broadcast up to ``SMALL_IDS`` rows and joined by shuffle
 beyond.
 
 Components are found by alternating large-star and small-star steps on
-tables in the shared folder.
+tables in the shared folder.  Links found later are contracted by the components known
+before; a pass is left out when no dense node holds two components.
 
 Cases: null, empty and wordless texts have an empty set, are their own
 component and kept; fewer than five words make one shingle; repeated rows
@@ -50,10 +51,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellsmith.llm.common import Words, by_group, mix, shingle_sets, within
+from cellsmith.llm.common import Words, by_group, mix, shingle_sets, shuffle_parts, within
 from cellsmith.session import materialize
 
 SHINGLE, T, TREES, BRANCH, LEAF, DENSE, HUBS = 5, 64, 4, 2, 1200, 0.6, 256
@@ -273,18 +274,16 @@ def _compare(groups: DataFrame, classes: DataFrame, sets_of) -> DataFrame:
     grouped = groups.join(classes, "cid")
     clusters = by_group(grouped, "node", _clusters, "cluster long, cid binary, label binary, side int").distinct()
     clusters = materialize(clusters, "clusters")
-    full = materialize(sets_of(clusters.select("cid").distinct()), "sets")
-    if full.count() > full.select("cid").distinct().count():  # ids given to several rows
-        full = materialize(full.dropDuplicates(["cid"]), "sets")
+    # One set a class: ids may stand on several rows.  The join uses the same exchange.
+    full = sets_of(clusters.select("cid").distinct()).dropDuplicates(["cid"])
     return materialize(by_group(clusters.join(full, "cid"), "cluster", _links, "a binary, b binary").distinct(), "links")
 
 
-def _labelled(crowds: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _labelled(crowds: DataFrame, edges: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The classes of dense nodes with the ``label`` of their component, and each
     ``(node, label)`` with its number of classes and its best linked class."""
-    label = components(edges).select(F.col("id").alias("cid"), "label")
     ends = edges.select(F.col("a").alias("cid")).unionByName(edges.select(F.col("b").alias("cid")))
-    label = label.join(ends.groupBy("cid").agg(F.count("*").alias("degree")), "cid", "left")
+    label = label.select(F.col("id").alias("cid"), "label").join(ends.groupBy("cid").agg(F.count("*").alias("degree")), "cid", "left")
     rows = materialize(crowds.join(label, "cid", "left"), "crowds")
     parts = rows.where("label is not null").groupBy("node", "label").agg(
         F.count("*").alias("n"), F.max(F.struct("degree", "cid"))["cid"].alias("hub"))
@@ -304,7 +303,7 @@ def _hub_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
 def _rest_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
     """Every class outside its dense node's largest component with every block of the node."""
     best = parts.groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("best"))
-    rows = rows.join(F.broadcast(best), "node", "left").withColumn("out", ~F.coalesce(F.col("label") == F.col("best"), F.lit(False)))
+    rows = rows.join(F.broadcast(best), "node", "left").withColumn("out", ~F.coalesce(F.coalesce("label", "cid") == F.col("best"), F.lit(False)))
     left = rows.where("out").groupBy("node").agg(F.count("*").alias("rest"))
     rows = rows.join(F.broadcast(left), "node")
     mine = F.pmod(F.xxhash64(F.lit("rest"), "node", "cid"), _blocks("rest"))
@@ -316,37 +315,67 @@ def _rest_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return both.select(F.xxhash64(F.lit("rest"), "node", "part", "block").alias("node"), "cid", "label", "side")
 
 
-def links(classes: DataFrame, sets_of, trees: int = TREES) -> DataFrame:
-    """Spanning links ``(a, b)`` between class ids of ``classes (cid, sig)``.
+def _open(rows: DataFrame) -> bool:
+    """True when a dense node holds classes of different components, or classes without one."""
+    name = F.coalesce("label", "cid")
+    return bool(rows.groupBy("node").agg((F.min(name) != F.max(name)).alias("open")).where("open").limit(1).count())
+
+
+def links(classes: DataFrame, sets_of, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
+    """Spanning links ``(a, b)`` between class ids of ``classes (cid, sig)``, and the components
+    ``(id, label)`` they make.
 
     ``sets_of(cids)`` gives ``(cid, elements, sig)`` of the class ids asked for."""
     groups, crowds = leaves(classes, trees)
     groups = groups.withColumn("label", F.lit(None).cast("binary")).withColumn("side", F.lit(0))
     edges = _compare(groups, classes, sets_of)
+    label = components(edges)
     for more in (_hub_groups, _rest_groups) if crowds is not None else ():
-        edges = edges.unionByName(_compare(more(*_labelled(crowds, edges)), classes, sets_of))
-    return edges.distinct()
+        rows, parts = _labelled(crowds, edges, label)
+        if not _open(rows):
+            break
+        found = _compare(more(rows, parts), classes, sets_of)
+        if found.isEmpty():
+            continue
+        edges, label = edges.unionByName(found), joined(label, found)
+    return edges.distinct(), label
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``(id, label)``: the least id of each id's component; ids without an edge are left out."""
-    now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "cc")
-    mark = None
+    """``(id, label)``: the least id of each id's component; ids without an edge are left out.
+
+    A round is a large-star and a small-star step, one exchange each: the
+    exchange by ``u`` serves the removal of repeats and the least neighbour."""
+    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
+    n = shuffle_parts(edges.sparkSession)
+    least = F.min("v").over(Window.partitionBy("u"))
+    now, mark = pairs, None
     for _ in range(60):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, "cc")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        large = both.repartition(n, "u").dropDuplicates(["u", "v"]).select("u", "v", F.least("u", least).alias("m"))
+        large = large.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.repartition(n, "u").dropDuplicates(["u", "v"]).select("u", "v", least.alias("m"))
+        # Every neighbour but the least goes to the least; the id itself does once, in the least one's row.
+        small = small.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
+        now = materialize(small, "cc")
         state = now.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
         if tuple(state) == mark:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("label"))
+            return now.select(F.col("u").alias("id"), F.col("v").alias("label"))  # a star for each component
         mark = tuple(state)
     raise RuntimeError("components did not settle")
 
 
+def joined(label: DataFrame, found: DataFrame) -> DataFrame:
+    """The components ``(id, label)`` after further links, found on the contracted graph alone."""
+    known = label.select(F.col("id").alias("_id"), "label")
+    for end in ("a", "b"):
+        found = found.join(known, F.col(end) == F.col("_id"), "left").withColumn(end, F.coalesce("label", end)).drop("_id", "label")
+    merged = components(found.select("a", "b")).select(F.col("id").alias("_id"), F.col("label").alias("_to"))
+    old = label.join(merged, F.col("label") == F.col("_id"), "left").select("id", F.coalesce("_to", "label").alias("label"))
+    # Labels are ids of their components; classes that had no link yet are ids of the contracted graph.
+    return materialize(old.unionByName(merged.select(F.col("_id").alias("id"), F.col("_to").alias("label"))), "labels")
+
+
 def near_duplicates(docs: DataFrame, trees: int = TREES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -359,7 +388,8 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, doc_id: str = "doc_id",
         part = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
         return part.mapInArrow(_sets_task(True), "cid binary, elements binary, sig binary")
 
-    label = components(links(classes.select("cid", "sig"), sets_of, trees)).select(F.col("id").alias("cid"), "label")
+    _, label = links(classes.select("cid", "sig"), sets_of, trees)
+    label = label.select(F.col("id").alias("cid"), "label")
     named = classes.select("cid", "least").join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
     by_class = named.join(names, "label").select("cid", "component_id")
