@@ -18,6 +18,19 @@ def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def private(columns, *names: str) -> tuple[str, ...]:
+    """``names`` with underscores before them until none is in ``columns`` (upper and lower case alike)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        name = "_" + name
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 def id_crc(doc_id: str = "doc_id"):
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

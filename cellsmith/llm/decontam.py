@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellsmith.llm.common import private
+
 ERROR, MIN_CHARS, BLOCK_CHARS = 0.08, 24, 8_000_000
 
 
@@ -134,43 +136,49 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, chars: int) -> DataFra
     return rows.select("item_id", "text", F.pmod(F.xxhash64("text"), F.lit(n)).alias("block")), n
 
 
+NAMES = ("items", "distances", "contaminated")
+
+
 def find(docs: DataFrame, benchmark: DataFrame, error: float = ERROR, min_chars: int = MIN_CHARS,
          block_chars: int = BLOCK_CHARS, doc_id: str = "doc_id", text: str = "text",
-         item_id: str = "item_id", item_text: str = "text", keep: tuple = ()) -> DataFrame:
+         item_id: str = "item_id", item_text: str = "text", keep: tuple = (), names: tuple = NAMES) -> DataFrame:
     """All rows of ``docs`` with ``items`` (sorted ids found), ``distances`` and ``contaminated``.
 
-    ``keep`` names columns to pass through (the whole row, for filtering)."""
+    ``keep`` names columns to pass through (the whole row, for filtering).  ``names`` are the names of
+    the three; a kept column of such a name is replaced."""
+    items, distances, contaminated = names
+    keep = [c for c in keep if c.lower() not in {n.lower() for n in names}] or [F.col(doc_id).alias("doc_id")]
+    (body,) = private([*docs.columns, *names], "text")
     parted, n = blocks(benchmark, item_id, item_text, block_chars)
-    rows = docs.select(*(keep or [F.col(doc_id).alias("doc_id")]), F.col(text).alias("_text"),
-                       F.array().cast("array<long>").alias("items"), F.array().cast("array<int>").alias("distances"))
+    rows = docs.select(*keep, F.col(text).alias(body), F.array().cast("array<long>").alias(items),
+                       F.array().cast("array<int>").alias(distances))
     for b in range(n):
         # At most about block_chars characters by the choice of n.
         got = [(r.item_id, normal(r.text)) for r in parted.where(F.col("block") == b).collect()]
         got = sorted((i, t) for i, t in got if i is not None and len(t) >= min_chars)
         if got:
-            rows = _pass(rows, docs.sparkSession.sparkContext.broadcast(got), error)
-    return rows.drop("_text").withColumn("contaminated", F.size("items") > 0)
+            rows = _pass(rows, docs.sparkSession.sparkContext.broadcast(got), error, body, items, distances)
+    return rows.drop(body).withColumn(contaminated, F.size(items) > 0)
 
 
-def _pass(rows: DataFrame, items, error: float) -> DataFrame:
+def _pass(rows: DataFrame, sent, error: float, body: str, items: str, distances: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(rows.schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto, table = automaton(items.value, error)
+        auto, table = automaton(sent.value, error)
         masks: dict = {}
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 batch = whole.slice(k, 500)
                 ids, far = [], []
-                for text, a, b in zip(batch.column("_text").to_pylist(), batch.column("items").to_pylist(),
-                                      batch.column("distances").to_pylist()):
+                for text, a, b in zip(*(batch.column(c).to_pylist() for c in (body, items, distances))):
                     got = sorted({*zip(a, b), *((i, d) for r, d in matches(normal(text), auto, table, masks) for i in table[r][0])})
                     ids.append([i for i, _ in got])
                     far.append([d for _, d in got])
-                cols = [batch.column(f.name) if f.name not in ("items", "distances")
-                        else pa.array(ids if f.name == "items" else far, f.type) for f in schema]
+                cols = [batch.column(f.name) if f.name not in (items, distances)
+                        else pa.array(ids if f.name == items else far, f.type) for f in schema]
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     return rows.mapInArrow(task, rows.schema)

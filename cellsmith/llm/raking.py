@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellsmith.llm.common import private
 from cellsmith.session import materialize
 
 DIMS = ("source", "lang", "topic")
@@ -34,12 +35,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"\*\*\*|&&&|###|%%%"
 
 
-def with_topic(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``topic`` (the kind of text: table, symbols, capitals, prose) and ``n_tokens`` (words)."""
+def with_topic(docs: DataFrame, text: str = "text", names: tuple = ("topic", "n_tokens")) -> DataFrame:
+    """Add ``topic`` (the kind of text: table, symbols, capitals, prose) and ``n_tokens`` (words).
+
+    ``names`` are the names of the two; a column of such a name is replaced."""
     t = F.coalesce(F.col(text), F.lit(""))
-    topic = (F.when(t.contains(" | "), "table").when(t.rlike(SYMBOLS), "symbols")
+    kind = (F.when(t.contains(" | "), "table").when(t.rlike(SYMBOLS), "symbols")
              .when((t == F.upper(t)) & (t != F.lower(t)), "capitals").otherwise("prose"))
-    return docs.withColumn("topic", topic).withColumn("n_tokens", F.regexp_count(t, F.lit(WORD)).cast("long"))
+    return docs.withColumns(dict(zip(names, (kind, F.regexp_count(t, F.lit(WORD)).cast("long")))))
 
 
 def tempered(shares: dict, temper: float) -> dict:
@@ -108,10 +111,11 @@ def scale_for(keep: float, total: float, kept) -> float:
 
 
 def probabilities(docs: DataFrame, dims: tuple = DIMS, targets: list[dict] | None = None, temper: float = TEMPER,
-                  keep: float = KEEP, sweeps: int = SWEEPS, max_cells: int = MAX_CELLS) -> tuple[DataFrame, bool]:
+                  keep: float = KEEP, sweeps: int = SWEEPS, max_cells: int = MAX_CELLS,
+                  n_tokens: str = "n_tokens") -> tuple[DataFrame, bool]:
     """``probability`` and ``weight`` per cell, and whether the table is within ``max_cells`` rows."""
     spark = docs.sparkSession
-    cells = materialize(docs.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    cells = materialize(docs.groupBy(*dims).agg(F.sum(n_tokens).alias("tokens")), "cells")
     small = cells.limit(max_cells + 1).count() <= max_cells
     if small:
         rows = sorted((tuple(r) for r in cells.collect()), key=str)
@@ -136,13 +140,18 @@ def draw(doc_id: str = "doc_id", seed: str = SEED):
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def mix(docs: DataFrame, dims: tuple = DIMS, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with ``probability``, ``weight`` and ``sampled``; ``docs`` has ``dims`` and ``n_tokens``."""
+NAMES = ("probability", "weight", "sampled")
+
+
+def mix(docs: DataFrame, dims: tuple = DIMS, doc_id: str = "doc_id", names: tuple = NAMES, **options) -> DataFrame:
+    """``docs`` with ``probability``, ``weight`` and ``sampled``; ``docs`` has ``dims`` and the tokens.
+
+    ``names`` are the names of the three; a column of such a name is replaced."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in names}])
     table, small = probabilities(docs, dims, **options)
-    table = table.select(*[F.col(d).alias(f"_{d}") for d in dims], "probability", "weight")
+    keys = private([*docs.columns, *names], *dims)
+    table = table.select(*[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col("probability").alias(names[0]),
+                         F.col("weight").alias(names[1]))
     table = F.broadcast(table) if small else table
-    same = [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in dims]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    return docs.join(table, on).drop(*[f"_{d}" for d in dims]).withColumn("sampled", draw(doc_id) < F.col("probability"))
+    on = [F.col(d).eqNullSafe(F.col(k)) for d, k in zip(dims, keys)]
+    return docs.join(table, on).drop(*keys).withColumn(names[2], draw(doc_id) < F.col(names[0]))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsmith.llm.common import id_crc
+from cellsmith.llm.common import id_crc, private
 
 FIT_ROWS, UNITS, STEM, Z, PRIOR, DRIFT, PASSAGE, THRESHOLD = 20_000, 20_000, 5, 3.5, 0.1, 0.2, 0.01, 0.7
 MAX_EVIDENCE, BINS = 40.0, 160
@@ -118,7 +118,7 @@ def _values(model: Model, table: _Scores, text: str | None) -> tuple[int, list[t
 
 def _fit_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """The fit documents with their label; the label side has at most ``rows`` rows."""
-    train = labels.where((F.pmod(id_crc(), F.lit(3)) != 1) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    train = labels.where((F.pmod(id_crc(), F.lit(3)) != 1) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     train = train.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     few = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
     few = docs.sparkSession.createDataFrame([(int(r.doc_id), int(r.toxic)) for r in few], "_id long, toxic int")
@@ -142,7 +142,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = set(WORD.findall((text or "").lower()))
                 counts[y].update(words)
                 counts[y].update({w[:STEM] + "*" for w in words if len(w) >= STEM})
-            if len(counts[0]) > 300_000:
+            if len(counts[0]) + len(counts[1]) > 300_000:
                 yield from rows()
                 counts[0].clear()
                 counts[1].clear()
@@ -251,34 +251,39 @@ def _calibrate(model: Model, train: DataFrame) -> Model:
     return model
 
 
-SCHEMA = ("score double, evidence double, passages array<struct<start:int,end:int,score:double>>")
+NAMES = ("score", "evidence", "passages")
+TYPES = ("double", "double", "array<struct<start:int,end:int,score:double>>")
 
 
-def score(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keep`` columns with ``score``, ``evidence`` and the significant ``passages`` (word spans)."""
+def score(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), text: str = "text", names: tuple = NAMES) -> DataFrame:
+    """``keep`` columns with ``score``, ``evidence`` and the significant ``passages`` (word spans).
+
+    ``names`` are the names of the three; a kept column of such a name is replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    rows = docs.select(*keep, F.col(text).alias("_text"))
-    out = StructType([*rows.drop("_text").schema.fields, *StructType.fromDDL(SCHEMA).fields])
+    keep = [c for c in keep if c.lower() not in {n.lower() for n in names}]
+    (body,) = private([*keep, *names], "text")
+    rows = docs.select(*keep, F.col(text).alias(body))
+    out = StructType([*rows.drop(body).schema.fields, *StructType.fromDDL(", ".join(map(" ".join, zip(names, TYPES)))).fields])
     arrow = to_arrow_schema(out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most UNITS entries
+    shared = docs.sparkSession.sparkContext.broadcast(dict(vars(model)))  # plain values, at most UNITS entries
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(**shared.value)
         table = _Scores(m.scores)
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 batch = whole.slice(k, 1000)
                 prob, ev, spans = [], [], []
-                for t in batch.column("_text").to_pylist():
+                for t in batch.column(body).to_pylist():
                     n, found = _values(m, table, t)
                     e = evidence(m, n, [s for _, _, s in found]) if found else 0.0
                     ev.append(e)
                     prob.append(1 / (1 + math.exp(-max(-30.0, min(30.0, m.offset + m.slope * e)))))
                     spans.append([{"start": a, "end": b, "score": s} for a, b, s in found
                                   if m.k * n * math.exp(-m.rate * s) <= PASSAGE])
-                cols = {"score": prob, "evidence": ev, "passages": spans}
+                cols = dict(zip(names, (prob, ev, spans)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[f.name], f.type) if f.name in cols else batch.column(f.name) for f in arrow], schema=arrow)
 

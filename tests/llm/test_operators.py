@@ -238,13 +238,16 @@ def test_windows_score_every_unit_once():
     rng = np.random.default_rng(2)
     counts = np.ones(attention.UNITS)
     cls = rng.integers(0, attention.CLASSES, attention.UNITS)
-    model = attention.Model(np.arange(65536), cls, attention.initial(np.ones(attention.CLASSES)),
-                            attention.shares(np.zeros((attention.UNITS + 1, attention.UNITS)), counts, cls),
-                            np.ones(attention.CLASSES), np.zeros(attention.CLASSES, np.float32))
+    share = rng.random(attention.CLASSES).astype(np.float32)
+    model = {"unit_of": np.arange(65536), "class_of": cls, "params": attention.initial(np.ones(attention.CLASSES)),
+             "share": attention.shares(np.zeros((attention.UNITS + 1, attention.UNITS)), counts, cls),
+             "begins": np.ones(attention.CLASSES), "begin_log": np.log(share)}
     sizes = [1, 5, 12, 13, 40]
     units = rng.integers(2, 500, sum(sizes))
     ends = np.cumsum(sizes)
-    got, _ = attention.window_scores(model, units, ends)
+    firsts = np.flatnonzero(rng.random(len(units)) < 0.5)
+    got, begin = attention.window_scores(model, units, ends, firsts)
+    wanted = {*firsts.tolist(), *(ends - 1).tolist()}
     at = 0
     for n in sizes:  # a text of its own: one window after another
         seq = units[at: at + n]
@@ -253,10 +256,13 @@ def test_windows_score_every_unit_once():
         for i in range(n):
             lo = i // attention.STRIDE * attention.STRIDE - late
             lane = [before[k] if 0 <= k < n else attention.PAD for k in range(lo, lo + attention.LENGTH)]
-            h, _ = attention.attend(model.params, np.array([lane]))
-            z = attention.log_classes(model.params, h, np.array([lane]))
-            want = z[0, i - lo, cls[seq[i]]] + model.share[before[i], seq[i]]
+            h, _ = attention.attend(model["params"], np.array([lane]))
+            z = attention.log_classes(model["params"], h, np.array([lane]))
+            c = cls[seq[i]]
+            want = z[0, i - lo, c] + model["share"][before[i], seq[i]]
             assert got[at + i] == pytest.approx(want, rel=1e-4)
+            first = np.exp(z[0, i - lo]) * share
+            assert begin[at + i] == pytest.approx(np.log(first[c] / first.sum()) if at + i in wanted else 0, rel=1e-4, abs=1e-5)
         at += n
 
 
@@ -527,5 +533,35 @@ def test_raking(spark, odd_docs, no_docs):
         assert abs(sum(r.sampled for r in got) / 3000 - np.mean([r.probability for r in got])) < 0.03
         parts[limit] = {r.doc_id: (r.probability, r.sampled) for r in got}
     assert parts[1] == parts[100_000]
-    odd = raking.mix(raking.with_topic(odd_docs.drop("probability"))).collect()
+    odd = raking.mix(raking.with_topic(odd_docs)).collect()  # its columns probability, topic and n_tokens are replaced
+    assert all(isinstance(r.probability, float) and r.topic != "x" for r in odd)
     assert len(odd) == 11 and raking.mix(raking.with_topic(no_docs)).count() == 0
+
+
+def test_columns_of_the_outputs_names(spark, odd_docs):
+    """Kept columns of an output's name are replaced; private names leave them as they are."""
+    bench = spark.createDataFrame([(1, "an id is missing here today, says the item")], "item_id long, text string")
+    docs = odd_docs.selectExpr("*", "'x' AS passages", "'x' AS _text", "'x' AS __text")
+    got = decontam.find(docs, bench, keep=tuple(docs.columns)).collect()
+    assert len(got) == 11 and all(r["items"] == [] for r in got) and {r._text for r in got} == {"x"}
+    scored = toxicity.score(docs, toxicity.Model(), keep=tuple(docs.columns))
+    assert {len(r.passages) for r in scored.collect()} == {0} and len(scored.columns) == len(docs.columns) + 1
+    names = common.private(docs.columns, *toxicity.NAMES)
+    kept = toxicity.score(docs, toxicity.Model(), keep=tuple(docs.columns), names=names)
+    assert {(r.score, r.passages) for r in kept.collect()} == {("x", "x")}
+
+
+def test_tasks_read_broadcasts_without_the_package():
+    """Broadcast values hold plain and numpy values only, so a worker without the package can load them."""
+    import pickle
+    import subprocess
+    import sys
+    import tempfile
+
+    train = attention.initial(np.ones(attention.CLASSES))
+    for value in (dict(vars(toxicity.Model(scores={"a": 1.0}))), {"params": train, "unit_of": np.zeros(3)}):
+        with tempfile.NamedTemporaryFile(suffix=".pkl") as f:
+            f.write(pickle.dumps(value))
+            f.flush()
+            code = f"import pickle; pickle.load(open({f.name!r}, 'rb'))"
+            subprocess.run([sys.executable, "-c", code], check=True, cwd=tempfile.gettempdir())

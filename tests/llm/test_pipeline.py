@@ -56,12 +56,15 @@ def test_pipeline_stage_by_stage(spark):
 
 
 def test_stages_keep_columns_and_odd_rows(spark, odd_docs, no_docs):
-    docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
-    for start in (docs, no_docs):
+    plain = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    clash = odd_docs.selectExpr("*", "'x' AS weight", "'x' AS sampled", "'x' AS _score", "'x' AS _items", "'x' AS _gone", "'x' AS _topic")
+    for start in (plain, clash, no_docs):
         now = start
         for _, stage in corpus_pipeline.STAGES[:-1]:
             now = stage(spark, now, SF)
-            assert now.columns == docs.columns
+            assert now.columns == start.columns
+        rows = now.collect()
+        assert all(r[c] == "x" for r in rows for c in start.columns[5:])
         corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
 
 
