@@ -23,7 +23,8 @@ into blocks of ``LEAF / 2``, by a hash of node and class, so that no two nodes
 part the same pairs, each compared exhaustively like a node.  Then the
 best linked class of each component found so far, at most ``HUBS`` a node, is
 compared with every block.  Last, every class outside the node's largest
-component is compared with all classes of the node, block by block.  The only
+component is compared with all classes of the node, block by block, but for
+pairs that another dense node compares.  The only
 pairs never compared are those that true links have put into one component, so
 a dense node loses none; no task sees more than about ``LEAF`` classes.  The
 last pass grows with the classes left over times the node's size.
@@ -301,11 +302,22 @@ def _hub_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _rest_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Every class outside its dense node's largest component with every block of the node."""
+    """Every class outside its dense node's largest component with every block of the node.
+
+    Trees and children hold much the same crowd.  A class is at home in the largest of its dense
+    nodes, and two classes of one home are compared there alone: where most classes are
+    at home in another node, only the others meet every block."""
+    homes = rows.groupBy("cid").agg(F.max(F.struct("size", "node"))["node"].alias("home"))
+    rows = rows.join(homes, "cid")
     best = parts.groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("best"))
-    rows = rows.join(F.broadcast(best), "node", "left").withColumn("out", ~F.coalesce(F.coalesce("label", "cid") == F.col("best"), F.lit(False)))
+    most = rows.groupBy("node", "home").count().groupBy("node").agg(F.max(F.struct("count", "home"))["home"].alias("most"))
+    # A row per dense node, each of more than LEAF classes.
+    rows = rows.join(most.join(best, "node", "left"), "node")
+    inside = F.coalesce(F.coalesce("label", "cid") == F.col("best"), F.lit(False))
+    rows = rows.withColumn("out", F.when(F.col("most") == F.col("node"), ~inside).otherwise(F.col("home") != F.col("most")))
+    rows = materialize(rows.drop("home", "most", "best"), "rest")
     left = rows.where("out").groupBy("node").agg(F.count("*").alias("rest"))
-    rows = rows.join(F.broadcast(left), "node")
+    rows = rows.join(left, "node")
     mine = F.pmod(F.xxhash64(F.lit("rest"), "node", "cid"), _blocks("rest"))
     ones = rows.where("out").withColumn("part", mine).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), _blocks("size") - 1))).withColumn("side", F.lit(1))
