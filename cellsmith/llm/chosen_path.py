@@ -292,11 +292,13 @@ def _labelled(crowds: DataFrame, edges: DataFrame, label: DataFrame) -> tuple[Da
 
 
 def _hub_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Every block of a dense node with the node's hubs."""
+    """Every block of a dense node with the node's hubs; the classes of a node's only component stay away."""
     hubs = parts.groupBy("node", F.pmod(F.xxhash64("label"), F.lit(HUBS)).alias("h")).agg(
         F.max(F.struct("n", "label", "hub")).alias("m")).select("node", F.col("m.hub").alias("cid"), F.col("m.label").alias("label"))
     size = F.broadcast(rows.select("node", "size").distinct())
     hubs = hubs.join(size, "node").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), _blocks("size") - 1)))
+    only = parts.groupBy("node").agg(F.min("label").alias("only"), F.max("label").alias("last")).where("only = last").drop("last")
+    rows = rows.join(only, "node", "left").where(~F.coalesce(F.coalesce("label", "cid") == F.col("only"), F.lit(False))).drop("only")
     both = rows.withColumn("side", F.lit(1)).unionByName(hubs.withColumn("side", F.lit(2)))
     return both.select(F.xxhash64(F.lit("hub"), "node", "block").alias("node"), "cid", "label", "side")
 
@@ -307,8 +309,8 @@ def _rest_groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
     Trees and children hold much the same crowd.  A class is at home in the largest of its dense
     nodes, and two classes of one home are compared there alone: where most classes are
     at home in another node, only the others meet every block."""
-    homes = rows.groupBy("cid").agg(F.max(F.struct("size", "node"))["node"].alias("home"))
-    rows = rows.join(homes, "cid")
+    home = F.max(F.struct("size", "node")).over(Window.partitionBy("cid"))  # at most a row per node of each tree
+    rows = rows.withColumn("home", home["node"])
     best = parts.groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("best"))
     most = rows.groupBy("node", "home").count().groupBy("node").agg(F.max(F.struct("count", "home"))["home"].alias("most"))
     # A row per dense node, each of more than LEAF classes.
