@@ -14,8 +14,7 @@ from cellsmith.functions.columns import (  # noqa: F401
 )
 from cellsmith.operators.cells import sort_cells, sorted_cells, to_cells, with_order  # noqa: F401
 from cellsmith.operators.keys import (  # noqa: F401
-    dedup_keep_first, hot_keys, latest_per_key, sequence_key, sequence_number, unique_sequence_key,
-    unique_sequence_key_ranged,
+    dedup_keep_first, latest_per_key, sequence_key, sequence_number, unique_sequence_key,
 )
 from cellsmith.operators.nested import flatten_calls, json_encode, parse_calls  # noqa: F401
 from cellsmith.plans.jobs import (  # noqa: F401

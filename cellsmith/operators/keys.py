@@ -7,17 +7,12 @@ All of them are skew-safe at any scale:
   of a struct that starts with the ordering columns).  Spark combines them
   map-side, so a hot key costs one row per map task in the shuffle, never a
   whole group in one task.
-* ``sequence_key`` numbers rows within a base key in a fixed order;
-  ``unique_sequence_key`` first keeps the first row of each duplicate group
-  (one hash exchange on the key serves both windows).  Normal keys use
-  windows over the key.  Keys with more than ``hot_rows`` rows are split:
-  keep-first runs as a map-side-combined aggregate, the rows are
-  range-partitioned on ``(base, order...)`` so one hot key spreads over many
-  tasks, numbered inside each partition from ``monotonically_increasing_id``
-  (written once to the shared folder, so the ids are stable) and shifted by
-  the row counts of the key in earlier partitions.  The per-(key, partition)
-  table that carries those counts has at most ``hot keys + partitions`` rows
-  and is broadcast only if that many are few (``BROADCAST_KEYS``).
+* ``sequence_key`` numbers rows within a base key in a fixed order, over
+  ranges of ``(base, order...)`` with a carry for keys that a range's edge cuts
+  (``ranges.number_ranges``): one path and one exchange for all keys, and a hot
+  key spreads over as many tasks as it fills.  ``unique_sequence_key`` keeps the
+  first row of each duplicate group before.  ``ranges.ordered_keys`` does both
+  and the final order in one exchange.
 """
 
 from __future__ import annotations
@@ -28,19 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellsmith.session import materialize
-
-# Rows above which a base key takes the split (range) path.
-DEFAULT_HOT_ROWS = 2_000_000
-# Hot keys up to this number are broadcast to the joins that route them.
-BROADCAST_KEYS = 100_000
-
-
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    try:
-        return int(df.sparkSession.conf.get(key, str(default)))
-    except Exception:  # pragma: no cover - conf access is best effort
-        return default
+from cellsmith.operators.ranges import number_ranges
 
 
 def _pick(df: DataFrame, best, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -72,157 +55,36 @@ def latest_per_key(df: DataFrame, key: Sequence[str] | str, recency: Sequence[st
     return _pick(df, F.max, keys, recency)
 
 
-def hot_keys(df: DataFrame, base: str, hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows as a table in the shared folder, or None.
-
-    Counted over all rows, combined map-side.  The keys stay distributed; at
-    most ``rows / hot_rows`` of them exist.  They only decide which path a key
-    takes; results are the same either way."""
-    if hot_rows is None:
-        hot_rows = _conf_int(df, "cellsmith.hotRows", DEFAULT_HOT_ROWS)
-    hot = materialize(
-        df.groupBy(base).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(base), "hot-keys")
-    n = hot.count()
-    if not n:
-        return None
-    return F.broadcast(hot) if n <= BROADCAST_KEYS else hot
-
-
-def _split_sequence(df: DataFrame, base: str, order_by: list, out: str) -> DataFrame:
-    """Ordinals for rows of hot keys, spread over range partitions."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Written once to the shared folder: both uses below see the same ids.
-    ranged = materialize(
-        df.repartitionByRange(parts, base, *order_by)
-        .sortWithinPartitions(base, *order_by)
-        .withColumn("_mid", F.monotonically_increasing_id()),
-        "hot-split",
-    ).withColumn("_pid", F.shiftright("_mid", 33))
-    stats = ranged.groupBy(base, "_pid").agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(base).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(base, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # At most (hot keys + partitions) rows: a key's partitions are disjoint ranges.
-    stats = materialize(stats, "hot-offsets")
-    stats = F.broadcast(stats) if stats.count() <= BROADCAST_KEYS else stats
-    numbered = ranged.join(stats, [base, "_pid"]).withColumn(
-        out, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long"))
-    return numbered.select(*df.columns, out)
-
-
-def sequence_number(
-    df: DataFrame,
-    base: str,
-    order_by: Sequence[str],
-    out: str = "seq",
-    hot_rows: int | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def sequence_number(df: DataFrame, base: str, order_by: Sequence[str], out: str = "seq", parts: int | None = None) -> DataFrame:
     """Add ``out``: 0-based position of each row within its ``base`` key,
-    ordered by ``order_by`` (which must be unique within a key).  ``hot``
-    gives the hot keys when known (``hot_keys``); otherwise they are counted."""
+    ordered by ``order_by`` (which must be unique within a key)."""
+    return number_ranges(df, base, order_by, out, parts)
+
+
+def unique_sequence_number(df: DataFrame, base: str, dedup_keys: Sequence[str], order_by: Sequence[str],
+                           out: str = "seq", parts: int | None = None) -> DataFrame:
+    """Keep-first on ``(base, *dedup_keys)`` by ``order_by``, then the ordinal per ``base`` (G2 followed by G3)."""
     order_by = list(order_by)
-    if hot is None:
-        hot = hot_keys(df, base, hot_rows)
-    w = Window.partitionBy(base).orderBy(*order_by)
-    if hot is None:
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    cold = df.join(hot, base, "left_anti").withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    split = _split_sequence(df.join(hot, base, "left_semi"), base, order_by, out)
-    return cold.select(*df.columns, out).unionByName(split)
-
-
-def unique_sequence_number(
-    df: DataFrame,
-    base: str,
-    dedup_keys: Sequence[str],
-    order_by: Sequence[str],
-    out: str = "seq",
-    hot_rows: int | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Keep-first on ``(base, *dedup_keys)`` by ``order_by``, then the
-    ordinal per ``base`` (G2 followed by G3) with one shuffle.
-
-    Normal keys: one hash exchange on ``base`` serves both windows (keep-first
-    and ordinal), whose groups are bounded by ``hot_rows``.  Hot keys
-    (counted before duplicate removal, an upper bound) take the aggregate
-    keep-first, combined map-side, and the range-split ordinal.
-    """
-    dedup_keys, order_by = list(dedup_keys), list(order_by)
-    if hot is None:
-        hot = hot_keys(df, base, hot_rows)
-
-    def by_window(x: DataFrame) -> DataFrame:
-        first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
-        seq = Window.partitionBy(base).orderBy(*order_by)
-        kept = x.repartition(base).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
-        return kept.withColumn(out, (F.row_number().over(seq) - 1).cast("long")).select(*df.columns, out)
-
-    if hot is None:
-        return by_window(df)
-    cold = by_window(df.join(hot, base, "left_anti"))
-    hot_rows_df = dedup_keep_first(df.join(hot, base, "left_semi"), [base, *dedup_keys], order_by)
-    return cold.unionByName(_split_sequence(hot_rows_df, base, order_by, out))
-
-
-def sequence_key(
-    df: DataFrame,
-    base: str,
-    order_by: Sequence[str],
-    out: str = "rowkey",
-    sep: str = "",
-    hot_rows: int | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+    first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
+    # Spark keeps one row a group on each side of this exchange (WindowGroupLimit).
+    kept = df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*df.columns)
+    return number_ranges(kept, base, order_by, out, parts)
+
+
+def sequence_key(df: DataFrame, base: str, order_by: Sequence[str], out: str = "rowkey", sep: str = "",
+                 parts: int | None = None) -> DataFrame:
     """Row key = ``base + sep + ordinal`` (G3 with ``sep=""``, G4 with ``"_"``).
 
     The ordinal is unpadded text, as in the reference (``_10`` sorts before
     ``_2``).  Replaces ``base`` by ``out`` when the names differ.
     """
-    numbered = sequence_number(df, base, order_by, "_seq", hot_rows, hot)
-    return _with_key(numbered, df.columns, base, out, sep)
+    return _with_key(sequence_number(df, base, order_by, "_seq", parts), df.columns, base, out, sep)
 
 
-def unique_sequence_key_ranged(
-    df: DataFrame,
-    base: str,
-    dedup_keys: Sequence[str],
-    order_by: Sequence[str],
-    out: str = "rowkey",
-    sep: str = "",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Single-shuffle form of ``unique_sequence_key`` whose output is also in
-    total row-key order (range partitions, sorted inside).
-
-    One range exchange on ``base`` serves keep-first, the ordinal and the
-    final order.  Valid only when no base key is a prefix of another (then
-    row-key order equals ``(base, ordinal text)`` order) and when no key is
-    hot (a range partitioner cannot split one key); callers check both.
-    """
-    dedup_keys, order_by = list(dedup_keys), list(order_by)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
-    seq = Window.partitionBy(base).orderBy(*order_by)
-    kept = df.repartitionByRange(n, base).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
-    numbered = kept.withColumn("_seq", (F.row_number().over(seq) - 1).cast("long"))
-    return _with_key(numbered, df.columns, base, out, sep).sortWithinPartitions(out)
-
-
-def unique_sequence_key(
-    df: DataFrame,
-    base: str,
-    dedup_keys: Sequence[str],
-    order_by: Sequence[str],
-    out: str = "rowkey",
-    sep: str = "",
-    hot_rows: int | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def unique_sequence_key(df: DataFrame, base: str, dedup_keys: Sequence[str], order_by: Sequence[str],
+                        out: str = "rowkey", sep: str = "", parts: int | None = None) -> DataFrame:
     """Keep-first on ``(base, *dedup_keys)``, then ``base + sep + ordinal`` (G2 + G3)."""
-    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", hot_rows, hot)
+    numbered = unique_sequence_number(df, base, dedup_keys, order_by, "_seq", parts)
     return _with_key(numbered, df.columns, base, out, sep)
 
 

@@ -1,8 +1,8 @@
 """Whole jobs (W1-W5) as lazy DataFrame plans.
 
 Each job returns ``(cells, rejects)`` or a wide DataFrame; nothing here runs
-an action except the exact hot-key count (``hot_keys``), the split of hot keys
-and the flattened call items, written once.  Rows that cannot be keyed are never lost: ``calls_to_cells``
+an action except the sample for split points, the check of key prefixes, the numbering of keys that fill a
+range, and the flattened call items, written once.  Rows that cannot be keyed are never lost: ``calls_to_cells``
 returns them, ``contact_rejects`` gives those of the contact jobs.
 Sinks (``cellsmith.sinks``) write the results.
 """
@@ -17,10 +17,9 @@ from pyspark.sql import types as T
 
 from cellsmith.functions import columns as C
 from cellsmith.operators.cells import as_text, sorted_cells, to_cells
-from cellsmith.operators.keys import (
-    hot_keys, latest_per_key, sequence_key, unique_sequence_key, unique_sequence_key_ranged,
-)
+from cellsmith.operators.keys import latest_per_key, sequence_key, unique_sequence_key
 from cellsmith.operators.nested import flatten_calls, parse_calls
+from cellsmith.operators.ranges import ordered_keys
 from cellsmith.session import materialize
 
 PAYLOAD = "moxie_carrier_originalInfo"
@@ -31,6 +30,8 @@ RAW_FIELDS = ("_id", "create_time", "mobile", PAYLOAD, "successFlag", "task_id",
 # Fixed value: shortest create_time text that is kept.
 RAW_MIN_TIME_LENGTH = 23
 CALL_ORDER = ("id", "call_pos", "item_pos")
+# Documents that give split points; they balance partitions and decide no result.
+POINTS_SHARE = 0.1
 # What decides between two raw documents of one mobile and second: the greatest.
 RAW_RECENCY = ("update_time", "create_time", "_id")
 
@@ -78,51 +79,39 @@ def call_items(docs: DataFrame, payload: str = PAYLOAD) -> tuple[DataFrame, Data
     return split_calls(keyed_calls(docs, payload))
 
 
-def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False,
-                   one_shuffle: bool = False, once: bool = True, **seq) -> tuple[DataFrame, DataFrame]:
+def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False, once: bool = True,
+                   parts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Call documents -> unique, sorted cells, and rejects.
 
     Keep-first on ``(base, peer_number, time)`` (G2), ordinal appended to the
     key without separator (G3), every field but the key as a cell (R1b),
-    total order (O1).  ``strict=True`` fails, like the original job, when any
+    total order (O1), all in one exchange (``ordered_keys``).  ``strict=True`` fails, like the original job, when any
     row would be rejected (one bounded probe: ``limit(1)``).
 
     The flattened items are written once to the shared folder, so the documents
-    are read and parsed once for cells, rejects and the hot-key count;
-    ``once=False`` leaves that out and parses for each.
-
-    Default plan: a hash exchange on the base key for both windows, then a
-    range exchange on the row key.  ``one_shuffle=True`` uses one range
-    exchange on the base key for everything (when keys are prefix-free and
-    none is hot); it saves a shuffle but its range sampling recomputes the
-    parse, so it pays off when shuffles cost more than re-reading the input.
+    are read and parsed once for cells, rejects and the split points.  ``once=False`` leaves that out: it
+    parses for each use, and a share of the documents for the split points.  Should a mobile hold a
+    ``_``, keys may not follow their bases in order, and the finished keys are range-sorted.
     """
     keyed = keyed_calls(docs, payload)
     if once:
         keyed = materialize(keyed, "call-items")
     items, rejects = split_calls(keyed)
     _check_strict(rejects, strict)
-    if one_shuffle and "hot" not in seq:
-        seq["hot"] = hot_keys(items, "base", seq.get("hot_rows"))
-    if one_shuffle and seq["hot"] is None and prefix_free_calls(docs):
-        # One shuffle: range partitions on the base key serve keep-first, the
-        # ordinal and the final order.
-        numbered = unique_sequence_key_ranged(items, "base", ["peer_number", "time"], list(CALL_ORDER), "rowkey", "")
+    group, order = ["peer_number", "time"], list(CALL_ORDER)
+    # A base is ``reverse(mobile)_<14 digits>_<digit>_``: without ``_`` in a mobile, none is a prefix of another.
+    if _prefix_free(docs.where(F.col("mobile").isNotNull()), F.col("mobile"), 0):
+        some = items if once else split_calls(keyed_calls(docs.sample(POINTS_SHARE, 5), payload))[0]
+        numbered = ordered_keys(items, "base", order, group, "", parts=parts, sample=some)
         return to_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS)), rejects
-    numbered = unique_sequence_key(items, "base", ["peer_number", "time"], list(CALL_ORDER), out="rowkey", sep="", **seq)
-    wide = as_text(numbered, ["rowkey", *CALL_FIELDS])
-    return sorted_cells(wide, "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
+    numbered = unique_sequence_key(items, "base", group, order, out="rowkey", sep="", parts=parts)
+    return sorted_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
 
 
-def prefix_free_calls(docs: DataFrame) -> bool:
-    """True when no call base key can be a prefix of another.
-
-    A base is ``reverse(mobile)_<14 digits>_<digit>_``; if no mobile contains
-    ``_``, the first ``_`` of two bases sits at the mobile length, so one
-    base can only be a prefix of another when both are equal.  Checked on
-    the mobile column alone (a pruned scan, stopped at the first hit).
-    """
-    return docs.where(F.instr(F.col("mobile"), "_") > 0).limit(1).count() == 0
+def _prefix_free(df: DataFrame, text, marks: int) -> bool:
+    """True when ``text`` holds ``_`` exactly ``marks`` times in every row (a pruned scan)."""
+    held = F.length(text) - F.length(F.replace(text, F.lit("_"), F.lit("")))
+    return df.agg(F.bool_and(held == marks)).first()[0] is not False
 
 
 def raw_rows(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | None = None) -> DataFrame:
@@ -172,7 +161,7 @@ def _check_strict(rejects: DataFrame, strict: bool) -> None:
 
 def contacts_to_cells(
     df: DataFrame, order_by: Sequence[str] = ("ord",), exclude: Sequence[str] = ("ord",),
-    strict: bool = False, null_tel_cell: str = C.NO_TEL, with_rejects: bool = False, **seq
+    strict: bool = False, null_tel_cell: str = C.NO_TEL, with_rejects: bool = False, parts: int | None = None
 ):
     """Contacts -> cells with unique keys ``reverse(phone)_tel_n``.
 
@@ -180,14 +169,19 @@ def contacts_to_cells(
     job).  Rows without a phone number are left out (``contact_rejects``);
     ``strict=True`` fails on them instead, like the original job.
     ``with_rejects=True`` returns ``(cells, rejects)`` like ``calls_to_cells``.
+    One exchange for key and order, unless a phone number or tel holds a ``_``.
     """
     _check_strict(contact_rejects(df), strict)
     cols = [c for c in df.columns if c not in exclude]
-    keyed = sequence_key(contact_base(df), "_base", list(order_by), out="rowkey", sep="_", **seq)
+    based = contact_base(df)
+    # ``reverse(phone)_tel`` with no other ``_`` followed by one is no prefix of another base.
+    one = _prefix_free(based, F.col("_base"), 1)
+    key = ordered_keys if one else sequence_key
+    keyed = key(based, "_base", list(order_by), out="rowkey", sep="_", parts=parts)
     wide = keyed.select("rowkey", *[
         (F.coalesce(C.normalize_phone(F.col("tel")), F.lit(null_tel_cell)) if c == "tel"
          else C.text_or_empty(F.col(c), keyed.schema[c].dataType)).alias(c) for c in cols])
-    cells = sorted_cells(wide, "rowkey", cols, keys_unique=True)
+    cells = to_cells(wide, "rowkey", cols) if one else sorted_cells(wide, "rowkey", cols, keys_unique=True)
     return (cells, contact_rejects(df)) if with_rejects else cells
 
 

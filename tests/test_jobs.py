@@ -1,8 +1,9 @@
-"""Whole jobs: hot-key routing never changes results; rejects (FIXTURES.md C)."""
+"""Whole jobs: ranges never change results; rejects (FIXTURES.md C)."""
 
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellsmith.plans import jobs
 from cellsmith.sources import fixtures as fx
@@ -14,29 +15,36 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_calls_to_cells_same_with_forced_split(spark):
-    docs = fx.call_docs(spark, SF)
-    normal, _ = jobs.calls_to_cells(docs)
-    # every base key with more than 1 item takes the range-split path
-    split, _ = jobs.calls_to_cells(docs, hot_rows=1)
-    assert rows(normal) == rows(split)
+def in_order(cells):
+    """Partitions hold increasing, disjoint key ranges and are sorted inside."""
+    parts = cells.rdd.mapPartitions(lambda it: [[(r[0].encode(), r[2].encode()) for r in it]]).collect()
+    flat = [k for p in parts for k in p]
+    return flat == sorted(flat) and len(parts)
 
 
-def test_calls_to_cells_one_shuffle_same(spark):
+def test_calls_to_cells_in_order_whatever_the_ranges(spark):
     docs = fx.call_docs(spark, SF)
-    normal, _ = jobs.calls_to_cells(docs)
-    one, _ = jobs.calls_to_cells(docs, one_shuffle=True)
-    assert rows(normal) == rows(one)
-    # the one-shuffle output is in total order already: partitions hold
-    # increasing, disjoint key ranges and are sorted inside
-    parts = one.rdd.mapPartitions(lambda it: [[(r[0].encode(), r[2].encode()) for r in it]]).collect()
-    flat = [k for p in parts for k in p]
-    assert flat == sorted(flat)
+    one, _ = jobs.calls_to_cells(docs, parts=1)
+    many, _ = jobs.calls_to_cells(docs, parts=23)
+    assert rows(one) == rows(many)
+    assert in_order(many) > 5
 
 
-def test_contacts_to_cells_same_with_forced_split(spark):
+def test_keys_with_an_underscore_are_sorted_when_finished(spark):
+    docs = fx.call_docs(spark, SF).withColumn("mobile", F.concat(F.substring("mobile", 1, 3), F.lit("_"), F.substring("mobile", 4, 9)))
+    cells, _ = jobs.calls_to_cells(docs)
+    assert in_order(cells) and cells.count() == jobs.calls_to_cells(fx.call_docs(spark, SF))[0].count()
+
+
+def test_contacts_to_cells_in_order_whatever_the_ranges(spark):
     c = fx.contacts(spark, SF)
-    assert rows(jobs.contacts_to_cells(c)) == rows(jobs.contacts_to_cells(c, hot_rows=2))
+    hot = c.withColumn("phoneNo", F.when(F.col("ord") % 3 == 0, F.lit("777")).otherwise(F.col("phoneNo"))).withColumn("tel", F.lit("5"))
+    for df in (c, hot):
+        cells = jobs.contacts_to_cells(df, parts=13)
+        assert rows(cells) == rows(jobs.contacts_to_cells(df, parts=1))
+        assert in_order(cells) > 5
+    odd = c.withColumn("tel", F.lit("5_6"))
+    assert in_order(jobs.contacts_to_cells(odd))
 
 
 def _doc(calls):
@@ -154,7 +162,7 @@ def test_contacts_with_rejects(spark):
 
 
 def test_documents_are_parsed_once_for_cells_and_rejects(spark, edge_docs):
-    cells, rejects = jobs.calls_to_cells(edge_docs)
+    cells, rejects = jobs.calls_to_cells(edge_docs, once=True)
     for df in (cells, rejects):
         assert "from_json" not in df._jdf.queryExecution().executedPlan().toString()
     again = jobs.calls_to_cells(edge_docs, once=False)

@@ -21,22 +21,28 @@ def stored_docs(spark):
 
 
 def test_call_job_plan(spark, stored_docs):
-    cells, _ = jobs.calls_to_cells(stored_docs, one_shuffle=True, once=False)
+    cells, _ = jobs.calls_to_cells(stored_docs, once=False)
     plan = plan_text(cells)
     assert "IsNotNull(moxie_carrier_originalInfo)" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    # prefix-free keys, no hot key: one range exchange on the base key serves
-    # keep-first, the ordinal and the final order
-    assert plan.count("Exchange hashpartitioning") == 0
-    assert plan.count("Exchange rangepartitioning") == 1
+    # one exchange serves keep-first, the ordinal and the final order
+    assert plan.count("Exchange") == 1 and "shufflepartitionidpassthrough" in plan
 
 
-def test_call_job_default_plan(spark, stored_docs):
-    cells, _ = jobs.calls_to_cells(stored_docs, once=False)
-    plan = plan_text(cells)
-    # hash exchange for the normal keys' windows + range exchange for the final order
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Exchange rangepartitioning") == 1
+def test_contact_job_plan(spark):
+    plan = plan_text(jobs.contacts_to_cells(fx.contacts(spark, SF)))
+    assert plan.count("Exchange") == 1 and "shufflepartitionidpassthrough" in plan
+
+
+def test_numbering_plan(spark):
+    """One exchange of the rows; what is carried comes as a small table of the cut keys."""
+    from cellsmith.operators import ranges as R
+
+    df = spark.range(1000).selectExpr("concat('k', id % 7) AS base", "id")
+    points = [{"base": "k3", "id": 400}, {"base": "k5", "id": 1}]
+    got = R.number_ranges(df, "base", ["id"], points=points)
+    assert plan_text(got).count("shufflepartitionidpassthrough") == 1
+    assert {(r.base, r.id, r.seq) for r in got.collect()} == {(f"k{i % 7}", i, i // 7) for i in range(1000)}
 
 
 def test_scan_is_pruned(spark):

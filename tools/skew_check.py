@@ -1,5 +1,5 @@
 """Hot-key check: a third of the sf0.1 call items on one base key; keep-first and
-ordinals through the window path and the split path must agree.
+ordinals by ranges of (key, order), and with the final order in one exchange, must agree.
 
 Usage: python tools/skew_check.py
 """
@@ -15,6 +15,7 @@ from cellsmith.session import local_session, scratch_path  # noqa: E402
 from cellsmith.sources import fixtures as fx  # noqa: E402
 from cellsmith.plans import jobs  # noqa: E402
 from cellsmith.operators import keys as K  # noqa: E402
+from cellsmith.operators.ranges import ordered_keys  # noqa: E402
 spark = local_session("8", 8)
 p = scratch_path(spark, "skew-items")
 items, _ = jobs.call_items(fx.call_docs(spark, "/root/testdata/sf0.1"))
@@ -24,12 +25,14 @@ skewed.write.parquet(p)
 df = spark.read.parquet(p)
 print("rows", df.count(), "hot rows", df.where("base = 'HOT_'").count(), flush=True)
 noop = lambda d: d.write.format("noop").mode("overwrite").save()
-def window_path(): return K.unique_sequence_key(df, "base", ["peer_number", "time"], list(jobs.CALL_ORDER), "rowkey", "", hot=[])
-def split_path(): return K.unique_sequence_key(df, "base", ["peer_number", "time"], list(jobs.CALL_ORDER), "rowkey", "", hot_rows=50_000)
-for f in (window_path, split_path):
+order = list(jobs.CALL_ORDER)
+def numbered(): return K.unique_sequence_key(df, "base", ["peer_number", "time"], order, "rowkey", "")
+def ordered(): return ordered_keys(df, "base", order, ["peer_number", "time"], "")
+for f in (numbered, ordered):
     noop(f())
 for i in range(2):
-    for f in (window_path, split_path):
+    for f in (numbered, ordered):
         t0 = time.perf_counter(); noop(f()); print(f.__name__, round(time.perf_counter() - t0, 2), flush=True)
-a, b = window_path(), split_path()
+a, b = numbered(), ordered()
+b = b.select(*a.columns)
 print("same rows:", a.count() == b.count(), a.exceptAll(b).count() == 0, b.exceptAll(a).count() == 0)
