@@ -22,9 +22,10 @@ from cellsmith.plans.jobs import (  # noqa: F401
     contacts_to_cells, contacts_to_cells_plain, raw_docs_to_cells, raw_rows,
 )
 from cellsmith.sinks.files import (  # noqa: F401
-    check_staging, compact_cells, compact_rows, publish, publish_existing, read_cells, read_rows,
-    staging_path, upsert, write_sorted_cells,
+    check_staging, merge_cells, merge_rows, publish, publish_existing, read_cells, read_rows,
+    staging_path, stream_upsert, upsert, write_sorted_cells,
 )
+from cellsmith.operators.ranges import number_ranges, ordered_keys, range_of, split_points  # noqa: F401
 from cellsmith.sources.tables import (  # noqa: F401
     generate_numbers, generate_text, preview, preview_count, scan_documents, scan_parquet, scan_table,
 )

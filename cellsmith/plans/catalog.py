@@ -8,6 +8,7 @@ wrote, read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,6 +32,9 @@ _REGISTRY: dict[str, Query] = {}
 FILES_PER_BATCH = 2               # pace of the paced streams
 STREAM_CUTOFF = "2024-01-16"      # messages before it are the backlog, the rest arrive later
 LISTEN_TOPICS = ("click", "purchase")
+ORDER_BUCKETS = 16                # buckets of the catalog table
+BYTES_PER_BATCH = 40_000          # pace by size
+REGION_POINTS = tuple("123456789")  # row keys at which the target of write_split_cells is split
 MESSAGE_VALUE_SCHEMA = "user_id bigint, event_type string"
 
 
@@ -84,6 +88,32 @@ def q_scan_table(spark, sf_dir):
     return TB.scan_table(spark, "cellsmith_customer", ["c_custkey", "c_name", "c_mktsegment"])
 
 
+@query("scan_bucketed")
+def q_scan_bucketed(spark, sf_dir):
+    # A table of the catalog, dealt by the key once and grouped by it without a further exchange.
+    name = f"cellsmith_orders_{uuid.uuid4().hex[:12]}"
+    orders = fx.read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    TB.save_bucketed(orders, name, "o_custkey", ORDER_BUCKETS, scratch_path(spark, "bucketed"))
+    return TB.scan_table(spark, name).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first_order"), F.max("o_orderkey").alias("last_order"))
+
+
+@query("document_rejects")
+def q_document_rejects(spark, sf_dir):
+    return _checked_documents(spark, sf_dir)[1]
+
+
+@query("documents_checked")
+def q_documents_checked(spark, sf_dir):
+    return _checked_documents(spark, sf_dir)[0]
+
+
+def _checked_documents(spark, sf_dir):
+    path = scratch_path(spark, "document-lines")
+    fx.document_lines(spark, sf_dir).write.text(path)
+    return TB.scan_documents_checked(spark, "event_id bigint, event_type string, user_id bigint", path)
+
+
 @query("scan_documents")
 def q_scan_documents(spark, sf_dir):
     path = scratch_path(spark, "documents")
@@ -120,6 +150,11 @@ def q_filter_not_null(spark, sf_dir):
     return fx.raw_docs(spark, sf_dir).where(F.col("mobile").isNotNull()).select("_id", "mobile")
 
 
+@query("filter_payload")
+def q_filter_payload(spark, sf_dir):
+    return jobs.with_payload(fx.raw_docs_with_gaps(spark, sf_dir)).select("_id", "mobile", jobs.PAYLOAD)
+
+
 @query("filter_min_length")
 def q_filter_min_length(spark, sf_dir):
     return _raw_kept(spark, sf_dir).select("_id", "create_time")
@@ -374,7 +409,7 @@ def q_publish_cells(spark, sf_dir):
                                    presorted=True)
     target = f"{base}/table"
     S.publish(spark, staging, target)
-    S.publish(spark, staging, target)  # a second publish leaves the same state
+    S.publish(spark, staging, target)  # a second batch of the same cells leaves the same state
     return S.read_cells(spark, target)
 
 
@@ -419,6 +454,33 @@ def q_upsert_wide(spark, sf_dir):
     return S.read_rows(spark, target, "rowkey", "task_id")
 
 
+@query("write_split_cells")
+def q_write_split_cells(spark, sf_dir):
+    # Regions by the first digit of the row key; the region is read from the number of the file.
+    staging = S.staging_path(scratch_path(spark, "stage"), "ns:regions")
+    S.write_sorted_cells(_contact_cells(spark, sf_dir), staging, points=REGION_POINTS)
+    S.check_staging(spark, staging)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1).cast("int")
+    return spark.read.parquet(staging).select(*S.CELL_KEY, "value", number.alias("region"))
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    # The newest message of every user, from a paced stream whose last batch is run twice.
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-upsert")
+    m = fx.messages(spark, sf_dir)
+    _write_wave(m, src)
+    stream = _user_rows(M.read_messages(spark, "parquet", src, per_trigger=FILES_PER_BATCH))
+    S.stream_upsert(stream, sink, "user_id", "offset", ckpt, "users").awaitTermination()
+    last = S.batches(spark, sink)[-1]
+    S.upsert(_user_rows(m), sink, "user_id", "offset", batch=last)  # a repeated batch changes nothing
+    return S.read_rows(spark, sink, "user_id", "offset").withColumn("batches_kept", F.lit(S.batches(spark, sink)[-1] == last))
+
+
+def _user_rows(messages: DataFrame) -> DataFrame:
+    return M.decode_messages(messages, MESSAGE_VALUE_SCHEMA, keep=("topic", "offset")).where("user_id is not null")
+
+
 # ---------------------------------------------------------------------------
 # Streams (S6-S10, F6, K8-K10, J4, W7, W8)
 # ---------------------------------------------------------------------------
@@ -476,6 +538,27 @@ def q_stream_paced(spark, sf_dir):
     return spark.read.parquet(sink).withColumn("paced", F.lit(batches == -(-files // FILES_PER_BATCH)))
 
 
+@query("stream_paced_bytes")
+def q_stream_paced_bytes(spark, sf_dir):
+    # Files of uneven size; every batch stays within the bytes unless a single file is larger.
+    _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-bytes")
+    _write_wave(fx.messages(spark, sf_dir).repartitionByRange(8, F.sqrt("offset") * F.rand(3)), src)
+    stream = M.read_messages(spark, "parquet", src, max_bytes=BYTES_PER_BATCH)
+    sized = stream.select("key", "value", "topic", "offset", F.col("_metadata.file_path").alias("file"),
+                          F.col("_metadata.file_size").alias("bytes"))
+
+    def keep(rows: DataFrame, number: int) -> None:
+        rows.withColumn("number", F.lit(number)).write.mode("overwrite").parquet(f"{sink}/wave={number}")
+
+    run = sized.writeStream.foreachBatch(keep).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    run.awaitTermination()
+    got = spark.read.parquet(sink)
+    # A row per file and batch.
+    held = got.select("number", "file", "bytes").distinct().groupBy("number").agg(F.sum("bytes").alias("b"), F.count("*").alias("n"))
+    fits = held.agg(F.bool_and((F.col("b") <= BYTES_PER_BATCH) | (F.col("n") == 1)).alias("f")).first()["f"]
+    return got.select("key", "value", "topic", "offset", F.lit(bool(fits)).alias("within_bytes"))
+
+
 @query("stream_resume")
 def q_stream_resume(spark, sf_dir):
     _, src, sink, ckpt = _stream_setup(spark, sf_dir, "stream-resume")

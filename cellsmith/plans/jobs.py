@@ -36,6 +36,11 @@ POINTS_SHARE = 0.1
 RAW_RECENCY = ("update_time", "create_time", "_id")
 
 
+def with_payload(docs: DataFrame, payload: str = PAYLOAD) -> DataFrame:
+    """Documents that have a payload (F1); the filter reaches the scan."""
+    return docs.where(F.col(payload).isNotNull())
+
+
 def keyed_calls(docs: DataFrame, payload: str = PAYLOAD) -> DataFrame:
     """Filter, parse, flatten and key call items (F1, J1, J2, P1, P5, P6, P13, P14) in one pass.
 
@@ -45,8 +50,7 @@ def keyed_calls(docs: DataFrame, payload: str = PAYLOAD) -> DataFrame:
     text behind the document, missing lists) and ``id_or_mobile`` once per
     document; ``peer_number``, ``time`` and ``fee`` (not an integer) per item.
     """
-    present = docs.where(F.col(payload).isNotNull())
-    parsed = parse_calls(present.select("_id", "mobile", payload), payload)
+    parsed = parse_calls(with_payload(docs, payload).select("_id", "mobile", payload), payload)
     whole = F.col("_id").isNotNull() & F.col("mobile").isNotNull()
     parsed = parsed.withColumn("_ok", F.col("_valid") & whole)
     flat = flatten_calls(parsed, "doc", keep=("_id", "mobile", "_valid"), valid="_ok", outer=True)

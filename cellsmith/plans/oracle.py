@@ -184,6 +184,16 @@ def oracles() -> dict[str, str]:
                           "printf('hello kafka.javaapi.producer message %d', o_orderkey) AS value FROM orders")
     # filters
     q["filter_not_null"] = with_ctes(raw, "SELECT _id, mobile FROM raw_docs WHERE mobile IS NOT NULL")
+    q["filter_payload"] = with_ctes(raw, "SELECT _id, mobile, moxie_carrier_originalInfo FROM raw_docs "
+                                    "WHERE successFlag <> 'signup' AND moxie_carrier_originalInfo IS NOT NULL")
+    q["scan_bucketed"] = ("SELECT o_custkey, count(*) AS orders, min(o_orderkey) AS first_order, "
+                          "max(o_orderkey) AS last_order FROM orders GROUP BY o_custkey")
+    lines = ("SELECT *, CASE WHEN event_id % 17 = 0 THEN w[:-4] WHEN event_id % 19 = 0 THEN 'no document ' || event_id "
+             "WHEN event_id % 23 = 0 THEN '{\"event_id\":\"x' || event_id || '\",\"event_type\":\"a\",\"user_id\":1}' ELSE w END AS line, "
+             "event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 AS bad FROM (SELECT *, "
+             "'{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\",\"user_id\":' || user_id || '}' AS w FROM events)")
+    q["document_rejects"] = f"SELECT line, 'malformed' AS reason FROM ({lines}) WHERE bad"
+    q["documents_checked"] = f"SELECT event_id, event_type, user_id FROM ({lines}) WHERE NOT bad"
     q["filter_min_length"] = with_ctes(raw, "SELECT _id, create_time FROM raw_kept")
     q["filter_numeric"] = with_ctes(cf, "SELECT ord, phoneNo, tel FROM contacts WHERE regexp_full_match("
                                     + normalize_phone_sql("tel") + ", '[0-9]+')")
@@ -252,6 +262,11 @@ raw_latest AS (SELECT * FROM raw_rows QUALIFY row_number() OVER (
                                    "SELECT true AS sorted, cast(0 AS bigint) AS overlaps, cast(count(*) AS bigint) AS cells FROM w3")
     q["write_sorted_cells"] = with_ctes(cf, w3_cells)
     q["publish_cells"] = with_ctes(cf, w3_cells)
+    points = " + ".join(f"(rowkey >= '{d}')::INT" for d in "123456789")
+    q["write_split_cells"] = with_ctes(cf, f"SELECT *, {points} AS region FROM ({w3_cells})")
+    q["stream_upsert"] = with_ctes(msg, "SELECT user_id, event_type, topic, \"offset\", true AS batches_kept FROM (SELECT topic, \"offset\", "
+                                   "cast(value ->> '$.user_id' AS bigint) AS user_id, value ->> '$.event_type' AS event_type FROM messages) "
+                                   "WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY \"offset\" DESC) = 1")
     q["publish_existing"] = with_ctes(cf, w3_cells)
     q["upsert_wide"] = with_ctes(raw, "SELECT rowkey, _id, create_time, mobile, moxie_carrier_originalInfo, "
                                  "successFlag, cast(task_id AS bigint) AS task_id, update_time FROM raw_rows "
@@ -261,6 +276,7 @@ raw_latest AS (SELECT * FROM raw_rows QUALIFY row_number() OVER (
     q["stream_read"] = with_ctes(msg, cols)
     q["stream_read_latest"] = with_ctes(msg, cols + " WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'")
     q["stream_paced"] = with_ctes(msg, cols.replace(" FROM", ", true AS paced FROM"))
+    q["stream_paced_bytes"] = with_ctes(msg, cols.replace(" FROM", ", true AS within_bytes FROM"))
     q["stream_resume"] = with_ctes(msg, cols)
     q["stream_topics"] = with_ctes(msg, cols + " WHERE topic IN ('click', 'purchase')")
     line = "printf('offset = %d, key = %s, value = %s', \"offset\", key, value) AS line"

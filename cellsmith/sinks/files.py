@@ -1,43 +1,40 @@
-"""Sinks (K1-K7): staged sorted cell files, all-or-nothing publish, upsert.
+"""Sinks (K1-K7): staged sorted cell files, publish in batches, keyed upsert.
 
-A target is a folder of committed layers::
+A target is a folder of batches, which Spark reads as a partition column::
 
-    <target>/data/<unique name>/    parquet, sorted, non-overlapping files
-    <target>/_commits/v00000001     marker: names the layer's data folder, created last
+    <target>/_batch=<id>/    parquet, sorted, non-overlapping files
 
-Each writer has a data folder of its own, and a layer is visible only through
-a marker that names its folder.  A marker is created whole and never replaces
-another: of two writers that try the same number one gets it and the other
-takes the next, so both layers are kept and a writer that dies leaves nothing
-visible.  Nothing is modified in place.
+A batch is written by Spark outside the target and moved in by one folder rename, so
+readers see all of it or nothing.  A batch id is used once: publishing
+it again changes nothing, which makes a repeated stream batch or a retried job
+harmless.  Writers of different batches do not meet.
 
-Publishing writes only the staged data (cost of the batch, not of the table),
-like a bulk load adds files; readers merge the live layers, newest value
-winning (``read_cells``) or newest by a recency column (``read_rows``), with a
-map-side-combined aggregate.  ``compact_*`` writes the merged state as a base
-layer, whose marker records the last version it covers: layers committed
-while a compaction runs stay live.
+Publishing costs the batch, not the table, like a bulk load adds files.
+Readers resolve repeated keys with a map-side-combined aggregate: the value of the latest
+batch (``read_cells``), or the newest row by a recency column (``read_rows``).  Batches are
+in the order of their ids; the default id begins with the time.  ``merge_cells`` and
+``merge_rows`` write that state as one batch of a new target.
 """
 
 from __future__ import annotations
 
-import json
-import os
 import time
 import uuid
-from collections.abc import Iterator
-from typing import NamedTuple
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cellsmith.operators.cells import sort_cells
 from cellsmith.operators.keys import latest_per_key
+from cellsmith.operators.ranges import place, range_of
 
 CELL_KEY = ["rowkey", "family", "qualifier"]
+BATCH = "_batch"
 
 
 # ---------------------------------------------------------------------------
@@ -62,45 +59,6 @@ def _list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _create_whole(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file with its content in one step; false when it is there already.
-
-    The content goes to a file of its own, which is then renamed without
-    overwriting (one step on HDFS) or, in a local folder, hard-linked."""
-    jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, path)
-    fs.mkdirs(p.getParent())
-    _, temp = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
-    out = fs.create(temp, False)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    try:
-        if fs.getUri().getScheme() == "file":
-            os.link(temp.toUri().getPath(), p.toUri().getPath())
-        else:
-            rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-            how = spark.sparkContext._gateway.new_array(rename, 1)
-            how[0] = rename.NONE
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-                p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(temp, p, how)
-        return True
-    except Exception:
-        if fs.exists(p):
-            return False
-        raise
-    finally:
-        fs.delete(temp, False)
-
-
 # ---------------------------------------------------------------------------
 # Staging (K2, K5, K6, K7)
 # ---------------------------------------------------------------------------
@@ -113,14 +71,21 @@ def staging_path(base: str, table: str, millis: int | None = None) -> str:
 
 def write_sorted_cells(
     cells: DataFrame, staging: str, files: int | None = None, compression: str = "snappy",
-    presorted: bool = False,
+    presorted: bool = False, points: Sequence[str] | None = None,
 ) -> str:
     """Write cells as sorted, non-overlapping parquet files (K2, K7).
 
     ``files`` caps the number of files (range partitions); ``presorted``
-    skips the sort for cells that come out of ``sorted_cells``.
+    skips the sort for cells that come out of ``sorted_cells``.  ``points`` are
+    the rising row keys at which a target is split into regions: file ``i`` then holds the
+    cells of region ``i`` alone, keys from ``points[i - 1]`` up to, but without, ``points[i]``.
     """
-    out = cells if presorted and files is None else sort_cells(cells, files)
+    if points is not None:
+        rows = [{"rowkey": p} for p in sorted(points, key=lambda x: x.encode("utf-8"))]
+        spread = place(cells, range_of(cells, ["rowkey"], rows), len(rows) + 1)
+        out = spread.drop("_range").sortWithinPartitions(*CELL_KEY)
+    else:
+        out = cells if presorted and files is None else sort_cells(cells, files)
     out.write.mode("errorifexists").option("compression", compression).parquet(staging)
     return staging
 
@@ -201,184 +166,134 @@ def check_staging(spark: SparkSession, staging: str) -> None:
 
 
 # ---------------------------------------------------------------------------
-# Layered target (K3, K4, K1)
+# Batches (K3, K4, K1)
 # ---------------------------------------------------------------------------
 
-class Layer(NamedTuple):
-    version: int
-    folder: str
-    covers: int | None  # base layers: the last version merged into it
-
-
-def _commits(spark: SparkSession, target: str) -> list[Layer]:
-    folder = f"{target.rstrip('/')}/_commits"
-    names = sorted(n for n in _list_names(spark, folder) if n.startswith("v") and n[1:].isdigit())
-    found = []
-    for n in names:
-        said = json.loads(_read_text(spark, f"{folder}/{n}"))
-        found.append(Layer(int(n[1:]), said["folder"], said["covers"]))
-    return found
-
-
-def committed_versions(spark: SparkSession, target: str) -> list[int]:
-    return [c.version for c in _commits(spark, target)]
-
-
-def _live(spark: SparkSession, target: str) -> list[Layer]:
-    """The base layer that covers most, then the layers it does not cover, oldest first."""
-    commits = _commits(spark, target)
-    bases = [c for c in commits if c.covers is not None]
-    base = max(bases, key=lambda c: (c.covers, c.version), default=None)
-    later = [c for c in commits if c.covers is None and (base is None or c.version > base.covers)]
-    return ([base] if base else []) + later
-
-
-def live_layers(spark: SparkSession, target: str) -> list[int]:
-    """Versions of the layers that readers merge, oldest data first."""
-    return [c.version for c in _live(spark, target)]
-
-
-def layer_path(spark: SparkSession, target: str, version: int) -> str:
-    """Data folder of a committed layer."""
-    return next(f"{target.rstrip('/')}/data/{c.folder}" for c in _commits(spark, target) if c.version == version)
-
-
-def _read_layers(spark: SparkSession, target: str, layers: list[Layer]) -> DataFrame:
-    root = f"{target.rstrip('/')}/data"
-    parts = [spark.read.parquet(f"{root}/{c.folder}").withColumn("_layer", F.lit(i)) for i, c in enumerate(layers)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _cells_of(spark: SparkSession, target: str, layers: list[Layer]) -> DataFrame | None:
-    if not layers:
-        return None
-    cells = _read_layers(spark, target, layers)
-    return (cells if len(layers) == 1 else latest_per_key(cells, CELL_KEY, "_layer")).drop("_layer")
-
-
-def _rows_of(spark: SparkSession, target: str, layers: list[Layer], key, recency) -> DataFrame | None:
-    if not layers:
-        return None
-    rows = _read_layers(spark, target, layers)
-    if len(layers) == 1 and layers[0].covers is not None:
-        return rows.drop("_layer")
-    keys = [key] if isinstance(key, str) else list(key)
-    recency = [recency] if isinstance(recency, str) else list(recency)
-    return latest_per_key(rows, keys, [*recency, "_layer"]).drop("_layer")
-
-
-def read_cells(spark: SparkSession, target: str) -> DataFrame | None:
-    """Visible cells: per ``(rowkey, family, qualifier)`` the value of the
-    newest layer.  A single layer is read as it is.  ``None`` before the first
-    publish."""
-    return _cells_of(spark, target, _live(spark, target))
-
-
-def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str]) -> DataFrame | None:
-    """Visible wide rows: per key the newest row by ``recency`` (the newest
-    layer breaks ties).  A single compacted layer is read as it is.  ``None``
-    before the first write."""
-    return _rows_of(spark, target, _live(spark, target), key, recency)
-
-
-def _new_folder() -> str:
-    return f"layer-{uuid.uuid4().hex}"
+def new_batch() -> str:
+    """A batch id of its own that sorts behind earlier ones."""
+    return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 
 
-def _mark(spark: SparkSession, target: str, folder: str, covers: int | None = None) -> str:
-    """Make a written data folder visible under the next free version; returns its path."""
-    text = json.dumps({"folder": folder, "covers": covers})
-    version = max(committed_versions(spark, target), default=0) + 1
-    while not _create_whole(spark, f"{target.rstrip('/')}/_commits/v{version:08d}", text):
-        version += 1
-    return f"{target.rstrip('/')}/data/{folder}"
+def batches(spark: SparkSession, target: str) -> list[str]:
+    """Ids of the published batches, in order."""
+    return sorted(n.split("=b-", 1)[1] for n in _list_names(spark, target) if n.startswith(f"{BATCH}=b-"))
 
 
-def _commit(spark: SparkSession, target: str, data: DataFrame, compression: str, covers: int | None = None) -> str:
-    folder = _new_folder()
-    data.write.mode("errorifexists").option("compression", compression).parquet(f"{target.rstrip('/')}/data/{folder}")
-    return _mark(spark, target, folder, covers)
+def batch_path(target: str, batch: str) -> str:
+    # The letter keeps Spark from reading ids of digits as numbers.
+    return f"{target.rstrip('/')}/{BATCH}=b-{batch}"
 
 
-def _move_in(spark: SparkSession, staging: str, target: str) -> str:
-    """Rename a staging folder into a data folder of its own, then commit it:
-    the data is not rewritten (atomic and O(1) on HDFS; object stores copy)."""
-    folder = _new_folder()
-    fs, src = _fs(spark, staging)
-    _, dst = _fs(spark, f"{target.rstrip('/')}/data/{folder}")
+def _move_in(spark: SparkSession, written: str, target: str, batch: str) -> str:
+    """Rename a written folder into the target (one step on HDFS; object stores copy)."""
+    path = batch_path(target, batch)
+    fs, src = _fs(spark, written)
+    _, dst = _fs(spark, path)
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
-        raise OSError(f"could not move {staging} to {dst}")
-    return _mark(spark, target, folder)
+        raise OSError(f"could not move {written} to {path}")
+    return path
+
+
+def _write_batch(data: DataFrame, target: str, batch: str, compression: str) -> str:
+    spark = data.sparkSession
+    aside = f"{target.rstrip('/')}_writing/{uuid.uuid4().hex}"
+    data.write.mode("errorifexists").option("compression", compression).parquet(aside)
+    return _move_in(spark, aside, target, batch)
 
 
 def publish(spark: SparkSession, staging: str, target: str, validate: bool = True,
-            compression: str = "snappy", move: bool = False) -> str:
-    """Publish staged cells into ``target`` as one step (K3, K4); returns the layer's folder.
+            compression: str = "snappy", move: bool = False, batch: str | None = None) -> str:
+    """Publish staged cells into ``target`` as one batch (K3, K4); returns the batch's folder.
 
-    The staged cells become a new layer; a staged cell wins over older ones
-    on equal ``(rowkey, family, qualifier)`` when read.  Publishing the same
-    staging twice leaves the same visible state.  The staging must hold sorted
+    A staged cell wins over those of earlier batches on equal ``(rowkey, family, qualifier)``
+    when read.  A ``batch`` that is there already is left as it is.  The staging must hold sorted
     unique cells (``check_staging``); jobs whose keys repeat resolve whole rows
     before the reshape, so that a published row is always one input row.
 
     ``move=True`` renames the staging folder into the table, as a bulk load
     moves its files; the staging folder is gone afterwards.  Otherwise the
-    staging stays, and its cells are range-sorted again into the layer, as
+    staging stays, and its cells are range-sorted again into the batch, as
     reading them back packs several files into a task.
     """
+    batch = batch or new_batch()
+    if batch in batches(spark, target):
+        return batch_path(target, batch)
     if validate:
         check_staging(spark, staging)
     if move:
-        return _move_in(spark, staging, target)
-    return _commit(spark, target, sort_cells(spark.read.parquet(staging)), compression)
+        return _move_in(spark, staging, target, batch)
+    return _write_batch(sort_cells(spark.read.parquet(staging)), target, batch, compression)
 
 
 def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True,
-                     move: bool = False) -> str:
+                     move: bool = False, batch: str | None = None) -> str:
     """Publish a staging folder written by an earlier job."""
     if not _exists(spark, staging):
         raise FileNotFoundError(staging)
-    return publish(spark, staging, target, validate, move=move)
-
-
-def _covered(layers: list[Layer]) -> int:
-    return max(c.version if c.covers is None else c.covers for c in layers)
-
-
-def compact_cells(spark: SparkSession, target: str, compression: str = "snappy") -> str | None:
-    """Merge the live layers of a cell target into one sorted base layer."""
-    layers = _live(spark, target)
-    state = _cells_of(spark, target, layers)
-    if state is None:
-        return None
-    return _commit(spark, target, sort_cells(state), compression, _covered(layers))
+    return publish(spark, staging, target, validate, move=move, batch=batch)
 
 
 def upsert(df: DataFrame, target: str, key: str | list[str], recency: str | list[str],
-           compression: str = "snappy") -> str:
-    """Keyed write of wide rows (K1): ``df`` becomes a new layer; per key the
-    newest row by ``recency`` over all layers is what ``read_rows`` shows.
-    Cost: the batch (sorted by key), not the table."""
+           compression: str = "snappy", batch: str | None = None) -> str:
+    """Keyed write of wide rows (K1): ``df`` becomes a batch; per key the
+    newest row by ``recency`` over all batches is what ``read_rows`` shows.
+    Cost: the batch (sorted by key), not the table.  A ``batch`` that is there already is left as it is."""
     spark = df.sparkSession
+    batch = batch or new_batch()
+    if batch in batches(spark, target):
+        return batch_path(target, batch)
     keys = [key] if isinstance(key, str) else list(key)
     order = keys + ([recency] if isinstance(recency, str) else list(recency))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # (key, recency): a key repeated on many rows of the batch is split over partitions
-    return _commit(spark, target, df.repartitionByRange(n, *order).sortWithinPartitions(*order), compression)
+    return _write_batch(df.repartitionByRange(n, *order).sortWithinPartitions(*order), target, batch, compression)
+
+
+def stream_upsert(stream: DataFrame, target: str, key: str | list[str], recency: str | list[str],
+                  checkpoint: str, name: str = "stream") -> StreamingQuery:
+    """K1 as a stream sink: every micro-batch is an upsert under an id made of ``name`` and the batch's number.
+
+    Spark may run a micro-batch again after a failure; its id is there then, so nothing changes.
+    Processes what is available now and stops."""
+    def write(rows: DataFrame, number: int) -> None:
+        upsert(rows, target, key, recency, batch=stream_batch(name, number))
 
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-def compact_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str],
-                 compression: str = "snappy") -> str | None:
-    """Merge the live layers of a wide-row target into one base layer."""
-    layers = _live(spark, target)
-    state = _rows_of(spark, target, layers, key, recency)
-    if state is None:
+
+def stream_batch(name: str, number: int) -> str:
+    return f"{name}-{number:012d}"
+
+
+def read_cells(spark: SparkSession, target: str) -> DataFrame | None:
+    """Visible cells: per ``(rowkey, family, qualifier)`` the value of the
+    latest batch.  A single batch is read as it is.  ``None`` before the first publish."""
+    there = batches(spark, target)
+    if not there:
+        return None
+    cells = spark.read.parquet(target)
+    return (cells if len(there) == 1 else latest_per_key(cells, CELL_KEY, BATCH)).drop(BATCH)
+
+
+def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str]) -> DataFrame | None:
+    """Visible wide rows: per key the newest row by ``recency`` (the latest
+    batch breaks ties).  ``None`` before the first write."""
+    if not batches(spark, target):
         return None
     keys = [key] if isinstance(key, str) else list(key)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _commit(spark, target, state.repartitionByRange(n, *keys).sortWithinPartitions(*keys),
-                   compression, _covered(layers))
+    recency = [recency] if isinstance(recency, str) else list(recency)
+    return latest_per_key(spark.read.parquet(target), keys, [*recency, BATCH]).drop(BATCH)
+
+
+def merge_cells(spark: SparkSession, target: str, into: str, compression: str = "snappy") -> str | None:
+    """Write the visible cells of ``target`` as the first batch of the new target ``into``."""
+    state = read_cells(spark, target)
+    return state and _write_batch(sort_cells(state), into, new_batch(), compression)
+
+
+def merge_rows(spark: SparkSession, target: str, into: str, key: str | list[str], recency: str | list[str],
+               compression: str = "snappy") -> str | None:
+    """Write the visible rows of ``target`` as the first batch of the new target ``into``."""
+    state = read_rows(spark, target, key, recency)
+    return state and upsert(state, into, key, recency, compression)

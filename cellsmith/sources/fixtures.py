@@ -153,6 +153,24 @@ def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_docs_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_docs`` without a payload where the event is a signup."""
+    payload = "moxie_carrier_originalInfo"
+    return raw_docs(spark, sf_dir).withColumn(payload, F.when(F.col("successFlag") != "signup", F.col(payload)))
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON line per event; some are cut off, some are no object, some have a text for the number."""
+    e = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    whole = F.to_json(F.struct(eid.alias("event_id"), "event_type", "user_id"))
+    return e.withColumn("w", whole).select(
+        F.when(eid % 17 == 0, F.expr("substring(w, 1, length(w) - 3)"))
+        .when(eid % 19 == 0, F.concat(F.lit("no document "), eid.cast("string")))
+        .when(eid % 23 == 0, F.concat(F.lit('{"event_id":"x'), eid.cast("string"), F.lit('","event_type":"a","user_id":1}')))
+        .otherwise(F.col("w")).alias("value"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic messages from ``events`` (B4): key, value (JSON), topic, partition, offset, timestamp."""
     e = read_table(spark, sf_dir, "events")

@@ -29,6 +29,34 @@ def register_table(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save ``df`` as a catalog table dealt into ``buckets`` by ``key`` and sorted by it (G1).
+
+    Grouping or joining the table by ``key`` later needs no exchange.  The rows are dealt once
+    here, so each bucket is one file.  An existing table of the name is replaced."""
+    out = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").mode("overwrite")
+    (out.option("path", path) if path else out).saveAsTable(name)
+
+
+# The column that holds a line no document could be read from.
+MALFORMED = "_malformed"
+
+
+def scan_documents_checked(spark: SparkSession, schema: str, path: str, options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(documents, rejects)`` of JSON lines (S3).
+
+    A line that is no JSON object, or whose fields do not fit the schema, is one row ``line, reason`` of the
+    rejects, never a document of nulls.  Blank lines are neither; text behind an object is not
+    looked at, as in Spark's own reader.  Each reads the lines when used."""
+    kind = T._parse_datatype_string(f"{schema}, {MALFORMED} string")
+    how = {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.withColumn("_doc", F.from_json("value", kind, how))
+    bad = F.col("_doc").isNull() | F.col(f"_doc.{MALFORMED}").isNotNull()
+    good = rows.where(~bad).select(*[F.col("_doc")[f.name].alias(f.name) for f in kind.fields if f.name != MALFORMED])
+    return good, rows.where(bad).select(F.col("value").alias("line"), F.lit("malformed").alias("reason"))
+
+
 def scan_documents(
     spark: SparkSession, schema: T.StructType | str, path: str | None = None,
     fmt: str | None = None, options: dict | None = None,

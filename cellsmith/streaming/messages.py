@@ -31,11 +31,14 @@ def read_messages(
     topics: Sequence[str] | None = None,
     starting: str = "earliest",
     per_trigger: int | None = None,
+    max_bytes: int | None = None,
     options: dict | None = None,
     schema: str = MESSAGE_SCHEMA,
 ) -> DataFrame:
     """A message stream ``(key, value, topic, partition, offset, timestamp)``.
 
+    ``per_trigger`` paces by messages (broker) or files, ``max_bytes`` by the size of files, whatever
+    their number; a batch takes one file more than fits only if it is its first.
     ``topics`` restricts the stream (F6).  ``starting`` is ``earliest`` (S6,
     S7) or ``latest`` (S8).  For file sources ``latest`` is obtained with
     ``prime_latest`` on the query's checkpoint, since files carry no offsets.
@@ -55,6 +58,8 @@ def read_messages(
         reader = spark.readStream.format(fmt).schema(schema).options(**options)
         if per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(per_trigger))
+        if max_bytes:
+            reader = reader.option("maxBytesPerTrigger", str(max_bytes))
         df = reader.load(path)
         if topics:
             df = df.where(F.col("topic").isin(list(topics)))

@@ -62,7 +62,7 @@ def test_staged_files_sorted_and_disjoint(spark):
     S.check_staging(spark, staging)
 
 
-def test_publish_is_idempotent_and_versioned(spark):
+def test_publish_is_idempotent(spark):
     base = scratch_path(spark, "t-publish")
     cells = _contact_cells(spark)
     staging = S.write_sorted_cells(cells, f"{base}/stage", presorted=True)
@@ -72,8 +72,10 @@ def test_publish_is_idempotent_and_versioned(spark):
     first = sorted(tuple(r) for r in S.read_cells(spark, target).collect())
     S.publish_existing(spark, staging, target)
     assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == first
-    assert S.committed_versions(spark, target) == [1, 2]
+    assert len(S.batches(spark, target)) == 2
     assert len(first) == cells.count()
+    S.publish(spark, staging, target, batch=S.batches(spark, target)[0])  # a batch that is there
+    assert len(S.batches(spark, target)) == 2
 
 
 def test_publish_replaces_cells(spark):
@@ -117,11 +119,10 @@ def test_publish_after_interrupted_writer(spark):
     target = f"{base}/table"
     staging = S.write_sorted_cells(a, f"{base}/a")
     S.publish(spark, staging, target)
-    # data written, marker never created (job lost before commit)
-    _cells(spark, [("k9", "lost")]).write.parquet(f"{target}/data/layer-lost")
-    assert S.committed_versions(spark, target) == [1]
+    # data written aside, never moved in (job lost before)
+    _cells(spark, [("k9", "lost")]).write.parquet(f"{target}_writing/lost")
     path = S.publish(spark, staging, target)
-    assert S.committed_versions(spark, target) == [1, 2] and path == S.layer_path(spark, target, 2)
+    assert path == S.batch_path(target, S.batches(spark, target)[-1])
     assert [tuple(r) for r in S.read_cells(spark, target).collect()] == [("k1", "cf", "q", "v")]
 
 
@@ -133,44 +134,10 @@ def test_concurrent_writers_lose_and_leak_nothing(spark):
         F.col("id").cast("string").alias("k"), F.lit(i).alias("r")) for i in range(6)]
     with ThreadPoolExecutor(6) as pool:
         list(pool.map(lambda df: S.upsert(df, target, "k", "r"), parts))
-    assert S.committed_versions(spark, target) == [1, 2, 3, 4, 5, 6]
+    assert len(S.batches(spark, target)) == 6
     assert S.read_rows(spark, target, "k", "r").count() == 600
 
 
-def test_marker_is_never_replaced(spark):
-    path = f"{scratch_path(spark, 't-marker')}/_commits/v00000001"
-    assert S._create_whole(spark, path, "a") and not S._create_whole(spark, path, "b")
-    assert S._read_text(spark, path) == "a"
-    assert S._list_names(spark, path.rsplit("/", 1)[0]) == ["v00000001"]
-
-
-def test_layer_committed_during_compaction_stays_live(spark, monkeypatch):
-    target = scratch_path(spark, "t-compact-race")
-    row = lambda k, r, v: spark.createDataFrame([(k, r, v)], "k string, r long, v string")
-    S.upsert(row("a", 1, "x"), target, "k", "r")
-    S.upsert(row("a", 2, "y"), target, "k", "r")
-    mark, late = S._mark, []
-
-    def mark_later(spark_, target_, folder, covers=None):
-        if covers is not None and not late:
-            late.append(S.upsert(row("a", 3, "z"), target, "k", "r"))
-        return mark(spark_, target_, folder, covers)
-
-    monkeypatch.setattr(S, "_mark", mark_later)
-    S.compact_rows(spark, target, "k", "r")
-    assert S.live_layers(spark, target) == [4, 3]
-    assert [tuple(r) for r in S.read_rows(spark, target, "k", "r").collect()] == [("a", 3, "z")]
-
-
-def test_compacted_layer_is_read_without_aggregate(spark):
-    target = scratch_path(spark, "t-plain-read")
-    df = spark.range(50).select(F.col("id").cast("string").alias("k"), F.col("id").alias("r"))
-    S.upsert(df, target, "k", "r")
-    S.compact_rows(spark, target, "k", "r")
-    out = S.read_rows(spark, target, "k", "r")
-    assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 50
-
-
 def test_upsert_with_map_columns(spark):
     target = scratch_path(spark, "t-maps")
     schema = "k string, r long, m map<string,int>"
@@ -240,27 +207,56 @@ def test_upsert_partial_batch_keeps_untouched(spark):
     S.upsert(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("b", 3, "y3")], schema), target, "k", "r")
     S.upsert(spark.createDataFrame([("c", 1, "z"), ("a", 0, "stale")], schema), target, "k", "r")
     got = sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect())
-    assert S.compact_rows(spark, target, "k", "r") == S.layer_path(spark, target, 3)
-    assert S.live_layers(spark, target) == [3]
-    assert sorted(tuple(r) for r in S.read_rows(spark, target, "k", "r").collect()) == got
+    S.merge_rows(spark, target, f"{target}-merged", "k", "r")
+    assert len(S.batches(spark, f"{target}-merged")) == 1
+    assert sorted(tuple(r) for r in S.read_rows(spark, f"{target}-merged", "k", "r").collect()) == got
     assert got == [("a", 1, "x"), ("b", 3, "y3"), ("c", 1, "z")]
 
 
-def test_compaction_keeps_state_and_bounds_layers(spark):
-    base = scratch_path(spark, "t-compact")
+def test_merged_target_goes_on(spark):
+    base = scratch_path(spark, "t-merged")
     schema = "rowkey string, family string, qualifier string, value string"
-    target = f"{base}/table"
+    target, into = f"{base}/table", f"{base}/merged"
+    assert S.merge_cells(spark, target, into) is None and S.merge_rows(spark, target, into, "rowkey", "value") is None
     for i, rows in enumerate([[("k1", "cf", "q", "a"), ("k2", "cf", "q", "b")], [("k1", "cf", "q", "c")]]):
         S.publish(spark, S.write_sorted_cells(spark.createDataFrame(rows, schema), f"{base}/s{i}"), target)
-    before = sorted(tuple(r) for r in S.read_cells(spark, target).collect())
-    assert before == [("k1", "cf", "q", "c"), ("k2", "cf", "q", "b")]
-    S.compact_cells(spark, target)
-    assert S.live_layers(spark, target) == [3]
-    assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == before
-    S.publish(spark, S.write_sorted_cells(spark.createDataFrame([("k2", "cf", "q", "d")], schema), f"{base}/s9"), target)
-    assert S.live_layers(spark, target) == [3, 4]
-    assert sorted(tuple(r) for r in S.read_cells(spark, target).collect()) == [
-        ("k1", "cf", "q", "c"), ("k2", "cf", "q", "d")]
+    S.merge_cells(spark, target, into)
+    merged = S.read_cells(spark, into)
+    assert "Aggregate" not in merged._jdf.queryExecution().executedPlan().toString()  # one batch is read as it is
+    assert sorted(tuple(r) for r in merged.collect()) == [("k1", "cf", "q", "c"), ("k2", "cf", "q", "b")]
+    S.publish(spark, S.write_sorted_cells(spark.createDataFrame([("k2", "cf", "q", "d")], schema), f"{base}/s9"), into)
+    assert sorted(tuple(r) for r in S.read_cells(spark, into).collect()) == [("k1", "cf", "q", "c"), ("k2", "cf", "q", "d")]
+
+
+def test_staged_files_on_given_points(spark):
+    """Each file lies within one region; a region without cells has no file."""
+    base = scratch_path(spark, "t-points")
+    cells = _contact_cells(spark)
+    keys = sorted({r.rowkey for r in cells.select("rowkey").collect()})
+    points = [keys[len(keys) // 3], keys[len(keys) // 3] + "~", keys[-1]]
+    staging = S.write_sorted_cells(cells, f"{base}/s", points=points)
+    S.check_staging(spark, staging)
+    seen = {}
+    for f in glob.glob(os.path.join(staging.replace("file:", ""), "*.parquet")):
+        held = pq.read_table(f).to_pydict()["rowkey"]
+        if held:
+            seen[int(os.path.basename(f).split("-")[1])] = (min(held), max(held), len(held))
+    edges = ["", *sorted(points), "\U0010ffff"]
+    assert all(edges[i] <= lo and hi < edges[i + 1] for i, (lo, hi, _) in seen.items())
+    assert sum(n for *_, n in seen.values()) == cells.count() and len(seen) >= 3
+
+
+def test_stream_batch_is_written_once(spark):
+    base = scratch_path(spark, "t-stream-upsert")
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, r long, v string")
+    df.write.parquet(f"{base}/src")
+    stream = spark.readStream.schema(df.schema).parquet(f"{base}/src")
+    S.stream_upsert(stream, f"{base}/t", "k", "r", f"{base}/c1", "s").awaitTermination()
+    assert S.batches(spark, f"{base}/t") == [S.stream_batch("s", 0)]
+    # The checkpoint is lost and the first batch comes again with other rows: the one that is there stays.
+    spark.createDataFrame([("a", 9, "z")], df.schema).write.mode("append").parquet(f"{base}/src")
+    S.stream_upsert(stream, f"{base}/t", "k", "r", f"{base}/c2", "s").awaitTermination()
+    assert sorted(r.v for r in S.read_rows(spark, f"{base}/t", "k", "r").collect()) == ["x", "y"]
 
 
 def test_nested_values_become_json_text(spark):
@@ -299,7 +295,7 @@ def test_publish_by_move(spark):
     cells = _contact_cells(spark)
     staging = S.write_sorted_cells(cells, f"{base}/stage", presorted=True)
     path = S.publish(spark, staging, f"{base}/table", move=True)
-    assert path == S.layer_path(spark, f"{base}/table", 1)
+    assert path == S.batch_path(f"{base}/table", S.batches(spark, f"{base}/table")[0])
     assert not os.path.exists(staging.replace("file:", ""))
     assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == sorted(
         tuple(r) for r in cells.collect())

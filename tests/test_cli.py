@@ -36,7 +36,7 @@ def test_cli_wide_and_publish(spark):
     staging = S.write_sorted_cells(jobs.raw_docs_to_cells(fx.raw_docs(spark, SF)).dropDuplicates(
         ["rowkey", "family", "qualifier"]), f"{base}/stage")
     cli.run(["publish", staging, f"{base}/t"], spark)
-    assert S.live_layers(spark, f"{base}/t") == [1]
+    assert len(S.batches(spark, f"{base}/t")) == 1
 
 
 def test_cli_reads_a_catalog_table(spark):
@@ -62,7 +62,7 @@ def test_cli_files_option(spark):
     base = scratch_path(spark, "t-cli-files")
     fx.contacts(spark, SF).write.parquet(f"{base}/contacts")
     cli.run(["contacts", f"{base}/contacts", f"{base}/t", "--staging", f"{base}/s", "--files", "3"], spark)
-    layer = S.live_layers(spark, f"{base}/t")[0]
-    files = glob.glob(f"{S.layer_path(spark, f'{base}/t', layer)}/*.parquet".replace("file:", ""))
+    batch = S.batches(spark, f"{base}/t")[0]
+    files = glob.glob(f"{S.batch_path(f'{base}/t', batch)}/*.parquet".replace("file:", ""))
     assert len(files) == 3
     assert rows(S.read_cells(spark, f"{base}/t")) == rows(jobs.contacts_to_cells(spark.read.parquet(f"{base}/contacts")))

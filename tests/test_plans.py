@@ -45,6 +45,15 @@ def test_numbering_plan(spark):
     assert {(r.base, r.id, r.seq) for r in got.collect()} == {(f"k{i % 7}", i, i // 7) for i in range(1000)}
 
 
+def test_bucketed_table_is_grouped_without_an_exchange(spark):
+    from cellsmith.plans import catalog
+
+    got = catalog.queries()["scan_bucketed"](spark, SF)
+    plan = plan_text(got)
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert got.count() > 0
+
+
 def test_scan_is_pruned(spark):
     plan = plan_text(jobs.raw_docs_to_cells(fx.raw_docs(spark, SF)))
     # events.value (a double) is never read

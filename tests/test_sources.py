@@ -33,3 +33,24 @@ def test_sample_messages(spark):
     txt = TB.generate_text(o, "o_orderkey").orderBy("i").first()
     assert nums["value"] == "1860123458" + str(nums["i"])
     assert txt["value"] == f"hello kafka.javaapi.producer message {txt['i']}"
+
+
+def test_lines_that_are_no_document_are_rejects(spark):
+    path = scratch_path(spark, "t-lines")
+    lines = ['{"a":1,"b":"x"}', '{"a":1', 'text', '{"a":"no number","b":"x"}', '{"b":"y"}', "[]x"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    good, bad = TB.scan_documents_checked(spark, "a bigint, b string", path)
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, "x"), (None, "y")]
+    assert sorted(r.line for r in bad.collect()) == sorted([lines[1], lines[2], lines[3], lines[5]])
+    # counts see the same rows, though no field is asked for
+    assert good.count() == 2 and bad.count() == 4
+
+
+def test_bucketed_table_is_replaced_and_joined_by_name(spark):
+    name = "cellsmith_bucketed_t"
+    for n in (5, 50):
+        TB.save_bucketed(spark.range(n).selectExpr("id % 7 AS k", "id"), name, "k", 4, scratch_path(spark, "t-bucketed"))
+    a = TB.scan_table(spark, name)
+    assert a.count() == 50
+    joined = a.hint("merge").join(TB.scan_table(spark, name, ["k"]).distinct().hint("merge"), "k")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 50
