@@ -17,6 +17,10 @@ from cellsmith.operators.keys import (  # noqa: F401
     dedup_keep_first, latest_per_key, sequence_key, sequence_number, unique_sequence_key,
 )
 from cellsmith.operators.nested import flatten_calls, json_encode, parse_calls  # noqa: F401
+from cellsmith.operators.open_docs import (  # noqa: F401
+    field_profile, flatten_open_calls, map_cells, open_cells, open_fields, open_schema, parse_open, row_maps,
+)
+from cellsmith.plans.accounts import write_calls, write_contacts, write_raw  # noqa: F401
 from cellsmith.plans.jobs import (  # noqa: F401
     call_items, calls_to_cells, contact_rejects, contact_rows, contact_wide, contacts_latest,
     contacts_to_cells, contacts_to_cells_plain, raw_docs_to_cells, raw_rows,

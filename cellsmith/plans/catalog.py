@@ -18,7 +18,8 @@ from cellsmith.functions import columns as C
 from cellsmith.operators import cells as CE
 from cellsmith.operators import keys as K
 from cellsmith.operators import nested as N
-from cellsmith.plans import jobs
+from cellsmith.operators import open_docs as OD
+from cellsmith.plans import accounts, jobs
 from cellsmith.session import scratch_path
 from cellsmith.sinks import files as S
 from cellsmith.sources import fixtures as fx
@@ -312,6 +313,51 @@ def q_json_encode(spark, sf_dir):
     return e.select("event_id", N.json_encode("user_id", "event_type").alias("json"))
 
 
+# ---------------------------------------------------------------------------
+# Documents without a declared schema
+# ---------------------------------------------------------------------------
+
+def _open_docs(spark, sf_dir):
+    return OD.parse_open(fx.open_docs(spark, sf_dir), "payload")
+
+
+def _open_cells(spark, sf_dir):
+    docs = _open_docs(spark, sf_dir).where("_valid").withColumn("rowkey", C.reverse_text(F.col("_id")))
+    return OD.open_cells(docs, "rowkey")
+
+
+@query("open_rejects")
+def q_open_rejects(spark, sf_dir):
+    return _open_docs(spark, sf_dir).where("not _valid").select("_id", "payload")
+
+
+@query("open_calls")
+def q_open_calls(spark, sf_dir):
+    flat = OD.flatten_open_calls(fx.call_docs(spark, sf_dir), jobs.PAYLOAD)
+    return flat.select(F.col("_id").alias("id"), "details_id", "call_pos", "item_pos", "dial_type", "duration",
+                       "fee", "peer_number", "time")
+
+
+@query("open_profile")
+def q_open_profile(spark, sf_dir):
+    return OD.field_profile(_open_docs(spark, sf_dir))
+
+
+@query("open_cells")
+def q_open_cells(spark, sf_dir):
+    return CE.sort_cells(_open_cells(spark, sf_dir))
+
+
+@query("open_rows")
+def q_open_rows(spark, sf_dir):
+    return OD.row_maps(_open_cells(spark, sf_dir)).select("rowkey", F.to_json("fields").alias("fields"))
+
+
+@query("map_cells")
+def q_map_cells(spark, sf_dir):
+    return CE.sort_cells(OD.map_cells(OD.row_maps(_open_cells(spark, sf_dir)), "rowkey", "fields"))
+
+
 # ---------------------------------------------------------------------------
 # Keys (G2-G5)
 # ---------------------------------------------------------------------------
@@ -668,3 +714,12 @@ def q_contacts_wide(spark, sf_dir):
     target = scratch_path(spark, "contacts-wide")
     S.upsert(jobs.contact_rows(fx.contacts(spark, sf_dir), exclude=(), raw=("ord",)), target, "rowkey", "ord")
     return S.read_rows(spark, target, "rowkey", "ord")
+
+
+@query("job_accounts")
+def q_job_accounts(spark, sf_dir):
+    base = scratch_path(spark, "accounts")
+    made = [accounts.write_calls(fx.faulty_call_docs(spark, sf_dir).unionByName(fx.call_docs(spark, sf_dir)), f"{base}/calls"),
+            accounts.write_raw(fx.raw_docs(spark, sf_dir), f"{base}/raw"),
+            accounts.write_contacts(fx.contacts_with_gaps(spark, sf_dir), f"{base}/contacts")]
+    return made[0].unionByName(made[1]).unionByName(made[2])

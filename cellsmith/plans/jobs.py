@@ -100,16 +100,27 @@ def calls_to_cells(docs: DataFrame, payload: str = PAYLOAD, strict: bool = False
     keyed = keyed_calls(docs, payload)
     if once:
         keyed = materialize(keyed, "call-items")
-    items, rejects = split_calls(keyed)
+    rejects = split_calls(keyed)[1]
     _check_strict(rejects, strict)
+    if once:
+        return cells_of_calls(keyed, parts=parts), rejects
+    some = split_calls(keyed_calls(docs.sample(POINTS_SHARE, 5), payload))[0]
+    return cells_of_calls(keyed, some, docs.where(F.col("mobile").isNotNull()), parts), rejects
+
+
+def cells_of_calls(keyed: DataFrame, sample: DataFrame | None = None, mobiles: DataFrame | None = None,
+                   parts: int | None = None) -> DataFrame:
+    """The cells of ``keyed_calls``.
+
+    ``sample`` (items) gives the split points, ``mobiles`` the mobiles whose text is checked; both are the items by default."""
+    items = split_calls(keyed)[0]
     group, order = ["peer_number", "time"], list(CALL_ORDER)
     # A base is ``reverse(mobile)_<14 digits>_<digit>_``: without ``_`` in a mobile, none is a prefix of another.
-    if _prefix_free(docs.where(F.col("mobile").isNotNull()), F.col("mobile"), 0):
-        some = items if once else split_calls(keyed_calls(docs.sample(POINTS_SHARE, 5), payload))[0]
-        numbered = ordered_keys(items, "base", order, group, "", parts=parts, sample=some)
-        return to_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS)), rejects
+    if _prefix_free(items if mobiles is None else mobiles, F.col("mobile"), 0):
+        numbered = ordered_keys(items, "base", order, group, "", parts=parts, sample=items if sample is None else sample)
+        return to_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS))
     numbered = unique_sequence_key(items, "base", group, order, out="rowkey", sep="", parts=parts)
-    return sorted_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS), keys_unique=True), rejects
+    return sorted_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS), keys_unique=True)
 
 
 def _prefix_free(df: DataFrame, text, marks: int) -> bool:

@@ -139,6 +139,30 @@ docs AS (
   FROM lineitem GROUP BY l_suppkey)"""
 
 
+OPEN = """
+open_raw AS (
+  SELECT lpad(cast(event_id AS varchar), 12, '0') AS _id, event_id, event_type, cast(user_id % 50 AS varchar) AS u,
+         props ->> '$.k' AS k,
+         event_id % 29 = 0 OR event_id % 31 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 43 = 0 AS bad
+  FROM events),
+open_text AS (
+  SELECT *, '{"event_id":' || event_id || ',"' || event_type || '_k":' || k || ',"u' || u || '":"' || event_type || '"' AS head,
+         head || CASE WHEN event_id % 3 = 0 THEN ',"nested":{"k":' || k || '}' ELSE '' END
+         || CASE WHEN event_id % 5 = 0 THEN ',"tags":["a","' || event_type || '"]' ELSE '' END
+         || CASE WHEN event_id % 7 = 0 THEN ',"note":null' ELSE '' END
+         || CASE WHEN event_id % 11 = 0 THEN ',"flag":true' ELSE '' END || '}' AS whole
+  FROM open_raw),
+open_good AS (SELECT *, reverse(_id) AS rowkey FROM open_raw WHERE NOT bad),
+open_fields AS (
+  SELECT rowkey, 'event_id' AS qualifier, cast(event_id AS varchar) AS value, 'BIGINT' AS kind FROM open_good
+  UNION ALL SELECT rowkey, event_type || '_k', k, 'BIGINT' FROM open_good
+  UNION ALL SELECT rowkey, 'u' || u, event_type, 'STRING' FROM open_good
+  UNION ALL SELECT rowkey, 'nested', '{"k":' || k || '}', 'OBJECT' FROM open_good WHERE event_id % 3 = 0
+  UNION ALL SELECT rowkey, 'tags', '["a","' || event_type || '"]', 'ARRAY' FROM open_good WHERE event_id % 5 = 0
+  UNION ALL SELECT rowkey, 'note', '', 'VOID' FROM open_good WHERE event_id % 7 = 0
+  UNION ALL SELECT rowkey, 'flag', 'true', 'BOOLEAN' FROM open_good WHERE event_id % 11 = 0)"""
+
+
 def peer_tail_sql(x: str) -> str:
     return f"CASE WHEN length({x}) >= 4 THEN right({x}, 4) ELSE rpad({x}, 4, '0') END"
 
@@ -232,6 +256,17 @@ def oracles() -> dict[str, str]:
                                    "raw_peer AS peer_number, time FROM call_flat")
     q["json_encode"] = ("SELECT event_id, json_object('user_id', user_id, 'event_type', event_type)::varchar "
                         "AS json FROM events")
+    # documents without a declared schema
+    q["open_rejects"] = with_ctes(OPEN, """SELECT _id, CASE WHEN event_id % 29 = 0 THEN head WHEN event_id % 31 = 0 THEN whole || ' {}'
+        WHEN event_id % 37 = 0 THEN '{"a":1,"a":2}' WHEN event_id % 41 = 0 THEN '[1]' END AS payload FROM open_text WHERE bad""")
+    q["open_calls"] = with_ctes(FLAT, "SELECT id, details_id, call_pos, item_pos, dial_type, duration, fee, "
+                                "raw_peer AS peer_number, time FROM call_flat")
+    q["open_profile"] = with_ctes(OPEN, "SELECT qualifier AS field, kind, count(*) AS documents FROM open_fields GROUP BY ALL")
+    open_cells = "SELECT rowkey, 'cf' AS family, qualifier, value FROM open_fields"
+    q["open_cells"] = with_ctes(OPEN, open_cells)
+    q["map_cells"] = with_ctes(OPEN, open_cells)
+    q["open_rows"] = with_ctes(OPEN, """SELECT rowkey, '{' || string_agg('"' || qualifier || '":"' || replace(value, '"', '\\"') || '"', ','
+        ORDER BY qualifier) || '}' AS fields FROM open_fields GROUP BY rowkey""")
     # keys
     q["dedup_keep_first"] = with_ctes(CALL_ITEMS, "SELECT base, peer_number, time, id, details_id FROM call_unique")
     q["call_sequence"] = with_ctes(CALL_ITEMS, "SELECT rowkey, details_id FROM call_keyed")
@@ -295,4 +330,25 @@ raw_latest AS (SELECT * FROM raw_rows QUALIFY row_number() OVER (
     q["contacts_to_cells"] = with_ctes(cf, w3_cells)
     q["contacts_to_cells_plain"] = with_ctes(cf, cells_sql("contact_rows", ("name", "phoneNo", "tel")))
     q["contacts_wide"] = with_ctes(cf, latest)
+    q["job_accounts"] = with_ctes(",".join(x.strip() for x in (CALL_ITEMS, DOCS, FAULTY, raw, cf)) + """,
+rejected AS (
+  SELECT CASE WHEN r IN (1, 2, 3, 4, 12) THEN 'payload' WHEN r = 6 THEN 'id_or_mobile' WHEN r = 7 THEN 'peer_number'
+              WHEN r = 8 THEN 'time' ELSE 'fee' END AS reason
+  FROM faulty WHERE r IN (1, 2, 3, 4, 6, 7, 8, 9, 12)),
+items AS (SELECT base, peer_number, time FROM call_items
+  UNION ALL SELECT base, peer_number, CASE r WHEN 11 THEN '2017-12-20 16:42:10.5' ELSE '2017-12-20 16:42:10' END FROM faulty_item),
+n AS (
+  SELECT (SELECT count(*) FROM items) AS items, (SELECT count(*) FROM (SELECT DISTINCT * FROM items)) AS kept,
+         (SELECT count(*) FROM rejected) AS bad, (SELECT count(*) FROM raw_docs) AS raws, (SELECT count(*) FROM raw_rows) AS rows,
+         (SELECT count(DISTINCT rowkey) FROM raw_rows) AS keys, (SELECT count(*) FROM contacts) AS contacts,
+         (SELECT count(*) FROM contacts WHERE ord % 17 = 0) AS gaps)
+""", """SELECT * FROM (
+  SELECT 'calls' AS job, unnest(['read', 'rejected', 'repeated', 'written', 'cells', 'documents', 'without_payload']) AS measure,
+         unnest([items + bad, bad, items - kept, kept, 9 * kept, (SELECT count(*) FROM faulty) + (SELECT count(*) FROM docs),
+                 (SELECT count(*) FROM faulty WHERE r = 0)]) AS n FROM n
+  UNION ALL SELECT 'calls', 'rejected: ' || reason, count(*) FROM rejected GROUP BY reason
+  UNION ALL SELECT 'raw', unnest(['read', 'rejected', 'repeated', 'written', 'cells']),
+                   unnest([raws, raws - rows, rows - keys, keys, 7 * keys]) FROM n
+  UNION ALL SELECT 'contacts', unnest(['read', 'rejected', 'repeated', 'written', 'cells']),
+                   unnest([contacts, gaps, 0, contacts - gaps, 3 * (contacts - gaps)]) FROM n)""")
     return q

@@ -171,6 +171,28 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("w")).alias("value"))
 
 
+def open_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per event, ``_id, payload``, whose fields differ from row to row: names
+    made of the event type and the user, and nested, list, null and boolean fields on some.  Some are
+    cut off, have text behind them, hold a name twice, are no object, or are null."""
+    e = read_table(spark, sf_dir, "events")
+    eid, k, kind = F.col("event_id"), F.get_json_object("props", "$.k"), F.col("event_type")
+    user = (F.col("user_id") % 50).cast("string")
+
+    def some(n, *parts):
+        return F.when(eid % n == 0, F.concat(*parts)).otherwise(F.lit(""))
+
+    head = F.concat(F.lit('{"event_id":'), eid.cast("string"), F.lit(',"'), kind, F.lit('_k":'), k,
+                    F.lit(',"u'), user, F.lit('":"'), kind, F.lit('"'))
+    whole = F.concat(
+        head, some(3, F.lit(',"nested":{"k":'), k, F.lit("}")), some(5, F.lit(',"tags":["a","'), kind, F.lit('"]')),
+        some(7, F.lit(',"note":null')), some(11, F.lit(',"flag":true')), F.lit("}"))
+    payload = (
+        F.when(eid % 29 == 0, head).when(eid % 31 == 0, F.concat(whole, F.lit(" {}"))).when(eid % 37 == 0, F.lit('{"a":1,"a":2}'))
+        .when(eid % 41 == 0, F.lit("[1]")).when(eid % 43 == 0, F.lit(None).cast("string")).otherwise(whole))
+    return e.select(_lpad_num(eid, 12).alias("_id"), payload.alias("payload"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic messages from ``events`` (B4): key, value (JSON), topic, partition, offset, timestamp."""
     e = read_table(spark, sf_dir, "events")
