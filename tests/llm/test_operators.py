@@ -284,6 +284,37 @@ def test_language_model_base_is_exact(spark, small):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2) and math.isfinite(r.score) and r.score < 0
 
 
+def test_language_model_knows_words_past_the_head(spark, small, monkeypatch):
+    df, _ = small
+    whole = {r.doc_id: (r.score, r.base_score, r.n_known) for r in attention.score_texts(df).collect()}
+    monkeypatch.setattr(attention, "HEAD", 3)
+    for r in attention.score_texts(df).collect():
+        score, base, known = whole[r.doc_id]
+        assert r.score == pytest.approx(score, rel=1e-5) and r.base_score == pytest.approx(base) and r.n_known == known
+
+
+def test_pairs_count_over_all_texts_however_cut(monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"ab{i} c d{i % 7} e" for i in range(90)] + ["", None]
+    path, got = attention.default_path(), []
+    for cut, keep in ((2000, 600_000), (7, 5)):
+        monkeypatch.setattr(attention, "SLICE", cut)
+        monkeypatch.setattr(attention, "KEEP_COUNTS", keep)
+        counts = Counter()
+        batches = [pa.RecordBatch.from_arrays([pa.array(texts[i: i + 40], pa.string())], ["text"]) for i in range(0, len(texts), 40)]
+        for b in attention._gather(path)(iter(batches)):
+            for r in b.to_pylist():
+                if r["kind"] == 3:
+                    counts[r["hash"] >> 16, r["hash"] & 65535] += r["n"]
+        got.append(counts)
+    sub, want = attention.Subwords(path), Counter()
+    for t in texts:
+        ids = [x for w in words(t or "") for x in sub.word(w)] + [attention.END_RAW]
+        want.update(zip([attention.PAD_RAW, *ids], ids))
+    assert got[0] == want and got[1] == want
+
+
 def test_language_model_of_odd_rows(spark, odd_docs, no_docs):
     got = attention.score_texts(odd_docs).collect()
     assert len(got) == 11 and all(math.isfinite(r.score) for r in got)
