@@ -8,9 +8,13 @@ found in one pass with an Aho-Corasick automaton.  Around each hit, the least
 edit distance of the item to any substring is computed with Myers'
 bit-parallel algorithm; overlapping windows of an item are joined first.
 
-Items come in blocks of at most ``BLOCK_CHARS`` characters; a block's
-automaton goes to all tasks and every document is read against each block.
-Documents are never shuffled.
+Items come in blocks of about ``BLOCK_CHARS`` characters; a block's automaton
+goes to all tasks and every document is read against each block.  One block,
+the usual case, needs no shuffle.  With more, a pass per block writes its
+hits under the text's SHA-256 and then gives its block up, so the driver and a task
+hold one block at a time however large the benchmark is; the hits of all
+blocks are joined to the documents by that digest, each digest dealt over
+``SALT`` parts so that copies of one text need not meet in one task.
 
 Cases: null and empty texts match nothing; null and empty items, and items
 shorter than ``MIN_CHARS`` after normalising, are no evidence and match
@@ -28,8 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsmith.llm.common import private
+from cellsmith.session import materialize
 
-ERROR, MIN_CHARS, BLOCK_CHARS = 0.08, 24, 8_000_000
+ERROR, MIN_CHARS, BLOCK_CHARS, SALT = 0.08, 24, 8_000_000, 16
 
 
 def normal(text: str | None) -> str:
@@ -148,23 +153,60 @@ def find(docs: DataFrame, benchmark: DataFrame, error: float = ERROR, min_chars:
     the three; a kept column of such a name is replaced."""
     items, distances, contaminated = names
     keep = [c for c in keep if c.lower() not in {n.lower() for n in names}] or [F.col(doc_id).alias("doc_id")]
-    (body,) = private([*docs.columns, *names], "text")
+    body, salt = private([*docs.columns, *names], "text", "salt")
     parted, n = blocks(benchmark, item_id, item_text, block_chars)
-    rows = docs.select(*keep, F.col(text).alias(body), F.array().cast("array<long>").alias(items),
-                       F.array().cast("array<int>").alias(distances))
-    for b in range(n):
-        # At most about block_chars characters by the choice of n.
-        got = [(r.item_id, normal(r.text)) for r in parted.where(F.col("block") == b).collect()]
-        got = sorted((i, t) for i, t in got if i is not None and len(t) >= min_chars)
-        if got:
-            rows = _pass(rows, docs.sparkSession.sparkContext.broadcast(got), error, body, items, distances)
-    return rows.drop(body).withColumn(contaminated, F.size(items) > 0)
+    rows = docs.select(*keep, F.col(text).alias(body))
+    if n == 1:
+        rows = _pass(_unmatched(rows, items, distances), _block(parted, 0, min_chars), error, body, items, distances)
+    else:
+        rows = docs.select(*keep, F.col(text).alias(body), F.pmod(F.xxhash64(doc_id), F.lit(SALT)).cast("int").alias(salt))
+        rows = _by_blocks(rows, materialize(parted, "items"), n, min_chars, error, body, salt, items, distances)
+    return rows.drop(body, salt).withColumn(contaminated, F.size(items) > 0)
+
+
+def _unmatched(rows: DataFrame, items: str, distances: str) -> DataFrame:
+    return rows.select("*", F.array().cast("array<long>").alias(items), F.array().cast("array<int>").alias(distances))
 
 
-def _pass(rows: DataFrame, sent, error: float, body: str, items: str, distances: str) -> DataFrame:
+def _block(parted: DataFrame, block: int, min_chars: int) -> list[tuple[int, str]]:
+    """One block of normalised items, about ``block_chars`` characters by the choice of their number."""
+    got = [(r.item_id, normal(r.text)) for r in parted.where(F.col("block") == block).collect()]
+    return sorted((i, t) for i, t in got if i is not None and len(t) >= min_chars)
+
+
+def _by_blocks(rows: DataFrame, parted: DataFrame, n: int, min_chars: int, error: float,
+               body: str, salt: str, items: str, distances: str) -> DataFrame:
+    key, pairs = private([*rows.columns, items, distances], "key", "pairs")
+    keyed = rows.withColumn(key, F.sha2(body, 256))
+    texts = keyed.where(F.col(body).isNotNull()).select(body, key)
+    hits = None
+    for b in range(n):
+        got = _block(parted, b, min_chars)
+        if not got:
+            continue
+        found = _pass(_unmatched(texts, items, distances), got, error, body, items, distances)
+        # Equal texts have equal hits, so any row of a digest stands for it.
+        part = materialize(found.where(F.size(items) > 0).groupBy(key).agg(
+            F.first(F.arrays_zip(items, distances)).alias(pairs)), "hits")
+        hits = part if hits is None else hits.unionByName(part)
+    if hits is None:
+        return _unmatched(rows, items, distances)
+    # At most a list per block under each digest.
+    hits = hits.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(pairs)))).alias(pairs))
+    hits = hits.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    joined = keyed.join(hits, [key, salt], "left")
+    return joined.select(*rows.columns, *[
+        F.coalesce(F.col(pairs)[name], F.array().cast(kind)).alias(name)
+        for name, kind in ((items, "array<long>"), (distances, "array<int>"))])
+
+
+def _pass(rows: DataFrame, block: list, error: float, body: str, items: str, distances: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    if not block:
+        return rows
     schema = to_arrow_schema(rows.schema)
+    sent = rows.sparkSession.sparkContext.broadcast(block)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto, table = automaton(sent.value, error)

@@ -2,7 +2,10 @@
 
 Token counts are summed over the cells source x language x topic.  Raking
 scales the cells in turn until their source, language and topic sums match
-the target shares.  A cell's documents are sampled with probability
+the target shares: until no sum was off by more than ``TOLERANCE`` of all
+tokens in a whole sweep.  Targets that no scaling can meet (a margin's tokens all in
+cells that another margin gives none) never get there; after ``SWEEPS``
+sweeps a warning states the residual, and the last sweep's weights hold.  A cell's documents are sampled with probability
 ``min(1, scale * ratio)``, where ``ratio`` is the cell's raked over present
 tokens and ``scale`` makes the expected sample ``KEEP`` of all tokens.  Kept
 documents carry the ``weight`` ``ratio / probability``, which is one common
@@ -21,6 +24,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,19 +34,22 @@ from cellsmith.llm.common import private
 from cellsmith.session import materialize
 
 DIMS = ("source", "lang", "topic")
-TEMPER, KEEP, SWEEPS, SEED = 0.7, 0.8, 12, "mix-1"
+TEMPER, KEEP, SWEEPS, TOLERANCE, SEED = 0.7, 0.8, 200, 1e-10, "mix-1"
 MAX_CELLS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"\*\*\*|&&&|###|%%%"
 
 
-def with_topic(docs: DataFrame, text: str = "text", names: tuple = ("topic", "n_tokens")) -> DataFrame:
+def with_topic(docs: DataFrame, text: str = "text", names: tuple = ("topic", "n_tokens"), given: str | None = None) -> DataFrame:
     """Add ``topic`` (the kind of text: table, symbols, capitals, prose) and ``n_tokens`` (words).
 
+    ``given`` names a column of known topics; the kind of text then stands in where it is null.
     ``names`` are the names of the two; a column of such a name is replaced."""
     t = F.coalesce(F.col(text), F.lit(""))
     kind = (F.when(t.contains(" | "), "table").when(t.rlike(SYMBOLS), "symbols")
              .when((t == F.upper(t)) & (t != F.lower(t)), "capitals").otherwise("prose"))
+    if given:
+        kind = F.coalesce(F.col(given).cast("string"), kind)
     return docs.withColumns(dict(zip(names, (kind, F.regexp_count(t, F.lit(WORD)).cast("long")))))
 
 
@@ -51,7 +59,12 @@ def tempered(shares: dict, temper: float) -> dict:
     return {k: v / total for k, v in powered.items()}
 
 
-def rake_local(cells: list[tuple], dims: int, targets: list[dict] | None, temper: float, sweeps: int) -> np.ndarray:
+def unmet(residual: float, sweeps: int) -> None:
+    warnings.warn(f"raking left a margin off by {residual:.2g} of all tokens after {sweeps} sweeps", stacklevel=3)
+
+
+def rake_local(cells: list[tuple], dims: int, targets: list[dict] | None, temper: float, sweeps: int,
+               tolerance: float = TOLERANCE) -> np.ndarray:
     """Raked over present tokens per cell; ``cells`` are ``(*labels, tokens)``."""
     tokens = np.array([c[dims] for c in cells], float)
     codes, goals = [], []
@@ -64,15 +77,22 @@ def rake_local(cells: list[tuple], dims: int, targets: list[dict] | None, temper
         goal = targets[d] if targets else tempered(share, temper)
         codes.append(code)
         goals.append(np.array([goal.get(x, 0.0) for x in labels]) * tokens.sum())
-    w = tokens.copy()
+    w, total = tokens.copy(), max(tokens.sum(), 1.0)
     for _ in range(sweeps):
+        residual = 0.0
         for code, goal in zip(codes, goals):
             sums = np.bincount(code, w, len(goal))
+            residual = max(residual, float(np.abs(sums - goal).max(initial=0.0)) / total)
             w = w * np.divide(goal, sums, out=np.zeros_like(goal), where=sums > 0)[code]
+        if residual <= tolerance:
+            break
+    else:
+        unmet(residual, sweeps)
     return np.divide(w, tokens, out=np.ones_like(w), where=tokens > 0)
 
 
-def rake_table(cells: DataFrame, dims: tuple, targets: list[dict] | None, temper: float, sweeps: int) -> DataFrame:
+def rake_table(cells: DataFrame, dims: tuple, targets: list[dict] | None, temper: float, sweeps: int,
+               tolerance: float = TOLERANCE) -> DataFrame:
     """The same raking for a cell table too large for the driver; one written table a sweep."""
     spark = cells.sparkSession
     now = materialize(cells.withColumn("_w", F.col("tokens").cast("double")), "rake")
@@ -90,12 +110,20 @@ def rake_table(cells: DataFrame, dims: tuple, targets: list[dict] | None, temper
             goal = powered.select(dim, (F.col("_p") / norm * total).alias("_goal"))
         goals.append(materialize(goal, "goal"))
     for _ in range(sweeps):
+        residual = 0.0
         for dim, goal in zip(dims, goals):
             sums = now.groupBy(dim).agg(F.sum("_w").alias("_sum"))
-            factor = goal.join(sums, goal[dim].eqNullSafe(sums[dim])).select(
-                goal[dim].alias("_d"), F.when(F.col("_sum") > 0, F.col("_goal") / F.col("_sum")).otherwise(0.0).alias("_f"))
+            factor = materialize(goal.join(sums, goal[dim].eqNullSafe(sums[dim])).select(
+                goal[dim].alias("_d"), F.abs(F.col("_goal") - F.col("_sum")).alias("_off"),
+                F.when(F.col("_sum") > 0, F.col("_goal") / F.col("_sum")).otherwise(0.0).alias("_f")), "factor")
+            residual = max(residual, (factor.agg(F.max("_off")).first()[0] or 0.0) / (total or 1.0))
+            factor = factor.drop("_off")
             now = now.join(factor, F.col(dim).eqNullSafe(F.col("_d"))).withColumn("_w", F.col("_w") * F.col("_f")).drop("_d", "_f")
         now = materialize(now, "rake")
+        if residual <= tolerance:
+            break
+    else:
+        unmet(residual, sweeps)
     return now.select(*dims, "tokens", F.when(F.col("tokens") > 0, F.col("_w") / F.col("tokens")).otherwise(1.0).alias("ratio"))
 
 
@@ -111,21 +139,21 @@ def scale_for(keep: float, total: float, kept) -> float:
 
 
 def probabilities(docs: DataFrame, dims: tuple = DIMS, targets: list[dict] | None = None, temper: float = TEMPER,
-                  keep: float = KEEP, sweeps: int = SWEEPS, max_cells: int = MAX_CELLS,
-                  n_tokens: str = "n_tokens") -> tuple[DataFrame, bool]:
+                  keep: float = KEEP, sweeps: int = SWEEPS, tolerance: float = TOLERANCE,
+                  max_cells: int = MAX_CELLS, n_tokens: str = "n_tokens") -> tuple[DataFrame, bool]:
     """``probability`` and ``weight`` per cell, and whether the table is within ``max_cells`` rows."""
     spark = docs.sparkSession
     cells = materialize(docs.groupBy(*dims).agg(F.sum(n_tokens).alias("tokens")), "cells")
     small = cells.limit(max_cells + 1).count() <= max_cells
     if small:
         rows = sorted((tuple(r) for r in cells.collect()), key=str)
-        ratio = rake_local(rows, len(dims), targets, temper, sweeps)
+        ratio = rake_local(rows, len(dims), targets, temper, sweeps, tolerance)
         tokens = np.array([r[-1] for r in rows], float)
         scale = scale_for(keep, tokens.sum(), lambda x: float((tokens * np.minimum(1, x * ratio)).sum()))
         raked = spark.createDataFrame([(*r[:-1], float(x)) for r, x in zip(rows, ratio)],
                                       ", ".join(f"{d} string" for d in dims) + ", ratio double")
     else:
-        raked = materialize(rake_table(cells, dims, targets, temper, sweeps), "raked")
+        raked = materialize(rake_table(cells, dims, targets, temper, sweeps, tolerance), "raked")
         total = raked.agg(F.sum("tokens")).first()[0] or 0
         scale = scale_for(keep, total, lambda x: raked.agg(
             F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("ratio") * F.lit(x)))).first()[0] or 0)

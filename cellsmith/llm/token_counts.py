@@ -18,6 +18,11 @@ ASCII and Latin letters, where the pre-token pattern is the same in Python as in
 the library; texts with any other character, or with an added token's string,
 are encoded whole.
 
+Both ways rest on the plain byte-level pre-tokens.  A tokenizer file that states
+anything else (a normaliser, another pattern, a space put before the text, BPE
+dropout or word affixes) has every text encoded whole by the library, as have
+``.model`` files, which the sentencepiece library reads.
+
 Cases: null and empty texts have 0 bytes and 0 tokens; a text of any length
 is counted to its end; repeated ids give repeated rows; null ids stay null;
 an empty table gives an empty result; other columns are ignored.
@@ -25,6 +30,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections.abc import Callable, Iterator
@@ -47,8 +53,17 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def plain_bytes(stated: dict) -> bool:
+    """True when a tokenizer file, read as JSON, has the byte-level pre-tokens that ``PIECE`` finds and nothing besides."""
+    model, pre = stated.get("model") or {}, stated.get("pre_tokenizer") or {}
+    return (stated.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+            and not pre.get("add_prefix_space") and model.get("type") == "BPE"
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")))
+
+
 def load(path: str):
-    """The tokenizer of a file, once per worker process."""
+    """The tokenizer of a file, its cache, the pattern of its added tokens and whether it is plain byte-level,
+    once per worker process."""
     kept = sys.__dict__.setdefault("_cellsmith_tokenizers", {})
     if path not in kept:
         import os
@@ -59,7 +74,8 @@ def load(path: str):
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        kept[path] = (tok, {}, re.compile("|".join(re.escape(t.content) for t in tok.get_added_tokens_decoder().values()) or "(?!)"))
+        added = re.compile("|".join(re.escape(t.content) for t in tok.get_added_tokens_decoder().values()) or "(?!)")
+        kept[path] = (tok, {}, added, plain_bytes(json.loads(tok.to_str())))
     return kept[path]
 
 
@@ -101,8 +117,19 @@ def chunked_count(text: str, encode: Callable, chunk: int = CHUNK, overlap: int
     return total + len(enc.ids) - first
 
 
+def _pieces_counter(path: str) -> Callable[[list], list]:
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=path)
+    return lambda texts: [len(ids) for ids in model.encode([t or "" for t in texts], num_threads=1)]
+
+
 def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Callable[[list], list]:
-    tok, cache, added = load(path)
+    if path.endswith(".model"):
+        return _pieces_counter(path)
+    tok, cache, added, plain = load(path)
+    if not plain:
+        return lambda texts: [len(tok.encode(t, add_special_tokens=False).ids) if t else 0 for t in texts]
 
     def encode(text: str):
         return tok.encode(text, add_special_tokens=False)

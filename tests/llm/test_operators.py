@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on odd rows."""
 
 import hashlib
+import json
 import math
 import re
 import zlib
@@ -389,6 +390,11 @@ def test_decontamination(spark, odd_docs, no_docs):
         got = {r.doc_id: list(zip(r["items"], r.distances)) for r in decontam.find(df, bench, block_chars=chars).collect()}
         assert got == want
     assert want[3] and want[0] == [(0, 0), (50, 0)]
+    twice = decontam.find(df.union(df), bench, block_chars=400).collect()  # repeated documents, several blocks
+    assert Counter((r.doc_id, tuple(zip(r["items"], r.distances))) for r in twice) == {(i, tuple(m)): 2 for i, m in want.items()}
+    odd = decontam.find(odd_docs, bench, block_chars=400, keep=tuple(odd_docs.columns))
+    assert odd.count() == 11 and odd.where("contaminated").count() == 0
+    assert set(odd.columns) == set(odd_docs.columns) | {"distances", "contaminated"}
     assert decontam.find(odd_docs, bench).where("contaminated").count() == 0
     assert decontam.find(odd_docs, bench).count() == 11 and decontam.find(no_docs, bench).count() == 0
     assert decontam.find(df, bench.limit(0)).where("contaminated").count() == 0
@@ -544,8 +550,65 @@ def test_chunks_splice(chunk, overlap):
         assert token_counts.chunked_count(t, encode, chunk, overlap) == len(encode(t).ids)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_counts_of_any_tokenizer(small, name):
+    """A file of another kind is counted by its library, not by the byte-level pattern."""
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    if name.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        count = lambda t: len(model.encode(t))
+    else:
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        count = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
+    texts = [None, "", "It's  the THIRD\n\n line, e\u0301t 12", "<|endoftext|> a", *list(small[1].values())[:200], "The word's end. " * 90]
+    assert token_counts.counter(path, chunk=500, overlap=32)(texts) == [count(t) if t else 0 for t in texts]
+
+
+def test_plain_byte_level_files():
+    from tokenizers import Tokenizer
+
+    stated = json.loads(Tokenizer.from_file(token_counts.default_path()).to_str())
+    assert token_counts.plain_bytes(stated)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": stated["pre_tokenizer"] | {"add_prefix_space": True}},
+                   {"pre_tokenizer": None}, {"model": stated["model"] | {"end_of_word_suffix": "</w>"}}):
+        assert not token_counts.plain_bytes(stated | change)
+
+
 # 10 Mixing.
 
+def test_raking_stops_on_the_residual():
+    """Margins are met to the tolerance; targets that cannot be met are stated, not passed over."""
+    rng = np.random.default_rng(5)
+    cells = [(f"a{i}", f"b{j}", float(rng.integers(1, 10 ** int(rng.integers(1, 7))))) for i in range(6) for j in range(9)]
+    tokens = np.array([c[2] for c in cells])
+    for tolerance in (1e-4, 1e-10):
+        w = raking.rake_local(cells, 2, None, 0.7, 5000, tolerance) * tokens
+        for d in range(2):
+            shares = Counter()
+            for c in cells:
+                shares[c[d]] += c[2] / tokens.sum()
+            goal = raking.tempered(shares, 0.7)
+            got = Counter()
+            for c, x in zip(cells, w):
+                got[c[d]] += x / tokens.sum()
+            assert max(abs(got[k] - goal[k]) for k in goal) <= tolerance
+    apart = [("x", "u", 10.0), ("y", "v", 10.0)]  # x holds u alone, so the two margins contradict each other
+    with pytest.warns(UserWarning, match="off by"):
+        raking.rake_local(apart, 2, [{"x": 0.9, "y": 0.1}, {"u": 0.5, "v": 0.5}], 0.7, 20)
+
+
+def test_given_topics(spark):
+    docs = spark.createDataFrame([(1, "plain words", "law"), (2, "a | b", None), (3, None, "law")], "doc_id long, text string, topic string")
+    got = raking.with_topic(docs, given="topic").collect()
+    assert {(r.doc_id, r.topic, r.n_tokens) for r in got} == {(1, "law", 2), (2, "table", 3), (3, "law", 0)}
+
+
 def test_raking(spark, odd_docs, no_docs):
     rows = [(i, f"s{i % 3}", "en" if i % 4 else "fr", "prose", 10 + i % 5) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
