@@ -10,7 +10,8 @@ rendering, so no dialogue has to fit in one task.
 
 Spans are prefix sums in two levels: sums per block of consecutive turns,
 then inside each block.  A dialogue with a third of all rows so spreads over
-its blocks.
+its blocks; its messages meet their participants in ``SALT`` parts.  Rows of one
+dialogue with equal turns, or null ones, are ordered in one block.
 
 Cases: a null text renders as empty; a null role is the speaker
 ``unknown``; a dialogue with system messages only has no participant and no
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 256
+BLOCK, SALT = 256, 16
 SYSTEM = "system"
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 
@@ -36,7 +37,10 @@ def perspectives(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     people = rows.where(F.col("speaker") != SYSTEM).select(
         F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
-    seen = rows.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    people = people.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    dealt = rows.withColumn("_deal", F.pmod(F.xxhash64("turn", "speaker", "text"), F.lit(SALT)).cast("int"))
+    seen = dealt.join(people, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_deal") == F.col("_part"))).drop(
+        "_conv", "_part", "_deal")
     own = F.col("speaker") == F.col("perspective")
     chat_role = F.when(F.col("speaker") == SYSTEM, "system").when(own, "assistant").otherwise("user")
     head = F.concat(F.lit(OPEN), F.col("chat_role"),

@@ -3,12 +3,13 @@
 A k-mer of ``K`` code points is an anchor when the least hash among its inner
 ``S``-mers is that of the first or the last one.  Whether it is one depends
 on the k-mer alone, so equal passages have equal anchors wherever they stand.
-The fingerprint keeps, of all anchors of the whole text, the ``SIZE`` with the
-least hashes (a minwise sketch), each as 8 hex digits of hash and 8 of its
-first position.  A text shorter than ``K`` is one anchor; an empty one has none.
+The fingerprint keeps, of all anchors of the whole text, those with the least
+hashes (a minwise sketch): one in ``SHARE``, and ``SIZE`` at least, so it grows
+with the text and a passage of a long text keeps anchors of its own.  Each is written
+as 8 hex digits of hash and 8 of its first position.  A text shorter than ``K`` is one anchor; an empty one has none.
 
-Likeness: among the least hashes of both fingerprints together, the anchors
-that both have and whose position shift agrees with the most common shift
+Likeness: among the least hashes of both fingerprints together, as many as the
+smaller of the two that may have left anchors out keeps, the anchors that both have and whose position shift agrees with the most common shift
 (within ``SHIFT`` or a fiftieth of the length) give a Jaccard share ``j``;
 the likeness is ``2 j / (1 + j)``, the share of anchors the two have in common.
 
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from cellsmith.llm.common import arrow_schema, mix, shuffle_parts
 
-K, S, SIZE, SHIFT = 12, 5, 48, 16
+K, S, SIZE, SHARE, SHIFT = 12, 5, 96, 32, 16
 _M = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
 
@@ -88,9 +89,10 @@ def edited_anchors(a: np.ndarray, own: tuple, b: np.ndarray, nxt: tuple, keep: i
     return (np.concatenate([own[0][i], mid[0], nxt[0][j]]), np.concatenate([own[1][i], mid[1] + lo, nxt[1][j] + keep]))
 
 
-def sketch(found: tuple, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
-    """The ``size`` least hashes with their first positions."""
+def sketch(found: tuple, size: int = SIZE, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """The least hashes, one in ``share`` of the anchors and ``size`` at least, with their first positions."""
     h, at = found
+    size = max(size, len(h) // share)
     if len(h) > 8 * size:  # the least hashes are among the least entries, repeats aside
         cut = np.partition(h, 4 * size)[4 * size]
         few = h <= cut
@@ -113,8 +115,9 @@ def likeness(x: tuple, y: tuple, size: int = SIZE) -> float:
     if not len(x[0]) or not len(y[0]):
         return float(len(x[0]) == len(y[0]))
     both = np.union1d(x[0], y[0])
-    if len(x[0]) >= size or len(y[0]) >= size:
-        both = both[:size]
+    cut = [len(s[0]) for s in (x, y) if len(s[0]) >= size]
+    if cut:
+        both = both[:min(cut)]
     _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
     ok = x[0][i] <= both[-1]
     shift = np.sort(x[1][i[ok]] - y[1][j[ok]])

@@ -85,9 +85,33 @@ def test_license_templates_do_not_meet_others(spark):
         got.setdefault(r.doc_id, set()).add(r.license)
     want = {i: {name} for i, (name, _) in enumerate(licenses.TEMPLATES)}
     want[6].add("Apache-2.0-line")  # the notice begins with the line
+    held = {"MIT-text": {"MIT"}, "ISC-text": {"ISC"}, "Unlicense-text": {"Unlicense"},
+            "BSD-text": {"BSD", "BSD-source", "BSD-binary", "BSD-disclaimer"}}  # whole texts hold their notices
+    for i, (name, _) in enumerate(licenses.TEMPLATES):
+        want[i] |= held.get(name, set())
     assert got == want
 
 
+def test_whole_license_texts(spark):
+    """Found inside long texts wherever they stand and with words changed, but not by their first half."""
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for i, (name, text) in enumerate(licenses.WHOLE):
+        w = text.split()
+        for j, at in enumerate(rng.integers(0, 4000, 4)):
+            s = list(w)
+            for k in rng.choice(len(s), j, replace=False):
+                s[k] = "other"
+            rows.append((10 * i + j, " ".join([*(f"x{v}" for v in rng.integers(0, 999, at)), *s, *(f"y{v}" for v in rng.integers(0, 999, 500))])))
+            want[10 * i + j] = name
+        rows.append((10 * i + 9, " ".join(w[: len(w) // 2])))
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, {})[r.license] = r.containment
+    assert all(0.75 <= got[i][name] <= 1 for i, name in want.items()) and all(got[i][want[i]] == 1 for i in want if i % 10 == 0)
+    assert {name for i, found in got.items() for name in found if i % 10 == 9} <= {n for n, _ in licenses.TEMPLATES if not n.endswith("-text")}
+
+
 # 2 Toxicity.
 
 def brute_segments(v):
@@ -150,6 +174,21 @@ def test_fingerprints(spark, small):
     assert np.mean([r.near_edited for r in got.values()]) > 0.4 > 0.05 > np.mean([r.near_next for r in got.values()])
 
 
+def test_long_texts_keep_the_anchors_of_a_passage():
+    """Two long texts that share three hundred of their words have about that share of anchors in common."""
+    rng = np.random.default_rng(9)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(n))
+    shared = text(300)
+    for _ in range(5):
+        x, y = (syncmers.sketch(syncmers.anchors(syncmers.code_points(t))) for t in
+                (text(4000) + " " + shared + " " + text(3000), text(4000) + " " + shared + " " + text(3000)))
+        assert len(x[0]) > 3 * syncmers.SIZE and abs(syncmers.likeness(x, y) - 300 / 7300) < 0.025
+    for n in (40, 400, 4000):  # the same error at every length, less for long texts
+        a, b = text(n), text(n)
+        whole, half = (syncmers.sketch(syncmers.anchors(syncmers.code_points(t))) for t in (a, a[: len(a) // 2] + b[: len(a) - len(a) // 2]))
+        assert abs(syncmers.likeness(whole, half) - 0.5) < 0.2 and syncmers.likeness(whole, whole) == 1
+
+
 def test_syncmers_by_definition():
     text = "the quick brown fox jumps over the lazy dog " * 3
     c = syncmers.code_points(text)
@@ -350,6 +389,25 @@ def test_perspectives(spark):
     assert perspectives.perspectives(df.limit(0)).count() == 0
 
 
+def test_perspectives_of_a_hot_dialogue(spark):
+    """One dialogue holds most rows, with very long texts and many participants: every span is as in one pass."""
+    rng = np.random.default_rng(13)
+    rows = [(7, int(t), f"p{int(t) % 5}", "z" * (200_000 if t == 50 else int(rng.integers(0, 40)))) for t in range(3000)]
+    rows += [(c, t, "ann" if t % 2 else "bob", "hello") for c in range(20) for t in range(4) if c != 7]
+    got = perspectives.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    spans = {}
+    for r in got.select("conv_id", "perspective", "turn", "start", "end").collect():
+        spans.setdefault((r.conv_id, r.perspective), []).append((r.turn, r.start, r.end))
+    assert len(spans) == 5 + 19 * 2 and sum(map(len, spans.values())) == 5 * 3000 + 19 * 2 * 4
+    for (conv, who), found in spans.items():
+        at = 0
+        turns = sorted(r[1:] for r in rows if r[0] == conv)
+        for (turn, start, end), (want, speaker, text) in zip(sorted(found), turns):
+            head = "<|assistant|>\n" if speaker == who else f"<|user name={speaker}|>\n"
+            assert (turn, start, end) == (want, at, at + len(head) + len(text) + len("<|end|>\n"))
+            at = end
+
+
 # 7 Decontamination.
 
 def edit_distance(pattern, text):
