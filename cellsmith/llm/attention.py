@@ -18,10 +18,10 @@ of that class.  ``1 - known`` is the share of words seen once among the training
 
 Training, all of it on rows that are not held out: counts of words and of unit
 pairs over every text, from which the units are chosen; pairs with other ids count for the unit of all
-others.  The network learns from one window of units in every ``BLOCK`` words of every
-text, a share that is the same at every size.  It is trained in numpy by
+others.  The network learns from every unit of every text: texts are cut into windows of
+``LENGTH`` units, each of which is in one.  It is trained in numpy by
 minibatch descent on parts of the windows in parallel and averaged, in
-``ROUNDS`` rounds.
+``ROUNDS`` rounds of a share of the windows each.
 
 Scoring: a text's units are cut into windows of ``LENGTH`` inputs that
 overlap by ``LENGTH - STRIDE``; each unit is scored once, by the window in which
@@ -52,7 +52,8 @@ from cellsmith.llm.common import Words, id_crc, mix
 from cellsmith.session import materialize
 
 RAW_UNITS, UNITS, CLASSES, WIDTH, LENGTH, STRIDE = 50_257, 2048, 32, 16, 16, 12
-BLOCK, HEAD, ROUNDS, KEEP_WORDS, MIX = 50, 1 << 18, 3, 1_500_000, 0.9
+HEAD, ROUNDS, KEEP_WORDS, MIX = 1 << 18, 3, 1_500_000, 0.9
+BATCH = 512  # windows a step of the descent
 LEAST_KNOWN, MOST_KNOWN, SMOOTH = 0.5, 0.999, 8.0
 REPLICA_WINDOWS, MAX_REPLICAS = 100_000, 256
 END_RAW, PAD_RAW = 50_256, 65_535
@@ -159,7 +160,7 @@ def _gather(path: str):
         size = len(n)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(size, kind, np.int32)), pa.array(hashes), pa.array(n),
-             pa.array(windows, pa.binary()) if windows else pa.nulls(size, pa.binary())], ["kind", "hash", "n", "window"])
+             pa.nulls(size, pa.binary()) if windows is None else windows], ["kind", "hash", "n", "window"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
@@ -176,7 +177,7 @@ def _gather(path: str):
                 before[starts] = PAD_RAW
                 pairs = _add(pairs, *np.unique(before.astype(np.uint32) << np.uint32(16) | raw, return_counts=True))
                 begin += np.bincount(raw[word_starts(sizes, ends, len(raw))], minlength=PAD_RAW + 1)
-                windows = _windows(words, raw, starts, ends, sizes)
+                windows = _windows(raw, starts, ends)
                 yield rows(1, np.zeros(len(windows), np.int64), np.ones(len(windows), np.int64), windows)
                 yield rows(2, np.zeros(1, np.int64), np.array([batch.num_rows], np.int64))
                 if len(kept[0]) > KEEP_COUNTS:
@@ -193,22 +194,17 @@ def _gather(path: str):
     return task
 
 
-def _windows(words: Words, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """One window of raw ids from every ``BLOCK`` words; the first id is what stands before."""
-    out, at = [], np.r_[0, np.cumsum(sizes)].astype(np.int64)
-    for d, (a, b) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
-        lo, hi = int(starts[d]), int(ends[d])
-        for w in range(a, max(b, a + 1), BLOCK):
-            row = np.full(LENGTH + 1, PAD_RAW, np.uint16)
-            i = lo
-            if b > a:
-                i = lo + int(at[w + int(words.hash[w] % np.uint64(min(BLOCK, b - w)))] - at[a])
-            if i > lo:
-                row[0] = raw[i - 1]
-            part = raw[i: min(i + LENGTH, hi)]
-            row[1: 1 + len(part)] = part
-            out.append(row.tobytes())
-    return out
+def _windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Every text cut into windows of ``LENGTH`` raw ids, so that each id is in one; the first id of a row is what
+    stands before the window."""
+    count = -(-(ends - starts) // LENGTH)
+    text = np.repeat(np.arange(len(ends)), count)
+    first = starts[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * LENGTH
+    at = first[:, None] + np.arange(-1, LENGTH)
+    inside = (at >= starts[text, None]) & (at < ends[text, None])
+    out = np.where(inside, raw[np.clip(at, 0, max(0, len(raw) - 1))], np.uint16(PAD_RAW)) if len(at) else at.astype(np.uint16)
+    offsets = np.arange(len(at) + 1, dtype=np.int32) * (2 * (LENGTH + 1))
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(out, np.uint16))])
 
 
 # The network.
@@ -290,7 +286,7 @@ def loss_and_gradient(p: dict, inp: np.ndarray, goal: np.ndarray) -> tuple[float
     dc = dh @ p["o"].T
     da = dc @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dc
-    ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(1 / np.sqrt(WIDTH))
+    ds = a * (da - _sums(da * a)) * np.float32(1 / np.sqrt(WIDTH))
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
     for name, t in (("q", dq), ("k", dk), ("v", dv)):
         g[name] = flat(x).T @ flat(t)
@@ -300,7 +296,7 @@ def loss_and_gradient(p: dict, inp: np.ndarray, goal: np.ndarray) -> tuple[float
     return loss, g
 
 
-def descend(p: dict, inp: np.ndarray, goal: np.ndarray, rate: float, batch: int = 128, seed: int = 0) -> dict:
+def descend(p: dict, inp: np.ndarray, goal: np.ndarray, rate: float, batch: int = BATCH, seed: int = 0) -> dict:
     """One pass of minibatch descent with adaptive steps."""
     p = {k: v.copy() for k, v in p.items()}
     m = {k: np.zeros_like(v) for k, v in p.items()}

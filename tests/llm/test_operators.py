@@ -717,3 +717,17 @@ def test_tasks_read_broadcasts_without_the_package():
             f.flush()
             code = f"import pickle; pickle.load(open({f.name!r}, 'rb'))"
             subprocess.run([sys.executable, "-c", code], check=True, cwd=tempfile.gettempdir())
+
+
+def test_training_windows_hold_every_unit_once():
+    sizes = np.array([1, 15, 16, 17, 200])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    raw = np.arange(ends[-1]).astype(np.uint16)
+    rows = [np.frombuffer(x, np.uint16) for x in attention._windows(raw, starts, ends).to_pylist()]
+    goals = [x for r in rows for x in r[1:].tolist() if x != attention.PAD_RAW]
+    assert goals == raw.tolist()
+    for r in rows:
+        first = int(r[1])
+        assert r[0] == (attention.PAD_RAW if first in starts else first - 1)
+    assert len(attention._windows(raw[:0], starts[:0], ends[:0])) == 0
