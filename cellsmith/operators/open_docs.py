@@ -41,13 +41,15 @@ def flatten_open_calls(df: DataFrame, payload: str, keep: Sequence[str] = ("_id"
     items are no lists gives none.  Numbers are as the variant holds them (``12.50``
     reads ``12.5``).
     """
-    docs = parse_open(df, payload, "_doc").where("_valid")
+    docs = parse_open(df, payload, "_doc")
     docs = docs.withColumn("_calls", F.try_variant_get("_doc", "$.calls", "array<variant>"))
     lists = F.transform("_calls", lambda c: F.try_variant_get(c, "$.items", "array<variant>"))
-    docs = docs.withColumn("_lists", lists).where(~F.exists("_lists", lambda x: x.isNull()))
-    calls = docs.select(*keep, F.posexplode("_lists").alias("call_pos", "_items"))
-    items = calls.select(*keep, "call_pos", F.posexplode("_items").alias("item_pos", "_item"))
-    return items.select(
+    # No filters before the outer explodes: pushed down, they would parse the document again.
+    docs = docs.withColumn("_lists", lists)
+    whole = F.when(~F.exists("_lists", lambda x: x.isNull()), F.col("_lists"))
+    calls = docs.select(*keep, F.posexplode_outer(whole).alias("call_pos", "_items"))
+    items = calls.select(*keep, "call_pos", F.posexplode_outer("_items").alias("item_pos", "_item"))
+    return items.where(F.col("item_pos").isNotNull()).select(
         *keep, F.col("call_pos").cast("long").alias("call_pos"), F.col("item_pos").cast("long").alias("item_pos"),
         *[F.try_variant_get("_item", f"$.{f}", "string").alias(f) for f in ITEM_FIELDS])
 
@@ -60,10 +62,10 @@ def open_fields(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> Da
     spark = df.sparkSession
     # Private names, since the columns of the explode (pos, key, value) may be columns of the table too.
     held = {f"_kept{i}": c for i, c in enumerate(keep)}
-    rows = df.where(F.startswith(F.schema_of_variant(doc), F.lit("OBJECT<")))
-    rows = rows.select(F.col(doc).alias("_open"), *[F.col(c).alias(n) for n, c in held.items()])
+    rows = df.select(F.col(doc).alias("_open"), *[F.col(c).alias(n) for n, c in held.items()])
     entries = spark.tvf.variant_explode(F.col("_open").outer())
-    return rows.lateralJoin(entries).select(
+    # An entry without a name is one of a list.  A filter before, on the value, would make it a second time.
+    return rows.lateralJoin(entries).where(F.col("key").isNotNull()).select(
         *[F.col(n).alias(c) for n, c in held.items()], F.col("key").alias("field"), F.col("value"))
 
 
