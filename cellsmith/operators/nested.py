@@ -61,12 +61,15 @@ def flatten_calls(df: DataFrame, doc: str = "doc", keep=("_id", "mobile"), valid
     if payload is not None:
         df, doc, valid = parse_calls(df, payload, doc), doc, "_valid"
     keep = list(keep)
-    explode = F.posexplode_outer if outer else F.posexplode
+    # Always outer: Spark puts a test for rows before an inner explode, which makes its list, and the parse, twice.
+    explode = F.posexplode_outer
     calls = F.col(f"{doc}.calls")
     if valid:
         calls = F.when(F.col(valid), calls)
     exploded = df.select(*keep, explode(calls).alias("call_pos", "_call"))
     items = exploded.select(*keep, "call_pos", explode(F.col("_call.items")).alias("item_pos", "_item"))
+    if not outer:
+        items = items.where(F.col("item_pos").isNotNull())
     return items.select(
         *keep,
         F.col("call_pos").cast("long").alias("call_pos"),

@@ -81,46 +81,47 @@ def faulty_call_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         payload.alias("moxie_carrier_originalInfo"))
 
 
-def call_items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One call item per ``lineitem`` row, before nesting (B2 fields)."""
-    li = read_table(spark, sf_dir, "lineitem")
-    odd = (F.col("l_suppkey") % 2) == 1
-    return li.select(
-        F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber"),
-        F.concat(F.lit("139"), _lpad_num(F.expr("l_suppkey div 2"), 8)).alias("mobile"),
-        F.when(odd, _lpad_num(F.col("l_suppkey"), 14)).otherwise(_lpad_num(F.col("l_suppkey"), 12)).alias("_id"),
-        F.struct(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("details_id"),
-            F.when(F.col("l_returnflag") == "R", "DIAL").when(F.col("l_returnflag") == "A", "DIALED")
-            .otherwise("MISS").alias("dial_type"),
-            F.col("l_quantity").cast("long").cast("string").alias("duration"),
-            F.col("l_linenumber").alias("fee"),
-            F.concat(F.lit("+86 1380"), (F.col("l_partkey") % 3).cast("string")).alias("peer_number"),
-            F.col("l_shipdate").cast("string").alias("time"),
-        ).alias("item"),
-    )
-
-
 def call_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carrier documents (B2): ``_id, mobile, moxie_carrier_originalInfo``.
 
     One document per supplier, one call per order, one item per line, both
     lists in key order.  A document is one input row: its size is that of
-    one supplier's lines (about 600 at every scale of the generator), and
-    the two collects run per (supplier, order) and per supplier with
-    map-side partial aggregation.
+    one supplier's lines (about 600 at every scale of the generator).  The lines go
+    through one exchange, as the few columns the items are made of; texts
+    are made from a supplier's sorted lines behind it.
     """
-    items = call_items_source(spark, sf_dir)
-    calls = items.groupBy("l_suppkey", "_id", "mobile", "l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "item"))).alias("_items"))
-    calls = calls.select(
-        "l_suppkey", "_id", "mobile", "l_orderkey",
-        F.struct(F.transform("_items", lambda x: x["item"]).alias("items")).alias("call"))
-    docs = calls.groupBy("l_suppkey", "_id", "mobile").agg(
-        F.sort_array(F.collect_list(F.struct("l_orderkey", "call"))).alias("_calls"))
-    return docs.select(
-        "_id", "mobile",
-        F.to_json(F.struct(F.transform("_calls", lambda x: x["call"]).alias("calls")))
+    li = read_table(spark, sf_dir, "lineitem")
+    flag = F.col("l_returnflag")
+    # In the order of the items' texts, which decides between repeated keys.
+    line = F.struct(
+        "l_orderkey", "l_linenumber", F.when(flag == "R", 0).when(flag == "A", 1).otherwise(2).cast("byte").alias("dial"),
+        F.col("l_quantity").cast("long").cast("string").alias("duration"),
+        (F.col("l_partkey") % 3).cast("string").alias("peer"), F.col("l_shipdate").alias("day"))
+    lines = li.groupBy("l_suppkey").agg(F.sort_array(F.collect_list(line)).alias("_lines"))
+
+    def starts(i):  # the first line of an order
+        before, here = F.get("_lines", i - 1)["l_orderkey"], F.get("_lines", i)["l_orderkey"]
+        return (i == 0) | ~before.eqNullSafe(here)
+
+    lines = lines.withColumn("_first", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), starts))
+
+    def item(x):
+        return F.struct(
+            F.concat_ws("-", x["l_orderkey"].cast("string"), x["l_linenumber"].cast("string")).alias("details_id"),
+            F.element_at(F.array(*map(F.lit, ("DIAL", "DIALED", "MISS"))), x["dial"] + 1).alias("dial_type"),
+            x["duration"].alias("duration"), x["l_linenumber"].alias("fee"),
+            F.concat(F.lit("+86 1380"), x["peer"]).alias("peer_number"), x["day"].cast("string").alias("time"))
+
+    def call(at, k):
+        end = F.coalesce(F.get("_first", k + 1), F.size("_lines"))
+        return F.struct(F.transform(F.slice("_lines", at + 1, end - at), item).alias("items"))
+
+    odd = (F.col("l_suppkey") % 2) == 1
+    return lines.select(
+        F.when(odd, _lpad_num(F.col("l_suppkey"), 14)).otherwise(_lpad_num(F.col("l_suppkey"), 12)).alias("_id"),
+        F.concat(F.lit("139"), _lpad_num(F.expr("l_suppkey div 2"), 8)).alias("mobile"),
+        # Never null; said so, a test for null does not make the text a second time.
+        F.coalesce(F.to_json(F.struct(F.transform("_first", call).alias("calls"))), F.lit(""))
         .alias("moxie_carrier_originalInfo"),
     )
 
