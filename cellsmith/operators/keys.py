@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellsmith.operators.ranges import number_ranges
+from cellsmith.session import materialize
 
 
 def _pick(df: DataFrame, best, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -48,9 +49,15 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     return _pick(df, F.min, list(keys), list(order_by))
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str] | str, recency: Sequence[str] | str) -> DataFrame:
-    """Keep the newest row by ``recency`` per key (G5, a key overwrite)."""
+def latest_per_key(df: DataFrame, key: Sequence[str] | str, recency: Sequence[str] | str,
+                   parts: int | None = None) -> DataFrame:
+    """Keep the newest row by ``recency`` per key (G5, a key overwrite).
+
+    ``parts`` deals the rows by key into that many partitions first, which bounds the rows a task
+    sorts; for keys that are on a few rows each."""
     keys = [key] if isinstance(key, str) else list(key)
+    if parts:
+        df = df.repartition(parts, *keys)
     recency = [recency] if isinstance(recency, str) else list(recency)
     return _pick(df, F.max, keys, recency)
 
@@ -68,7 +75,8 @@ def unique_sequence_number(df: DataFrame, base: str, dedup_keys: Sequence[str],
     first = Window.partitionBy(base, *dedup_keys).orderBy(*order_by)
     # Spark keeps one row a group on each side of this exchange (WindowGroupLimit).
     kept = df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*df.columns)
-    return number_ranges(kept, base, order_by, out, parts)
+    # The ranges read the rows three times.
+    return number_ranges(materialize(kept, "kept"), base, order_by, out, parts)
 
 
 def sequence_key(df: DataFrame, base: str, order_by: Sequence[str], out: str = "rowkey", sep: str = "",

@@ -25,12 +25,19 @@ from cellsmith.session import materialize
 
 # Sampled rows a partition, and at most; the points balance ranges, results do not depend on them.
 SAMPLE, MOST = 40, 200_000
+# Rows of a range, where their number is known: the ranges become more, not larger, as the input grows.
+ROWS = 500_000
 
 
 def partitions_of(df: DataFrame, parts: int | None = None) -> int:
     return max(1, parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def partitions_for(df: DataFrame, rows: int) -> int:
+    """The session's partitions, or as many as hold ``ROWS`` rows each."""
+    return max(partitions_of(df), -(-rows // ROWS))
+
+
 def split_points(df: DataFrame, columns: Sequence[str], parts: int) -> list[dict]:
     """``parts - 1`` quantiles of a uniform sample of ``columns``, rising, possibly repeated.
 
@@ -66,18 +73,19 @@ def place(df: DataFrame, number: Column | str, parts: int, out: str = "_range")
     return df.withColumn(out, number if isinstance(number, Column) else F.col(number)).repartitionById(parts, out)
 
 
-def carries(ranged: DataFrame, base: str, points: Sequence[dict], number: str = "_range") -> DataFrame | None:
-    """``(base, number, carry)``: the rows of a cut key in its earlier ranges.
+def carries(df: DataFrame, base: str, columns: Sequence[str], points: Sequence[dict],
+            number: str = "_range") -> DataFrame | None:
+    """``(base, number, carry)``: the rows of a cut key in its earlier ranges of ``columns``.
 
     Reads the rows of cut keys alone; at most two rows a point come back, so it may be broadcast."""
     if not points:
         return None
     # The keys of the points as a small table; a point without one stands for the null key.
-    kind = T.ArrayType(T.StructType([T.StructField(base, ranged.schema[base].dataType)]))
+    kind = T.ArrayType(T.StructType([T.StructField(base, df.schema[base].dataType)]))
     named = F.from_json(F.lit(json.dumps([{base: p[base]} if p.get(base) is not None else {} for p in points])), kind)
-    keys = ranged.sparkSession.range(1).select(F.explode(named).alias("_p")).select(F.col("_p")[base].alias("_cut")).distinct()
-    pieces = ranged.select(base, number).join(F.broadcast(keys), F.col(base).eqNullSafe(F.col("_cut")), "left_semi")
-    pieces = pieces.groupBy(base, number).agg(F.count(F.lit(1)).alias("_n"))
+    keys = df.sparkSession.range(1).select(F.explode(named).alias("_p")).select(F.col("_p")[base].alias("_cut")).distinct()
+    pieces = df.select(*columns).join(F.broadcast(keys), F.col(base).eqNullSafe(F.col("_cut")), "left_semi")
+    pieces = pieces.withColumn(number, range_of(df, columns, points)).groupBy(base, number).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(base).orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     return pieces.select(base, number, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
 
@@ -95,7 +103,7 @@ def number_ranges(df: DataFrame, base: str, order_by: Sequence[str], out: str =
     ranged = df.withColumn("_range", range_of(df, columns, points))
     inside = Window.partitionBy("_range", base).orderBy(*order_by)
     rows = ranged.repartitionById(parts, "_range").withColumn(out, F.row_number().over(inside).cast("long") - 1)
-    carry = carries(ranged, base, points)
+    carry = carries(df, base, columns, points)
     if carry is not None:
         carry = carry.select(F.col(base).alias("_cut"), F.col("_range").alias("_piece"), "_carry")
         on = F.col(base).eqNullSafe(F.col("_cut")) & (F.col("_range") == F.col("_piece"))

@@ -20,7 +20,7 @@ from cellsmith.operators import keys as K
 from cellsmith.operators import nested as N
 from cellsmith.operators import open_docs as OD
 from cellsmith.plans import accounts, jobs
-from cellsmith.session import scratch_path
+from cellsmith.session import materialize, scratch_path
 from cellsmith.sinks import files as S
 from cellsmith.sources import fixtures as fx
 from cellsmith.sources import tables as TB
@@ -59,10 +59,15 @@ def _items(spark, sf_dir):
     return items
 
 
+def _first_items(spark, sf_dir):
+    group = ["base", "peer_number", "time"]
+    return K.dedup_keep_first(_items(spark, sf_dir).select(*group, *jobs.CALL_ORDER, "details_id"), group, list(jobs.CALL_ORDER))
+
+
 def _flat(spark, sf_dir):
     docs = fx.call_docs(spark, sf_dir)
     parsed = N.parse_calls(docs)
-    return N.flatten_calls(parsed.where("_valid"), "doc", keep=("_id", "mobile"))
+    return N.flatten_calls(parsed, "doc", keep=("_id", "mobile"), valid="_valid")
 
 
 def _raw_kept(spark, sf_dir):
@@ -322,7 +327,8 @@ def _open_docs(spark, sf_dir):
 
 
 def _open_cells(spark, sf_dir):
-    docs = _open_docs(spark, sf_dir).where("_valid").withColumn("rowkey", C.reverse_text(F.col("_id")))
+    # Documents that are not valid give no cells.
+    docs = _open_docs(spark, sf_dir).withColumn("rowkey", C.reverse_text(F.col("_id")))
     return OD.open_cells(docs, "rowkey")
 
 
@@ -364,13 +370,14 @@ def q_map_cells(spark, sf_dir):
 
 @query("dedup_keep_first")
 def q_dedup_keep_first(spark, sf_dir):
-    u = K.dedup_keep_first(_items(spark, sf_dir), ["base", "peer_number", "time"], list(jobs.CALL_ORDER))
+    u = _first_items(spark, sf_dir)
     return u.select("base", "peer_number", "time", "id", "details_id")
 
 
 @query("call_sequence")
 def q_call_sequence(spark, sf_dir):
-    u = K.dedup_keep_first(_items(spark, sf_dir), ["base", "peer_number", "time"], list(jobs.CALL_ORDER))
+    # Read three times: for the split points, for what is carried and for the numbers.
+    u = materialize(_first_items(spark, sf_dir).drop("peer_number", "time"), "first-items")
     return K.sequence_key(u, "base", list(jobs.CALL_ORDER), "rowkey", "").select("rowkey", "details_id")
 
 

@@ -84,3 +84,50 @@ def test_latest_per_key_combines_map_side(spark):
     from cellsmith.plans import jobs as J
     plan = plan_text(J.contacts_latest(fx.contacts(spark, SF)))
     assert "partial_max" in plan
+
+
+def test_documents_are_made_and_parsed_once(spark):
+    from cellsmith.plans import catalog
+
+    q = catalog.queries()
+    for name, parse in (("peer_tail", "from_json("), ("fee_text", "from_json("), ("call_key", "from_json("),
+                        ("open_calls", "parseJson("), ("open_cells", "parseJson(")):
+        plan = plan_text(q[name](spark, SF))
+        assert plan.count(parse) == 1, name
+        assert plan.count("StructsToJsonEvaluator") <= 1, name
+    assert plan_text(fx.call_docs(spark, SF)).count("Exchange") == 1
+
+
+def test_keep_first_moves_the_columns_it_returns(spark):
+    from cellsmith.plans import catalog
+
+    plan = plan_text(catalog.queries()["dedup_keep_first"](spark, SF))
+    assert "location_type" not in plan[plan.index("partial_min(struct("):].split("\n")[0]
+
+
+def test_numbering_reads_the_kept_items_from_files(spark):
+    from cellsmith.plans import catalog
+
+    assert "from_json(" not in plan_text(catalog.queries()["call_sequence"](spark, SF))
+
+
+def test_documents_of_odd_lines(spark, tmp_path):
+    """Null keys and repeated keys: lines in the order of their items' texts."""
+    import json
+    from datetime import datetime
+
+    day = datetime(1996, 3, 13)
+    lines = [(7, 5, 3, 1, 9.0, "N", day), (7, 5, 3, 1, 10.0, "N", day), (7, 5, 3, 1, 10.0, "A", day), (7, None, 3, 2, 1.0, None, None),
+             (7, 6, 3, 1, None, "R", day), (None, 1, None, 1, 1.0, "R", day)]
+    spark.createDataFrame(lines, "l_suppkey long, l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, "
+                          "l_returnflag string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r._id: (r.mobile, json.loads(r.moxie_carrier_originalInfo)) for r in fx.call_docs(spark, str(tmp_path)).collect()}
+    text = {"peer_number": "+86 13800", "time": "1996-03-13 00:00:00"}
+    first = {"details_id": "5-1", "fee": 1} | text
+    assert got["0" * 13 + "7"] == ("13900000003", {"calls": [
+        {"items": [{"details_id": "2", "dial_type": "MISS", "duration": "1", "fee": 2, "peer_number": "+86 13800"}]},
+        {"items": [first | {"dial_type": "DIALED", "duration": "10"}, first | {"dial_type": "MISS", "duration": "10"},
+                   first | {"dial_type": "MISS", "duration": "9"}]},
+        {"items": [{"details_id": "6-1", "dial_type": "DIAL", "fee": 1} | text]}]})
+    assert got[None] == (None, {"calls": [{"items": [
+        {"details_id": "1-1", "dial_type": "DIAL", "duration": "1", "fee": 1, "time": "1996-03-13 00:00:00"}]}]})
