@@ -19,7 +19,7 @@ from cellsmith.functions import columns as C
 from cellsmith.operators.cells import as_text, sorted_cells, to_cells
 from cellsmith.operators.keys import latest_per_key, sequence_key, unique_sequence_key
 from cellsmith.operators.nested import flatten_calls, parse_calls
-from cellsmith.operators.ranges import ordered_keys
+from cellsmith.operators.ranges import ordered_keys, partitions_for
 from cellsmith.session import materialize
 
 PAYLOAD = "moxie_carrier_originalInfo"
@@ -116,17 +116,21 @@ def cells_of_calls(keyed: DataFrame, sample: DataFrame | None = None, mobiles: D
     items = split_calls(keyed)[0]
     group, order = ["peer_number", "time"], list(CALL_ORDER)
     # A base is ``reverse(mobile)_<14 digits>_<digit>_``: without ``_`` in a mobile, none is a prefix of another.
-    if _prefix_free(items if mobiles is None else mobiles, F.col("mobile"), 0):
+    free, n = _prefix_free(items if mobiles is None else mobiles, F.col("mobile"), 0)
+    if mobiles is None:
+        parts = parts or partitions_for(items, n)
+    if free:
         numbered = ordered_keys(items, "base", order, group, "", parts=parts, sample=items if sample is None else sample)
         return to_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS))
     numbered = unique_sequence_key(items, "base", group, order, out="rowkey", sep="", parts=parts)
     return sorted_cells(as_text(numbered, ["rowkey", *CALL_FIELDS]), "rowkey", list(CALL_FIELDS), keys_unique=True)
 
 
-def _prefix_free(df: DataFrame, text, marks: int) -> bool:
-    """True when ``text`` holds ``_`` exactly ``marks`` times in every row (a pruned scan)."""
+def _prefix_free(df: DataFrame, text, marks: int) -> tuple[bool, int]:
+    """Whether ``text`` holds ``_`` exactly ``marks`` times in every row, and the number of rows (a pruned scan)."""
     held = F.length(text) - F.length(F.replace(text, F.lit("_"), F.lit("")))
-    return df.agg(F.bool_and(held == marks)).first()[0] is not False
+    same, n = df.agg(F.bool_and(held == marks), F.count(F.lit(1))).first()
+    return same is not False, n
 
 
 def raw_rows(docs: DataFrame, zone: str = C.DEFAULT_ZONE, pad: int | None = None) -> DataFrame:
@@ -190,13 +194,14 @@ def contacts_to_cells(
     cols = [c for c in df.columns if c not in exclude]
     based = contact_base(df)
     # ``reverse(phone)_tel`` with no other ``_`` followed by one is no prefix of another base.
-    one = _prefix_free(based, F.col("_base"), 1)
+    one, n = _prefix_free(based, F.col("_base"), 1)
+    parts = parts or partitions_for(based, n)
     key = ordered_keys if one else sequence_key
     keyed = key(based, "_base", list(order_by), out="rowkey", sep="_", parts=parts)
     wide = keyed.select("rowkey", *[
         (F.coalesce(C.normalize_phone(F.col("tel")), F.lit(null_tel_cell)) if c == "tel"
          else C.text_or_empty(F.col(c), keyed.schema[c].dataType)).alias(c) for c in cols])
-    cells = to_cells(wide, "rowkey", cols) if one else sorted_cells(wide, "rowkey", cols, keys_unique=True)
+    cells = to_cells(wide, "rowkey", cols) if one else sorted_cells(wide, "rowkey", cols, keys_unique=True, partitions=parts)
     return (cells, contact_rejects(df)) if with_rejects else cells
 
 

@@ -10,7 +10,7 @@ it again changes nothing, which makes a repeated stream batch or a retried job
 harmless.  Writers of different batches do not meet.
 
 Publishing costs the batch, not the table, like a bulk load adds files.
-Readers resolve repeated keys with a map-side-combined aggregate: the value of the latest
+Readers resolve repeated keys with an aggregate: the value of the latest
 batch (``read_cells``), or the newest row by a recency column (``read_rows``).  Batches are
 in the order of their ids; the default id begins with the time.  ``merge_cells`` and
 ``merge_rows`` write that state as one batch of a new target.
@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellsmith.operators.cells import sort_cells
 from cellsmith.operators.keys import latest_per_key
-from cellsmith.operators.ranges import place, range_of
+from cellsmith.operators.ranges import partitions_for, place, range_of
 
 CELL_KEY = ["rowkey", "family", "qualifier"]
 BATCH = "_batch"
@@ -223,7 +223,8 @@ def publish(spark: SparkSession, staging: str, target: str, validate: bool = Tru
         check_staging(spark, staging)
     if move:
         return _move_in(spark, staging, target, batch)
-    return _write_batch(sort_cells(spark.read.parquet(staging)), target, batch, compression)
+    cells = spark.read.parquet(staging)
+    return _write_batch(sort_cells(cells, partitions_for(cells, cells.count())), target, batch, compression)
 
 
 def publish_existing(spark: SparkSession, staging: str, target: str, validate: bool = True,
@@ -273,7 +274,9 @@ def read_cells(spark: SparkSession, target: str) -> DataFrame | None:
     if not there:
         return None
     cells = spark.read.parquet(target)
-    return (cells if len(there) == 1 else latest_per_key(cells, CELL_KEY, BATCH)).drop(BATCH)
+    if len(there) > 1:  # a key is on one row a batch
+        cells = latest_per_key(cells, CELL_KEY, BATCH, partitions_for(cells, cells.count()))
+    return cells.drop(BATCH)
 
 
 def read_rows(spark: SparkSession, target: str, key: str | list[str], recency: str | list[str]) -> DataFrame | None:

@@ -299,3 +299,16 @@ def test_publish_by_move(spark):
     assert not os.path.exists(staging.replace("file:", ""))
     assert sorted(tuple(r) for r in S.read_cells(spark, f"{base}/table").collect()) == sorted(
         tuple(r) for r in cells.collect())
+
+
+def test_partitions_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """Batches and what is read back come in ranges of a bounded number of rows."""
+    from cellsmith.operators import ranges as R
+
+    monkeypatch.setattr(R, "ROWS", 100)
+    cells = spark.range(3000).selectExpr("lpad(cast(id as string), 6, '0') AS rowkey", "'cf' AS family", "'q' AS qualifier", "cast(id as string) AS value")
+    staging = S.write_sorted_cells(cells, f"{tmp_path}/staging")
+    for _ in range(2):
+        assert len(spark.read.parquet(S.publish(spark, staging, f"{tmp_path}/t")).inputFiles()) == 30
+    got = S.read_cells(spark, f"{tmp_path}/t")
+    assert got.rdd.getNumPartitions() == 60 and got.count() == 3000
