@@ -42,6 +42,7 @@ from __future__ import annotations
 import base64
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +53,16 @@ from cellsmith.llm.common import Words, id_crc, mix
 from cellsmith.session import materialize
 
 RAW_UNITS, UNITS, CLASSES, WIDTH, LENGTH, STRIDE = 50_257, 2048, 32, 16, 16, 12
-HEAD, ROUNDS, KEEP_WORDS, MIX = 1 << 18, 3, 1_500_000, 0.9
-BATCH = 512  # windows a step of the descent
+HEAD, ROUNDS, KEEP_WORDS, MIX = 1 << 18, 3, 1_000_000, 0.9
+BATCH, PART = 512, 64  # windows a step of the descent, and at once within it
+BLOCK = 256  # windows kept in one row
 LEAST_KNOWN, MOST_KNOWN, SMOOTH = 0.5, 0.999, 8.0
 REPLICA_WINDOWS, MAX_REPLICAS = 100_000, 256
 END_RAW, PAD_RAW = 50_256, 65_535
 OTHER, END, PAD = 0, 1, UNITS
-SLICE, KEEP_COUNTS = 2000, 600_000
+SLICE, KEEP_COUNTS = 500, 600_000
+TOGETHER = 2000  # words encoded in one call
+TEXTS = 1000  # texts sent to a worker at once
 
 
 def default_path() -> str:
@@ -77,17 +81,38 @@ class Subwords:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bpe = tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.begins = np.zeros(PAD_RAW + 1, bool)  # ids that begin with a space
+        self.begins[[r for b, r in ranks.items() if b[:1] == b" "]] = True
         self.reset()
 
     def reset(self) -> None:
-        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.flat, self.offsets = np.zeros(0, np.uint16), np.zeros(1, np.int64)
 
     def word(self, text: str) -> list[int]:
         return self.bpe.encode_ordinary(" " + text)
 
+    def encode(self, words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words ``which``, one after another, and how many each has.
+
+        Words are encoded together: the pattern cuts before a space that no other blank is next to, so each has the
+        ids that it has alone.  Words with blanks of other kinds inside are encoded one by one."""
+        flat, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for k in range(0, len(which), TOGETHER):
+            some = which[k: k + TOGETHER]
+            text = words.joined(some)
+            if len(text.split()) == len(some):
+                ids = np.array(self.bpe.encode_ordinary(text), np.uint16)
+                sizes.append(np.diff(np.r_[np.flatnonzero(self.begins[ids]), len(ids)]))
+            else:
+                got = [self.word(words.text(i)) for i in some.tolist()]
+                ids = np.array([y for x in got for y in x], np.uint16)
+                sizes.append(np.array([len(x) for x in got], np.int64))
+            flat.append(ids)
+        return np.concatenate(flat), np.concatenate(sizes)
+
     def slots(self, words: Words, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Slot of each distinct hash; ``first`` is a word with that hash."""
+        """Slot of each distinct hash (rising); ``first`` is a word with that hash."""
         if len(self.hash) > KEEP_WORDS:
             self.reset()
         at = np.searchsorted(self.hash, hashes)
@@ -96,12 +121,11 @@ class Subwords:
         known[inside] = self.hash[at[inside]] == hashes[inside]
         new = np.flatnonzero(~known)
         if len(new):
-            ids = [self.word(words.text(i)) for i in first[new].tolist()]
+            ids, sizes = self.encode(words, first[new])
             base = len(self.offsets) - 1
-            sizes = np.array([len(x) for x in ids], np.int64)
-            self.flat = np.concatenate([self.flat, np.array([y for x in ids for y in x], np.uint16)])
+            self.flat = np.concatenate([self.flat, ids])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-            self.slot = np.insert(self.slot, at[new], np.arange(base, base + len(new)))
+            self.slot = np.insert(self.slot, at[new], np.arange(base, base + len(new), dtype=np.int32))
             self.hash = np.insert(self.hash, at[new], hashes[new])
             at = np.searchsorted(self.hash, hashes)
         return self.slot[at]
@@ -122,9 +146,19 @@ def spread(flat: np.ndarray, offsets: np.ndarray, slots: np.ndarray) -> tuple[np
     return flat[index], sizes
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, a place of each, the value's number at every place, and counts (a quick sort, any place will do)."""
+    order = np.argsort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[order[1:]] != x[order[:-1]]
+    at, inv = np.flatnonzero(new), np.empty(len(x), np.int64)
+    inv[order] = np.cumsum(new) - 1
+    return x[order[at]], order[at], inv, np.diff(np.append(at, len(x)))
+
+
 def sequences(words: Words, sub: Subwords, docs: int) -> tuple:
     """Raw ids of all texts with their ends, the end of each text, units per word, and the distinct words."""
-    u, first, inv, n = np.unique(words.hash, return_index=True, return_inverse=True, return_counts=True)
+    u, first, inv, n = distinct(words.hash)
     slots = sub.slots(words, u, first)  # may add to the tables read below
     ids, sizes = spread(sub.flat, sub.offsets, slots[inv])
     doc = np.repeat(np.arange(docs), np.diff(words.bounds))
@@ -143,10 +177,10 @@ def word_starts(sizes: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(inner)[np.cumsum(sizes) - sizes] if len(sizes) else np.zeros(0, np.int64)
 
 
-# Training rows.  kind 0: a word's count, 1: a window, 2: the texts, 3: a pair's count,
+# Training rows.  kind 0: a word's count, 1: up to BLOCK windows of the round in ``hash``, 2: the texts, 3: a pair's count,
 # 4: the words that begin with an id.
 
-GATHERED = "kind int, hash long, n long, window binary"
+GATHERED = "kind int, hash long, n long, windows binary"
 
 
 def _add(kept: tuple, keys: np.ndarray, n: np.ndarray) -> tuple:
@@ -160,7 +194,7 @@ def _gather(path: str):
         size = len(n)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(size, kind, np.int32)), pa.array(hashes), pa.array(n),
-             pa.nulls(size, pa.binary()) if windows is None else windows], ["kind", "hash", "n", "window"])
+             pa.nulls(size, pa.binary()) if windows is None else windows], ["kind", "hash", "n", "windows"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
@@ -177,8 +211,7 @@ def _gather(path: str):
                 before[starts] = PAD_RAW
                 pairs = _add(pairs, *np.unique(before.astype(np.uint32) << np.uint32(16) | raw, return_counts=True))
                 begin += np.bincount(raw[word_starts(sizes, ends, len(raw))], minlength=PAD_RAW + 1)
-                windows = _windows(raw, starts, ends)
-                yield rows(1, np.zeros(len(windows), np.int64), np.ones(len(windows), np.int64), windows)
+                yield rows(1, *_blocks(_windows(raw, starts, ends)))
                 yield rows(2, np.zeros(1, np.int64), np.array([batch.num_rows], np.int64))
                 if len(kept[0]) > KEEP_COUNTS:
                     yield rows(0, kept[0].view(np.int64), kept[1])
@@ -198,13 +231,32 @@ def _windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Every text cut into windows of ``LENGTH`` raw ids, so that each id is in one; the first id of a row is what
     stands before the window."""
     count = -(-(ends - starts) // LENGTH)
-    text = np.repeat(np.arange(len(ends)), count)
-    first = starts[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * LENGTH
-    at = first[:, None] + np.arange(-1, LENGTH)
-    inside = (at >= starts[text, None]) & (at < ends[text, None])
-    out = np.where(inside, raw[np.clip(at, 0, max(0, len(raw) - 1))], np.uint16(PAD_RAW)) if len(at) else at.astype(np.uint16)
-    offsets = np.arange(len(at) + 1, dtype=np.int32) * (2 * (LENGTH + 1))
-    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(out, np.uint16))])
+    ahead = np.cumsum(count) - count
+    lanes = np.full((int(count.sum()), LENGTH), PAD_RAW, np.uint16)
+    lanes.ravel()[np.arange(len(raw)) + np.repeat(ahead * LENGTH - starts, ends - starts)] = raw
+    out = np.full((len(lanes), LENGTH + 1), PAD_RAW, np.uint16)
+    out[:, 1:] = lanes
+    out[1:, 0] = lanes[:-1, -1]
+    out[ahead, 0] = PAD_RAW
+    offsets = np.arange(len(out) + 1, dtype=np.int32) * (2 * (LENGTH + 1))
+    return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def _blocks(windows: pa.Array, rounds: int = ROUNDS, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The windows dealt to rounds by a hash of their ids, in its order, and cut into blocks: round, windows and ids of each."""
+    raw = np.frombuffer(windows.buffers()[2] or b"", np.uint16).reshape(len(windows), LENGTH + 1)
+    key = np.zeros(len(raw), np.uint64)
+    for lane in raw.T:
+        key = key * np.uint64(0xD6E8FEB86659FD93) + lane
+    key = mix(key)
+    order = np.argsort(key, kind="stable")
+    turn = (key % np.uint64(rounds)).astype(np.int64)[order]
+    order = order[np.argsort(turn, kind="stable")]
+    size = np.bincount(turn, minlength=rounds)
+    n = np.concatenate([np.diff(np.r_[np.arange(0, m, block), m]) for m in size.tolist()]).astype(np.int64)
+    offsets = np.r_[0, np.cumsum(n)].astype(np.int32) * raw.itemsize * (LENGTH + 1)
+    data = pa.py_buffer(np.ascontiguousarray(raw[order]))
+    return np.repeat(np.arange(rounds), -(-size // block)), n, pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), data])
 
 
 # The network.
@@ -215,6 +267,7 @@ SHAPES = (("emb", (UNITS + 1, WIDTH)), ("pos", (LENGTH, WIDTH)), ("q", (WIDTH, W
 CAUSAL = np.tril(np.ones((LENGTH, LENGTH), np.float32))
 # Attention scores and class scores are held within these, so that their exponentials need no maximum.
 MOST_SCORE, MOST_LOGIT = 30.0, 60.0
+SCORED, LEAST_SUM = 256, np.float32(1e-37)  # windows scored at once; no sum is below
 
 
 def initial(class_counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
@@ -232,83 +285,166 @@ def _sums(x: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], x.dtype)).reshape(*x.shape[:-1], 1)
 
 
-def attend(p: dict, inp: np.ndarray, late: int = 0) -> tuple:
-    """Hidden states of input units ``(batch, LENGTH)`` from lane ``late`` on, causal, with what the
-    backward pass needs."""
-    x = p["emb"][inp] + p["pos"]
-    k, v = x @ p["k"], x @ p["v"]
-    x = x[:, late:]
-    q = x @ p["q"]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(1 / np.sqrt(WIDTH))
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w`` as one product of all rows; a stack would be one small product a window."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+
+
+def _weights(q: np.ndarray, x: np.ndarray, late: int = 0) -> np.ndarray:
+    """Causal attention weights of the queries ``q`` (times the keys' matrix, scaled) on the states ``x``."""
+    s = q @ x.transpose(0, 2, 1)
     np.clip(s, -MOST_SCORE, MOST_SCORE, out=s)
     np.exp(s, out=s)
     s *= CAUSAL[late:]
     s /= _sums(s)
-    c = s @ v
-    return x + c @ p["o"], (x, q, k, v, s, c)
+    return s
 
 
-def log_classes(p: dict, h: np.ndarray, inp: np.ndarray) -> np.ndarray:
-    z = h @ p["out"]
-    z += p["skip"][inp]
+def _folded(q: np.ndarray, k: np.ndarray, v: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Both products of the attention, each as one matrix: the scores' and the values'."""
+    return np.concatenate([q @ k.T * q.dtype.type(1 / np.sqrt(WIDTH)), v @ o], 1)
+
+
+def attend(p: dict, inp: np.ndarray, late: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden states of input units ``(batch, LENGTH)`` from lane ``late`` on, causal, and the attention weights."""
+    x = np.take(p["emb"], inp, 0, mode="clip")
+    x += p["pos"]
+    y = _times(x, _folded(p["q"], p["k"], p["v"], p["o"]))
+    s = _weights(y[:, late:, :WIDTH], x, late)
+    h = s @ y[..., WIDTH:]
+    h += x[:, late:]
+    return h, s
+
+
+def logits(p: dict, h: np.ndarray, inp: np.ndarray) -> np.ndarray:
+    """Class scores, held within ``MOST_LOGIT``."""
+    z = _times(h, p["out"])
+    z += np.take(p["skip"], inp, 0, mode="clip")
     z += p["bias"]
-    np.clip(z, -MOST_LOGIT, MOST_LOGIT, out=z)
+    return np.clip(z, -MOST_LOGIT, MOST_LOGIT, out=z)
+
+
+def log_classes(p: dict, h: np.ndarray, inp: np.ndarray) -> np.ndarray:
+    z = logits(p, h, inp)
     z -= np.log(_sums(np.exp(z)))
     return z
 
 
-def _rows_sum(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros((n, values.shape[1]), np.float32)
-    order = np.argsort(index, kind="stable")
-    index = index[order]
-    first = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
-    out[index[first]] = np.add.reduceat(values[order], first)
-    return out
+def _rows_sum(order: np.ndarray, first: np.ndarray, to: np.ndarray, values: np.ndarray, work: np.ndarray, out: np.ndarray) -> None:
+    """Sums of rows into the rows ``to`` of ``out``; ``order`` puts those of one sum together, ``first`` is where each begins.
+
+    Two columns (their number is even) are added at once, as one complex number."""
+    pairs = np.complex64 if values.dtype == np.float32 else np.complex128
+    rows = np.take(values.view(pairs), order, 0, mode="clip", out=work[: len(order)].view(pairs))
+    out[:] = 0
+    out[to] = np.add.reduceat(rows, first).view(values.dtype)
+
+
+# The parameters as one array, in this order.
+_ENDS = np.cumsum([int(np.prod(shape)) for _, shape in SHAPES]).tolist()
+
+
+def _views(flat: np.ndarray) -> dict[str, np.ndarray]:
+    return {name: flat[a:b].reshape(shape) for (name, shape), a, b in zip(SHAPES, [0, *_ENDS], _ENDS)}
+
+
+def _pack(p: dict) -> np.ndarray:
+    return np.concatenate([p[name].ravel() for name, _ in SHAPES])
+
+
+def _gradient(p: dict, inp: np.ndarray, goal: np.ndarray, g: dict, work: tuple) -> float:
+    """Mean class loss over ``goal`` (``-1``: not scored); its gradient goes to ``g``.
+
+    ``PART`` windows are worked on at once, so that what is in between stays in the cache."""
+    kind, loss, n = p["emb"].dtype.type, 0.0, max(1, int((goal >= 0).sum()))
+    scale = kind(1 / np.sqrt(WIDTH))
+    skip, folded = p["skip"] + p["bias"], _folded(p["q"], p["k"], p["v"], p["o"])
+    sums = {name: np.zeros_like(p[name]) for name in ("out", "bias", "pos")} | {"folded": np.zeros_like(folded)}
+    all_d, all_x, spare = (t[: inp.size] for t in work)
+    for i in range(0, len(inp), PART):
+        unit, to = inp[i: i + PART].ravel(), goal[i: i + PART].ravel()
+        here, batch = slice(i * LENGTH, i * LENGTH + len(unit)), len(unit) // LENGTH
+        x = np.take(p["emb"], unit, 0, mode="clip").reshape(batch, LENGTH, WIDTH)
+        x += p["pos"]
+        flat = x.reshape(-1, WIDTH)
+        y = (flat @ folded).reshape(batch, LENGTH, -1)
+        q, v = y[..., :WIDTH], y[..., WIDTH:]
+        a = _weights(q, x)
+        h = (a @ v).reshape(-1, WIDTH)
+        h += flat
+        d = np.matmul(h, p["out"], out=all_d[here])
+        d += np.take(skip, unit, 0, mode="clip")
+        np.clip(d, -MOST_LOGIT, MOST_LOGIT, out=d)
+        used = np.flatnonzero(to >= 0)
+        hit = used * CLASSES + to[used]
+        loss -= float(d.ravel()[hit].sum())
+        np.exp(d, out=d)
+        total = _sums(d)
+        loss += float(np.log(total.ravel()[used]).sum())
+        d *= (to >= 0)[:, None] / (total * kind(n))
+        d.ravel()[hit] -= kind(1 / n)
+        sums["out"] += h.T @ d
+        sums["bias"] += np.ones(len(d), kind) @ d
+        dh = np.matmul(d, p["out"].T, out=all_x[here])
+        dc = dh.reshape(batch, LENGTH, WIDTH)
+        da = dc @ v.transpose(0, 2, 1)
+        da *= a
+        da -= a * _sums(da)  # through the softmax
+        dy = np.empty_like(y)
+        np.matmul(da, x, out=dy[..., :WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dc, out=dy[..., WIDTH:])
+        dy = dy.reshape(-1, 2 * WIDTH)
+        sums["folded"] += flat.T @ dy
+        dh += dy @ folded.T
+        dh += (da.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
+        sums["pos"] += (np.ones(batch, kind) @ dh.reshape(batch, -1)).reshape(LENGTH, WIDTH)
+    for name in ("out", "bias", "pos"):
+        g[name][:] = sums[name]
+    scores, values = sums["folded"][:, :WIDTH] * scale, sums["folded"][:, WIDTH:]
+    g["q"][:], g["k"][:], g["v"][:], g["o"][:] = scores @ p["k"], scores.T @ p["q"], values @ p["o"].T, p["v"].T @ values
+    unit = inp.astype(np.uint16).ravel()  # sorted by digits, as 64-bit values are not
+    order = np.argsort(unit, kind="stable")
+    unit = unit[order]
+    first = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    _rows_sum(order, first, unit[first], all_d, spare, g["skip"])
+    _rows_sum(order, first, unit[first], all_x, spare.ravel()[: all_x.size].reshape(all_x.shape), g["emb"])
+    return loss / n
+
+
+def _work(rows: int, kind) -> tuple:
+    """Room for the gradients by lane, kept from step to step."""
+    return tuple(np.empty((rows, n), kind) for n in (CLASSES, WIDTH, CLASSES))
 
 
 def loss_and_gradient(p: dict, inp: np.ndarray, goal: np.ndarray) -> tuple[float, dict]:
     """Mean class loss over ``goal`` (``-1``: not scored) and its gradient."""
-    h, (x, q, k, v, a, c) = attend(p, inp)
-    z = log_classes(p, h, inp)
-    use = goal >= 0
-    n = max(1, int(use.sum()))
-    rows, cols = np.nonzero(use)
-    loss = -float(z[rows, cols, goal[use]].sum()) / n
-    d = np.exp(z)
-    d[rows, cols, goal[use]] -= 1
-    d *= use[..., None] / np.float32(n)
-    g, flat = {}, lambda t: t.reshape(-1, t.shape[-1])
-    g["out"], g["bias"] = flat(h).T @ flat(d), flat(d).sum(0)
-    g["skip"] = _rows_sum(inp.ravel(), flat(d), UNITS + 1)
-    dh = d @ p["out"].T
-    g["o"] = flat(c).T @ flat(dh)
-    dc = dh @ p["o"].T
-    da = dc @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dc
-    ds = a * (da - _sums(da * a)) * np.float32(1 / np.sqrt(WIDTH))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    for name, t in (("q", dq), ("k", dk), ("v", dv)):
-        g[name] = flat(x).T @ flat(t)
-    dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-    g["pos"] = dx.sum(0)
-    g["emb"] = _rows_sum(inp.ravel(), flat(dx), UNITS + 1)
-    return loss, g
+    g, kind = {name: np.empty_like(p[name]) for name, _ in SHAPES}, p["skip"].dtype
+    p = {name: p[name].astype(kind, copy=False) for name, _ in SHAPES}
+    return _gradient(p, inp, goal, g, _work(inp.size, kind)), g
 
 
 def descend(p: dict, inp: np.ndarray, goal: np.ndarray, rate: float, batch: int = BATCH, seed: int = 0) -> dict:
     """One pass of minibatch descent with adaptive steps."""
-    p = {k: v.copy() for k, v in p.items()}
-    m = {k: np.zeros_like(v) for k, v in p.items()}
-    s = {k: np.zeros_like(v) for k, v in p.items()}
+    flat = _pack(p)
+    m, s, g, t = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat), np.empty_like(flat)
+    now, grown, work = _views(flat), _views(g), _work(min(batch, len(inp)) * LENGTH, flat.dtype)
     order = np.random.default_rng(seed).permutation(len(inp))
     for step, i in enumerate(range(0, len(order), batch), 1):
-        _, g = loss_and_gradient(p, inp[order[i: i + batch]], goal[order[i: i + batch]])
-        for k in p:
-            m[k] += 0.1 * (g[k] - m[k])
-            s[k] += 0.01 * (g[k] * g[k] - s[k])
-            p[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + 1e-6)
-    return p
+        _gradient(now, inp[order[i: i + batch]], goal[order[i: i + batch]], grown, work)
+        np.subtract(g, m, out=t)
+        t *= 0.1
+        m += t
+        np.multiply(g, g, out=t)
+        t -= s
+        t *= 0.01
+        s += t
+        np.multiply(s, 1 / (1 - 0.99 ** step), out=t)
+        np.sqrt(t, out=t)
+        t += 1e-6
+        np.divide(m, t, out=t)
+        t *= rate / (1 - 0.9 ** step)
+        flat -= t
+    return now
 
 
 # A model is a dict of arrays, so that workers need nothing of this package to read it:
@@ -367,20 +503,23 @@ def rare_shares(id_count: np.ndarray, unit_of: np.ndarray) -> np.ndarray:
 def _train_task(model, round_no: int, rate: float):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        p, n, held = m["params"], 0, []
+        p, n, held, size = m["params"], 0, [], 0
+        unit_of = m["unit_of"].astype(np.int16)
+        goal_of = np.append(m["class_of"], -1).astype(np.int16)
 
         def learn(p: dict, rows: list[bytes]) -> dict:
             raw = np.frombuffer(b"".join(rows), np.uint16).reshape(-1, LENGTH + 1)
             raw = raw[np.argsort(mix(raw[:, :4].astype(np.uint64).sum(1)), kind="stable")]
-            u = m["unit_of"][raw]
-            goal = np.where(u[:, 1:] == PAD, -1, m["class_of"][np.minimum(u[:, 1:], UNITS - 1)])
-            return descend(p, u[:, :-1], goal, rate, seed=round_no)
+            u = unit_of[raw]
+            return descend(p, u[:, :-1], goal_of[u[:, 1:]], rate, seed=round_no)
 
         for batch in batches:
-            held += batch.column("window").to_pylist()
-            n += batch.num_rows
-            if len(held) >= REPLICA_WINDOWS:  # a task holds no more, however many come to it
-                p, held = learn(p, held), []
+            n += sum(batch.column("n").to_pylist())
+            for row in batch.column("windows"):
+                held.append(row.as_py())
+                size += len(held[-1]) // (2 * (LENGTH + 1))
+                if size >= REPLICA_WINDOWS:  # a task holds no more, however many come to it
+                    p, held, size = learn(p, held), [], 0
         if held:
             p = learn(p, held)
         if n:
@@ -390,8 +529,8 @@ def _train_task(model, round_no: int, rate: float):
     return task
 
 
-def train(windows: DataFrame, unit_of: np.ndarray, pairs: np.ndarray, begin: np.ndarray, rounds: int = ROUNDS) -> dict:
-    """A model from ``windows`` (binary rows of raw ids), pair counts ``(UNITS + 1, UNITS)``
+def train(windows: DataFrame, unit_of: np.ndarray, pairs: np.ndarray, begin: np.ndarray) -> dict:
+    """A model from blocks of windows (``turn`` the round, ``n`` windows, their raw ids), pair counts ``(UNITS + 1, UNITS)``
     and counts of words by first raw id (at the end's id: texts)."""
     spark = windows.sparkSession
     counts = pairs.sum(0)
@@ -404,11 +543,11 @@ def train(windows: DataFrame, unit_of: np.ndarray, pairs: np.ndarray, begin: np.
              "share": shares(pairs, counts, class_of), "begin_log": begin_log.astype(np.float32)}
     if not pairs.sum():
         return model
-    n = windows.count()
+    n = windows.agg(F.sum("n")).first()[0] or 0
     replicas = int(max(1, min(MAX_REPLICAS, n // REPLICA_WINDOWS)))
-    for r in range(rounds):
-        part = windows.where(F.pmod(F.xxhash64("window", F.lit(1)), F.lit(rounds)) == r)
-        sent = spark.sparkContext.broadcast(model)
+    for r in range(ROUNDS):
+        part = windows.where(F.col("turn") == r).select("n", "windows")
+        sent = spark.sparkContext.broadcast({name: model[name] for name in ("unit_of", "class_of", "params")})
         # One row of parameters per replica, at most MAX_REPLICAS.
         got = part.repartition(replicas).mapInArrow(
             _train_task(sent, r, 0.01 / (1 + r)), "n long, params binary").collect()
@@ -416,6 +555,7 @@ def train(windows: DataFrame, unit_of: np.ndarray, pairs: np.ndarray, begin: np.
         if not len(weight):
             continue
         mean = sum(np.frombuffer(g.params, np.float32) * w for g, w in zip(got, weight / weight.sum())).astype(np.float32)
+        del got  # not held while the next round's come
         at = 0
         for name, shape in SHAPES:
             size = int(np.prod(shape))
@@ -437,30 +577,35 @@ def window_scores(model: dict, units: np.ndarray, ends: np.ndarray, firsts: np.n
     before = np.empty(n, np.int64)
     before[1:] = units[:-1]
     before[starts] = PAD
-    out = model["share"][before, units].astype(np.float64)
-    goal, begin, wanted = model["class_of"][units], np.zeros(n), np.zeros(n, bool)
-    wanted[firsts] = wanted[ends - 1] = True
+    share = model["share"]
+    out = share.ravel()[before * share.shape[1] + units].astype(np.float64)
+    late = LENGTH - STRIDE
     count = -(-(ends - starts) // STRIDE)
     total = int(count.sum())
-    text = np.repeat(np.arange(len(ends)), count)
-    first = (np.arange(total) - np.repeat(np.cumsum(count) - count, count)) * STRIDE - (LENGTH - STRIDE)
-    first += starts[text]
-    lane, late = np.arange(LENGTH), LENGTH - STRIDE
-    share = np.exp(model["begin_log"])
-    for i in range(0, total, 2000):
-        at = first[i: i + 2000, None] + lane
-        ok = (at >= starts[text[i: i + 2000], None]) & (at < ends[text[i: i + 2000], None])
-        inp = np.where(ok, before[np.clip(at, 0, n - 1)], PAD)
-        h, _ = attend(p, inp, late)
-        keep = ok[:, late:]
-        where = at[:, late:][keep]
-        z = log_classes(p, h[keep], inp[:, late:][keep])
-        got = z[np.arange(len(where)), goal[where]]
-        out[where] += got
-        use = np.flatnonzero(wanted[where])
-        begins = np.exp(z[use]) @ share
-        place = where[use]
-        begin[place] = got[use] + model["begin_log"][goal[place]] - np.log(np.maximum(begins, 1e-300))
+    # Every text in lanes of its own, a multiple of STRIDE; a window is a row of lanes with the last of the row before.
+    ahead = np.cumsum(count) - count
+    place = np.arange(n) + np.repeat(ahead * STRIDE - starts, ends - starts)
+    inp = np.full((total + 1, STRIDE), PAD, np.int64)
+    inp[1:].ravel()[place] = before
+    inp = np.concatenate([inp[:-1, STRIDE - late:], inp[1:]], 1)
+    inp[ahead, :late] = PAD
+    goal = np.zeros(total * STRIDE, np.int64)
+    goal[place] = model["class_of"][units]
+    got = np.empty((2, total * STRIDE), np.float32)
+    both = np.stack([np.ones(CLASSES, np.float32), np.exp(model["begin_log"])], 1)
+    for i in range(0, total, SCORED):
+        at = inp[i: i + SCORED]
+        z = logits(p, attend(p, at, late)[0], at[:, late:]).reshape(-1, CLASSES)
+        lanes = slice(i * STRIDE, i * STRIDE + len(z))
+        right = z.ravel()[np.arange(len(z)) * CLASSES + goal[lanes]]
+        sums = np.exp(z, out=z) @ both
+        np.log(np.maximum(sums, LEAST_SUM, out=sums), out=sums)
+        got[0, lanes], got[1, lanes] = right - sums[:, 0], right - sums[:, 1]
+    out += got[0][place]
+    begin = np.zeros(n)
+    for some in (firsts, ends - 1):
+        to = place[some]
+        begin[some] = got[1][to] + model["begin_log"][goal[to]]
     return out, begin
 
 
@@ -490,8 +635,8 @@ def _score_task(path: str, model, head):
         sub, m, (head_hash, head_log) = subwords(path), model.value, head.value
         rid = TaskContext.get().partitionId() << 40
         for whole in batches:
-            for k in range(0, whole.num_rows, SLICE // 4):
-                batch = whole.slice(k, SLICE // 4)
+            for k in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(k, SLICE)
                 docs = batch.num_rows
                 words = Words(batch.column("text"))
                 raw, ends, sizes, doc, (u, inv, _) = sequences(words, sub, docs)
@@ -531,16 +676,29 @@ def _score_task(path: str, model, head):
     return task
 
 
+@contextmanager
+def _short_batches(spark, rows: int = TEXTS):
+    """At most ``rows`` rows in an Arrow batch of the jobs run inside, as both sides hold a batch of texts in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def score_texts(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row."""
     spark = docs.sparkSession
     path = path or default_path()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     held = F.pmod(id_crc(), F.lit(7)) == 2
-    got = materialize(rows.where(~held).select("text").mapInArrow(_gather(path), GATHERED), "lm-gather")
+    with _short_batches(spark):
+        got = materialize(rows.where(~held).select("text").mapInArrow(_gather(path), GATHERED), "lm-gather")
     counts = got.where("kind = 0").groupBy("hash").agg(F.sum("n").alias("c"))
     vocabulary = materialize(counts, "lm-words")
-    windows = got.where("kind = 1").select("window")
+    windows = got.where("kind = 1").select(F.col("hash").alias("turn"), "n", "windows")
     ends = got.where("kind = 2").agg(F.sum("n")).first()[0] or 0
     total, distinct, once = vocabulary.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1)).first()
     n, v = (total or 0) + ends, distinct + (1 if ends else 0)
@@ -569,9 +727,11 @@ def score_texts(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id"
 
     # Every pair counts; ids that are no units count as the unit of all others.
     few = pairs.join(units("a", "ua"), "a", "left").join(units("b", "ub"), "b", "left")
-    few = few.groupBy(F.coalesce("ua", F.lit(OTHER)).alias("ua"), F.coalesce("ub", F.lit(OTHER)).alias("ub")).agg(F.sum("n").alias("n")).toArrow()
+    few = few.groupBy(F.coalesce("ua", F.lit(OTHER)).cast("short").alias("ua"), F.coalesce("ub", F.lit(OTHER)).cast("short").alias("ub"))
+    few = few.agg(F.sum("n").cast("float").alias("n")).toArrow()
     table = np.zeros((UNITS + 1, UNITS + 1), np.float32)
     table[few.column("ua").to_numpy(), few.column("ub").to_numpy()] = few.column("n").to_numpy()
+    del few
     firsts = got.where("kind = 4").groupBy("hash").agg(F.sum("n").alias("n")).toArrow()  # a row per raw id
     begin = np.zeros(PAD_RAW + 1)
     begin[firsts.column("hash").to_numpy()] = firsts.column("n").to_numpy()
@@ -583,7 +743,8 @@ def score_texts(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id"
     model = spark.sparkContext.broadcast(made)
 
     schema = "rid long, doc_id long, n_tokens long, n_known long, base double, score double, hash long, lift float"
-    scored = materialize(rows.mapInArrow(_score_task(path, model, head), schema), "lm-scores")
+    with _short_batches(spark):
+        scored = materialize(rows.mapInArrow(_score_task(path, model, head), schema), "lm-scores")
     tail = scored.where("hash is not null").select("rid", "hash", "lift").join(vocabulary, "hash")
     # log(1 + exp(x)), x the word's chance among known words over its chance by its units alone.
     x = F.col("lift").cast("double") + F.log(F.col("c"))

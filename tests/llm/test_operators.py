@@ -731,3 +731,49 @@ def test_training_windows_hold_every_unit_once():
         first = int(r[1])
         assert r[0] == (attention.PAD_RAW if first in starts else first - 1)
     assert len(attention._windows(raw[:0], starts[:0], ends[:0])) == 0
+
+
+def test_training_windows_travel_in_blocks():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["alpha", "Beta,", "x9", "\u00e9t\u00e9", "no\u00a0break", "\u2028line", "a\u00a0\u00a0"], 400)) for _ in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    path = attention.default_path()
+    rows = [r for b in attention._gather(path)(iter([batch])) for r in b.to_pylist() if r["kind"] == 1]
+    size = 2 * (attention.LENGTH + 1)
+    assert sum(r["n"] for r in rows) > 5 * attention.BLOCK > 5 * max(len(rows) - 2 * attention.ROUNDS, 0)
+    got, turn = Counter(), {}
+    for r in rows:
+        assert r["n"] <= attention.BLOCK and len(r["windows"]) == r["n"] * size
+        for i in range(r["n"]):
+            window = r["windows"][i * size: (i + 1) * size]
+            got[window] += 1
+            assert turn.setdefault(window, r["hash"]) == r["hash"]
+    sub, want = attention.Subwords(path), Counter()
+    for t in texts:  # every word encoded alone
+        ids = [attention.PAD_RAW, *(x for w in words(t) for x in sub.word(w)), attention.END_RAW]
+        ids += [attention.PAD_RAW] * (-(len(ids) - 1) % attention.LENGTH)
+        for i in range(0, len(ids) - 1, attention.LENGTH):
+            want[np.array(ids[i: i + attention.LENGTH + 1], np.uint16).tobytes()] += 1
+    assert got == want and set(turn.values()) == set(range(attention.ROUNDS))
+
+
+def test_gradient_does_not_depend_on_the_parts(monkeypatch):
+    rng = np.random.default_rng(1)
+    p = attention.initial(np.ones(attention.CLASSES))
+    inp, goal = rng.integers(0, 50, (70, attention.LENGTH)), rng.integers(-1, attention.CLASSES, (70, attention.LENGTH))
+    loss, g = attention.loss_and_gradient(p, inp, goal)
+    monkeypatch.setattr(attention, "PART", 9)
+    other, h = attention.loss_and_gradient(p, inp, goal)
+    assert other == pytest.approx(loss) and all(np.allclose(g[k], h[k], atol=1e-6) for k in g)
+
+
+def test_short_batches_put_the_setting_back(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError):
+        with attention._short_batches(spark, 7):
+            assert spark.conf.get(name) == "7"
+            raise ValueError
+    assert spark.conf.get(name) == before
