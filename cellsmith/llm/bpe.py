@@ -17,8 +17,9 @@ loaded; a token that merging would not build from its bytes (none in the
 given file) is no candidate, but stands when a whole match equals it, as in the
 library.  So the ids are those of merging by rank, with no search over merges.
 
-A worker keeps the ids of up to ``CACHE`` matches of at most ``SHORT`` characters.  Decoding
-concatenates the bytes of the ids.
+With the vocabulary's own pattern a match begins before every space that has no blank
+before it, so a text is first split there.  A worker keeps the ids of up to ``CACHE`` such words and as many matches, of at
+most ``SHORT`` characters; a known word needs no pattern.  Decoding concatenates the bytes of the ids.
 
 Cases: null and empty texts have no ids and decode to no bytes; texts and
 matches of any length are encoded whole; strings of special tokens are
@@ -30,9 +31,11 @@ their own raise a ``ValueError``.
 from __future__ import annotations
 
 import base64
+import re
 import sys
+from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE, SHORT, PAIRS = 400_000, 64, 2_000_000
+# A space behind a blank of any kind, and one that is not.  These are all blanks of the pattern, and a few more.
+BLANK_SPACE, WORD_SPACE = [chr(c) + " " for c in range(sys.maxunicode + 1) if chr(c).isspace()], re.compile(r"(?<=\S) ")
 ROWS, RUN = 400, 1 << 16  # texts handled together; matches of a text taken at once
 
 
@@ -82,11 +87,14 @@ class Vocabulary:
         self.fits.clear()
         auto = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            if len(token) == 1 or rank in self.halves:
-                auto.add_word(token.decode("latin-1"), (rank, len(token)))
-        auto.make_automaton()
+            if len(token) > 1 and rank in self.halves:
+                auto.add_word(token.decode("latin-1"), (rank, len(token) - 1))
+        if len(auto):
+            auto.make_automaton()
         self.auto = auto
-        self.shorter = {}  # token -> its longest proper prefix that is a candidate
+        self.single = [ranks.get(bytes([b]), -1) for b in range(256)]
+        self.shorter = [-1] * top  # token -> its longest proper prefix that is a candidate
+        self.lengths = sizes.tolist()
         for token, rank in ranks.items():
             for n in range(len(token) - 1, 0, -1):
                 r = ranks.get(token[:n])
@@ -136,26 +144,35 @@ class Vocabulary:
         if whole is not None:
             return [whole]
         n = len(piece)
-        longest = [-1] * n  # matches come by rising end, so the last one at a start is the longest
-        for end, (rank, size) in self.auto.iter(piece.decode("latin-1")):
-            longest[end - size + 1] = rank
+        single = self.single
+        longest = [single[b] for b in piece]
+        longest.append(-1)
+        # Longer tokens come by rising end, so the last one at a start is the longest.
+        for end, (rank, less) in self.auto.iter(piece.decode("latin-1")) if self.halves else ():
+            longest[end - less] = rank
+        lengths, shorter, fits = self.lengths, self.shorter, self.fits
         out: list[int] = []
         dead = bytearray(n + 1)
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < n:
             while token >= 0:
-                end = at + self.size[token]
-                if not dead[end] and (not out or self.neighbours(out[-1], token)):
-                    break
-                token = self.shorter.get(token, -1)
+                end = at + lengths[token]
+                if not dead[end]:
+                    if last < 0:
+                        break
+                    fit = fits.get((last, token))
+                    if self.neighbours(last, token) if fit is None else fit:
+                        break
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                at, last = end, token
+                token = longest[at]
             elif out:
                 dead[at] = 1
                 token = out.pop()
-                at -= self.size[token]
+                last = out[-1] if out else -1
+                at -= lengths[token]
             else:
                 raise ValueError(f"no token for the bytes {piece[:16]!r}")
         return out
@@ -168,11 +185,11 @@ class Vocabulary:
         return self.flat[index], ends[bounds]
 
 
-def load(path: str) -> Vocabulary:
-    """The vocabulary of a rank file, once per worker process."""
+def load(path: str) -> tuple[Vocabulary, dict, dict]:
+    """The vocabulary of a rank file with the known words and matches, once per worker process."""
     kept = sys.__dict__.setdefault("_cellsmith_bpe", {})
     if path not in kept:
-        kept[path] = (Vocabulary(read_ranks(path)), {})
+        kept[path] = (Vocabulary(read_ranks(path)), {}, {})
     return kept[path]
 
 
@@ -181,23 +198,51 @@ def _encode_task(path: str, pattern: str):
         import regex
 
         cut = regex.compile(pattern)
-        vocabulary, known = load(path)
+        vocabulary, known_words, known = load(path)
+        own, encode = pattern == default_pattern(), vocabulary.encode_match
+
+        def fresh(piece: str) -> bytes:
+            """Ids of a match, four bytes each."""
+            return array("i", encode(piece.encode("utf-8"))).tobytes()
 
-        def ids_of(piece: str) -> list[int]:
-            got = vocabulary.encode_match(piece.encode("utf-8"))
+        def match(piece: str) -> bytes:
+            ids = fresh(piece)
             if len(piece) <= SHORT:
                 if len(known) >= CACHE:
                     known.clear()
-                known[piece] = got
-            return got
+                known[piece] = ids
+            return ids
 
-        def parts(text: str) -> Iterator[list[str]]:
+        def matches(text: str) -> Iterator[bytes]:
             if len(text) <= RUN:
-                yield cut.findall(text)
+                yield b"".join([known.get(p) or match(p) for p in cut.findall(text)])
                 return
             found = (m[0] for m in cut.finditer(text))
             while run := list(islice(found, RUN)):
-                yield run
+                yield b"".join([known.get(p) or match(p) for p in run])
+
+        def word(after: str) -> bytes:
+            """Ids of a space and what is up to the next."""
+            if len(after) > SHORT:
+                return b"".join(matches(" " + after))
+            found = [" " + after] if after.isascii() and after.isalpha() else cut.findall(" " + after)
+            if len(found) == 1:  # kept as a word, not as a match again
+                ids = known.get(found[0]) or fresh(found[0])
+            else:
+                ids = b"".join([known.get(p) or match(p) for p in found])
+            if len(known_words) >= CACHE:
+                known_words.clear()
+            known_words[after] = ids
+            return ids
+
+        def encoded(text: str) -> Iterator[bytes]:
+            if not own:
+                yield from matches(text)
+                return
+            pieces = WORD_SPACE.split(text) if any(b in text for b in BLANK_SPACE) else text.split(" ")
+            yield from matches(pieces[0])
+            del pieces[0]
+            yield b"".join([known_words.get(p) or word(p) for p in pieces])
 
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS):
@@ -205,11 +250,9 @@ def _encode_task(path: str, pattern: str):
                 runs, sizes = [], []
                 for text in batch.column("text").to_pylist():
                     n = 0
-                    for pieces in parts(text) if text else ():
-                        got = [known.get(p) or ids_of(p) for p in pieces]
-                        flat = np.fromiter(chain.from_iterable(got), np.int32)
-                        runs.append(flat)
-                        n += len(flat)
+                    for ids in encoded(text) if text else ():
+                        runs.append(np.frombuffer(ids, np.int32))
+                        n += len(runs[-1])
                     sizes.append(n)
                 flat = np.concatenate(runs) if runs else np.zeros(0, np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(flat))
@@ -228,7 +271,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
 def _decode_task(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, _ = load(path)
+        vocabulary = load(path)[0]
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(k, ROWS)

@@ -210,3 +210,38 @@ def test_runs_are_an_operator_of_their_own(spark):
     assert [tuple(r) for r in got[1].runs] == [(1, 15, 3)] and got[1].collapsed == "x a b c y"
     assert got[2].runs == [] and got[2].collapsed == ""
     assert runs.find(docs).agg(F.sum(F.size("runs"))).first()[0] == 1
+
+
+def test_words_are_cut_only_where_the_pattern_cuts(library, monkeypatch):
+    import pyarrow as pa
+
+    path, rng = bpe.default_path(), random.Random(4)
+    blanks = [" ", "  ", "\n", "\t ", " \n", " ", "  ", "  ", "  ", "　", "\x1c ", "\x85 "]
+    bits = ["don't", "a1", "'s", "été", "漢字", "...", "<|endoftext|>", "x" * 90, "word", "Word,", "\U0001f642"]
+    texts = ["".join(rng.choice(blanks if rng.random() < 0.6 else bits) if i % 2 else rng.choice(bits + [""]) for i in range(60)) for _ in range(300)]
+    texts += ["", " ", "  ", " a", "a ", "a  ", "\n ", None, "one two"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    for cache in (400_000, 5):
+        monkeypatch.setattr(bpe, "CACHE", cache)
+        got = [r["ids"] for b in bpe._encode_task(path, bpe.default_pattern())(iter([batch])) for r in b.to_pylist()]
+        assert got == [library[path].encode_ordinary(t or "") for t in texts]
+
+
+def test_known_words_need_no_pattern(monkeypatch):
+    import pyarrow as pa
+    import regex
+
+    calls, real = [], regex.compile
+
+    class Counted:
+        def __init__(self, pattern):
+            self.inner = real(pattern)
+
+        def findall(self, text):
+            calls.append(text)
+            return self.inner.findall(text)
+
+    monkeypatch.setattr(regex, "compile", Counted)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["so many, many words, " * 500] * 2)], ["doc_id", "text"])
+    rows = [r for b in bpe._encode_task(bpe.default_path(), bpe.default_pattern())(iter([batch])) for r in b.to_pylist()]
+    assert rows[0]["ids"] == rows[1]["ids"] and sum(map(len, calls)) < 100
