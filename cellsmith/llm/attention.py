@@ -242,21 +242,47 @@ def _windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
 
 
-def _blocks(windows: pa.Array, rounds: int = ROUNDS, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """The windows dealt to rounds by a hash of their ids, in its order, and cut into blocks: round, windows and ids of each."""
+def _hashes(raw: np.ndarray, seed: int = 42) -> np.ndarray:
+    """``xxhash64(window, 1)`` of every row of ``LENGTH + 1`` raw ids, as Spark gives it, so that a window's round does not
+    depend on where it is dealt."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x, n):
+        return x << np.uint64(n) | x >> np.uint64(64 - n)
+
+    def mixed(h):
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+        return h ^ h >> np.uint64(32)
+
+    data = np.ascontiguousarray(raw).view(np.uint8)
+    long = data.shape[1] // 32 * 32
+    longs = np.ascontiguousarray(data[:, :long]).view(np.uint64)
+    with np.errstate(over="ignore"):
+        start = np.uint64(seed)
+        lanes = [np.full(len(raw), x) for x in (start + p1 + p2, start + p2, start, start - p1)]
+        for i in range(longs.shape[1]):
+            lanes[i % 4] = turned(lanes[i % 4] + longs[:, i] * p2, 31) * p1
+        h = sum(turned(x, n) for x, n in zip(lanes, (1, 7, 12, 18)))
+        for x in lanes:
+            h = (h ^ turned(x * p2, 31) * p1) * p1 + p4
+        h = h + np.uint64(data.shape[1])
+        for i in range(long, data.shape[1]):
+            h = turned(h ^ data[:, i].astype(np.uint64) * p5, 11) * p1
+        h = mixed(h) + p5 + np.uint64(4)  # the seed of the 1
+        return mixed(turned(h ^ p1, 23) * p2 + p3).view(np.int64)
+
+
+def _blocks(windows: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The windows dealt to rounds by their hash, in the order they come, and cut into blocks: round, windows and ids of each."""
     raw = np.frombuffer(windows.buffers()[2] or b"", np.uint16).reshape(len(windows), LENGTH + 1)
-    key = np.zeros(len(raw), np.uint64)
-    for lane in raw.T:
-        key = key * np.uint64(0xD6E8FEB86659FD93) + lane
-    key = mix(key)
-    order = np.argsort(key, kind="stable")
-    turn = (key % np.uint64(rounds)).astype(np.int64)[order]
-    order = order[np.argsort(turn, kind="stable")]
-    size = np.bincount(turn, minlength=rounds)
-    n = np.concatenate([np.diff(np.r_[np.arange(0, m, block), m]) for m in size.tolist()]).astype(np.int64)
-    offsets = np.r_[0, np.cumsum(n)].astype(np.int32) * raw.itemsize * (LENGTH + 1)
-    data = pa.py_buffer(np.ascontiguousarray(raw[order]))
-    return np.repeat(np.arange(rounds), -(-size // block)), n, pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), data])
+    turn = _hashes(raw) % ROUNDS
+    order = np.argsort(turn, kind="stable")
+    size = np.bincount(turn, minlength=ROUNDS)
+    n = np.concatenate([np.diff(np.r_[np.arange(0, m, BLOCK), m]) for m in size.tolist()]).astype(np.int64)
+    offsets = (np.r_[0, np.cumsum(n)] * raw.itemsize * (LENGTH + 1)).astype(np.int32)
+    data = pa.py_buffer(raw[order])
+    return np.repeat(np.arange(ROUNDS), -(-size // BLOCK)), n, pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), data])
 
 
 # The network.

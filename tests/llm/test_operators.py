@@ -777,3 +777,12 @@ def test_short_batches_put_the_setting_back(spark):
             assert spark.conf.get(name) == "7"
             raise ValueError
     assert spark.conf.get(name) == before
+
+
+def test_rounds_of_windows_are_by_sparks_hash(spark):
+    from pyspark.sql import functions as F
+
+    raw = np.random.default_rng(6).integers(0, 65_536, (200, attention.LENGTH + 1)).astype(np.uint16)
+    df = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(raw)], "i int, w binary")
+    want = [r.h for r in df.select("i", F.xxhash64("w", F.lit(1)).alias("h")).orderBy("i").collect()]
+    assert attention._hashes(raw).tolist() == want and len(attention._hashes(raw[:0])) == 0
