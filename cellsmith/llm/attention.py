@@ -54,7 +54,7 @@ from cellsmith.session import materialize
 
 RAW_UNITS, UNITS, CLASSES, WIDTH, LENGTH, STRIDE = 50_257, 2048, 32, 16, 16, 12
 HEAD, ROUNDS, KEEP_WORDS, MIX = 1 << 18, 3, 1_000_000, 0.9
-BATCH, PART = 512, 64  # windows a step of the descent, and at once within it
+BATCH, PART, AT_ONCE = 512, 128, 1 << 14  # windows a step of the descent, and at once within it; parameters moved at once
 BLOCK = 256  # windows kept in one row
 LEAST_KNOWN, MOST_KNOWN, SMOOTH = 0.5, 0.999, 8.0
 REPLICA_WINDOWS, MAX_REPLICAS = 100_000, 256
@@ -183,10 +183,33 @@ def word_starts(sizes: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 GATHERED = "kind int, hash long, n long, windows binary"
 
 
-def _add(kept: tuple, keys: np.ndarray, n: np.ndarray) -> tuple:
-    """Counts by rising key, with more counts added."""
-    both, inv = np.unique(np.concatenate([kept[0], keys]), return_inverse=True)
-    return both, np.bincount(inv, np.concatenate([kept[1], n]), len(both)).astype(np.int64)
+class _Counts:
+    """Counts by key; what is added is merged when there is much of it, not for every slice anew."""
+
+    def __init__(self, kind):
+        self.keys, self.n, self.more, self.held = np.zeros(0, kind), np.zeros(0, np.int64), [], 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        """``keys`` are distinct and rise."""
+        self.more.append((keys, n))
+        self.held += len(keys)
+        if 2 * self.held > KEEP_COUNTS:
+            self.merge()
+
+    def merge(self) -> None:
+        keys, n = (np.concatenate(x) for x in zip((self.keys, self.n), *self.more))
+        order = np.argsort(keys, kind="stable")  # quick on runs that rise
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]])
+        self.keys, self.n = keys[first], np.add.reduceat(n[order], first) if len(keys) else n
+        self.more, self.held = [], 0
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """All counts, by rising key; none are left."""
+        self.merge()
+        out = self.keys, self.n
+        self.keys, self.n = self.keys[:0], self.n[:0]
+        return out
 
 
 def _gather(path: str):
@@ -197,30 +220,35 @@ def _gather(path: str):
              pa.nulls(size, pa.binary()) if windows is None else windows], ["kind", "hash", "n", "windows"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def words_seen():
+            keys, n = kept.taken()
+            return rows(0, keys.view(np.int64), n)
+
+        def pairs_seen():
+            keys, n = pairs.taken()
+            return rows(3, keys.astype(np.int64), n)
+
         sub = subwords(path)
-        kept = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        pairs, begin = (np.zeros(0, np.uint32), np.zeros(0, np.int64)), np.zeros(PAD_RAW + 1, np.int64)
+        kept, pairs, begin = _Counts(np.uint64), _Counts(np.uint32), np.zeros(PAD_RAW + 1, np.int64)
         for whole in batches:
             for k in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(k, SLICE)
                 words = Words(batch.column("text"))
                 raw, ends, sizes, _, (u, _, n) = sequences(words, sub, batch.num_rows)
-                kept = _add(kept, u, n)
+                kept.add(u, n)
                 starts = np.r_[0, ends[:-1]]
                 before = np.r_[np.uint16(PAD_RAW), raw[:-1]]
                 before[starts] = PAD_RAW
-                pairs = _add(pairs, *np.unique(before.astype(np.uint32) << np.uint32(16) | raw, return_counts=True))
+                pairs.add(*np.unique(before.astype(np.uint32) << np.uint32(16) | raw, return_counts=True))
                 begin += np.bincount(raw[word_starts(sizes, ends, len(raw))], minlength=PAD_RAW + 1)
                 yield rows(1, *_blocks(_windows(raw, starts, ends)))
                 yield rows(2, np.zeros(1, np.int64), np.array([batch.num_rows], np.int64))
-                if len(kept[0]) > KEEP_COUNTS:
-                    yield rows(0, kept[0].view(np.int64), kept[1])
-                    kept = (kept[0][:0], kept[1][:0])
-                if len(pairs[0]) > KEEP_COUNTS:
-                    yield rows(3, pairs[0].astype(np.int64), pairs[1])
-                    pairs = (pairs[0][:0], pairs[1][:0])
-        yield rows(0, kept[0].view(np.int64), kept[1])
-        yield rows(3, pairs[0].astype(np.int64), pairs[1])
+                if len(kept.keys) > KEEP_COUNTS:
+                    yield words_seen()
+                if len(pairs.keys) > KEEP_COUNTS:
+                    yield pairs_seen()
+        yield words_seen()
+        yield pairs_seen()
         at = np.flatnonzero(begin)
         yield rows(4, at, begin[at])
 
@@ -306,23 +334,22 @@ def initial(class_counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     return p
 
 
-def _sums(x: np.ndarray) -> np.ndarray:
-    """Sums over the last axis, as a product (it is short, and a reduction over it slow)."""
-    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], x.dtype)).reshape(*x.shape[:-1], 1)
+_ONES = {np.dtype(kind).char: np.ones(max(WIDTH, LENGTH, CLASSES), kind) for kind in (np.float32, np.float64)}
 
 
-def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """``x @ w`` as one product of all rows; a stack would be one small product a window."""
-    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, as a product (it is short, and a reduction over it slow)."""
+    return (x.reshape(-1, x.shape[-1]) @ _ONES[x.dtype.char][: x.shape[-1]]).reshape(*x.shape[:-1], 1)
 
 
-def _weights(q: np.ndarray, x: np.ndarray, late: int = 0) -> np.ndarray:
+def _weights(q: np.ndarray, x: np.ndarray, late: int = 0, out: np.ndarray | None = None) -> np.ndarray:
     """Causal attention weights of the queries ``q`` (times the keys' matrix, scaled) on the states ``x``."""
-    s = q @ x.transpose(0, 2, 1)
+    s = np.matmul(q, x.transpose(0, 2, 1), out=out)
     np.clip(s, -MOST_SCORE, MOST_SCORE, out=s)
     np.exp(s, out=s)
     s *= CAUSAL[late:]
-    s /= _sums(s)
+    total = _sums(s)
+    s *= np.divide(1, total, out=total)
     return s
 
 
@@ -331,23 +358,40 @@ def _folded(q: np.ndarray, k: np.ndarray, v: np.ndarray, o: np.ndarray) -> np.nd
     return np.concatenate([q @ k.T * q.dtype.type(1 / np.sqrt(WIDTH)), v @ o], 1)
 
 
-def attend(p: dict, inp: np.ndarray, late: int = 0) -> tuple[np.ndarray, np.ndarray]:
+class _Ready:
+    """What scoring with parameters that do not change needs of them, and room for ``rows`` windows from lane ``late`` on."""
+
+    def __init__(self, p: dict, rows: int, late: int = 0):
+        self.folded, self.skip = _folded(p["q"], p["k"], p["v"], p["o"]), p["skip"] + p["bias"]
+        # Attention is a mean, so a class score is no further from 0 than the furthest of each of its terms together.
+        values = self.folded[:, WIDTH:] @ p["out"]
+        terms = p["emb"] @ p["out"] + self.skip, p["pos"] @ p["out"], p["emb"] @ values, p["pos"] @ values
+        self.clip = not sum(float(np.abs(t).max()) for t in terms) < 0.99 * MOST_LOGIT  # also when not a number
+        kind, lanes = self.skip.dtype, LENGTH - late
+        self.x, self.y = np.empty((rows, LENGTH, WIDTH), kind), np.empty((rows, LENGTH, 2 * WIDTH), kind)
+        self.s, self.h = np.empty((rows, lanes, LENGTH), kind), np.empty((rows, lanes, WIDTH), kind)
+        self.z, self.after = np.empty((rows, lanes, CLASSES), kind), np.empty((rows, lanes, CLASSES), kind)
+
+
+def attend(p: dict, inp: np.ndarray, late: int = 0, ready: _Ready | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hidden states of input units ``(batch, LENGTH)`` from lane ``late`` on, causal, and the attention weights."""
-    x = np.take(p["emb"], inp, 0, mode="clip")
+    ready, n = ready or _Ready(p, len(inp), late), len(inp)
+    x, y = np.take(p["emb"], inp, 0, mode="clip", out=ready.x[:n]), ready.y[:n]
     x += p["pos"]
-    y = _times(x, _folded(p["q"], p["k"], p["v"], p["o"]))
-    s = _weights(y[:, late:, :WIDTH], x, late)
-    h = s @ y[..., WIDTH:]
+    np.matmul(x.reshape(-1, WIDTH), ready.folded, out=y.reshape(-1, 2 * WIDTH))
+    s = _weights(y[:, late:, :WIDTH], x, late, ready.s[:n])
+    h = np.matmul(s, y[..., WIDTH:], out=ready.h[:n])
     h += x[:, late:]
     return h, s
 
 
-def logits(p: dict, h: np.ndarray, inp: np.ndarray) -> np.ndarray:
+def logits(p: dict, h: np.ndarray, inp: np.ndarray, ready: _Ready | None = None) -> np.ndarray:
     """Class scores, held within ``MOST_LOGIT``."""
-    z = _times(h, p["out"])
-    z += np.take(p["skip"], inp, 0, mode="clip")
-    z += p["bias"]
-    return np.clip(z, -MOST_LOGIT, MOST_LOGIT, out=z)
+    ready, n = ready or _Ready(p, len(inp), LENGTH - inp.shape[1]), len(inp)
+    z = ready.z[:n]
+    np.matmul(h.reshape(-1, WIDTH), p["out"], out=z.reshape(-1, CLASSES))
+    z += np.take(ready.skip, inp, 0, mode="clip", out=ready.after[:n])
+    return np.clip(z, -MOST_LOGIT, MOST_LOGIT, out=z) if ready.clip else z
 
 
 def log_classes(p: dict, h: np.ndarray, inp: np.ndarray) -> np.ndarray:
@@ -378,98 +422,117 @@ def _pack(p: dict) -> np.ndarray:
     return np.concatenate([p[name].ravel() for name, _ in SHAPES])
 
 
-def _gradient(p: dict, inp: np.ndarray, goal: np.ndarray, g: dict, work: tuple) -> float:
-    """Mean class loss over ``goal`` (``-1``: not scored); its gradient goes to ``g``.
+class _Work:
+    """Room for the steps of a descent over up to ``rows`` windows, kept from step to step so that none is asked for anew."""
+
+    def __init__(self, rows: int, kind):
+        lanes, part = rows * LENGTH, min(rows, PART)
+        room = {"d": (lanes, CLASSES), "dx": (lanes, WIDTH), "sorted": (lanes, CLASSES), "skip": (UNITS + 1, CLASSES),
+                "x": (part, LENGTH, WIDTH), "y": (part, LENGTH, 2 * WIDTH), "dy": (part, LENGTH, 2 * WIDTH), "h": (part, LENGTH, WIDTH),
+                "a": (part, LENGTH, LENGTH), "da": (part, LENGTH, LENGTH), "t": (part, LENGTH, LENGTH), "more": (part, LENGTH, WIDTH),
+                "after": (part * LENGTH, CLASSES)}
+        self.__dict__.update((name, np.empty(shape, kind)) for name, shape in room.items())
+
+
+def _gradient(p: dict, inp: np.ndarray, goal: np.ndarray, g: dict, work: _Work, with_loss: bool = False) -> float:
+    """The gradient of the mean class loss over ``goal`` (``-1``: not scored) goes to ``g``; the loss is worked out only if asked for.
 
     ``PART`` windows are worked on at once, so that what is in between stays in the cache."""
-    kind, loss, n = p["emb"].dtype.type, 0.0, max(1, int((goal >= 0).sum()))
-    scale = kind(1 / np.sqrt(WIDTH))
-    skip, folded = p["skip"] + p["bias"], _folded(p["q"], p["k"], p["v"], p["o"])
-    sums = {name: np.zeros_like(p[name]) for name in ("out", "bias", "pos")} | {"folded": np.zeros_like(folded)}
-    all_d, all_x, spare = (t[: inp.size] for t in work)
-    for i in range(0, len(inp), PART):
-        unit, to = inp[i: i + PART].ravel(), goal[i: i + PART].ravel()
-        here, batch = slice(i * LENGTH, i * LENGTH + len(unit)), len(unit) // LENGTH
-        x = np.take(p["emb"], unit, 0, mode="clip").reshape(batch, LENGTH, WIDTH)
+    kind, loss = p["emb"].dtype.type, 0.0
+    units, to = inp.astype(np.intp).ravel(), goal.ravel()
+    used = np.flatnonzero(to >= 0)
+    n = max(1, len(used))
+    hit = used * CLASSES + to[used]
+    unused = np.flatnonzero(to < 0)
+    edges = np.arange(0, len(to) + PART * LENGTH, PART * LENGTH)
+    bounds, gaps = np.searchsorted(used, edges).tolist(), np.searchsorted(unused, edges).tolist()
+    one, scale = kind(1 / n), kind(1 / np.sqrt(WIDTH))
+    skip, folded = np.add(p["skip"], p["bias"], out=work.skip), _folded(p["q"], p["k"], p["v"], p["o"])
+    d_out, d_folded = np.zeros_like(p["out"].T), np.zeros_like(folded.T)
+    every, rows = work.d.ravel(), len(units)
+    for k, i in enumerate(range(0, len(inp), PART)):
+        batch = min(PART, len(inp) - i)
+        lanes = slice(i * LENGTH, (i + batch) * LENGTH)
+        unit, b = units[lanes], batch * LENGTH
+        x, y, a, da, dy, t, more = (room[:batch] for room in (work.x, work.y, work.a, work.da, work.dy, work.t, work.more))
+        np.take(p["emb"], unit, 0, mode="clip", out=x.reshape(b, WIDTH))
         x += p["pos"]
-        flat = x.reshape(-1, WIDTH)
-        y = (flat @ folded).reshape(batch, LENGTH, -1)
+        flat, h = x.reshape(b, WIDTH), work.h[:batch].reshape(b, WIDTH)
+        np.matmul(flat, folded, out=y.reshape(b, 2 * WIDTH))
         q, v = y[..., :WIDTH], y[..., WIDTH:]
-        a = _weights(q, x)
-        h = (a @ v).reshape(-1, WIDTH)
+        _weights(q, x, out=a)
+        np.matmul(a, v, out=work.h[:batch])
         h += flat
-        d = np.matmul(h, p["out"], out=all_d[here])
-        d += np.take(skip, unit, 0, mode="clip")
+        d = np.matmul(h, p["out"], out=work.d[lanes])
+        d += np.take(skip, unit, 0, mode="clip", out=work.after[:b])
         np.clip(d, -MOST_LOGIT, MOST_LOGIT, out=d)
-        used = np.flatnonzero(to >= 0)
-        hit = used * CLASSES + to[used]
-        loss -= float(d.ravel()[hit].sum())
+        some = slice(bounds[k], bounds[k + 1])
+        if with_loss:
+            loss -= float(every[hit[some]].sum())
         np.exp(d, out=d)
         total = _sums(d)
-        loss += float(np.log(total.ravel()[used]).sum())
-        d *= (to >= 0)[:, None] / (total * kind(n))
-        d.ravel()[hit] -= kind(1 / n)
-        sums["out"] += h.T @ d
-        sums["bias"] += np.ones(len(d), kind) @ d
-        dh = np.matmul(d, p["out"].T, out=all_x[here])
+        if with_loss:
+            loss += float(np.log(total.ravel()[used[some] - lanes.start]).sum())
+        np.divide(one, total, out=total)
+        if gaps[k] < gaps[k + 1]:
+            total[unused[gaps[k]: gaps[k + 1]] - lanes.start] = 0
+        d *= total
+        every[hit[some]] -= one
+        d_out += d.T @ h
+        dh = np.matmul(d, p["out"].T, out=work.dx[lanes])
         dc = dh.reshape(batch, LENGTH, WIDTH)
-        da = dc @ v.transpose(0, 2, 1)
+        np.matmul(dc, v.transpose(0, 2, 1), out=da)
         da *= a
-        da -= a * _sums(da)  # through the softmax
-        dy = np.empty_like(y)
+        da -= np.multiply(a, _sums(da), out=t)  # through the softmax
         np.matmul(da, x, out=dy[..., :WIDTH])
         np.matmul(a.transpose(0, 2, 1), dc, out=dy[..., WIDTH:])
-        dy = dy.reshape(-1, 2 * WIDTH)
-        sums["folded"] += flat.T @ dy
-        dh += dy @ folded.T
-        dh += (da.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
-        sums["pos"] += (np.ones(batch, kind) @ dh.reshape(batch, -1)).reshape(LENGTH, WIDTH)
-    for name in ("out", "bias", "pos"):
-        g[name][:] = sums[name]
-    scores, values = sums["folded"][:, :WIDTH] * scale, sums["folded"][:, WIDTH:]
+        d_folded += dy.reshape(b, 2 * WIDTH).T @ flat
+        dc += np.matmul(da.transpose(0, 2, 1), q, out=more)
+        dh += np.matmul(dy.reshape(b, 2 * WIDTH), folded.T, out=more.reshape(b, WIDTH))
+    g["out"][:] = d_out.T
+    scores, values = d_folded[:WIDTH].T * scale, d_folded[WIDTH:].T
     g["q"][:], g["k"][:], g["v"][:], g["o"][:] = scores @ p["k"], scores.T @ p["q"], values @ p["o"].T, p["v"].T @ values
-    unit = inp.astype(np.uint16).ravel()  # sorted by digits, as 64-bit values are not
-    order = np.argsort(unit, kind="stable")
-    unit = unit[order]
+    order = np.argsort(units.astype(np.uint16), kind="stable")  # sorted by digits, as 64-bit values are not
+    unit = units[order]
     first = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-    _rows_sum(order, first, unit[first], all_d, spare, g["skip"])
-    _rows_sum(order, first, unit[first], all_x, spare.ravel()[: all_x.size].reshape(all_x.shape), g["emb"])
+    to = unit[first]
+    dx = work.dx[:rows]
+    _rows_sum(order, first, to, work.d[:rows], work.sorted, g["skip"])
+    _rows_sum(order, first, to, dx, work.sorted.ravel()[: dx.size].reshape(dx.shape), g["emb"])
+    g["bias"][:] = np.ones(UNITS + 1, kind) @ g["skip"]  # every lane is after some unit
+    g["pos"][:] = (np.ones(len(inp), kind) @ dx.reshape(len(inp), -1)).reshape(LENGTH, WIDTH)
     return loss / n
 
 
-def _work(rows: int, kind) -> tuple:
-    """Room for the gradients by lane, kept from step to step."""
-    return tuple(np.empty((rows, n), kind) for n in (CLASSES, WIDTH, CLASSES))
-
-
 def loss_and_gradient(p: dict, inp: np.ndarray, goal: np.ndarray) -> tuple[float, dict]:
     """Mean class loss over ``goal`` (``-1``: not scored) and its gradient."""
     g, kind = {name: np.empty_like(p[name]) for name, _ in SHAPES}, p["skip"].dtype
     p = {name: p[name].astype(kind, copy=False) for name, _ in SHAPES}
-    return _gradient(p, inp, goal, g, _work(inp.size, kind)), g
+    return _gradient(p, inp, goal, g, _Work(len(inp), kind), with_loss=True), g
 
 
 def descend(p: dict, inp: np.ndarray, goal: np.ndarray, rate: float, batch: int = BATCH, seed: int = 0) -> dict:
     """One pass of minibatch descent with adaptive steps."""
     flat = _pack(p)
-    m, s, g, t = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat), np.empty_like(flat)
-    now, grown, work = _views(flat), _views(g), _work(min(batch, len(inp)) * LENGTH, flat.dtype)
+    m, s, g, t = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat), np.empty(AT_ONCE, flat.dtype)
+    now, grown, work = _views(flat), _views(g), _Work(min(batch, len(inp)), flat.dtype)
+    cuts = [slice(a, a + AT_ONCE) for a in range(0, len(flat), AT_ONCE)]
     order = np.random.default_rng(seed).permutation(len(inp))
     for step, i in enumerate(range(0, len(order), batch), 1):
         _gradient(now, inp[order[i: i + batch]], goal[order[i: i + batch]], grown, work)
-        np.subtract(g, m, out=t)
-        t *= 0.1
-        m += t
-        np.multiply(g, g, out=t)
-        t -= s
-        t *= 0.01
-        s += t
-        np.multiply(s, 1 / (1 - 0.99 ** step), out=t)
-        np.sqrt(t, out=t)
-        t += 1e-6
-        np.divide(m, t, out=t)
-        t *= rate / (1 - 0.9 ** step)
-        flat -= t
+        # m is ten times the mean of the gradients, s a hundred times that of their squares.
+        root = float(np.sqrt(0.01 / (1 - 0.99 ** step)))
+        for at in cuts:
+            a, b, c = m[at], s[at], t[: len(m[at])]
+            a *= 0.9
+            a += g[at]
+            b *= 0.99
+            b += np.multiply(g[at], g[at], out=c)
+            np.sqrt(b, out=c)
+            c += 1e-6 / root
+            np.divide(a, c, out=c)
+            c *= 0.1 * rate / (1 - 0.9 ** step) / root
+            flat[at] -= c
     return now
 
 
@@ -604,34 +667,35 @@ def window_scores(model: dict, units: np.ndarray, ends: np.ndarray, firsts: np.n
     before[1:] = units[:-1]
     before[starts] = PAD
     share = model["share"]
-    out = share.ravel()[before * share.shape[1] + units].astype(np.float64)
+    out = np.take(share.ravel(), before * share.shape[1] + units, mode="clip").astype(np.float64)
     late = LENGTH - STRIDE
     count = -(-(ends - starts) // STRIDE)
     total = int(count.sum())
     # Every text in lanes of its own, a multiple of STRIDE; a window is a row of lanes with the last of the row before.
     ahead = np.cumsum(count) - count
     place = np.arange(n) + np.repeat(ahead * STRIDE - starts, ends - starts)
-    inp = np.full((total + 1, STRIDE), PAD, np.int64)
+    inp = np.full((total + 1, STRIDE), PAD, np.int16)
     inp[1:].ravel()[place] = before
     inp = np.concatenate([inp[:-1, STRIDE - late:], inp[1:]], 1)
     inp[ahead, :late] = PAD
-    goal = np.zeros(total * STRIDE, np.int64)
-    goal[place] = model["class_of"][units]
-    got = np.empty((2, total * STRIDE), np.float32)
+    goal = np.zeros(total * STRIDE, np.int16)
+    goal[place] = model["class_of"].astype(np.int16)[units]
+    got = np.empty((total * STRIDE, 2), np.float32)
     both = np.stack([np.ones(CLASSES, np.float32), np.exp(model["begin_log"])], 1)
+    ready, first = _Ready(p, min(SCORED, total), late), np.arange(min(SCORED, total) * STRIDE) * CLASSES
     for i in range(0, total, SCORED):
-        at = inp[i: i + SCORED]
-        z = logits(p, attend(p, at, late)[0], at[:, late:]).reshape(-1, CLASSES)
+        at = inp[i: i + SCORED].astype(np.intp)
+        z = logits(p, attend(p, at, late, ready)[0], at[:, late:], ready).reshape(-1, CLASSES)
         lanes = slice(i * STRIDE, i * STRIDE + len(z))
-        right = z.ravel()[np.arange(len(z)) * CLASSES + goal[lanes]]
-        sums = np.exp(z, out=z) @ both
+        right = np.take(z.ravel(), first[: len(z)] + goal[lanes], mode="clip")
+        sums = np.matmul(np.exp(z, out=z), both, out=got[lanes])
         np.log(np.maximum(sums, LEAST_SUM, out=sums), out=sums)
-        got[0, lanes], got[1, lanes] = right - sums[:, 0], right - sums[:, 1]
-    out += got[0][place]
+        np.subtract(right[:, None], sums, out=sums)
+    out += np.take(got[:, 0], place, mode="clip")
     begin = np.zeros(n)
     for some in (firsts, ends - 1):
         to = place[some]
-        begin[some] = got[1][to] + model["begin_log"][goal[to]]
+        begin[some] = got[to, 1] + model["begin_log"][goal[to]]
     return out, begin
 
 

@@ -786,3 +786,55 @@ def test_rounds_of_windows_are_by_sparks_hash(spark):
     df = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(raw)], "i int, w binary")
     want = [r.h for r in df.select("i", F.xxhash64("w", F.lit(1)).alias("h")).orderBy("i").collect()]
     assert attention._hashes(raw).tolist() == want and len(attention._hashes(raw[:0])) == 0
+
+
+def test_descent_keeps_its_room_and_asks_for_no_loss(monkeypatch):
+    """Steps of a descent share their room, whatever the parts; the parameters are those of plain adaptive steps."""
+    rng = np.random.default_rng(3)
+    p = attention.initial(np.ones(attention.CLASSES))
+    n = 2 * attention.PART + 9
+    inp = rng.integers(0, 50, (n, attention.LENGTH))
+    goal = rng.integers(-1, attention.CLASSES, inp.shape)
+    made, wanted = [], []
+    work, step = attention._Work, attention._gradient
+    monkeypatch.setattr(attention, "_Work", lambda *a: made.append(work(*a)) or made[-1])
+    monkeypatch.setattr(attention, "_gradient", lambda *a: wanted.append(step(*a)) or wanted[-1])
+    got = attention.descend(p, inp, goal, 0.01, batch=attention.PART + 5)
+    assert len(made) == 1 and wanted == [0.0] * 2
+    flat = attention._pack(p).astype(np.float64)
+    m, s, order = np.zeros_like(flat), np.zeros_like(flat), np.random.default_rng(0).permutation(n)
+    for k, i in enumerate(range(0, n, attention.PART + 5), 1):
+        some = order[i: i + attention.PART + 5]
+        monkeypatch.setattr(attention, "_gradient", step)
+        g = attention._pack(attention.loss_and_gradient(attention._views(flat), inp[some], goal[some])[1])
+        m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
+        flat -= 0.01 * (m / (1 - 0.9 ** k)) / (np.sqrt(s / (1 - 0.99 ** k)) + 1e-6)
+    assert np.abs(attention._pack(got) - flat).max() < 2e-3
+
+
+def test_counts_are_merged_now_and_then(monkeypatch):
+    monkeypatch.setattr(attention, "KEEP_COUNTS", 40)
+    rng, want = np.random.default_rng(8), Counter()
+    kept, merged = attention._Counts(np.uint64), []
+    merge = kept.merge
+    monkeypatch.setattr(kept, "merge", lambda: merged.append(1) or merge())
+    for _ in range(12):
+        keys, n = np.unique(rng.integers(0, 30, 9).astype(np.uint64), return_counts=True)
+        kept.add(keys, n)
+        want.update(dict(zip(keys.tolist(), n.tolist())))
+    assert 0 < len(merged) < 12
+    keys, n = kept.taken()
+    assert dict(zip(keys.tolist(), n.tolist())) == want and (np.diff(keys.astype(int)) > 0).all()
+    assert [len(x) for x in kept.taken()] == [0, 0]
+
+
+def test_class_scores_are_held_only_where_they_may_pass():
+    p = attention.initial(np.ones(attention.CLASSES))
+    inp = np.random.default_rng(4).integers(0, attention.UNITS, (5, attention.LENGTH))
+    assert not attention._Ready(p, 5).clip
+    for name in ("skip", "emb", "out"):
+        wide = p | {name: p[name] * 100 + (100 if name == "skip" else 0)}
+        assert attention._Ready(wide, 5).clip
+        z = attention.logits(wide, attention.attend(wide, inp)[0], inp)
+        assert np.abs(z).max() <= attention.MOST_LOGIT
+    assert attention._Ready(p | {"out": p["out"] * np.nan}, 5).clip
